@@ -1,0 +1 @@
+"""The queries registered in __spark_entry__."""

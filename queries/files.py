@@ -1,0 +1,293 @@
+"""Queries over text lines, file formats, codecs, file groups and write modes."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import dockhand
+from dockhand.operators.files import Storage
+from dockhand.plans.types import parquet_schema_from_columns
+from queries.common import (
+    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS, comparable,
+    duck_moment, for_oracle, from_sql, make_spec, new_target, table,
+)
+from queries.conversion import MAPPED_ORDERS_COLUMNS
+
+_DUCK_FIELD_MOMENT = (
+    f"regexp_replace({duck_moment('o_orderdate')}, '(\\.\\d+?)0*$', '\\1')"
+)
+
+
+@REGISTRY.add(
+    "text_line_render",
+    "SELECT o_orderkey, concat_ws(chr(9), CAST(o_orderkey AS VARCHAR),"
+    " coalesce(CAST(o_custkey AS VARCHAR), ''), coalesce(o_orderstatus, ''),"
+    f" CAST(o_totalprice AS VARCHAR), coalesce({_DUCK_FIELD_MOMENT}, ''), o_orderpriority)"
+    f" AS line FROM ({for_oracle(SPARSE_ORDERS, 'orders')}) s",
+)
+def text_line_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sparse = from_sql(spark, sf_dir, "orders", SPARSE_ORDERS)
+    rows = dockhand.clean_rows(sparse, dockhand.schema_from_columns(ORDERS_COLUMNS))
+    lines = dockhand.render_lines(rows, "\t")
+    return lines.select(
+        F.split("value", "\t").getItem(0).cast("bigint").alias("o_orderkey"),
+        F.col("value").alias("line"),
+    )
+
+
+@REGISTRY.add(
+    "text_hazards",
+    "SELECT lang, count(*) AS doc_rows,"
+    " count(*) FILTER (WHERE contains(text, ',') OR contains(source, ',')) AS with_delimiter,"
+    " count(*) FILTER (WHERE contains(text, chr(10)) OR contains(text, chr(13))) AS with_line_break"
+    " FROM documents GROUP BY lang",
+)
+def text_hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return dockhand.flag_hazards(documents, ",").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("doc_rows"),
+        F.count_if("has_delimiter").alias("with_delimiter"),
+        F.count_if("has_line_break").alias("with_line_break"),
+    )
+
+
+_TEXT_ROUNDTRIP_SQL = (
+    "SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, '') AS o_orderstatus, o_totalprice,"
+    f" {duck_moment('o_orderdate')} AS o_orderdate, o_orderpriority"
+    f" FROM ({for_oracle(SPARSE_ORDERS, 'orders')}) s"
+)
+
+
+def _text_roundtrip(name: str, compression: str) -> None:
+    @REGISTRY.add(name, _TEXT_ROUNDTRIP_SQL)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = make_spec(
+            new_target(spark, name), ORDERS_COLUMNS, file_format="text", delimiter="\t",
+            compression=compression,
+        )
+        dockhand.write_files(from_sql(spark, sf_dir, "orders", SPARSE_ORDERS), spec)
+        return comparable(
+            dockhand.read_text(spark, spec.location, spec.output_schema, spec.delimiter)
+        )
+
+
+for _name, _codec in (
+    ("text_roundtrip", "none"), ("text_gzip_roundtrip", "gzip"), ("text_bzip2_roundtrip", "bzip2"),
+):
+    _text_roundtrip(_name, _codec)
+
+
+_LINEITEM_SQL = (
+    f"SELECT {', '.join(n for n, _ in LINEITEM_COLUMNS[:-1])},"
+    f" {duck_moment('l_shipdate')} AS l_shipdate FROM lineitem"
+)
+
+
+def _columnar_roundtrip(name: str, file_format: str, compression: str) -> None:
+    @REGISTRY.add(name, _LINEITEM_SQL)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = make_spec(
+            new_target(spark, name), LINEITEM_COLUMNS, file_format=file_format,
+            compression=compression,
+        )
+        dockhand.write_files(table(spark, sf_dir, "lineitem"), spec)
+        return comparable(
+            spark.read.schema(spec.output_schema).format(file_format).load(spec.location)
+        )
+
+
+for _name, _format, _codec in (
+    ("orc_roundtrip", "orc", "none"), ("orc_snappy_roundtrip", "orc", "snappy"),
+    ("parquet_roundtrip", "parquet", "none"), ("parquet_gzip_roundtrip", "parquet", "gzip"),
+    ("parquet_snappy_roundtrip", "parquet", "snappy"),
+):
+    _columnar_roundtrip(_name, _format, _codec)
+
+
+@REGISTRY.add(
+    "parquet_explicit_schema",
+    "SELECT o_orderkey, CAST(CAST(o_custkey AS DECIMAL(20,0)) AS VARCHAR) AS o_custkey,"
+    " o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice,"
+    f" {duck_moment('o_orderdate')} AS o_orderdate, o_orderpriority FROM orders",
+)
+def parquet_explicit_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = parquet_schema_from_columns(MAPPED_ORDERS_COLUMNS)
+    spec = make_spec(
+        new_target(spark, "parquet_explicit"), MAPPED_ORDERS_COLUMNS, file_format="parquet",
+        schema=schema,
+    )
+    dockhand.write_files(table(spark, sf_dir, "orders"), spec)
+    back = spark.read.parquet(spec.location)
+    texts = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return comparable(back.withColumns({n: F.col(n).cast("string") for n in texts}))
+
+
+@REGISTRY.add(
+    "whole_text_roundtrip",
+    "SELECT doc_id, md5(text) AS text_md5, length(text) AS text_chars, lang, source, n_chars"
+    " FROM documents",
+)
+def whole_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [("doc_id", "bigint"), ("text", "string"), ("lang", "char"), ("source", "varchar"),
+               ("n_chars", "bigint")]
+    spec = make_spec(new_target(spark, "whole_text"), columns, compression="snappy")
+    dockhand.write_files(table(spark, sf_dir, "documents"), spec)
+    back = spark.read.orc(spec.location)
+    return back.select(
+        "doc_id", F.md5("text").alias("text_md5"),
+        F.length("text").cast("bigint").alias("text_chars"), "lang", "source", "n_chars",
+    )
+
+
+@REGISTRY.add("sink_file_count", "SELECT 5 AS files, count(*) AS file_rows FROM orders")
+def sink_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = make_spec(new_target(spark, "file_count"), ORDERS_COLUMNS, files=5)
+    dockhand.write_files(table(spark, sf_dir, "orders"), spec)
+    per_file = spark.read.orc(spec.location).groupBy("_metadata.file_name").count()
+    return per_file.agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("count").alias("file_rows")
+    )
+
+
+@REGISTRY.add(
+    "sink_manifest",
+    "SELECT 'a' AS file_group, true AS names_well_formed, true AS files_filled,"
+    " count(*) AS group_rows FROM orders"
+    " UNION ALL SELECT 'b', true, true, 2 * count(*) FROM orders",
+)
+def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "manifest")
+    orders = table(spark, sf_dir, "orders")
+    loads = {"a": orders, "b": orders.unionAll(orders)}
+    for prefix, rows in loads.items():
+        dockhand.write_files(
+            rows, make_spec(target, ORDERS_COLUMNS, file_prefix=prefix, compression="snappy")
+        )
+    files = None
+    for prefix in loads:
+        group = dockhand.list_group(spark, target.location, prefix)
+        files = group if files is None else files.unionAll(group)
+    rows_per_file = spark.read.orc(target.location).groupBy(
+        F.col("_metadata.file_name").alias("file_name")
+    ).agg(F.count(F.lit(1)).alias("file_rows"))
+    return (
+        files.join(rows_per_file, "file_name", "left")
+        .groupBy(F.split("file_name", "__").getItem(0).alias("file_group"))
+        .agg(
+            F.bool_and(F.col("file_name").rlike("^[ab]__[0-9a-f]{32}-.*[.]snappy[.]orc$"))
+            .alias("names_well_formed"),
+            F.bool_and(F.col("length") > 0).alias("files_filled"),
+            F.sum("file_rows").alias("group_rows"),
+        )
+    )
+
+
+@REGISTRY.add(
+    "staged_commit",
+    "SELECT count(*) AS table_rows, 0 AS stages_left, 0 AS stray_files FROM lineitem",
+)
+def staged_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "staged")
+    spec = make_spec(target, LINEITEM_COLUMNS, compression="snappy")
+    dockhand.write_files(table(spark, sf_dir, "lineitem"), spec)
+    storage = Storage(spark, target.location)
+    parent, name = target.location.rsplit("/", 1)
+    stages = [e for e in storage.children(parent) if e.name.startswith(name + "__")]
+    strays = [e for e in storage.children(target.location) if not e.name.startswith("load__")]
+    return spark.read.orc(spec.location).agg(
+        F.count(F.lit(1)).alias("table_rows"),
+        F.lit(len(stages)).alias("stages_left"),
+        F.lit(len(strays)).alias("stray_files"),
+    )
+
+
+@REGISTRY.add(
+    "commit_skips_empty",
+    "SELECT count(*) AS rows_read, 0 AS rows_written, count(*) AS rows_dirty, 0 AS files"
+    " FROM customer",
+)
+def commit_skips_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No customer name is a number, so the text files stay empty and are dropped."""
+    target = new_target(spark, "all_dirty")
+    spec = make_spec(
+        target, [("c_custkey", "bigint"), ("c_name", "int")], file_format="text", delimiter="\t"
+    )
+    result = dockhand.write_files(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), spec)
+    return result.dirty.agg(
+        F.lit(result.rows_read).alias("rows_read"),
+        F.lit(result.rows_written).cast("int").alias("rows_written"),
+        F.count(F.lit(1)).alias("rows_dirty"),
+        F.lit(len(Storage(spark, target.location).children(target.location))).alias("files"),
+    )
+
+
+# Write modes: a second version of a table differs from the first in its status.
+
+_CUSTOMER_NAMES = ", ".join(n for n, _ in CUSTOMER_COLUMNS)
+_SECOND_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, 'second' AS c_mktsegment FROM customer"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    first = table(spark, sf_dir, "customer")
+    second = first.withColumns({"c_acctbal": F.col("c_acctbal") + 1, "c_mktsegment": F.lit("second")})
+    return first, second
+
+
+@REGISTRY.add(
+    "write_append",
+    f"SELECT {_CUSTOMER_NAMES} FROM customer UNION ALL {_SECOND_SQL}",
+)
+def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "append")
+    for rows in _customers(spark, sf_dir):
+        dockhand.write_files(rows, make_spec(target, CUSTOMER_COLUMNS, write_mode="append"))
+    return spark.read.orc(target.location)
+
+
+@REGISTRY.add("write_truncate", _SECOND_SQL)
+def write_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "truncate")
+    for rows in _customers(spark, sf_dir):
+        dockhand.write_files(rows, make_spec(target, CUSTOMER_COLUMNS, write_mode="truncate"))
+    return spark.read.orc(target.location)
+
+
+@REGISTRY.add(
+    "write_truncate_keeps_other_group",
+    f"{_SECOND_SQL} UNION ALL SELECT {_CUSTOMER_NAMES} FROM customer",
+)
+def write_truncate_keeps_other_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "truncate_group")
+    first, second = _customers(spark, sf_dir)
+    for prefix, rows in (("a", first), ("b", first), ("a", second)):
+        dockhand.write_files(
+            rows, make_spec(target, CUSTOMER_COLUMNS, file_prefix=prefix, write_mode="truncate")
+        )
+    return spark.read.orc(target.location)
+
+
+@REGISTRY.add(
+    "write_nonconflict",
+    "SELECT 1 AS attempt, 'a' AS file_group, 'loaded' AS outcome, count(*) AS rows_after FROM orders"
+    " UNION ALL SELECT 2, 'a', 'rejected', count(*) FROM orders"
+    " UNION ALL SELECT 3, 'b', 'loaded', 2 * count(*) FROM orders",
+)
+def write_nonconflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_target(spark, "nonconflict")
+    orders = table(spark, sf_dir, "orders")
+    report = []
+    for attempt, prefix in enumerate(("a", "a", "b"), start=1):
+        spec = make_spec(
+            target, ORDERS_COLUMNS, file_prefix=prefix, write_mode="nonConflict"
+        )
+        try:
+            dockhand.write_files(orders, spec)
+            outcome = "loaded"
+        except dockhand.ConflictError:
+            outcome = "rejected"
+        # Counted at once: in one plan, two reads of a directory would be read only once.
+        report.append((attempt, prefix, outcome, spark.read.orc(target.location).count()))
+    return spark.createDataFrame(
+        report, "attempt int, file_group string, outcome string, rows_after bigint"
+    )
