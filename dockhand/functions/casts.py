@@ -1,6 +1,6 @@
 """Strict casts: a value converts exactly, or the result is null.
 
-All of it is built-in column expressions, so a conversion stays inside whole-stage code
+All of it is built-in SQL expressions, so a conversion stays inside whole-stage code
 generation.  Spark's own ``try_cast`` is laxer than the rules here (it trims blanks, takes
 ``inf``, ``yes`` or ``2022``), so each text rule adds a guard to it.
 """
@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.errors import SpecError
+from dockhand.functions.sql import sql_literal, sql_type
 
 # The text forms each target type accepts.
 INTEGER = "^[+-]?[0-9]+$"
@@ -22,29 +21,27 @@ DECIMAL = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
 DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?)?$"
 
-# Spellings Spark reads as a non-finite number although only the exact
-# NaN and Infinity are numbers.
-NON_FINITE_EXACT = ["NaN", "+NaN", "-NaN", "Infinity", "+Infinity", "-Infinity"]
-NON_FINITE_ANY_CASE = [
-    "nan", "+nan", "-nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity",
-]
+# How text with a non-finite value must begin.  A numeral is one out of
+# range; of the words Spark knows, only these two spellings are numbers.
+NON_FINITE = r"^[\x00-\x20]*[+-]?(NaN|Infinity|[0-9.])"
+
+# Digits of other scripts, and the digits they stand for, in the same order.
+OTHER_DIGITS = "".join(chr(c) for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) == "Nd")
+PLAIN_DIGITS = "".join(str(unicodedata.decimal(c)) for c in OTHER_DIGITS)
 
 _WIDTH = {T.ByteType(): 1, T.ShortType(): 2, T.IntegerType(): 4, T.LongType(): 8}
 _FLOATING = (T.FloatType(), T.DoubleType())
 _MOMENTS = (T.DateType(), T.TimestampType(), T.TimestampNTZType())
-
-
-def check_source_type(name: str, source: T.DataType) -> None:
-    """Raise unless values of this input type can be loaded at all."""
-    scalar = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
-              T.TimestampNTZType, T.BinaryType, T.NullType)
-    if not isinstance(source, scalar):
-        raise SpecError(f"column {name}: values of type {source.simpleString()} cannot be loaded")
+_LOADABLE = (
+    T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+    T.BinaryType, T.NullType,
+)
 
 
 def check_pair(name: str, source: T.DataType, target: T.DataType) -> None:
     """Raise when no value of the input type could become the declared type."""
-    check_source_type(name, source)
+    if not isinstance(source, _LOADABLE):
+        raise SpecError(f"column {name}: values of type {source.simpleString()} cannot be loaded")
     if isinstance(source, T.BinaryType) and not isinstance(target, T.BinaryType):
         raise SpecError(f"column {name}: binary values cannot become {target.simpleString()}")
 
@@ -53,93 +50,107 @@ def can_fail(source: T.DataType, target: T.DataType) -> bool:
     """Whether a non-null value of ``source`` may have no ``target`` value."""
     if isinstance(source, T.NullType) or isinstance(target, (T.StringType, T.BinaryType)):
         return False
-    if source == target:
-        return False
+    return source != target and not _never_fails(source, target)
+
+
+def _never_fails(source: T.DataType, target: T.DataType) -> bool:
+    """Casts between other types that always give a value."""
     if source in _WIDTH and target in _WIDTH:
-        return _WIDTH[source] > _WIDTH[target]
+        return _WIDTH[source] <= _WIDTH[target]
     if target in _FLOATING:
-        return not (source in _WIDTH or isinstance(source, T.DecimalType))
-    if isinstance(target, (T.DateType, T.TimestampType)):
-        return source not in _MOMENTS
-    return True
+        return source in _WIDTH or isinstance(source, T.DecimalType)
+    return isinstance(target, (T.DateType, T.TimestampType)) and source in _MOMENTS
 
 
-def strict_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``value`` as ``target``, null where it is null or does not convert."""
+def attempt(value: str, source: T.DataType, target: T.DataType) -> str:
+    """First half of a strict cast: ``value`` as ``target`` under Spark's or stricter rules.
+
+    Casting in two halves lets a projection compute the attempt once and :func:`accept`
+    look at it more than once.
+    """
+    kind = sql_type(target)
+    text = _text(value, source)
     if isinstance(source, T.NullType):
-        return value.cast(target)
+        return f"CAST({value} AS {kind})"
     if isinstance(target, T.TimestampType):
-        return _to_timestamp(value, source)
-    if source == target:
-        return value
-    if isinstance(target, (T.StringType, T.BinaryType)):
-        return value.cast(target)
-    if target in _WIDTH:
-        if source in _WIDTH:
-            return value.try_cast(target)
-        return text_to_integer(value.cast("string"), target)
-    if target in _FLOATING:
-        if source in _WIDTH or isinstance(source, T.DecimalType):
-            return value.cast(target)
-        return text_to_floating(value.cast("string"), target)
+        moment = _cast(value, source, target) if source in _MOMENTS else text_to_timestamp(text)
+        return f"date_trunc('MILLISECOND', {moment})"
+    if not can_fail(source, target):
+        return _cast(value, source, target)
+    if target in _WIDTH or target in _FLOATING:
+        return f"try_cast({value if source in _WIDTH else text} AS {kind})"
     if isinstance(target, T.BooleanType):
-        return text_to_boolean(value.cast("string"))
+        return text_to_boolean(text)
     if isinstance(target, T.DateType):
-        if source in _MOMENTS:
-            return value.cast(target)
-        return text_to_date(value.cast("string"))
+        return text_to_date(text)
     if isinstance(target, T.DecimalType):
         if isinstance(source, T.NumericType) and source not in _FLOATING:
-            return value.try_cast(target)
-        text = value.cast("string")
-        return F.when(text.rlike(DECIMAL), text.try_cast(target))
+            return f"try_cast({value} AS {kind})"
+        return f"CASE WHEN {_matches(text, DECIMAL)} THEN try_cast({text} AS {kind}) END"
     raise SpecError(f"no conversion to {target.simpleString()}")
 
 
-def text_to_integer(text: Column, target: T.DataType) -> Column:
+def accept(value: str, tried: str, source: T.DataType, target: T.DataType) -> str:
+    """Second half of a strict cast: the attempt, or null where Spark was too lax."""
+    if not can_fail(source, target):
+        return tried
+    if target in _WIDTH and source not in _WIDTH:
+        return accept_integer(_text(value, source), tried, target)
+    if target in _FLOATING:
+        return accept_floating(_text(value, source), tried)
+    return tried
+
+
+def strict_cast(value: str, source: T.DataType, target: T.DataType) -> str:
+    """``value`` as ``target``, null where it is null or does not convert."""
+    return accept(value, attempt(value, source, target), source, target)
+
+
+def accept_integer(text: str, number: str, target: T.DataType) -> str:
     """Decimal digits with an optional sign and nothing else, in the target's range.
 
     Text that prints back as itself is already in that form, which spares most values
     the regular expression.  Digits of other scripts count as digits too; they are only
     looked at where the plain form failed.
     """
-    number = text.try_cast(target)
-    plain = F.when((number.cast("string") == text) | text.rlike(INTEGER), number)
-    digits, ascii_digits = _digits_of_other_scripts()
-    other = F.translate(text, digits, ascii_digits).try_cast(target)
-    return F.coalesce(plain, F.when(text.rlike(INTEGER_ANY_SCRIPT), other))
+    digits = f"translate({text}, {sql_literal(OTHER_DIGITS)}, {sql_literal(PLAIN_DIGITS)})"
+    return (
+        f"CASE WHEN CAST({number} AS STRING) = {text} OR {_matches(text, INTEGER)} THEN {number}"
+        f" WHEN {_matches(text, INTEGER_ANY_SCRIPT)} THEN try_cast({digits} AS {sql_type(target)}) END"
+    )
 
 
-def _digits_of_other_scripts() -> tuple[str, str]:
-    chars = [chr(c) for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) == "Nd"]
-    return "".join(chars), "".join(str(unicodedata.decimal(c)) for c in chars)
-
-
-def text_to_floating(text: Column, target: T.DataType) -> Column:
+def accept_floating(text: str, number: str) -> str:
     """Numbers as Java prints or reads them; only non-finite results need a second look."""
-    number = text.try_cast(target)
-    non_finite = F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
-    spelled = F.trim(text).isin(NON_FINITE_EXACT) | ~F.lower(F.trim(text)).isin(NON_FINITE_ANY_CASE)
-    return F.when(~non_finite | spelled, number)
+    finite = f"abs({number}) < CAST('Infinity' AS DOUBLE)"
+    return f"CASE WHEN {finite} OR {_matches(text, NON_FINITE)} THEN {number} END"
 
 
-def text_to_boolean(text: Column) -> Column:
+def text_to_boolean(text: str) -> str:
     """``true`` or ``false`` in any letter case."""
-    word = F.lower(text)
-    return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
+    return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def text_to_date(text: Column) -> Column:
+def text_to_date(text: str) -> str:
     """``yyyy-MM-dd``, or the day of ``yyyy-MM-dd HH:mm:ss[.f]``."""
-    moment = F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp_ntz").cast("date"))
-    return F.coalesce(F.when(text.rlike(DATE), text.try_cast("date")), moment)
+    return (
+        f"CASE WHEN {_matches(text, DATE)} THEN try_cast({text} AS date)"
+        f" WHEN {_matches(text, TIMESTAMP)} THEN CAST(try_cast({text} AS timestamp_ntz) AS date) END"
+    )
 
 
-def text_to_timestamp(text: Column) -> Column:
+def text_to_timestamp(text: str) -> str:
     """``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss[.f]``."""
-    return F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp"))
+    return f"CASE WHEN {_matches(text, TIMESTAMP)} THEN try_cast({text} AS timestamp_ltz) END"
+
+
+def _text(value: str, source: T.DataType) -> str:
+    return value if isinstance(source, T.StringType) else f"CAST({value} AS STRING)"
+
+
+def _cast(value: str, source: T.DataType, target: T.DataType) -> str:
+    return value if source == target else f"CAST({value} AS {sql_type(target)})"
 
 
-def _to_timestamp(value: Column, source: T.DataType) -> Column:
-    moment = value.cast("timestamp") if source in _MOMENTS else text_to_timestamp(value.cast("string"))
-    return F.date_trunc("MILLISECOND", moment)
+def _matches(text: str, pattern: str) -> str:
+    return f"{text} RLIKE {sql_literal(pattern)}"

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockhand.functions.sql import sql_literal, sql_name, sql_type
+
 # Characters a field that is not a string can hold.
 NON_STRING_FIELD_CHARS = set("0123456789+-.: ") | set("ENaInfinity") | set("truefals")
 
 
-def field_text(value: Column, data_type: T.DataType, null_value: str = "") -> Column:
-    """One value as the text of its field.
+def field_text(value: str, data_type: T.DataType, null_value: str = "") -> str:
+    """SQL of one value as the text of its field.
 
     Timestamps always show a fraction, so midnight ends in ``00:00:00.0``.
     """
-    text = value.cast("string")
+    text = value if isinstance(data_type, T.StringType) else f"CAST({value} AS STRING)"
     if isinstance(data_type, T.TimestampType):
-        text = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
-    return F.coalesce(text, F.lit(null_value))
+        text = f"concat({text}, if(unix_micros({value}) % 1000000 = 0, '.0', ''))"
+    return f"coalesce({text}, {sql_literal(null_value)})"
 
 
-def line_text(fields: list[Column], delimiter: str) -> Column:
-    """Fields joined by the delimiter, nothing quoted or escaped."""
-    return F.concat_ws(delimiter, *fields)
+def line_text(fields: list[str], delimiter: str) -> str:
+    """SQL of the fields joined by the delimiter, nothing quoted or escaped."""
+    return f"concat_ws({sql_literal(delimiter)}, {', '.join(fields)})"
 
 
 def split_pattern(delimiter: str) -> str:
@@ -31,22 +31,11 @@ def split_pattern(delimiter: str) -> str:
     return "\\" + delimiter if delimiter in r".$|()[{^?*+\\" else delimiter
 
 
-def sql_literal(text: str) -> str:
-    """Text as a SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def sql_name(*parts: str) -> str:
-    """A possibly qualified name, quoted."""
-    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
-
-
-def parse_fields_sql(
+def parse_fields(
     schema: T.StructType, delimiter: str, null_value: str = "", line: str = "value"
 ) -> list[str]:
-    """SQL expressions that read the typed columns back from a text line.
+    """SQL of the typed columns read back from a text line.
 
-    SQL text rather than columns, since the view over a text table is made of it too.
     An empty field is an empty string in a string column and null in any other; a field
     a short line does not have is null.
     """
@@ -57,6 +46,6 @@ def parse_fields_sql(
         if null_value:
             text = f"nullif({text}, {sql_literal(null_value)})"
         if not isinstance(f.dataType, T.StringType):
-            text = f"try_cast({text} AS {f.dataType.simpleString()})"
+            text = f"try_cast({text} AS {sql_type(f.dataType)})"
         columns.append(f"{text} AS {sql_name(f.name)}")
     return columns

@@ -7,12 +7,15 @@ have none.  Everything is projection and filter, so no operator here shuffles ex
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.errors import SpecError
-from dockhand.functions.casts import can_fail, check_pair, strict_cast
+from dockhand.functions.casts import accept, attempt, can_fail, check_pair
+from dockhand.functions.sql import sql_literal, sql_name
 
 BAD = "_bad"
 
@@ -30,69 +33,51 @@ def check_input(df: DataFrame, schema: T.StructType) -> None:
         check_pair(target.name, source.dataType, target.dataType)
 
 
-def tag(df: DataFrame, schema: T.StructType) -> DataFrame:
+def fallible(df: DataFrame, schema: T.StructType) -> list[int]:
+    """Positions, from 0, of the columns that can hold a value that does not convert."""
+    pairs = zip(df.schema, schema)
+    return [i for i, (s, t) in enumerate(pairs) if can_fail(s.dataType, t.dataType)]
+
+
+def tag(df: DataFrame, schema: T.StructType, observation: Observation | None = None) -> DataFrame:
     """Input columns ``_in<i>``, converted columns ``_out<i>`` and ``_bad``.
 
     ``_bad`` is the position of the first column, from 1, whose value is not null but
-    does not convert, else null.  Converting and checking are two projections, so each
-    cast is computed once for both.
+    does not convert, else null.  Attempting, accepting and checking are projections of
+    their own, so each cast is computed once for all of them.
+
+    The rows are counted as they pass (``rows`` and ``dirty``), into the observation if one
+    is given.  A filter on ``_bad`` stays above the counting, where without it the optimizer
+    would move it down and compute every cast again.
     """
     check_input(df, schema)
-    sources = [f.dataType for f in df.schema]
-    raw = df.toDF(*[f"_in{i}" for i in range(len(schema))])
-    converted = raw.select(
-        "*",
-        *[
-            strict_cast(F.col(f"_in{i}"), s, t.dataType).alias(f"_out{i}")
-            for i, (s, t) in enumerate(zip(sources, schema))
-        ],
+    types = [(s.dataType, t.dataType) for s, t in zip(df.schema, schema)]
+    raw = df.toDF(*[f"_in{i}" for i in range(len(types))])
+    tried = raw.selectExpr(
+        "*", *[f"{attempt(f'_in{i}', *pair)} AS _try{i}" for i, pair in enumerate(types)]
+    )
+    converted = tried.selectExpr(
+        *raw.columns,
+        *[f"{accept(f'_in{i}', f'_try{i}', *pair)} AS _out{i}" for i, pair in enumerate(types)],
+    )
+    return converted.selectExpr("*", f"{_first_bad(fallible(df, schema))} AS {BAD}").observe(
+        observation or f"dockhand-{uuid.uuid4().hex}",
+        F.count(F.lit(1)).alias("rows"),
+        F.count(BAD).alias("dirty"),
     )
-    return converted.select("*", _first_bad(sources, schema).alias(BAD))
-
-
-def _first_bad(sources: list[T.DataType], schema: T.StructType) -> Column:
-    checks = [
-        F.when(F.col(f"_in{i}").isNotNull() & F.col(f"_out{i}").isNull(), F.lit(i + 1))
-        for i in fallible(sources, schema)
-    ]
-    return F.coalesce(*checks) if checks else F.lit(None).cast("int")
-
-
-def fallible(sources: list[T.DataType], schema: T.StructType) -> list[int]:
-    """Positions, from 0, of the columns that can hold a value that does not convert."""
-    return [i for i, (s, t) in enumerate(zip(sources, schema)) if can_fail(s, t.dataType)]
 
 
-def clean_of(tagged: DataFrame, schema: T.StructType) -> DataFrame:
-    """Converted columns of the rows in which every column converted."""
-    return tagged.filter(F.col(BAD).isNull()).select(
-        *[F.col(f"_out{i}").alias(f.name) for i, f in enumerate(schema)]
-    )
+def _first_bad(positions: list[int]) -> str:
+    checks = [f"WHEN _in{i} IS NOT NULL AND _out{i} IS NULL THEN {i + 1}" for i in positions]
+    return f"CASE {' '.join(checks)} END" if checks else "CAST(NULL AS INT)"
 
 
 def clean_rows(
     df: DataFrame, schema: T.StructType, observation: Observation | None = None
 ) -> DataFrame:
-    """Rows that convert as a whole, converted.
-
-    With an observation, :func:`observe_tagged` counts are taken in the same pass.
-    """
-    tagged = tag(df, schema)
-    if observation is not None:
-        tagged = observe_tagged(tagged, df, schema, observation)
-    return clean_of(tagged, schema)
-
-
-def observe_tagged(
-    tagged: DataFrame, df: DataFrame, schema: T.StructType, observation: Observation
-) -> DataFrame:
-    """Count rows, dirty rows and dirty rows per column while they pass by."""
-    positions = fallible([f.dataType for f in df.schema], schema)
-    return tagged.observe(
-        observation,
-        F.count(F.lit(1)).alias("rows"),
-        F.count(BAD).alias("dirty"),
-        *[F.count_if(F.col(BAD) == i + 1).alias(f"dirty_{i}") for i in positions],
+    """Rows that convert as a whole, converted; see :func:`tag` for the observation."""
+    return tag(df, schema, observation).filter(f"{BAD} IS NULL").selectExpr(
+        *[f"_out{i} AS {sql_name(f.name)}" for i, f in enumerate(schema)]
     )
 
 
@@ -102,30 +87,23 @@ def dirty_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     Added columns: ``bad_position`` (from 1), ``bad_column``, ``bad_type``, ``bad_value``
     (the raw text) and ``message``.
     """
-    tagged = tag(df, schema)
-    positions = fallible([f.dataType for f in df.schema], schema)
-    if not positions:
-        return _describe(tagged.filter(F.lit(False)), df, schema, positions)
-    return _describe(tagged.filter(F.col(BAD).isNotNull()), df, schema, positions)
-
-
-def _describe(
-    tagged: DataFrame, df: DataFrame, schema: T.StructType, positions: list[int]
-) -> DataFrame:
-    def pick(of) -> Column:
-        cases = [F.when(F.col(BAD) == i + 1, of(i)) for i in positions]
-        return F.coalesce(*cases) if cases else F.lit(None).cast("string")
-
-    column = pick(lambda i: F.lit(schema[i].name))
-    kind = pick(lambda i: F.lit(schema[i].dataType.simpleString()))
-    value = pick(lambda i: F.col(f"_in{i}").cast("string"))
-    return tagged.select(
-        *[F.col(f"_in{i}").alias(name) for i, name in enumerate(df.columns)],
-        F.col(BAD).alias("bad_position"),
-        column.alias("bad_column"),
-        kind.alias("bad_type"),
-        value.alias("bad_value"),
-        F.format_string("column %s: value [%s] is not a %s", column, value, kind).alias("message"),
+    positions = fallible(df, schema)
+
+    def pick(of) -> str:
+        cases = " ".join(f"WHEN {i + 1} THEN {of(i)}" for i in positions)
+        return f"CASE {BAD} {cases} END" if cases else "CAST(NULL AS STRING)"
+
+    described = tag(df, schema).filter(f"{BAD} IS NOT NULL").selectExpr(
+        *[f"_in{i} AS {sql_name(name)}" for i, name in enumerate(df.columns)],
+        f"{BAD} AS bad_position",
+        f"{pick(lambda i: sql_literal(schema[i].name))} AS bad_column",
+        f"{pick(lambda i: sql_literal(schema[i].dataType.simpleString()))} AS bad_type",
+        f"{pick(lambda i: f'CAST(_in{i} AS STRING)')} AS bad_value",
+    )
+    return described.selectExpr(
+        "*",
+        "format_string('column %s: value [%s] is not a %s', bad_column, bad_value, bad_type)"
+        " AS message",
     )
 
 

@@ -7,12 +7,12 @@ from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.errors import CommitError, SpecError
 from dockhand.functions.casts import strict_cast
-from dockhand.functions.render import parse_fields_sql, sql_literal, sql_name
+from dockhand.functions.render import parse_fields
+from dockhand.functions.sql import sql_literal, sql_name, sql_type
 from dockhand.operators.files import Storage
 from dockhand.plans.spec import LoadSpec
 from dockhand.plans.types import column_type
@@ -45,9 +45,9 @@ def normalize_partition(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
     """The spec with each partition value as its type prints it, ``08`` as int being 8."""
     if not spec.partition:
         return spec
-    row = spark.range(1).select(
+    row = spark.range(1).selectExpr(
         *[
-            strict_cast(F.lit(p.value), T.StringType(), column_type(p.type)).cast("string")
+            f"CAST({strict_cast(sql_literal(p.value), T.StringType(), column_type(p.type))} AS STRING)"
             for p in spec.partition
         ]
     ).first()
@@ -94,10 +94,10 @@ def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
     """The DDL that makes the target table."""
     table = sql_name(spec.database, spec.table_name)
     columns = ", ".join(
-        f"{sql_name(f.name)} {f.dataType.simpleString()} COMMENT {sql_literal(f.name)}"
+        f"{sql_name(f.name)} {sql_type(f.dataType)} COMMENT {sql_literal(f.name)}"
         for f in spec.output_schema
     )
-    keys = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in spec.partition_schema)
+    keys = ", ".join(f"{sql_name(f.name)} {sql_type(f.dataType)}" for f in spec.partition_schema)
     partitioned = f" PARTITIONED BY ({keys})" if keys else ""
     comment = f" COMMENT {sql_literal(spec.table_name + '_table')}"
     location = f" LOCATION {sql_literal(spec.location)}"
@@ -117,7 +117,7 @@ def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
             f" STORED AS TEXTFILE{location}"
         ]
     lines = sql_name(spec.database, spec.table_name + "__lines")
-    fields = parse_fields_sql(spec.output_schema, spec.delimiter, spec.null_value)
+    fields = parse_fields(spec.output_schema, spec.delimiter, spec.null_value)
     names = [sql_name(p.name) for p in spec.partition]
     view_columns = [f"{sql_name(f.name)} COMMENT {sql_literal(f.name)}" for f in spec.output_schema]
     return [

@@ -2,56 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from dockhand.functions.render import NON_STRING_FIELD_CHARS, field_text, line_text
-
-
-def line_column(schema: T.StructType, delimiter: str, null_value: str = "") -> Column:
-    """The text line of a converted row."""
-    fields = [field_text(F.col(_quoted(f.name)), f.dataType, null_value) for f in schema]
-    return line_text(fields, delimiter)
+from dockhand.functions.sql import sql_any, sql_literal, sql_name
 
 
 def render_lines(df: DataFrame, delimiter: str, null_value: str = "") -> DataFrame:
     """A converted frame as one ``value`` column of text lines."""
-    return df.select(line_column(df.schema, delimiter, null_value).alias("value"))
+    fields = [field_text(sql_name(f.name), f.dataType, null_value) for f in df.schema]
+    return df.selectExpr(f"{line_text(fields, delimiter)} AS value")
 
 
-def hazard_columns(schema: T.StructType, delimiter: str) -> tuple[Column, Column]:
-    """Whether a field holds the delimiter, and whether one holds a line break.
+def hazards(schema: T.StructType, delimiter: str) -> tuple[str, str]:
+    """SQL for whether a field holds the delimiter, and whether one holds a line break.
 
     Nothing is escaped in a line, so such a row does not read back as it was.
     """
-    strings = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
-    others = [f.name for f in schema if f.name not in strings]
-    at_risk = strings + (others if delimiter in NON_STRING_FIELD_CHARS else [])
-    has_delimiter = _any(F.contains(_text(c, schema), F.lit(delimiter)) for c in at_risk)
-    has_break = _any(
-        F.contains(_text(c, schema), F.lit("\n")) | F.contains(_text(c, schema), F.lit("\r"))
-        for c in strings
-    )
+    strings = [f for f in schema if isinstance(f.dataType, T.StringType)]
+    others = [f for f in schema if f not in strings] if delimiter in NON_STRING_FIELD_CHARS else []
+
+    def holds(field: T.StructField, character: str) -> str:
+        return f"contains({field_text(sql_name(field.name), field.dataType)}, {sql_literal(character)})"
+
+    has_delimiter = sql_any([holds(f, delimiter) for f in strings + others])
+    has_break = sql_any([holds(f, c) for f in strings for c in "\n\r"])
     return has_delimiter, has_break
 
 
 def flag_hazards(df: DataFrame, delimiter: str) -> DataFrame:
     """The frame with ``has_delimiter`` and ``has_line_break`` added."""
-    has_delimiter, has_break = hazard_columns(df.schema, delimiter)
-    return df.select("*", has_delimiter.alias("has_delimiter"), has_break.alias("has_line_break"))
-
-
-def _text(name: str, schema: T.StructType) -> Column:
-    return field_text(F.col(_quoted(name)), schema[name].dataType)
-
-
-def _any(conditions) -> Column:
-    combined = F.lit(False)
-    for c in conditions:
-        combined = combined | c
-    return combined
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    has_delimiter, has_break = hazards(df.schema, delimiter)
+    return df.selectExpr("*", f"{has_delimiter} AS has_delimiter", f"{has_break} AS has_line_break")

@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dockhand.errors import CommitError
+from dockhand.functions.sql import sql_any
 from dockhand.operators import tables
-from dockhand.operators.convert import (
-    check_input, clean_of, dirty_rows, fallible, observe_tagged, tag,
-)
+from dockhand.operators.convert import check_input, clean_rows, dirty_rows, dirty_summary
 from dockhand.operators.files import (
     Storage, check_target, new_run_id, publish, stage_path, write_stage,
 )
-from dockhand.operators.text import hazard_columns, render_lines
+from dockhand.operators.text import hazards, render_lines
 from dockhand.plans.spec import LoadSpec
 
 
@@ -28,7 +27,6 @@ class LoadResult:
     files: list[str]
     rows_read: int
     rows_dirty: int
-    dirty_by_column: dict[str, int]
     source: DataFrame
 
     @property
@@ -41,6 +39,12 @@ class LoadResult:
         rejected = dirty_rows(self.source, self.spec.output_schema)
         return rejected if self.rows_dirty else rejected.limit(0)
 
+    @property
+    def dirty_by_column(self) -> DataFrame:
+        """Rejected rows per first failing column, read like :attr:`dirty`."""
+        summary = dirty_summary(self.source, self.spec.output_schema)
+        return summary if self.rows_dirty else summary.limit(0)
+
 
 def load(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """Convert, write, put in place and register in the catalog.
@@ -79,14 +83,12 @@ def write_files(df: DataFrame, spec: LoadSpec) -> LoadResult:
         files = publish(storage, stage, directory, spec.file_prefix, spec.write_mode)
     finally:
         storage.delete(stage)
-    positions = fallible([f.dataType for f in df.schema], spec.output_schema)
     return LoadResult(
         spec=spec,
         directory=directory,
         files=files,
         rows_read=counts["rows"],
         rows_dirty=counts["dirty"],
-        dirty_by_column={spec.columns[i].name: counts[f"dirty_{i}"] for i in positions},
         source=df,
     )
 
@@ -98,22 +100,22 @@ def output_rows(df: DataFrame, spec: LoadSpec, observation: Observation) -> Data
     stage that writes and a repeated shuffle cannot count twice.
     """
     rows = df.repartition(spec.files) if spec.files else df
-    return clean_of(observe_tagged(tag(rows, spec.output_schema), rows, spec.output_schema, observation), spec.output_schema)
+    return clean_rows(rows, spec.output_schema, observation)
 
 
 def _write(
     spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, run_id: str
 ) -> dict[str, int]:
-    counts, hazards = Observation(), Observation()
+    counts, unsafe = Observation(), Observation()
     rows = output_rows(df, spec, counts)
     if spec.file_format == "text":
         if spec.fail_on_hazards:
-            has_delimiter, has_break = hazard_columns(spec.output_schema, spec.delimiter)
-            rows = rows.observe(hazards, F.count_if(has_delimiter | has_break).alias("hazards"))
+            condition = sql_any(list(hazards(spec.output_schema, spec.delimiter)))
+            rows = rows.observe(unsafe, F.expr(f"count_if({condition})").alias("rows"))
         rows = render_lines(rows, spec.delimiter, spec.null_value)
     write_stage(rows, spec.file_format, spec.compression, stage, spec.file_prefix, run_id)
-    if spec.file_format == "text" and spec.fail_on_hazards and hazards.get["hazards"]:
+    if spec.file_format == "text" and spec.fail_on_hazards and unsafe.get["rows"]:
         raise CommitError(
-            f"{hazards.get['hazards']} rows hold the delimiter or a line break and would not read back"
+            f"{unsafe.get['rows']} rows hold the delimiter or a line break and would not read back"
         )
     return counts.get

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from dockhand.functions.render import parse_fields_sql
+from dockhand.functions.render import parse_fields
 
 
 def parse_lines(
     lines: DataFrame, schema: T.StructType, delimiter: str, null_value: str = ""
 ) -> DataFrame:
     """Typed columns of a frame whose ``value`` column holds text lines."""
-    return lines.selectExpr(*parse_fields_sql(schema, delimiter, null_value))
+    return lines.selectExpr(*parse_fields(schema, delimiter, null_value))
 
 
 def read_text(

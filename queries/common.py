@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand import LoadSpec
-from dockhand.functions.render import sql_literal
+from dockhand.functions.sql import sql_literal
 from dockhand.plans.workspace import new_workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
