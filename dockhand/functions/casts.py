@@ -14,12 +14,13 @@ from pyspark.sql import types as T
 from dockhand.errors import SpecError
 from dockhand.functions.sql import sql_literal, sql_type
 
-# The text forms each target type accepts.
-INTEGER = "^[+-]?[0-9]+$"
-INTEGER_ANY_SCRIPT = r"^[+-]?\p{Nd}+$"
-DECIMAL = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
-DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?)?$"
+# The text forms each target type accepts.  They end in \z, as $ would
+# let a final line break pass.
+INTEGER = r"^[+-]?[0-9]+\z"
+INTEGER_ANY_SCRIPT = r"^[+-]?\p{Nd}+\z"
+DECIMAL = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)\z"
+DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?)?\z"
 
 # How text with a non-finite value must begin.  A numeral is one out of
 # range; of the words Spark knows, only these two spellings are numbers.

@@ -1,0 +1,226 @@
+"""Conversions, one case per type and input."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import re
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dockhand import SpecError, clean_rows, dirty_rows, schema_from_columns
+from dockhand.functions.casts import strict_cast
+from dockhand.operators.convert import tag
+from dockhand.plans.types import column_type
+
+BAD = object()
+
+CASES = {
+    "tinyint": [
+        ("12", 12), ("+12", 12), ("-128", -128), ("127", 127), ("128", BAD), ("-129", BAD),
+        ("007", 7), ("-0", 0), (" 12", BAD), ("12 ", BAD), ("\t12", BAD), ("12\n", BAD),
+        ("1.0", BAD), ("1e1", BAD), ("", BAD), ("+", BAD), ("-", BAD), ("0x1", BAD), ("1_0", BAD),
+        ("--1", BAD), ("12\x00", BAD), ("１２", 12), ("-٣", -3), ("३4", 34), ("１２８", BAD),
+        ("²", BAD), ("𝟏", BAD), (None, None),
+    ],
+    "smallint": [("32767", 32767), ("32768", BAD), ("-32768", -32768), ("00300", 300)],
+    "int": [("2147483647", 2147483647), ("2147483648", BAD), ("-2147483648", -2147483648)],
+    "bigint": [
+        ("9223372036854775807", 9223372036854775807), ("9223372036854775808", BAD),
+        ("-9223372036854775808", -9223372036854775808), ("12L", BAD), ("1.5", BAD),
+    ],
+    "long": [("12", 12)],
+    "float": [
+        ("1.5", 1.5), ("1d", 1.0), ("1f", 1.0), ("0x1p3", 8.0), ("1e400", math.inf),
+        ("-1e400", -math.inf), (" 2 ", 2.0), ("NaN", math.nan), ("nan", BAD), ("Infinity", math.inf),
+        ("-Infinity", -math.inf), ("infinity", BAD), ("inf", BAD), ("-inf", BAD), ("+Inf", BAD),
+        ("1,5", BAD), ("", BAD), ("one", BAD), (None, None),
+    ],
+    "double": [
+        ("1.5", 1.5), ("1e308", 1e308), ("1e309", math.inf), ("+NaN", math.nan), ("NAN", BAD),
+        (" Infinity ", math.inf), (" infinity ", BAD), ("+Infinity", math.inf), (".5", 0.5), ("5.", 5.0),
+        ("1e", BAD),
+    ],
+    "string": [("", ""), (" a ", " a "), (None, None)],
+    "varchar": [("longer than ten characters", "longer than ten characters")],
+    "char": [("ab", "ab")],
+    "boolean": [
+        ("true", True), ("TRUE", True), ("False", False), ("t", BAD), ("yes", BAD), ("1", BAD),
+        ("0", BAD), (" true", BAD), ("", BAD), (None, None),
+    ],
+    "date": [
+        ("2022-01-03", dt.date(2022, 1, 3)), ("2022-13-01", BAD), ("2022-02-30", BAD), ("2022", BAD),
+        ("2022-1-3", BAD), (" 2022-01-03", BAD), ("2022-01-03T", BAD), ("2022/01/03", BAD),
+        ("2022-01-03 10:11:12", dt.date(2022, 1, 3)), ("2022-01-03 25:00:00", BAD),
+        ("12022-01-3", BAD), ("2022-01-03\n", BAD), ("", BAD), (None, None),
+    ],
+    "timestamp": [
+        ("2022-01-03", dt.datetime(2022, 1, 3)),
+        ("2022-01-03 10:11:12", dt.datetime(2022, 1, 3, 10, 11, 12)),
+        ("2022-01-03 10:11:12.5", dt.datetime(2022, 1, 3, 10, 11, 12, 500000)),
+        ("2022-01-03 10:11:12.123456", dt.datetime(2022, 1, 3, 10, 11, 12, 123000)),
+        ("2022-01-03T10:11:12", BAD), ("2022-01-03 10:11", BAD), ("2022-01-03 10:11:12Z", BAD), ("2022-01-03\n", BAD),
+        ("2022-01-03 24:00:00", BAD), ("10:11:12", BAD), (None, None),
+    ],
+}
+
+
+def same(have, want) -> bool:
+    if isinstance(want, float) and math.isnan(want):
+        return isinstance(have, float) and math.isnan(have)
+    return have == want
+
+
+def convert(spark, values, type_name):
+    """(raw, converted, dirty) per value, in order."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    tagged = tag(df, schema_from_columns([("i", "int"), ("v", type_name)]))
+    out = F.col("_out1")
+    if type_name == "timestamp":
+        out = out.cast("timestamp_ntz")
+    rows = tagged.select("_in0", "_in1", out.alias("out"), F.col("_bad").isNotNull().alias("bad"))
+    return [(r[1], r[2], r[3]) for r in sorted(rows.collect())]
+
+
+@pytest.mark.parametrize("type_name", CASES)
+def test_text_conversion(spark, type_name):
+    wanted = [w for _, w in CASES[type_name]]
+    got = convert(spark, [v for v, _ in CASES[type_name]], type_name)
+    for (raw, value, dirty), want in zip(got, wanted):
+        assert dirty == (want is BAD), (type_name, raw)
+        assert same(value, None if want is BAD else want), (type_name, raw)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_rules_do_not_depend_on_ansi_mode(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for type_name in ("tinyint", "double", "date", "boolean"):
+            wanted = [w is BAD for _, w in CASES[type_name]]
+            got = convert(spark, [v for v, _ in CASES[type_name]], type_name)
+            assert [bad for _, _, bad in got] == wanted, type_name
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="0123456789+-. eE\t\x7fx", max_size=11), min_size=40, max_size=80))
+def test_integers_agree_with_a_plain_model(spark, texts):
+    def model(text):
+        if re.fullmatch("[+-]?[0-9]+", text) and -(2**31) <= int(text) < 2**31:
+            return int(text)
+        return None
+
+    got = convert(spark, texts, "int")
+    assert [v for _, v, _ in got] == [model(t) for t in texts]
+    assert [bad for _, _, bad in got] == [model(t) is None for t in texts]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.from_regex(r"[0-9+ ]?20[0-9]{2}-[01]?[0-9]-[0-3]?[0-9][ T0-9]?", fullmatch=True),
+                min_size=40, max_size=80))
+def test_dates_agree_with_a_plain_model(spark, texts):
+    def model(text):
+        if not re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", text):
+            return None
+        try:
+            return dt.date.fromisoformat(text)
+        except ValueError:
+            return None
+
+    assert [v for _, v, _ in convert(spark, texts, "date")] == [model(t) for t in texts]
+
+
+TYPED = [
+    # source type, value, target, result
+    ("bigint", 300, "tinyint", BAD),
+    ("bigint", 12, "tinyint", 12),
+    ("smallint", 12, "bigint", 12),
+    ("double", 1.0, "int", BAD),
+    ("boolean", True, "int", BAD),
+    ("decimal(10,2)", Decimal("1.50"), "double", 1.5),
+    ("decimal(10,0)", Decimal("15"), "int", 15),
+    ("int", 3, "double", 3.0),
+    ("double", 0.1, "float", 0.10000000149011612),
+    ("float", 0.1, "double", 0.1),
+    ("int", 1, "boolean", BAD),
+    ("boolean", False, "boolean", False),
+    ("date", dt.date(2022, 1, 3), "string", "2022-01-03"),
+    ("timestamp_ntz", dt.datetime(2022, 1, 3, 4, 5, 6), "date", dt.date(2022, 1, 3)),
+    ("bigint", 20220103, "date", BAD),
+    ("void", None, "int", None),
+]
+
+
+@pytest.mark.parametrize("source,value,target,want", TYPED)
+def test_typed_conversion(spark, source, value, target, want):
+    schema = T.StructType([T.StructField("v", T.NullType() if source == "void" else T._parse_datatype_string(source))])
+    df = spark.createDataFrame([(value,)], schema)
+    row = tag(df, schema_from_columns([("v", target)])).select("_out0", "_bad").first()
+    assert (row[1] is not None) == (want is BAD)
+    assert same(row[0], None if want is BAD else want)
+
+
+def test_timestamps_are_cut_to_milliseconds(spark):
+    df = spark.sql("SELECT timestamp_ntz'1969-12-31 23:59:59.999999' AS t")
+    out = clean_rows(df, schema_from_columns([("t", "timestamp")]))
+    assert out.select(F.col("t").cast("timestamp_ntz")).first()[0] == dt.datetime(
+        1969, 12, 31, 23, 59, 59, 999000
+    )
+
+
+@pytest.mark.parametrize("source", ["array<float>", "map<string,int>", "struct<a:int>", "binary"])
+def test_values_without_a_target_are_refused(spark, source):
+    df = spark.createDataFrame([], f"v {source}")
+    with pytest.raises(SpecError):
+        clean_rows(df, schema_from_columns([("v", "string")]))
+
+
+def test_embeddings_are_refused(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    with pytest.raises(SpecError, match="embedding"):
+        clean_rows(df, schema_from_columns([("id", "bigint"), ("embedding", "string"), ("label", "int")]))
+
+
+@pytest.mark.parametrize("names", [["a"], ["a", "b", "c"]])
+def test_column_count_must_match(spark, pairs, names):
+    with pytest.raises(SpecError, match="declared columns"):
+        clean_rows(pairs, schema_from_columns([(n, "string") for n in names]))
+
+
+def test_input_names_do_not_matter(spark):
+    df = spark.sql("SELECT '1' AS x, '2' AS x")
+    rows = clean_rows(df, schema_from_columns([("a", "int"), ("b.c", "int")]))
+    assert rows.columns == ["a", "b.c"]
+    assert [tuple(r) for r in rows.collect()] == [(1, 2)]
+
+
+def test_only_the_first_failing_column_is_reported(spark):
+    df = spark.createDataFrame([("x", "y"), ("1", "y"), ("1", "2")], "a string, b string")
+    bad = dirty_rows(df, schema_from_columns([("p", "int"), ("q", "int")]))
+    got = {(r.a, r.b, r.bad_position, r.bad_column, r.bad_type, r.bad_value) for r in bad.collect()}
+    assert got == {("x", "y", 1, "p", "int", "x"), ("1", "y", 2, "q", "int", "y")}
+    assert "column q: value [y] is not a int" in [r.message for r in bad.collect()]
+
+
+def test_dirty_rows_of_columns_that_cannot_fail(spark, pairs):
+    bad = dirty_rows(pairs, schema_from_columns([("k", "bigint"), ("w", "string")]))
+    assert bad.count() == 0
+    assert bad.columns[-5:] == ["bad_position", "bad_column", "bad_type", "bad_value", "message"]
+
+
+def test_unknown_types_are_refused():
+    for name in ("varchar(10)", "decimal(10,2)", "array<int>", "blob", ""):
+        with pytest.raises(SpecError):
+            column_type(name)
+
+
+def test_strict_cast_of_one_value(spark):
+    sql = strict_cast("'1e2'", T.StringType(), T.IntegerType())
+    assert spark.range(1).selectExpr(f"{sql} AS v").first()[0] is None
