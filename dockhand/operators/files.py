@@ -7,28 +7,22 @@ the driver is names only: list, rename, delete.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from dockhand.errors import CommitError, ConflictError
+from dockhand.sources.files import list_files, list_group
 
 # Renames and deletes are waits on the file system, so many run at once.
 FILE_OPERATION_THREADS = 32
 
 
-@dataclass(frozen=True)
-class FileEntry:
-    name: str
-    length: int
-    is_directory: bool
-
-
 class Storage:
     """The few file system calls a load needs, for the file system of one path."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -41,17 +35,21 @@ class Storage:
     def is_directory(self, path: str) -> bool:
         return self.exists(path) and self._fs.getFileStatus(self._path(path)).isDirectory()
 
-    def children(self, path: str) -> list[FileEntry]:
-        if not self.exists(path):
-            return []
-        return [
-            FileEntry(s.getPath().getName(), s.getLen(), s.isDirectory())
-            for s in self._fs.listStatus(self._path(path))
-        ]
+    def files(self, directory: str) -> dict[str, int]:
+        """Length by name of the files directly in a directory.
+
+        Listed by Spark, as reading statuses one by one through the gateway is slow.
+        """
+        return self._lengths(lambda: list_files(self._spark, directory), directory)
+
+    def group(self, directory: str, prefix: str) -> list[str]:
+        """Names of the files that belong to one load group."""
+        return list(self._lengths(lambda: list_group(self._spark, directory, prefix), directory))
 
-    def group(self, path: str, prefix: str) -> list[str]:
-        """Names of the direct children that belong to one load group."""
-        return [e.name for e in self.children(path) if e.name.startswith(prefix + "__")]
+    def _lengths(self, listing: Callable[[], DataFrame], directory: str) -> dict[str, int]:
+        if not self.exists(directory):
+            return {}
+        return {r.file_name: r.length for r in listing().select("file_name", "length").collect()}
 
     def make_directory(self, path: str) -> None:
         if not self._fs.mkdirs(self._path(path)):
@@ -123,10 +121,9 @@ def publish(storage: Storage, stage: str, target: str, prefix: str, mode: str) -
     Files without content are not published.
     """
     check_target(storage, target, prefix, mode)
-    staged = [e for e in storage.children(stage) if not e.is_directory]
-    empty = [e.name for e in staged if e.length == 0]
-    names = [e.name for e in staged if e.length > 0]
-    storage.delete_all(stage, empty)
+    staged = storage.files(stage)
+    names = [n for n, length in staged.items() if length > 0]
+    storage.delete_all(stage, [n for n, length in staged.items() if length == 0])
     old = storage.group(target, prefix) if mode == "truncate" else []
     if not names:
         storage.make_directory(target)

@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Scheme and authority of a path.
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
 
 def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """``path``, ``file_name``, ``length`` and ``modified`` of each file.
 
     The content column of the file source is pruned, so no file is opened.
     """
-    return _listing(spark.read.option("recursiveFileLookup", recursive), directory)
+    return _listing(spark, directory, "*", recursive)
 
 
 def list_group(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
     """:func:`list_files` of the one load group ``<prefix>__*``, direct children only."""
-    return _listing(spark.read.option("pathGlobFilter", f"{prefix}__*"), directory)
+    return _listing(spark, directory, f"{prefix}__*", recursive=False)
 
 
-def _listing(reader, directory: str) -> DataFrame:
-    return reader.format("binaryFile").load(directory).select(
+def _listing(spark: SparkSession, directory: str, names: str, recursive: bool) -> DataFrame:
+    # Looking up recursively keeps the reader from guessing partitions out of subdirectories.
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", names).load(escape_glob(directory)).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "length",
         F.col("modificationTime").alias("modified"),
     )
+    if recursive:
+        return files
+    folder = re.sub(SCHEME, "", directory).rstrip("/") + "/"
+    return files.filter(F.regexp_replace("path", SCHEME, "") == F.concat(F.lit(folder), "file_name"))
+
+
+def escape_glob(path: str) -> str:
+    """A path for a reader that takes patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

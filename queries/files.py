@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import dockhand
-from dockhand.operators.files import Storage
 from dockhand.plans.types import parquet_schema_from_columns
 from queries.common import (
-    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS, comparable,
-    duck_moment, for_oracle, from_sql, make_spec, new_target, table,
+    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS, child_names,
+    comparable, duck_moment, for_oracle, from_sql, make_spec, new_target, table,
 )
 from queries.conversion import MAPPED_ORDERS_COLUMNS
 
@@ -191,13 +190,12 @@ def staged_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_target(spark, "staged")
     spec = make_spec(target, LINEITEM_COLUMNS, compression="snappy")
     dockhand.write_files(table(spark, sf_dir, "lineitem"), spec)
-    storage = Storage(spark, target.location)
     parent, name = target.location.rsplit("/", 1)
-    stages = [e for e in storage.children(parent) if e.name.startswith(name + "__")]
-    strays = [e for e in storage.children(target.location) if not e.name.startswith("load__")]
+    left = [child for child in child_names(spark, parent) if child.startswith(name + "__")]
+    strays = [f for f in child_names(spark, target.location) if not f.startswith("load__")]
     return spark.read.orc(spec.location).agg(
         F.count(F.lit(1)).alias("table_rows"),
-        F.lit(len(stages)).alias("stages_left"),
+        F.lit(len(left)).alias("stages_left"),
         F.lit(len(strays)).alias("stray_files"),
     )
 
@@ -218,7 +216,7 @@ def commit_skips_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(result.rows_read).alias("rows_read"),
         F.lit(result.rows_written).cast("int").alias("rows_written"),
         F.count(F.lit(1)).alias("rows_dirty"),
-        F.lit(len(Storage(spark, target.location).children(target.location))).alias("files"),
+        F.lit(len(child_names(spark, target.location))).alias("files"),
     )
 
 
