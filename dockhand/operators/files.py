@@ -7,22 +7,25 @@ the driver is names only: list, rename, delete.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from dockhand.errors import CommitError, ConflictError
-from dockhand.sources.files import list_files, list_group
+from dockhand.sources.files import file_names, list_files
 
 # Renames and deletes are waits on the file system, so many run at once.
 FILE_OPERATION_THREADS = 32
 
+# Up to this many files are looked at one by one, more in a Spark job.
+SHORT_LISTING = 200
+
 
 class Storage:
     """The few file system calls a load needs, for the file system of one path."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._spark = spark
+        self._jvm = spark._jvm
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -35,21 +38,25 @@ class Storage:
     def is_directory(self, path: str) -> bool:
         return self.exists(path) and self._fs.getFileStatus(self._path(path)).isDirectory()
 
-    def files(self, directory: str) -> dict[str, int]:
-        """Length by name of the files directly in a directory.
+    def names(self, directory: str, prefix: str = "") -> list[str]:
+        """Names of everything directly in a directory, or of one load group in it.
 
-        Listed by Spark, as reading statuses one by one through the gateway is slow.
+        A long listing is taken from Spark's, as the gateway hands each status over in
+        several calls; it leaves out subdirectories.
         """
-        return self._lengths(lambda: list_files(self._spark, directory), directory)
-
-    def group(self, directory: str, prefix: str) -> list[str]:
-        """Names of the files that belong to one load group."""
-        return list(self._lengths(lambda: list_group(self._spark, directory, prefix), directory))
-
-    def _lengths(self, listing: Callable[[], DataFrame], directory: str) -> dict[str, int]:
         if not self.exists(directory):
-            return {}
-        return {r.file_name: r.length for r in listing().select("file_name", "length").collect()}
+            return []
+        only = [self._jvm.org.apache.hadoop.fs.GlobFilter(f"{prefix}__*")] if prefix else []
+        statuses = self._fs.listStatus(self._path(directory), *only)
+        if len(statuses) <= SHORT_LISTING:
+            return [status.getPath().getName() for status in statuses]
+        return file_names(self._spark, directory, f"{prefix}__*" if prefix else "*")
+
+    def filled(self, directory: str, names: list[str]) -> list[str]:
+        """The named files that have content."""
+        if len(names) <= SHORT_LISTING:
+            return [n for n in names if self._fs.getFileStatus(self._path(f"{directory}/{n}")).getLen()]
+        return [r.file_name for r in list_files(self._spark, directory).select("file_name").collect()]
 
     def make_directory(self, path: str) -> None:
         if not self._fs.mkdirs(self._path(path)):
@@ -108,7 +115,7 @@ def check_target(storage: Storage, target: str, prefix: str, mode: str) -> None:
     if storage.exists(target) and not storage.is_directory(target):
         raise CommitError(f"{target} is not a directory")
     if mode == "nonconflict":
-        taken = storage.group(target, prefix)
+        taken = storage.names(target, prefix)
         if taken:
             raise ConflictError(f"{target} already holds {len(taken)} {prefix}__* files, e.g. {taken[0]}")
 
@@ -121,10 +128,10 @@ def publish(storage: Storage, stage: str, target: str, prefix: str, mode: str) -
     Files without content are not published.
     """
     check_target(storage, target, prefix, mode)
-    staged = storage.files(stage)
-    names = [n for n, length in staged.items() if length > 0]
-    storage.delete_all(stage, [n for n, length in staged.items() if length == 0])
-    old = storage.group(target, prefix) if mode == "truncate" else []
+    staged = storage.names(stage)
+    names = storage.filled(stage, staged)
+    storage.delete_all(stage, sorted(set(staged) - set(names)))
+    old = storage.names(target, prefix) if mode == "truncate" else []
     if not names:
         storage.make_directory(target)
     elif storage.exists(target):

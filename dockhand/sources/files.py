@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """``path``, ``file_name``, ``length`` and ``modified`` of each file.
+    """``path``, ``file_name``, ``length`` and ``modified`` of each file with content.
 
     The content column of the file source is pruned, so no file is opened.
     """
@@ -24,10 +25,14 @@ def list_group(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
     return _listing(spark, directory, f"{prefix}__*", recursive=False)
 
 
+def file_names(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Names of the files directly in a directory, those without content included."""
+    split = [unquote(path).rsplit("/", 1) for path in _files(spark, directory, pattern).inputFiles()]
+    return [name for folder, name in split if _folder(folder) == _folder(directory)]
+
+
 def _listing(spark: SparkSession, directory: str, names: str, recursive: bool) -> DataFrame:
-    # Looking up recursively keeps the reader from guessing partitions out of subdirectories.
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = reader.option("pathGlobFilter", names).load(escape_glob(directory)).select(
+    files = _files(spark, directory, names).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "length",
@@ -35,8 +40,18 @@ def _listing(spark: SparkSession, directory: str, names: str, recursive: bool) -
     )
     if recursive:
         return files
-    folder = re.sub(SCHEME, "", directory).rstrip("/") + "/"
-    return files.filter(F.regexp_replace("path", SCHEME, "") == F.concat(F.lit(folder), "file_name"))
+    direct = F.concat(F.lit(_folder(directory)), "file_name")
+    return files.filter(F.regexp_replace("path", SCHEME, "") == direct)
+
+
+def _files(spark: SparkSession, directory: str, names: str) -> DataFrame:
+    # Looking up recursively keeps the reader from guessing partitions out of subdirectories.
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", names).load(escape_glob(directory))
+
+
+def _folder(directory: str) -> str:
+    return re.sub(SCHEME, "", directory).rstrip("/") + "/"
 
 
 def escape_glob(path: str) -> str:

@@ -246,10 +246,3 @@ def new_target(spark: SparkSession, name: str) -> Target:
 def make_spec(target: Target, columns: list[tuple[str, str]], **options) -> LoadSpec:
     values = {"file_prefix": "load", "file_format": "orc", "write_mode": "append", **options}
     return LoadSpec(table=target.table, location=target.location, columns=columns, **values)
-
-
-def child_names(spark: SparkSession, directory: str) -> list[str]:
-    """Names of everything directly in a directory, subdirectories included."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in file_system.listStatus(path)]

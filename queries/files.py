@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import dockhand
+from dockhand.operators.files import Storage
 from dockhand.plans.types import parquet_schema_from_columns
 from queries.common import (
-    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS, child_names,
+    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS,
     comparable, duck_moment, for_oracle, from_sql, make_spec, new_target, table,
 )
 from queries.conversion import MAPPED_ORDERS_COLUMNS
@@ -191,8 +192,9 @@ def staged_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = make_spec(target, LINEITEM_COLUMNS, compression="snappy")
     dockhand.write_files(table(spark, sf_dir, "lineitem"), spec)
     parent, name = target.location.rsplit("/", 1)
-    left = [child for child in child_names(spark, parent) if child.startswith(name + "__")]
-    strays = [f for f in child_names(spark, target.location) if not f.startswith("load__")]
+    storage = Storage(spark, target.location)
+    left = storage.names(parent, name)
+    strays = set(storage.names(target.location)) - set(storage.names(target.location, "load"))
     return spark.read.orc(spec.location).agg(
         F.count(F.lit(1)).alias("table_rows"),
         F.lit(len(left)).alias("stages_left"),
@@ -216,7 +218,7 @@ def commit_skips_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(result.rows_read).alias("rows_read"),
         F.lit(result.rows_written).cast("int").alias("rows_written"),
         F.count(F.lit(1)).alias("rows_dirty"),
-        F.lit(len(child_names(spark, target.location))).alias("files"),
+        F.lit(len(Storage(spark, target.location).names(target.location))).alias("files"),
     )
 
 

@@ -188,6 +188,44 @@ def test_staging_path(pairs, make, tmp_path, monkeypatch):
     assert names(tmp_path / "stages") == []
 
 
+def test_names(spark, pairs, make):
+    for prefix in ("a", "ab"):
+        dockhand.write_files(pairs, make(file_prefix=prefix, files=2))
+    Path(make().location, "a__x, y").write_text("")
+    storage = Storage(spark, make().location)
+    assert sorted(storage.names(make().location)) == names(make().location)
+    assert sorted(storage.names(make().location, "a")) == [
+        n for n in names(make().location) if n.startswith("a__")
+    ]
+    assert storage.names(make().location, "b") == storage.names(make().location + "/none") == []
+
+
+@pytest.mark.parametrize("short", [0, 200])
+@pytest.mark.parametrize("first", [True, False])
+def test_files_without_content_next_to_others(spark, pairs, make, monkeypatch, short, first):
+    monkeypatch.setattr(files, "SHORT_LISTING", short)
+    spec = make(location=make().location + "/odd {x} [y]")
+    if not first:
+        dockhand.write_files(pairs, spec)
+    storage = Storage(spark, spec.location)
+    stage = files.stage_path(spec.location, "run")
+    files.write_stage(pairs, "orc", "none", stage, "load", "run")
+    Path(stage, "load__run-empty").write_text("")
+    published = files.publish(storage, stage, spec.location, "load", "truncate")
+    assert published == names(spec.location)
+    assert published and "load__run-empty" not in published
+
+
+@pytest.mark.parametrize("mode,kept", [("truncate", False), ("append", True)])
+def test_empty_files_belong_to_their_group(pairs, make, mode, kept):
+    dockhand.write_files(pairs, make())
+    Path(make().location, "load__empty").write_text("")
+    with pytest.raises(ConflictError):
+        dockhand.write_files(pairs, make(write_mode="nonconflict"))
+    dockhand.write_files(pairs, make(write_mode=mode))
+    assert ("load__empty" in names(make().location)) == kept
+
+
 def test_file_listing(spark, pairs, make):
     dockhand.write_files(pairs, make(file_prefix="a", files=2))
     dockhand.write_files(pairs, make(file_prefix="b"))
