@@ -20,7 +20,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import dockhand  # noqa: E402
-from queries.common import (  # noqa: E402
+from dockhand_queries.common import (  # noqa: E402
     LINEITEM_COLUMNS, MESSY_ORDERS, MESSY_ORDERS_COLUMNS, ORDERS_COLUMNS, from_sql, make_spec,
     new_target, table,
 )

@@ -149,6 +149,9 @@ def check_table(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
         raise CommitError(f"{spec.table} is at {location}, not at {spec.location}")
     if not storage.exists(location):
         raise CommitError(f"{spec.table} is in the catalog but {location} does not exist")
+    provider = described.get("provider", "").lower()
+    if provider not in (spec.file_format, "hive"):
+        raise CommitError(f"{spec.table} holds {provider} files")
     keys = [k.lower() for k in described.get("partition_columns", [])]
     if keys != [p.name.lower() for p in spec.partition]:
         raise CommitError(f"{spec.table} is partitioned by {keys}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import dockhand
 from dockhand.operators.convert import tag
 from dockhand.plans.types import column_type, parquet_schema_from_columns, schema_from_columns
-from queries.common import (
+from dockhand_queries.common import (
     LINEITEM_COLUMNS, MESSY_EVENTS, MESSY_LINEITEM, MESSY_ORDERS, MESSY_ORDERS_COLUMNS, REGISTRY,
     comparable, duck_boolean, duck_date, duck_floating, duck_integer, duck_moment, for_oracle,
     from_sql, moment_text, non_null_counts, table,

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 import dockhand
 from dockhand.operators.files import Storage
 from dockhand.plans.types import parquet_schema_from_columns
-from queries.common import (
+from dockhand_queries.common import (
     CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS,
     comparable, duck_moment, for_oracle, from_sql, make_spec, new_target, table,
 )
-from queries.conversion import MAPPED_ORDERS_COLUMNS
+from dockhand_queries.conversion import MAPPED_ORDERS_COLUMNS
 
 _DUCK_FIELD_MOMENT = (
     f"regexp_replace({duck_moment('o_orderdate')}, '(\\.\\d+?)0*$', '\\1')"

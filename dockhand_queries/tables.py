@@ -11,12 +11,12 @@ import dockhand
 from dockhand import LoadSpec
 from dockhand.operators import tables
 from dockhand.operators.files import Storage
-from queries.common import (
+from dockhand_queries.common import (
     CUSTOMER_COLUMNS, DATABASE, LINEITEM_COLUMNS, MESSY_ORDERS, MESSY_ORDERS_COLUMNS,
     ORDERS_COLUMNS, PART_COLUMNS, REGISTRY, SUPPLIER_COLUMNS, TWELVE_TYPES, TWELVE_TYPES_COLUMNS,
     comparable, duck_moment, for_oracle, from_sql, make_spec, new_target, non_null_counts, table,
 )
-from queries.conversion import CLEAN_ORDERS_SQL, TAGGED_ORDERS_SQL
+from dockhand_queries.conversion import CLEAN_ORDERS_SQL, TAGGED_ORDERS_SQL
 
 _ORDERS_SQL = (
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,"

@@ -333,6 +333,29 @@ def test_partition_value_is_written_as_its_type_prints_it(spark, pairs, make):
     assert spark.table(spec.table).filter("hour = 7").count() == 5
 
 
+def test_partition_directories_are_named_as_spark_names_them(spark):
+    name_of = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for code in [*range(1, 0x180), 0x20AC, 0x65E5]:
+        assert tables.escape_path_name(f"a{chr(code)}b") == name_of(f"a{chr(code)}b"), code
+
+
+@pytest.mark.parametrize("empty", [
+    lambda df: df.filter(F.lit(False)), lambda df: df.limit(0), lambda df: df.filter("k > 100"),
+    lambda df: df.sparkSession.createDataFrame([], df.schema),
+])
+def test_counts_of_an_empty_load(pairs, make, empty):
+    result = dockhand.load(empty(pairs), make())
+    assert (result.rows_read, result.rows_written, result.rows_dirty) == (0, 0, 0)
+    assert pairs.sparkSession.table(make().table).count() == 0
+
+
+def test_a_table_can_be_loaded_from_itself(spark, pairs, make):
+    dockhand.load(pairs, make())
+    again = spark.table(make().table).select(F.col("k") + 1, "w")
+    dockhand.load(again, make(write_mode="truncate"))
+    assert sorted(r.k for r in spark.table(make().table).collect()) == [2, 3, 4, 5, 6]
+
+
 def test_empty_load_still_makes_the_partition(spark, pairs, make):
     spec = make(file_format="text", delimiter="\t", partition=[("p", "string", "x")])
     dockhand.load(pairs.limit(0), spec)
@@ -352,6 +375,7 @@ def test_table_already_there_but_its_location_is_gone(pairs, make, tmp_path):
     ({"location": "/tmp/dockhand-nowhere"}, "not at"),
     ({"columns": [("k", "bigint"), ("v", "string")]}, "has columns"),
     ({"partition": [("p", "string", "1")]}, "is partitioned by"),
+    ({"file_format": "parquet"}, "holds orc files"),
 ])
 def test_table_that_is_something_else(pairs, make, changed, message):
     dockhand.load(pairs, make())
