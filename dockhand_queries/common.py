@@ -192,13 +192,17 @@ def moment_text(column: Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS")
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as text and floats as doubles, so engines print alike."""
+def comparable(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
+    """Dates and timestamps as text and floats as doubles, so engines print alike.
+
+    Integers and booleans with nulls are named in ``as_text``: read into Python tables, the
+    engines' results hold them in different types.
+    """
 
     def column(f: T.StructField) -> Column:
         if isinstance(f.dataType, T.TimestampType):
             return moment_text(F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.DateType):
+        if isinstance(f.dataType, T.DateType) or f.name in as_text:
             return F.col(f.name).cast("string").alias(f.name)
         if isinstance(f.dataType, T.FloatType):
             return F.col(f.name).cast("double").alias(f.name)

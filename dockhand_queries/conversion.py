@@ -32,9 +32,10 @@ def positional_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cast_number(type_name: str, guard) -> None:
     """Register the cast of the planted numbers to one type."""
     value = guard("num_raw", type_name.upper())
-    widened = f"CAST({value} AS DOUBLE)" if type_name in ("float", "double") else value
+    floating = type_name in ("float", "double")
+    shown = f"CAST({value} AS {'DOUBLE' if floating else 'VARCHAR'})"
     sql = (
-        f"SELECT l_orderkey, l_linenumber, num_raw, {widened} AS value,"
+        f"SELECT l_orderkey, l_linenumber, num_raw, {shown} AS value,"
         f" num_raw IS NOT NULL AND ({value}) IS NULL AS dirty"
         f" FROM ({for_oracle(MESSY_LINEITEM, 'lineitem')}) m"
     )
@@ -52,7 +53,8 @@ def _cast_number(type_name: str, guard) -> None:
                 F.col("_in2").alias("num_raw"),
                 F.col("_out2").alias("value"),
                 F.col("_bad").isNotNull().alias("dirty"),
-            )
+            ),
+            as_text=() if floating else ("value",),
         )
 
 
@@ -71,13 +73,14 @@ def _cast_column(messy: DataFrame, key: str, raw: str, type_name: str) -> DataFr
             F.col("_in1").alias(raw),
             F.col("_out1").alias("value"),
             F.col("_bad").isNotNull().alias("dirty"),
-        )
+        ),
+        as_text=("value",) if type_name == "boolean" else (),
     )
 
 
 @REGISTRY.add(
     "cast_boolean",
-    f"SELECT o_orderkey, flag_raw, {duck_boolean('flag_raw')} AS value,"
+    f"SELECT o_orderkey, flag_raw, CAST({duck_boolean('flag_raw')} AS VARCHAR) AS value,"
     f" ({duck_boolean('flag_raw')}) IS NULL AS dirty"
     f" FROM ({for_oracle(MESSY_ORDERS, 'orders')}) m",
 )
@@ -197,12 +200,14 @@ def null_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.add(
     "clean_rows",
-    f"SELECT orderkey, custkey, totalprice, CAST(orderdate AS VARCHAR) AS orderdate, flag"
+    "SELECT orderkey, CAST(custkey AS VARCHAR) AS custkey, totalprice,"
+    " CAST(orderdate AS VARCHAR) AS orderdate, flag"
     f" FROM ({CLEAN_ORDERS_SQL}) c",
 )
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     messy = from_sql(spark, sf_dir, "orders", MESSY_ORDERS)
-    return comparable(dockhand.clean_rows(messy, schema_from_columns(MESSY_ORDERS_COLUMNS)))
+    clean = dockhand.clean_rows(messy, schema_from_columns(MESSY_ORDERS_COLUMNS))
+    return comparable(clean, as_text=("custkey",))
 
 
 @REGISTRY.add(

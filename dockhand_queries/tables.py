@@ -358,7 +358,8 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.add(
     "ingest_end_to_end",
-    "SELECT '2022' AS year, 10 AS month, flag, extract(year FROM orderdate) AS order_year,"
+    "SELECT '2022' AS year, 10 AS month, flag,"
+    " CAST(extract(year FROM orderdate) AS VARCHAR) AS order_year,"
     " count(*) AS order_rows, count(custkey) AS with_customer,"
     " count(*) FILTER (WHERE isinf(totalprice)) AS unbounded_prices,"
     " min(totalprice) AS lowest_price,"
@@ -376,7 +377,7 @@ def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     unbounded = F.abs("totalprice") == F.lit(float("inf"))
     return (
         spark.table(target.table)
-        .groupBy("year", "month", "flag", F.year("orderdate").alias("order_year"))
+        .groupBy("year", "month", "flag", F.year("orderdate").cast("string").alias("order_year"))
         .agg(
             F.count(F.lit(1)).alias("order_rows"),
             F.count("custkey").alias("with_customer"),
