@@ -20,7 +20,7 @@ SMOOTHING = 1.0
 # Weights are fixed-point numbers, so that sums are the same in any order.
 UNIT = 1 << 20
 # Documents whose mean log ratio is below this are rejected.
-THRESHOLD = -0.12
+THRESHOLD = -0.1
 # The target multinomial is fitted on at most so many trusted rows, the ones with the
 # smallest hashes of their ids; their ids are broadcast, 8 bytes each.
 MAX_TRUSTED = 200_000
