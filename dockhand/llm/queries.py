@@ -11,8 +11,13 @@ from dockhand.llm.common import LOWER, UPPER, table
 from dockhand.llm.exact_dedup import exact_duplicates
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
+from dockhand.llm.packing import pack
 from dockhand.llm.quality import judge
 
+# The ids that end a document.
+PACKING_END_ID = 1
+FILE_END_ID = 2
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,6 +39,25 @@ def op1_quality_rules(spark, sf_dir):
     return judge(documents, trusted_ids(spark, sf_dir)).drop("text")
 
 
+def tokenizer_path(name: str) -> str:
+    """Path of a vocabulary file of the public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_packing(spark, sf_dir):
+    """Every piece of every document and its place in a sequence."""
+    pieces = pack(
+        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), PACKING_END_ID
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     """Every document's group of equal texts."""
