@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockhand.llm.common import table, written
+from dockhand.llm.jaccard_join import jaccard_classes
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
+from dockhand.llm.packing import pack
 from dockhand.llm.quality import judge
-from dockhand.llm.queries import trusted_ids
+from dockhand.llm.queries import PACKING_END_ID, tokenizer_path, trusted_ids
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,15 +28,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_lines(docs).select(*docs.columns)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of similar ones.
+
+    Rows that repeat that id stay together only where their texts differ.
+    """
+    classes = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = classes.select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the weight of their source asks."""
     return mix(docs).select(*docs.columns)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, with their ids and their places in sequences."""
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), PACKING_END_ID)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", jaccard_join),
     ("mixing sources to target weights", mixing),
+    ("packing", packing),
 ]
 
 # Hashes and packing plans have no SQL; the tests hold the stages against brute force.
@@ -43,6 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, every stage written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "stage")
     return docs

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dockhand.llm.common import LOWER, UPPER, table
 from dockhand.llm.exact_dedup import exact_duplicates
+from dockhand.llm.jaccard_join import jaccard_classes
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
 from dockhand.llm.packing import pack
@@ -39,6 +40,12 @@ def op1_quality_rules(spark, sf_dir):
     return judge(documents, trusted_ids(spark, sf_dir)).drop("text")
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    """Every document's number of shingles and its component of similar documents."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a vocabulary file of the public tokenizers."""
     import public_tokenizers
