@@ -14,6 +14,7 @@ from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
 from dockhand.llm.packing import pack
 from dockhand.llm.quality import judge
+from dockhand.llm.warc import through_archives
 
 # The ids that end a document.
 PACKING_END_ID = 1
@@ -46,6 +47,25 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_warc(spark, sf_dir):
+    """Every page's record, as read back from the archives."""
+    records = through_archives(table(spark, sf_dir, "pages"))
+    return records.select(
+        F.col("page").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+ORACLES["op3_warc"] = """
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+      FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+              sha256(coalesce(html, '')) AS payload_digest FROM pages))"""
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a vocabulary file of the public tokenizers."""
     import public_tokenizers
