@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dockhand.llm.common import LOWER, UPPER, table
 from dockhand.llm.exact_dedup import exact_duplicates
+from dockhand.llm.idfiles import through_id_files
 from dockhand.llm.jaccard_join import jaccard_classes
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
@@ -154,3 +155,12 @@ shared AS (
 SELECT doc_id, count(*) AS n_lines, count(s.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (s.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN shared s ON k.key = s.key GROUP BY doc_id"""
+
+
+@query
+def op10_token_files(spark, sf_dir):
+    """Every document's place and ids, as read back from the files."""
+    documents = through_id_files(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), FILE_END_ID
+    )
+    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
