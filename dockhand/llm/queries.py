@@ -15,6 +15,7 @@ from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
 from dockhand.llm.packing import pack
 from dockhand.llm.quality import judge
+from dockhand.llm.suffix_tree import score
 from dockhand.llm.warc import through_archives
 
 # The ids that end a document.
@@ -164,3 +165,9 @@ def op10_token_files(spark, sf_dir):
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), FILE_END_ID
     )
     return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_lm_scoring(spark, sf_dir):
+    """Every document's log probability, by word counts and by the suffix tree."""
+    return score(table(spark, sf_dir, "documents"))
