@@ -11,6 +11,8 @@ from dockhand.llm.common import LOWER, UPPER, table
 from dockhand.llm.exact_dedup import exact_duplicates
 from dockhand.llm.idfiles import through_id_files
 from dockhand.llm.jaccard_join import jaccard_classes
+from dockhand.llm.licences import oracle_sql as licences_sql
+from dockhand.llm.licences import scan_licences
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
 from dockhand.llm.packing import pack
@@ -171,3 +173,13 @@ def op10_token_files(spark, sf_dir):
 def op8_lm_scoring(spark, sf_dir):
     """Every document's log probability, by word counts and by the suffix tree."""
     return score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_license_scans(spark, sf_dir):
+    """Every document's licence sentences and the licences they make."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(documents).drop("text")
+
+
+ORACLES["op9_license_scans"] = licences_sql()
