@@ -19,6 +19,9 @@ from dockhand.functions.sql import sql_literal, sql_name
 
 BAD = "_bad"
 
+# What :func:`dirty_rows` adds.
+DIRTY_COLUMNS = ("bad_position", "bad_column", "bad_type", "bad_value", "message")
+
 
 def project(df: DataFrame, names: list[str]) -> DataFrame:
     """The i-th input column under the i-th name; input names do not matter."""
@@ -39,16 +42,12 @@ def fallible(df: DataFrame, schema: T.StructType) -> list[int]:
     return [i for i, (s, t) in enumerate(pairs) if can_fail(s.dataType, t.dataType)]
 
 
-def tag(df: DataFrame, schema: T.StructType, observation: Observation | None = None) -> DataFrame:
+def convert(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Input columns ``_in<i>``, converted columns ``_out<i>`` and ``_bad``.
 
     ``_bad`` is the position of the first column, from 1, whose value is not null but
     does not convert, else null.  Attempting, accepting and checking are projections of
     their own, so each cast is computed once for all of them.
-
-    The rows are counted as they pass (``rows`` and ``dirty``), into the observation if one
-    is given.  A filter on ``_bad`` stays above the counting, where without it the optimizer
-    would move it down and compute every cast again.
     """
     check_input(df, schema)
     types = [(s.dataType, t.dataType) for s, t in zip(df.schema, schema)]
@@ -60,23 +59,49 @@ def tag(df: DataFrame, schema: T.StructType, observation: Observation | None = N
         *raw.columns,
         *[f"{accept(f'_in{i}', f'_try{i}', *pair)} AS _out{i}" for i, pair in enumerate(types)],
     )
-    return converted.selectExpr("*", f"{_first_bad(fallible(df, schema))} AS {BAD}").observe(
+    return converted.selectExpr("*", f"{_first_bad(fallible(df, schema))} AS {BAD}")
+
+
+def count(converted: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """The rows, counted as they pass (``rows`` and ``dirty``), into the observation if given.
+
+    A filter on ``_bad`` stays above the counting, where without it the optimizer would
+    move it down and compute every cast again.
+    """
+    return converted.observe(
         observation or f"dockhand-{uuid.uuid4().hex}",
         F.count(F.lit(1)).alias("rows"),
         F.count(BAD).alias("dirty"),
     )
 
 
+def tag(df: DataFrame, schema: T.StructType, observation: Observation | None = None) -> DataFrame:
+    """:func:`convert`, counted by :func:`count`."""
+    return count(convert(df, schema), observation)
+
+
 def _first_bad(positions: list[int]) -> str:
     checks = [f"WHEN _in{i} IS NOT NULL AND _out{i} IS NULL THEN {i + 1}" for i in positions]
     return f"CASE {' '.join(checks)} END" if checks else "CAST(NULL AS INT)"
 
 
 def clean_rows(
-    df: DataFrame, schema: T.StructType, observation: Observation | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    observation: Observation | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Rows that convert as a whole, converted; see :func:`tag` for the observation."""
-    return tag(df, schema, observation).filter(f"{BAD} IS NULL").selectExpr(
+    """Rows that convert as a whole, converted; see :func:`count` for the observation.
+
+    A filter on the result is not pushed to the scan, as it stays above the counting; filter
+    the input instead where that can be.  ``partitions`` deals the rows to so many partitions
+    once they are converted and before they are counted: every input task converts, only
+    what is written moves, and a repeated task of the shuffle does not count twice.
+    """
+    rows = convert(df, schema)
+    if partitions:
+        rows = rows.select(*[f"_out{i}" for i in range(len(schema))], BAD).repartition(partitions)
+    return count(rows, observation).filter(f"{BAD} IS NULL").selectExpr(
         *[f"_out{i} AS {sql_name(f.name)}" for i, f in enumerate(schema)]
     )
 
@@ -85,7 +110,8 @@ def dirty_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows that do not convert, as they came, with the first column that failed.
 
     Added columns: ``bad_position`` (from 1), ``bad_column``, ``bad_type``, ``bad_value``
-    (the raw text) and ``message``.
+    (the raw text) and ``message``.  Input columns of these names, as a table of rejected
+    rows has them, come as ``input_<name>``.
     """
     positions = fallible(df, schema)
 
@@ -93,23 +119,40 @@ def dirty_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
         cases = " ".join(f"WHEN {i + 1} THEN {of(i)}" for i in positions)
         return f"CASE {BAD} {cases} END" if cases else "CAST(NULL AS STRING)"
 
-    described = tag(df, schema).filter(f"{BAD} IS NOT NULL").selectExpr(
-        *[f"_in{i} AS {sql_name(name)}" for i, name in enumerate(df.columns)],
+    column = pick(lambda i: sql_literal(schema[i].name))
+    kind = pick(lambda i: sql_literal(schema[i].dataType.simpleString()))
+    value = pick(lambda i: f"CAST(_in{i} AS STRING)")
+    return tag(df, schema).filter(f"{BAD} IS NOT NULL").selectExpr(
+        *[f"_in{i} AS {sql_name(name)}" for i, name in enumerate(_free_names(df.columns))],
         f"{BAD} AS bad_position",
-        f"{pick(lambda i: sql_literal(schema[i].name))} AS bad_column",
-        f"{pick(lambda i: sql_literal(schema[i].dataType.simpleString()))} AS bad_type",
-        f"{pick(lambda i: f'CAST(_in{i} AS STRING)')} AS bad_value",
-    )
-    return described.selectExpr(
-        "*",
-        "format_string('column %s: value [%s] is not a %s', bad_column, bad_value, bad_type)"
-        " AS message",
+        f"{column} AS bad_column",
+        f"{kind} AS bad_type",
+        f"{value} AS bad_value",
+        f"format_string('column %s: value [%s] is not a %s', {column}, {value}, {kind}) AS message",
     )
 
 
+def _free_names(names: list[str]) -> list[str]:
+    """The input's names, those of added columns changed until they are free."""
+    taken = {*DIRTY_COLUMNS, *(n.lower() for n in names)}
+    out = []
+    for name in names:
+        if name.lower() in DIRTY_COLUMNS:
+            while name.lower() in taken:
+                name = f"input_{name}"
+            taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def dirty_summary(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Number of dirty rows per first failing column."""
-    return dirty_rows(df, schema).groupBy("bad_position", "bad_column", "bad_type").agg(
+    return summarize(dirty_rows(df, schema))
+
+
+def summarize(rejected: DataFrame) -> DataFrame:
+    """Number of rows of :func:`dirty_rows` per first failing column."""
+    return rejected.groupBy("bad_position", "bad_column", "bad_type").agg(
         F.count(F.lit(1)).alias("dirty_rows")
     )
 

@@ -7,20 +7,17 @@ the driver is names only: list, rename, delete.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dockhand.errors import CommitError, ConflictError
-from dockhand.sources.files import file_names, list_files
+from dockhand.sources.files import Entry, entries
 
 # Renames and deletes are waits on the file system, so many run at once.
 FILE_OPERATION_THREADS = 32
 
-# Up to this many files are looked at one by one, more in a Spark job.
-SHORT_LISTING = 200
-
-
 class Storage:
     """The few file system calls a load needs, for the file system of one path."""
 
@@ -39,43 +36,61 @@ class Storage:
     def is_directory(self, path: str) -> bool:
         return self.exists(path) and self._fs.getFileStatus(self._path(path)).isDirectory()
 
+    def entries(self, directory: str, prefix: str = "") -> list[Entry]:
+        """Everything directly in a directory, or one load group in it."""
+        return entries(self._spark, directory, prefix)
+
     def names(self, directory: str, prefix: str = "") -> list[str]:
-        """Names of everything directly in a directory, or of one load group in it.
-
-        A long listing is taken from Spark's, as the gateway hands each status over in
-        several calls; it leaves out subdirectories.
-        """
-        if not self.exists(directory):
-            return []
-        only = [self._jvm.org.apache.hadoop.fs.GlobFilter(f"{prefix}__*")] if prefix else []
-        statuses = self._fs.listStatus(self._path(directory), *only)
-        if len(statuses) <= SHORT_LISTING:
-            return [status.getPath().getName() for status in statuses]
-        return file_names(self._spark, directory, f"{prefix}__*" if prefix else "*")
-
-    def filled(self, directory: str, names: list[str]) -> list[str]:
-        """The named files that have content."""
-        if len(names) <= SHORT_LISTING:
-            return [n for n in names if self._fs.getFileStatus(self._path(f"{directory}/{n}")).getLen()]
-        return [r.file_name for r in list_files(self._spark, directory).select("file_name").collect()]
+        """The names of :meth:`entries`."""
+        return [e.name for e in self.entries(directory, prefix)]
 
     def make_directory(self, path: str) -> None:
         if not self._fs.mkdirs(self._path(path)):
             raise CommitError(f"cannot create directory {path}")
 
+    def make_empty_file(self, path: str) -> None:
+        if not self._fs.createNewFile(self._path(path)):
+            raise CommitError(f"cannot create {path}")
+
     def move(self, source: str, target: str) -> bool:
         return self._fs.rename(self._path(source), self._path(target))
 
+    def root(self, path: str) -> str:
+        """Scheme and authority of the file system a path lies on."""
+        path = self._path(path)
+        uri = path.getFileSystem(self._spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+        return f"{uri.getScheme()}://{uri.getAuthority() or ''}"
+
     def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
+        """Delete what is there; a path that is still there afterwards is an error."""
+        if not self._delete(path):
+            raise CommitError(f"cannot delete {path}")
+
+    def _delete(self, path: str) -> bool:
+        return self._fs.delete(self._path(path), True) or not self.exists(path)
 
     def delete_all(self, directory: str, names: list[str]) -> None:
-        _in_parallel(lambda n: self.delete(f"{directory}/{n}"), names)
+        """Delete files of a directory; an error names those that are left."""
+        done = _in_parallel(lambda n: _outcome(lambda: self._delete(f"{directory}/{n}")), names)
+        left = [(n, why) for n, why in zip(names, done) if why]
+        if left:
+            named = ", ".join(n for n, _ in left[:20])
+            raise CommitError(
+                f"{len(left)} of {len(names)} files not deleted from {directory}: {named} ({left[0][1]})"
+            )
 
     def delete_on_exit(self, path: str) -> None:
         self._fs.deleteOnExit(self._path(path))
 
 
+def _outcome(call: Callable[[], bool]) -> str | None:
+    """What went wrong, if anything; all files are tried before an error is raised."""
+    try:
+        return None if call() else "refused"
+    except Exception as e:
+        return str(e)
+
+
 def _in_parallel(call, items: list[str]) -> list:
     with ThreadPoolExecutor(max_workers=FILE_OPERATION_THREADS) as pool:
         return list(pool.map(call, items))
@@ -112,13 +127,21 @@ def write_stage(
 
 
 def check_target(storage: Storage, target: str, prefix: str, mode: str) -> None:
-    """Raise when the target is not a directory, or holds what ``nonconflict`` forbids."""
+    """Raise when the target is not a directory, or holds what the mode does not allow.
+
+    ``nonconflict`` allows nothing of the group.  ``truncate`` replaces files of the group;
+    a subdirectory of such a name is never deleted, so it is a conflict.
+    """
     if storage.exists(target) and not storage.is_directory(target):
         raise CommitError(f"{target} is not a directory")
-    if mode == "nonconflict":
-        taken = storage.names(target, prefix)
-        if taken:
-            raise ConflictError(f"{target} already holds {len(taken)} {prefix}__* files, e.g. {taken[0]}")
+    if mode == "append":
+        return
+    taken = storage.entries(target, prefix)
+    folders = [e for e in taken if e.is_directory]
+    if mode == "nonconflict" and taken:
+        raise ConflictError(f"{target} already holds {len(taken)} {prefix}__* files, e.g. {taken[0].name}")
+    if mode == "truncate" and folders:
+        raise ConflictError(f"{target} holds directories named {prefix}__*, e.g. {folders[0].name}")
 
 
 def publish(storage: Storage, stage: str, target: str, prefix: str, mode: str) -> list[str]:
@@ -129,9 +152,9 @@ def publish(storage: Storage, stage: str, target: str, prefix: str, mode: str) -
     Files without content are not published.
     """
     check_target(storage, target, prefix, mode)
-    staged = storage.names(stage)
-    names = storage.filled(stage, staged)
-    storage.delete_all(stage, sorted(set(staged) - set(names)))
+    staged = storage.entries(stage)
+    names = [e.name for e in staged if e.length and not e.is_directory]
+    storage.delete_all(stage, sorted({e.name for e in staged} - set(names)))
     old = storage.names(target, prefix) if mode == "truncate" else []
     if not names:
         storage.make_directory(target)
@@ -158,14 +181,15 @@ def _move_directory(storage: Storage, stage: str, target: str, names: list[str])
 
 
 def _move_files(storage: Storage, stage: str, target: str, names: list[str]) -> None:
-    def move(name: str) -> str | None:
-        try:
-            return None if storage.move(f"{stage}/{name}", f"{target}/{name}") else "refused"
-        except Exception as e:  # every file's outcome is needed before undoing
-            return str(e)
-
-    failures = [(n, why) for n, why in zip(names, _in_parallel(move, names)) if why]
+    moved = _in_parallel(
+        lambda n: _outcome(lambda: storage.move(f"{stage}/{n}", f"{target}/{n}")), names
+    )
+    failures = [(n, why) for n, why in zip(names, moved) if why]
     if failures:
-        storage.delete_all(target, names)
         name, why = failures[0]
-        raise CommitError(f"{len(failures)} of {len(names)} files not moved to {target}, e.g. {name}: {why}")
+        error = CommitError(f"{len(failures)} of {len(names)} files not moved to {target}, e.g. {name}: {why}")
+        try:
+            storage.delete_all(target, names)
+        except CommitError as e:
+            error.add_note(str(e))
+        raise error

@@ -17,6 +17,12 @@ from dockhand.operators.files import Storage
 from dockhand.plans.spec import LoadSpec
 from dockhand.plans.types import column_type
 
+# Leads the properties that tell how a table's files are made.
+PROPERTY = "dockhand."
+
+# What the serialization libraries of Hive tables are called, by file format.
+SERDES = {"text": "LazySimpleSerDe", "orc": "OrcSerde", "parquet": "ParquetHiveSerDe"}
+
 # Characters that are written as %XX in a partition directory name,
 # besides the control characters.
 ESCAPED_PATH_CHARS = "\"#%'*/:=?\\{[]^\x7f"
@@ -90,6 +96,22 @@ def table_location(spark: SparkSession, quoted_table: str) -> str:
     return location
 
 
+def table_properties(spec: LoadSpec) -> dict[str, str]:
+    """What a table of this spec says about its files, for later loads to compare.
+
+    Characters are given by their numbers, since catalogs differ in which they keep.
+    """
+    said = {PROPERTY + "format": spec.file_format}
+    if spec.file_format == "text":
+        said[PROPERTY + "delimiter"] = _numbers(spec.delimiter)
+        said[PROPERTY + "null_value"] = _numbers(spec.null_value)
+    return said
+
+
+def _numbers(text: str) -> str:
+    return " ".join(str(ord(c)) for c in text) or "none"
+
+
 def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
     """The DDL that makes the target table."""
     table = sql_name(spec.database, spec.table_name)
@@ -101,6 +123,8 @@ def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
     partitioned = f" PARTITIONED BY ({keys})" if keys else ""
     comment = f" COMMENT {sql_literal(spec.table_name + '_table')}"
     location = f" LOCATION {sql_literal(spec.location)}"
+    listed = ", ".join(f"{sql_literal(k)} = {sql_literal(v)}" for k, v in table_properties(spec).items())
+    location += f" TBLPROPERTIES ({listed})"
     if spec.file_format != "text":
         options = f" OPTIONS (compression {sql_literal(spec.compression)})"
         return [
@@ -139,6 +163,15 @@ def create_table(spark: SparkSession, spec: LoadSpec) -> None:
         spark.sql(statement)
 
 
+def drop_table(spark: SparkSession, spec: LoadSpec) -> None:
+    """Take the table of a spec out of the catalog; its files stay."""
+    table = sql_name(spec.database, spec.table_name)
+    if spec.file_format == "text" and not _is_hive(spark):
+        spark.sql(f"DROP VIEW IF EXISTS {table}")
+        table = sql_name(spec.database, spec.table_name + "__lines")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def check_table(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
     """Raise unless an existing table is where and what the spec says it is."""
     described = describe(spark, storage_table(spark, spec))
@@ -149,16 +182,52 @@ def check_table(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
         raise CommitError(f"{spec.table} is at {location}, not at {spec.location}")
     if not storage.exists(location):
         raise CommitError(f"{spec.table} is in the catalog but {location} does not exist")
-    provider = described.get("provider", "").lower()
-    if provider not in (spec.file_format, "hive"):
-        raise CommitError(f"{spec.table} holds {provider} files")
+    check_files(described, spec)
     keys = [k.lower() for k in described.get("partition_columns", [])]
     if keys != [p.name.lower() for p in spec.partition]:
         raise CommitError(f"{spec.table} is partitioned by {keys}")
-    view = describe(spark, sql_name(spec.database, spec.table_name))
-    have = [c["name"].lower() for c in view["columns"] if c["name"].lower() not in keys]
-    if have != [c.name.lower() for c in spec.columns]:
-        raise CommitError(f"{spec.table} has columns {have}")
+    columns = [
+        (f.name.lower(), sql_type(f.dataType))
+        for f in spark.table(sql_name(spec.database, spec.table_name)).schema
+    ]
+    have = [c for c in columns if c[0] not in keys]
+    if [c[0] for c in have] != [c.name.lower() for c in spec.columns]:
+        raise CommitError(f"{spec.table} has columns {[c[0] for c in have]}")
+    declared = [*spec.output_schema, *spec.partition_schema]
+    for (name, kind), field in zip(have + [c for c in columns if c[0] in keys], declared):
+        if kind != sql_type(field.dataType):
+            raise CommitError(f"{spec.table}: column {name} is {kind}, not {sql_type(field.dataType)}")
+
+
+def check_files(described: dict[str, Any], spec: LoadSpec) -> None:
+    """Raise unless the described table keeps its files in the spec's form.
+
+    A text table tells by its properties, or a delimited one by those of its serialization
+    library, how its lines are made.  One that does not is taken only with ``adopt``.
+    """
+    provider = described.get("provider", "").lower()
+    if provider == "hive":
+        serde = described.get("serde_library", "")
+        if not serde.endswith(SERDES[spec.file_format]):
+            raise CommitError(f"{spec.table} holds files of {serde or 'an unknown library'}")
+    elif provider != spec.file_format:
+        raise CommitError(f"{spec.table} holds {provider} files")
+    if spec.file_format != "text":
+        return
+    said = described.get("table_properties", {})
+    stored = described.get("storage_properties", {})
+    kept = {
+        name: said.get(PROPERTY + name) or (_numbers(stored[key]) if key in stored else None)
+        for name, key in (("delimiter", "field.delim"), ("null_value", "serialization.null.format"))
+    }
+    wanted = table_properties(spec)
+    for name, value in kept.items():
+        if value is None and not spec.adopt:
+            raise CommitError(f"{spec.table} does not say its {name}; set adopt to load it")
+        if value is not None and value != wanted[PROPERTY + name]:
+            raise CommitError(
+                f"{spec.table} has the {name} of character codes {value}, not {wanted[PROPERTY + name]}"
+            )
 
 
 def check_partition_location(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:

@@ -15,10 +15,11 @@ def render_lines(df: DataFrame, delimiter: str, null_value: str = "") -> DataFra
     return df.selectExpr(f"{line_text(fields, delimiter)} AS value")
 
 
-def hazards(schema: T.StructType, delimiter: str) -> tuple[str, str]:
-    """SQL for whether a field holds the delimiter, and whether one holds a line break.
+def hazards(schema: T.StructType, delimiter: str, null_value: str = "") -> tuple[str, str, str]:
+    """SQL for whether a field holds the delimiter, a line break, or is the text of null.
 
-    Nothing is escaped in a line, so such a row does not read back as it was.
+    Nothing is escaped in a line, so such a row does not read back as it was.  That an empty
+    string is the text of null is documented and no hazard.
     """
     strings = [f for f in schema if isinstance(f.dataType, T.StringType)]
     others = [f for f in schema if f not in strings] if delimiter in NON_STRING_FIELD_CHARS else []
@@ -28,10 +29,16 @@ def hazards(schema: T.StructType, delimiter: str) -> tuple[str, str]:
 
     has_delimiter = sql_any([holds(f, delimiter) for f in strings + others])
     has_break = sql_any([holds(f, c) for f in strings for c in "\n\r"])
-    return has_delimiter, has_break
-
-
-def flag_hazards(df: DataFrame, delimiter: str) -> DataFrame:
-    """The frame with ``has_delimiter`` and ``has_line_break`` added."""
-    has_delimiter, has_break = hazards(df.schema, delimiter)
-    return df.selectExpr("*", f"{has_delimiter} AS has_delimiter", f"{has_break} AS has_line_break")
+    # Other types print nothing but their value, which may also read like the marker.
+    is_null_text = sql_any([
+        f"({sql_name(f.name)} IS NOT NULL AND {field_text(sql_name(f.name), f.dataType)} = {sql_literal(null_value)})"
+        for f in schema
+    ] if null_value else [])
+    return has_delimiter, has_break, is_null_text
+
+
+def flag_hazards(df: DataFrame, delimiter: str, null_value: str = "") -> DataFrame:
+    """The frame with ``has_delimiter``, ``has_line_break`` and ``has_null_text`` added."""
+    names = ("has_delimiter", "has_line_break", "has_null_text")
+    found = hazards(df.schema, delimiter, null_value)
+    return df.selectExpr("*", *[f"{condition} AS {name}" for condition, name in zip(found, names)])

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.errors import CommitError
+from dockhand.errors import CommitError, SpecError
 from dockhand.functions.sql import sql_any
 from dockhand.operators import tables
-from dockhand.operators.convert import check_input, clean_rows, dirty_rows, dirty_summary
+from dockhand.operators.convert import check_input, clean_rows, dirty_rows, summarize
 from dockhand.operators.files import (
     Storage, check_target, new_run_id, publish, stage_path, write_stage,
 )
@@ -28,61 +30,97 @@ class LoadResult:
     rows_read: int
     rows_dirty: int
     source: DataFrame
+    rejects: str | None = None
 
     @property
     def rows_written(self) -> int:
         return self.rows_read - self.rows_dirty
 
-    @property
+    @cached_property
     def dirty(self) -> DataFrame:
-        """The rejected rows.  Reads the input again, unless there are none."""
-        rejected = dirty_rows(self.source, self.spec.output_schema)
-        return rejected if self.rows_dirty else rejected.limit(0)
-
-    @property
+        """The rejected rows, as many as were counted.
+
+        They are those the load left at its ``rejects_location``.  Without one the input is
+        read again, once, and kept in the session's cache; an input that no longer gives
+        them, because the load replaced it or it changes, is an error.
+        """
+        if not self.rows_dirty:
+            return dirty_rows(self.source, self.spec.output_schema).limit(0)
+        if self.rejects:
+            return self.source.sparkSession.read.parquet(self.rejects)
+        rejected = dirty_rows(self.source, self.spec.output_schema).persist()
+        _check_rejected(rejected.count(), self.rows_dirty)
+        return rejected
+
+    @cached_property
     def dirty_by_column(self) -> DataFrame:
         """Rejected rows per first failing column, read like :attr:`dirty`."""
-        summary = dirty_summary(self.source, self.spec.output_schema)
-        return summary if self.rows_dirty else summary.limit(0)
+        return summarize(self.dirty)
+
+
+def _check_rejected(found: int, counted: int) -> None:
+    if found != counted:
+        raise CommitError(
+            f"{counted} rows were rejected, but the input now gives {found};"
+            " set rejects_location to keep them"
+        )
 
 
 def load(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """Convert, write, put in place and register in the catalog.
 
     Input, target and write mode are checked before any data is read.  Until the files
-    are moved at the very end, the target is as it was.
+    are moved at the very end, the target is as it was.  A table that is missing is
+    created once the rows are written, and goes again if they cannot be put in place.
     """
     spark = df.sparkSession
     check_input(df, spec.output_schema)
     spec = tables.normalize_partition(spark, spec)
     storage = Storage(spark, spec.location)
     check_target(storage, spec.location, spec.file_prefix, "append")
-    if tables.table_exists(spark, spec.table):
+    missing = not tables.table_exists(spark, spec.table)
+    if not missing:
         tables.check_table(spark, storage, spec)
         if spec.partition:
             tables.check_partition_location(spark, storage, spec)
-    else:
-        check_target(storage, tables.target_directory(spec), spec.file_prefix, spec.write_mode)
-        tables.create_table(spark, spec)
-    result = write_files(df, spec)
-    tables.register_load(spark, spec)
-    return result
+    return _load_files(df, spec, register=True, create=missing)
 
 
 def write_files(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """:func:`load` without the catalog: only the files of the target directory."""
+    check_input(df, spec.output_schema)
+    return _load_files(df, tables.normalize_partition(df.sparkSession, spec))
+
+
+def _load_files(
+    df: DataFrame, spec: LoadSpec, register: bool = False, create: bool = False
+) -> LoadResult:
     spark = df.sparkSession
-    spec = tables.normalize_partition(spark, spec)
     directory = tables.target_directory(spec)
     storage = Storage(spark, directory)
     check_target(storage, directory, spec.file_prefix, spec.write_mode)
     run_id = new_run_id()
     stage = stage_path(spec.staging_path or spec.location, run_id)
+    if storage.root(stage) != storage.root(directory):
+        raise SpecError(
+            f"staging_path is on {storage.root(stage)}, the target on {storage.root(directory)}"
+        )
+    rejects = None
     try:
         counts = _write(spark, df, spec, stage, run_id)
+        if counts["dirty"] and spec.rejects_location:
+            rejects = f"{spec.rejects_location}/{spec.file_prefix}__{run_id}"
+            _keep_rejected(df, spec, rejects, counts["dirty"])
+        if create:
+            tables.create_table(spark, spec)
         files = publish(storage, stage, directory, spec.file_prefix, spec.write_mode)
-    finally:
-        storage.delete(stage)
+    except BaseException:
+        _tidy(lambda: create and tables.drop_table(spark, spec))
+        _tidy(lambda: storage.delete(stage))
+        raise
+    _tidy(lambda: storage.delete(stage))
+    if register:
+        tables.register_load(spark, spec)
     return LoadResult(
         spec=spec,
         directory=directory,
@@ -90,17 +128,31 @@ def write_files(df: DataFrame, spec: LoadSpec) -> LoadResult:
         rows_read=counts["rows"],
         rows_dirty=counts["dirty"],
         source=df,
+        rejects=rejects,
     )
 
 
-def output_rows(df: DataFrame, spec: LoadSpec, observation: Observation) -> DataFrame:
-    """The rows of a load as the file writer gets them, counted on the way.
+def _tidy(call) -> None:
+    """Clean up; what goes wrong then must not hide how the load itself went."""
+    try:
+        call()
+    except Exception as e:
+        warnings.warn(f"not cleaned up: {e}", stacklevel=2)
 
-    A wanted number of files is made from the raw rows, so that counting stays in the
-    stage that writes and a repeated shuffle cannot count twice.
-    """
-    rows = df.repartition(spec.files) if spec.files else df
-    return clean_rows(rows, spec.output_schema, observation)
+
+def _keep_rejected(df: DataFrame, spec: LoadSpec, path: str, counted: int) -> None:
+    """Write the rejected rows while the input is still there, all of them or none."""
+    seen = Observation()
+    rejected = dirty_rows(df, spec.output_schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rejected.write.mode("errorifexists").parquet(path)
+    if seen.get["rows"] != counted:
+        _tidy(lambda: Storage(df.sparkSession, path).delete(path))
+    _check_rejected(seen.get["rows"], counted)
+
+
+def output_rows(df: DataFrame, spec: LoadSpec, observation: Observation) -> DataFrame:
+    """The rows of a load as the file writer gets them, counted on the way."""
+    return clean_rows(df, spec.output_schema, observation, spec.files)
 
 
 def _write(
@@ -110,12 +162,13 @@ def _write(
     rows = output_rows(df, spec, counts)
     if spec.file_format == "text":
         if spec.fail_on_hazards:
-            condition = sql_any(list(hazards(spec.output_schema, spec.delimiter)))
+            condition = sql_any(list(hazards(spec.output_schema, spec.delimiter, spec.null_value)))
             rows = rows.observe(unsafe, F.expr(f"count_if({condition})").alias("rows"))
         rows = render_lines(rows, spec.delimiter, spec.null_value)
     write_stage(rows, spec.file_format, spec.compression, stage, spec.file_prefix, run_id)
     if spec.file_format == "text" and spec.fail_on_hazards and unsafe.get["rows"]:
         raise CommitError(
-            f"{unsafe.get['rows']} rows hold the delimiter or a line break and would not read back"
+            f"{unsafe.get['rows']} rows hold the delimiter, a line break or the text of null"
+            " and would not read back"
         )
     return counts.get

@@ -63,6 +63,9 @@ class LoadSpec:
 
     ``files`` asks for that many output files and costs a shuffle; left out, every
     input partition writes one file.  ``null_value`` stands for null in text files.
+    ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
+    Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
+    does not say how its lines are made, because something else created it.
     ``schema`` replaces the types of ``columns`` in Parquet files, which is how DECIMAL
     and BINARY columns are written.
     """
@@ -81,6 +84,8 @@ class LoadSpec:
     files: int | None = None
     null_value: str = ""
     fail_on_hazards: bool = False
+    rejects_location: str | None = None
+    adopt: bool = False
     schema: T.StructType | None = field(default=None, compare=False)
 
     def __post_init__(self) -> None:
@@ -95,6 +100,8 @@ class LoadSpec:
         put("location", _directory("location", self.location))
         if self.staging_path is not None:
             put("staging_path", _directory("staging_path", self.staging_path))
+        if self.rejects_location is not None:
+            put("rejects_location", _directory("rejects_location", self.rejects_location))
         self._check_schema()
         _check_table(self.table)
         _check_prefix(self.file_prefix)

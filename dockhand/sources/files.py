@@ -1,59 +1,105 @@
-"""The files of a directory as a DataFrame."""
+"""The files of a directory, on the driver and as a DataFrame."""
 
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Scheme and authority of a path.
-SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+# The JVM's printed form of a file's status, after its path.
+STATUS = re.compile(r"; isDirectory=(true|false); length=(\d+);.*? modification_time=(\d+);", re.DOTALL)
 
 
-def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """``path``, ``file_name``, ``length`` and ``modified`` of each file with content.
+class Entry(NamedTuple):
+    """A file or a subdirectory; ``modified`` is in milliseconds."""
 
-    The content column of the file source is pruned, so no file is opened.
-    """
-    return _listing(spark, directory, "*", recursive)
+    path: str
+    name: str
+    is_directory: bool
+    length: int
+    modified: int
 
 
-def list_group(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
-    """:func:`list_files` of the one load group ``<prefix>__*``, direct children only."""
-    return _listing(spark, directory, f"{prefix}__*", recursive=False)
+def entries(spark: SparkSession, directory: str, prefix: str = "") -> list[Entry]:
+    """Everything directly in a directory, or what is named ``<prefix>__*`` there.
 
+    Empty and hidden files and subdirectories are included, and no file is opened.  A
+    directory that does not exist has nothing.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(directory)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    only = [hadoop.fs.GlobFilter(f"{prefix}__*")] if prefix else []
+    statuses = system.listStatus(path, *only)
+    return _printed(spark, statuses) or [_entry(s) for s in statuses]
+
+
+def _entry(status: Any) -> Entry:
+    path = status.getPath()
+    return Entry(
+        path.toString(), path.getName(), status.isDirectory(), status.getLen(),
+        status.getModificationTime(),
+    )
 
-def file_names(spark: SparkSession, directory: str, pattern: str) -> list[str]:
-    """Names of the files directly in a directory, those without content included."""
-    split = [unquote(path).rsplit("/", 1) for path in _files(spark, directory, pattern).inputFiles()]
-    return [name for folder, name in split if _folder(folder) == _folder(directory)]
 
+def _printed(spark: SparkSession, statuses: Any) -> list[Entry]:
+    """The entries out of the printed statuses, which is one call for all of them.
 
-def _listing(spark: SparkSession, directory: str, names: str, recursive: bool) -> DataFrame:
-    files = _files(spark, directory, names).select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        "length",
-        F.col("modificationTime").alias("modified"),
+    The paths come from a list in which commas are escaped, so that any name is read right.
+    Empty where the statuses print in another form.
+    """
+    jvm, size = spark._jvm, len(statuses)
+    if not size:
+        return []
+    # The gateway passes an array to a method of objects only as an array of objects.
+    objects = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, size)
+    jvm.java.lang.System.arraycopy(statuses, 0, objects, 0, size)
+    conf = jvm.org.apache.hadoop.mapred.JobConf(False)
+    jvm.org.apache.hadoop.mapred.FileInputFormat.setInputPaths(
+        conf, jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
     )
-    if recursive:
-        return files
-    direct = F.concat(F.lit(_folder(directory)), "file_name")
-    return files.filter(F.regexp_replace("path", SCHEME, "") == direct)
+    listed = conf.getRaw("mapreduce.input.fileinputformat.inputdir")
+    paths = [re.sub(r"\\(.)", r"\1", p) for p in re.findall(r"(?:[^,\\]|\\.)+", listed, re.DOTALL)]
+    printed, at, found = jvm.java.util.Arrays.toString(objects), 0, []
+    for path in paths:
+        start = printed.find("path=" + path, at)
+        match = STATUS.match(printed, start + len("path=" + path)) if start >= 0 else None
+        if not match:
+            return []
+        at = match.end()
+        found.append(
+            Entry(path, path.rsplit("/", 1)[1], match[1] == "true", int(match[2]), int(match[3]))
+        )
+    return found if len(found) == size else []
 
 
-def _files(spark: SparkSession, directory: str, names: str) -> DataFrame:
-    # Looking up recursively keeps the reader from guessing partitions out of subdirectories.
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", names).load(escape_glob(directory))
+def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
+    """``path``, ``file_name``, ``length`` and ``modified`` of each file of a directory.
+
+    Empty and hidden files are listed like others.  Subdirectories are gone into only when
+    ``recursive``.
+    """
+    found, left = [], [directory]
+    while left:
+        for entry in entries(spark, left.pop()):
+            if not entry.is_directory:
+                found.append(entry)
+            elif recursive:
+                left.append(entry.path)
+    return _frame(spark, found)
 
 
-def _folder(directory: str) -> str:
-    return re.sub(SCHEME, "", directory).rstrip("/") + "/"
+def list_group(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
+    """:func:`list_files` of the one load group ``<prefix>__*``, direct children only."""
+    return _frame(spark, [e for e in entries(spark, directory, prefix) if not e.is_directory])
+
 
+def _frame(spark: SparkSession, found: list[Entry]) -> DataFrame:
+    rows = [(e.path, e.name, e.length, e.modified) for e in found]
+    listed = spark.createDataFrame(rows, "path string, file_name string, length bigint, modified bigint")
+    return listed.withColumn("modified", F.timestamp_millis("modified"))
 
-def escape_glob(path: str) -> str:
-    """A path for a reader that takes patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

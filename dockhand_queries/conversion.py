@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import dockhand
 from dockhand.operators.convert import tag
-from dockhand.plans.types import column_type, parquet_schema_from_columns, schema_from_columns
+from dockhand.plans.types import parquet_schema_from_columns, schema_from_columns
 from dockhand_queries.common import (
     LINEITEM_COLUMNS, MESSY_EVENTS, MESSY_LINEITEM, MESSY_ORDERS, MESSY_ORDERS_COLUMNS, REGISTRY,
     comparable, duck_boolean, duck_date, duck_floating, duck_integer, duck_moment, for_oracle,
@@ -240,12 +240,39 @@ def dirty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dockhand.dirty_summary(messy, schema_from_columns(MESSY_ORDERS_COLUMNS))
 
 
+# The Spark types that the declared lineitem columns stand for.
+LINEITEM_TYPES = [
+    "bigint", "bigint", "bigint", "int", "double", "double", "double", "double", "string",
+    "string", "timestamp",
+]
+
+
+# Orders under the names that rejected rows have, as when a table of them is loaded again.
+RELOADED_REJECTS = """
+SELECT o_orderkey AS bad_position, o_orderstatus AS bad_column,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'odd' ELSE CAST(o_custkey AS STRING) END AS message
+FROM {src}"""
+
+
+@REGISTRY.add(
+    "dirty_rows_again",
+    "SELECT o_orderkey AS input_bad_position, o_orderstatus AS input_bad_column, 'odd' AS input_message,"
+    " 3 AS bad_position, 'custkey' AS bad_column, 'int' AS bad_type, 'odd' AS bad_value,"
+    " 'column custkey: value [odd] is not a int' AS message FROM orders WHERE o_orderkey % 7 = 0",
+)
+def dirty_rows_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [("orderkey", "bigint"), ("status", "string"), ("custkey", "int")]
+    return dockhand.dirty_rows(
+        from_sql(spark, sf_dir, "orders", RELOADED_REJECTS), schema_from_columns(columns)
+    )
+
+
 @REGISTRY.add(
     "schema_from_columns",
     " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, '{kind}' AS declared_type,"
-        f" '{column_type(kind).simpleString()}' AS spark_type, count({name}) AS non_null FROM lineitem"
-        for name, kind in LINEITEM_COLUMNS
+        f" '{spark_type}' AS spark_type, count({name}) AS non_null FROM lineitem"
+        for (name, kind), spark_type in zip(LINEITEM_COLUMNS, LINEITEM_TYPES)
     ),
 )
 def schema_of_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import dockhand
+from dockhand.errors import ConflictError
 from dockhand.operators.files import Storage
 from dockhand.plans.types import parquet_schema_from_columns
 from dockhand_queries.common import (
-    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS,
+    CUSTOMER_COLUMNS, LINEITEM_COLUMNS, ORDERS_COLUMNS, REGISTRY, SPARSE_ORDERS, SUPPLIER_COLUMNS,
     comparable, duck_moment, for_oracle, from_sql, make_spec, new_target, table,
 )
 from dockhand_queries.conversion import MAPPED_ORDERS_COLUMNS
@@ -152,9 +153,9 @@ def sink_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.add(
     "sink_manifest",
-    "SELECT 'a' AS file_group, true AS names_well_formed, true AS files_filled,"
+    "SELECT 'a' AS file_group, true AS names_well_formed, 0 AS files_empty,"
     " count(*) AS group_rows FROM orders"
-    " UNION ALL SELECT 'b', true, true, 2 * count(*) FROM orders",
+    " UNION ALL SELECT 'b', true, 1, 2 * count(*) FROM orders",
 )
 def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_target(spark, "manifest")
@@ -164,6 +165,8 @@ def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         dockhand.write_files(
             rows, make_spec(target, ORDERS_COLUMNS, file_prefix=prefix, compression="snappy")
         )
+    storage = Storage(spark, target.location)
+    storage.make_empty_file(f"{target.location}/b__{'0' * 32}-part-0-c000.snappy.orc")
     files = None
     for prefix in loads:
         group = dockhand.list_group(spark, target.location, prefix)
@@ -177,12 +180,58 @@ def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.bool_and(F.col("file_name").rlike("^[ab]__[0-9a-f]{32}-.*[.]snappy[.]orc$"))
             .alias("names_well_formed"),
-            F.bool_and(F.col("length") > 0).alias("files_filled"),
+            F.count_if(F.col("length") == 0).cast("int").alias("files_empty"),
             F.sum("file_rows").alias("group_rows"),
         )
     )
 
 
+@REGISTRY.add(
+    "many_files_in_target",
+    "SELECT mode, refused, CASE WHEN refused THEN 0 ELSE suppliers END AS loaded_rows,"
+    " 1 AS directories, 260 AS other_files"
+    " FROM (SELECT count(*) AS suppliers FROM supplier), (VALUES ('append', false),"
+    " ('nonconflict', true), ('truncate', true), ('truncate another group', false)) AS m(mode, refused)",
+)
+def many_files_in_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The write modes over a target with hundreds of files and a directory of the group."""
+    supplier = table(spark, sf_dir, "supplier")
+    report = []
+    for mode in ("append", "nonconflict", "truncate", "truncate another group"):
+        target = new_target(spark, "many")
+        storage = Storage(spark, target.location)
+        storage.make_directory(f"{target.location}/load__directory")
+        for i in range(260):
+            storage.make_empty_file(f"{target.location}/earlier__{i}")
+        prefix = "other" if mode.endswith("group") else "load"
+        spec = make_spec(target, SUPPLIER_COLUMNS, file_prefix=prefix, write_mode=mode.split(" ")[0])
+        try:
+            loaded, refused = dockhand.write_files(supplier, spec).rows_written, False
+        except ConflictError:
+            loaded, refused = 0, True
+        left = storage.entries(target.location)
+        report.append((
+            mode, refused, loaded, sum(e.is_directory for e in left),
+            sum(e.name.startswith("earlier__") for e in left),
+        ))
+    return spark.createDataFrame(
+        report, "mode string, refused boolean, loaded_rows bigint, directories int, other_files int"
+    )
+
+
+@REGISTRY.add(
+    "null_text_hazards",
+    "SELECT o_orderpriority, count(*) AS order_rows,"
+    " count(*) FILTER (WHERE o_orderstatus = 'F') AS with_null_text FROM orders GROUP BY o_orderpriority",
+)
+def null_text_hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose text is the marker of null, which would read back as null."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return dockhand.flag_hazards(orders, "|", "F").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("order_rows"), F.count_if("has_null_text").alias("with_null_text")
+    )
+
+
 @REGISTRY.add(
     "staged_commit",
     "SELECT count(*) AS table_rows, 0 AS stages_left, 0 AS stray_files FROM lineitem",

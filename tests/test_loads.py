@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 import dockhand
 from dockhand import CommitError, ConflictError, SpecError
 from dockhand.operators import files, tables
+from dockhand.operators.convert import DIRTY_COLUMNS
 from dockhand.operators.files import Storage
 from dockhand.plans.workspace import shared_folder
+from dockhand.sources.files import entries
 
 
 def names(folder) -> list[str]:
@@ -68,11 +71,70 @@ def test_counts_after_a_shuffle(spark, orders, make):
     assert len(result.files) == 3
 
 
-def test_no_rejected_rows_no_second_read(pairs, make):
-    result = dockhand.write_files(pairs, make())
-    assert result.rows_dirty == 0
-    assert result.dirty.count() == 0
-    assert "FileScan" not in result.dirty._jdf.queryExecution().toString()
+def test_no_rejected_rows_no_second_read(spark, orders, make):
+    result = dockhand.write_files(orders.select("o_orderkey", "o_orderstatus"), make())
+    assert result.rows_dirty == 0 and result.rows_written > 0
+    rejected = result.dirty._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in rejected and "parquet" not in rejected
+
+
+@pytest.fixture
+def mixed(spark):
+    return spark.createDataFrame([("1", "one"), ("x", "two"), ("3", "three")], "k string, w string")
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_rejected_rows_after_their_input_is_replaced(spark, mixed, make, tmp_path, kept):
+    first = make(columns=[("k", "string"), ("w", "string")])
+    dockhand.write_files(mixed, first)
+    rejects = f"{tmp_path}/rejects" if kept else None
+    result = dockhand.write_files(
+        spark.read.orc(first.location), make(write_mode="truncate", rejects_location=rejects)
+    )
+    assert (result.rows_read, result.rows_dirty) == (3, 1)
+    if not kept:
+        with pytest.raises(Exception, match="does not exist"):
+            result.dirty
+        return
+    assert [(r.k, r.bad_column, r.bad_value) for r in result.dirty.collect()] == [("x", "k", "x")]
+    assert [(r.bad_column, r.dirty_rows) for r in result.dirty_by_column.collect()] == [("k", 1)]
+    assert result.rejects.startswith(rejects + "/load__")
+
+
+def test_rejected_rows_are_as_many_as_were_counted(mixed, make, monkeypatch):
+    result = dockhand.write_files(mixed, make())
+    fewer = type(result)(**{**result.__dict__, "rows_dirty": 2})
+    with pytest.raises(CommitError, match="2 rows were rejected, but the input now gives 1"):
+        fewer.dirty
+    assert result.dirty.count() == 1
+
+
+def test_clean_loads_leave_no_rejects(pairs, make, tmp_path):
+    result = dockhand.write_files(pairs, make(rejects_location=f"{tmp_path}/rejects"))
+    assert result.rejects is None and not Path(tmp_path, "rejects").exists()
+
+
+def test_rejected_rows_of_a_table_of_rejected_rows(spark, mixed):
+    schema = dockhand.schema_from_columns([("k", "int"), ("w", "string")])
+    rejects = dockhand.dirty_rows(mixed, schema)
+    columns = [(f"c{i}", "int" if i < 2 else "string") for i in range(len(rejects.columns))]
+    again = dockhand.dirty_rows(rejects, dockhand.schema_from_columns(columns))
+    assert again.columns == [
+        "k", "w", *[f"input_{c}" for c in DIRTY_COLUMNS], *DIRTY_COLUMNS
+    ]
+    row = again.first()
+    assert (row.k, row.input_bad_column, row.bad_column, row.bad_value) == ("x", "k", "c0", "x")
+    assert row.message == "column c0: value [x] is not a int"
+    summary = dockhand.dirty_summary(rejects, dockhand.schema_from_columns(columns))
+    assert [(r.bad_column, r.dirty_rows) for r in summary.collect()] == [("c0", 1)]
+
+
+def test_free_names(spark):
+    df = spark.createDataFrame([("x", 1, 2)], "Message string, input_message int, bad_type int")
+    schema = dockhand.schema_from_columns([("a", "int"), ("b", "int"), ("c", "int")])
+    assert dockhand.dirty_rows(df, schema).columns[:3] == [
+        "input_input_Message", "input_message", "input_bad_type"
+    ]
 
 
 def test_append_keeps_everything(spark, pairs, make):
@@ -200,10 +262,8 @@ def test_names(spark, pairs, make):
     assert storage.names(make().location, "b") == storage.names(make().location + "/none") == []
 
 
-@pytest.mark.parametrize("short", [0, 200])
 @pytest.mark.parametrize("first", [True, False])
-def test_files_without_content_next_to_others(spark, pairs, make, monkeypatch, short, first):
-    monkeypatch.setattr(files, "SHORT_LISTING", short)
+def test_files_without_content_next_to_others(spark, pairs, make, first):
     spec = make(location=make().location + "/odd {x} [y]")
     if not first:
         dockhand.write_files(pairs, spec)
@@ -226,14 +286,98 @@ def test_empty_files_belong_to_their_group(pairs, make, mode, kept):
     assert ("load__empty" in names(make().location)) == kept
 
 
+@pytest.mark.parametrize("count", [10, 250])
+@pytest.mark.parametrize("odd", ["directory", "empty", "hidden", "none"])
+@pytest.mark.parametrize("mode", ["append", "nonconflict", "truncate"])
+def test_modes_do_not_depend_on_the_number_of_files(pairs, make, count, odd, mode):
+    target = Path(make().location)
+    target.mkdir()
+    for i in range(count):
+        (target / f"other__{i}").write_text("x")
+    if odd == "directory":
+        (target / "load__d").mkdir()
+        (target / "load__d" / "inside").write_text("x")
+    elif odd != "none":
+        (target / {"empty": "load__e", "hidden": ".load__h"}[odd]).write_text("")
+    before = names(target)
+    group = odd in ("directory", "empty")
+    if (mode == "nonconflict" and group) or (mode == "truncate" and odd == "directory"):
+        with pytest.raises(ConflictError, match="load__"):
+            dockhand.write_files(pairs, make(write_mode=mode))
+        assert names(target) == before and beside(make()) == []
+        return
+    new = dockhand.write_files(pairs, make(write_mode=mode)).files
+    gone = {"load__e"} if mode == "truncate" and odd == "empty" else set()
+    assert names(target) == sorted({*before, *new} - gone)
+    if odd == "directory":
+        assert names(target / "load__d") == ["inside"]
+
+
+@pytest.mark.parametrize("count", [0, 3, 300])
+def test_entries(spark, tmp_path, count):
+    for name in ("a__x, y", "a__{b} \\ [c]", "a__é;,; isDirectory=true; length=9; modification_time=1;"):
+        Path(tmp_path, name).write_text("four")
+    for i in range(count):
+        Path(tmp_path, f"a__{i}").write_text("x" * i)
+    Path(tmp_path, ".hidden").write_text("")
+    Path(tmp_path, "a__dir").mkdir()
+    found = entries(spark, str(tmp_path))
+    hidden = [p for p in tmp_path.iterdir()]
+    assert sorted((e.name, e.is_directory, 0 if e.is_directory else e.length) for e in found) == sorted(
+        (p.name, p.is_dir(), 0 if p.is_dir() else p.stat().st_size) for p in hidden
+    )
+    assert {e.name for e in entries(spark, str(tmp_path), "a")} == {e.name for e in found} - {".hidden"}
+    assert entries(spark, f"{tmp_path}/none") == []
+
+
+def test_statuses_that_print_otherwise(spark, tmp_path, monkeypatch):
+    Path(tmp_path, "a__1").write_text("x")
+    want = entries(spark, str(tmp_path))
+    monkeypatch.setattr("dockhand.sources.files._printed", lambda *a: [])
+    assert entries(spark, str(tmp_path)) == want
+
+
 def test_file_listing(spark, pairs, make):
     dockhand.write_files(pairs, make(file_prefix="a", files=2))
     dockhand.write_files(pairs, make(file_prefix="b"))
-    everything = dockhand.list_files(spark, make().location)
-    assert sorted(r.file_name for r in everything.collect()) == names(make().location)
+    target = Path(make().location)
+    (target / "a__empty").write_text("")
+    (target / "_hidden").write_text("x")
+    (target / "p=1").mkdir()
+    (target / "p=1" / "a__below").write_text("x")
+    flat = {r.file_name: r.length for r in dockhand.list_files(spark, make().location).collect()}
+    assert flat == {n: (target / n).stat().st_size for n in names(target) if (target / n).is_file()}
+    everything = dockhand.list_files(spark, make().location, recursive=True).collect()
+    assert sorted(r.file_name for r in everything) == sorted([*flat, "a__below"])
+    assert all(r.path == f"file:{target}/{r.file_name}" for r in everything if r.file_name in flat)
     group = dockhand.list_group(spark, make().location, "a").collect()
-    assert len(group) == 2
-    assert all(r.file_name.startswith("a__") and r.length > 0 for r in group)
+    assert sorted(r.length > 0 for r in group) == [False, True, True]
+    assert all(r.file_name.startswith("a__") for r in group)
+
+
+def test_refused_delete_names_the_files(pairs, make, monkeypatch):
+    old = dockhand.write_files(pairs, make()).files
+    delete = Storage._delete
+    monkeypatch.setattr(
+        Storage, "_delete", lambda self, path: not any(n in path for n in old) and delete(self, path)
+    )
+    with pytest.raises(CommitError, match=f"{len(old)} of {len(old)} files not deleted .*{old[0]}"):
+        dockhand.write_files(pairs, make(write_mode="truncate"))
+
+
+def test_stage_on_another_file_system(spark, pairs, make, monkeypatch):
+    monkeypatch.setattr(Storage, "root", lambda self, path: path.split("/")[0])
+    with pytest.raises(SpecError, match="staging_path is on other:"):
+        dockhand.write_files(failing(pairs), make(staging_path="other://h/x"))
+
+
+def test_cleaning_up_does_not_hide_the_error(pairs, make, monkeypatch):
+    def broken(self, path):
+        raise OSError("no cleaning up")
+
+    monkeypatch.setattr(Storage, "delete", broken)
+    with pytest.warns(UserWarning, match="no cleaning up"), pytest.raises(Exception, match="unreadable row"):
+        dockhand.write_files(failing(pairs), make())
 
 
 # Text
@@ -281,6 +425,13 @@ def test_hazards(spark):
     assert [(r.has_delimiter, r.has_line_break) for r in flagged] == [
         (True, False), (False, True), (False, True), (False, False),
     ]
+    marked = spark.createDataFrame([("\\N", 1), ("", 2), (None, 3)], "w string, k int")
+    found = dockhand.flag_hazards(marked, "\t", "\\N").orderBy("k").collect()
+    assert [r.has_null_text for r in found] == [True, False, False]
+    assert not any(r.has_null_text for r in dockhand.flag_hazards(marked, "\t").collect())
+    assert [r.has_null_text for r in dockhand.flag_hazards(marked, "\t", "2").orderBy("k").collect()] == [
+        False, True, False,
+    ]
     dates = spark.sql("SELECT date'2022-01-03' AS d")
     assert dockhand.flag_hazards(dates, "-").first().has_delimiter
     assert not dockhand.flag_hazards(dates, "|").first().has_delimiter
@@ -294,6 +445,10 @@ def test_hazards_can_stop_a_load(spark, make):
     assert names(spec.location) == [] and beside(spec) == []
     dockhand.write_files(df.filter("k = 1"), spec)
     assert spark.read.text(spec.location).count() == 1
+    with pytest.raises(CommitError, match="1 rows"):
+        dockhand.write_files(
+            df.filter("k = 1"), make(file_format="text", delimiter="\t", null_value="fine", fail_on_hazards=True)
+        )
 
 
 def test_lines_end_in_line_feeds_only(spark, make):
@@ -383,6 +538,74 @@ def test_table_that_is_something_else(pairs, make, changed, message):
         dockhand.load(pairs, make(**changed))
 
 
+@pytest.mark.parametrize("options,changed,message", [
+    ({}, {"columns": [("k", "string"), ("w", "string")]}, "column k is bigint, not string"),
+    ({}, {"columns": [("k", "bigint"), ("w", "int")]}, "column w is string, not int"),
+    ({"partition": [("p", "int", "1")]}, {"partition": [("p", "string", "1")]}, "column p is int"),
+    ({"file_format": "text", "delimiter": "\t"}, {"delimiter": "|"}, "delimiter of character codes 9, not 124"),
+    ({"file_format": "text", "delimiter": "\t"}, {"null_value": "\\N"}, "null_value of character codes none, not 92 78"),
+])
+def test_table_whose_rows_would_read_back_otherwise(spark, pairs, make, options, changed, message):
+    dockhand.load(pairs, make(**options))
+    before = rows(spark.table(make().table))
+    with pytest.raises(CommitError, match=message):
+        dockhand.load(failing(pairs), make(**{**options, **changed}))
+    dockhand.load(pairs.limit(0), make(**options))
+    assert rows(spark.table(make().table)) == before
+
+
+def test_text_table_that_does_not_say_how_it_is_made(spark, pairs, make):
+    spec = make(file_format="text", delimiter="|")
+    dockhand.load(pairs, spec)
+    lines = f"{spec.table}__lines"
+    spark.sql(f"ALTER TABLE {lines} UNSET TBLPROPERTIES ('dockhand.delimiter', 'dockhand.null_value')")
+    with pytest.raises(CommitError, match="does not say its delimiter"):
+        dockhand.load(pairs, spec)
+    dockhand.load(pairs, make(file_format="text", delimiter="|", adopt=True))
+    assert spark.table(spec.table).count() == 10
+
+
+@pytest.mark.parametrize("serde,stored,message", [
+    ("org.apache.hadoop.hive.serde2.lazy.LazySimpleSerDe", {"field.delim": "|"}, None),
+    ("org.apache.hadoop.hive.serde2.lazy.LazySimpleSerDe", {"field.delim": ","}, "delimiter"),
+    ("org.apache.hadoop.hive.ql.io.orc.OrcSerde", {"field.delim": "|"}, "holds files of"),
+])
+def test_files_of_a_hive_table(make, serde, stored, message):
+    described = {
+        "provider": "hive", "serde_library": serde,
+        "storage_properties": {**stored, "serialization.null.format": "\\N"},
+    }
+    spec = make(file_format="text", delimiter="|", null_value="\\N")
+    if message is None:
+        tables.check_files(described, spec)
+    else:
+        with pytest.raises(CommitError, match=message):
+            tables.check_files(described, spec)
+
+
+@pytest.mark.parametrize("file_format", ["text", "orc"])
+def test_failed_first_load_can_be_repeated(spark, pairs, make, file_format):
+    spec = make(file_format=file_format, delimiter="|")
+    with pytest.raises(Exception, match="unreadable row"):
+        dockhand.load(failing(pairs), spec)
+    assert not tables.table_exists(spark, spec.table) and not Path(spec.location).exists()
+    dockhand.load(pairs, spec)
+    assert spark.table(spec.table).count() == 5
+
+
+@pytest.mark.parametrize("file_format", ["text", "orc"])
+def test_table_goes_again_when_its_files_cannot_be_moved(spark, pairs, make, monkeypatch, file_format):
+    spec = make(file_format=file_format, delimiter="|")
+    monkeypatch.setattr(Storage, "move", lambda self, s, t: False)
+    with pytest.raises(CommitError, match="cannot rename"):
+        dockhand.load(pairs, spec)
+    monkeypatch.undo()
+    for name in (spec.table, f"{spec.table}__lines"):
+        assert not tables.table_exists(spark, name)
+    dockhand.load(pairs, spec)
+    assert spark.table(spec.table).count() == 5
+
+
 def test_partition_kept_elsewhere(spark, pairs, make, tmp_path):
     dockhand.load(pairs, make(partition=[("p", "string", "1")]))
     spark.sql(f"ALTER TABLE {make().table} ADD PARTITION (p='2') LOCATION '{tmp_path}/other'")
@@ -469,6 +692,10 @@ def test_wanted_files_are_shuffled_below_the_counting(orders, make):
     p = plan(output_rows(orders, make(columns=[(c, "string") for c in orders.columns], files=7), Observation()))
     assert p.count("Exchange") == 1 and "RoundRobinPartitioning(7)" in p
     assert p.index("CollectMetrics") < p.index("Exchange")
+    text = orders.select(F.col("o_orderkey").cast("string"))
+    p = plan(output_rows(text, make(columns=[("k", "int")], files=7), Observation()))
+    assert p.index("CollectMetrics") < p.index("Exchange") < p.index("try_cast")
+    assert p.count("AS _try0") == p.count("AS _out0") == 1
 
 
 def test_rejected_rows_convert_once(orders):
@@ -477,6 +704,13 @@ def test_rejected_rows_convert_once(orders):
     assert p.index("Filter isnotnull(_bad") < p.index("CollectMetrics") < p.index("AS _try0")
 
 
-def test_shared_folder(spark):
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    assert folder is None or shared_folder(spark) == folder.rstrip("/")
+def test_shared_folder(spark, monkeypatch):
+    class Session:
+        def __init__(self, master, folder):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+    assert shared_folder(Session("yarn", "hdfs://n/shared/")) == "hdfs://n/shared"
+    assert shared_folder(Session("local[2]", None)) == tempfile.gettempdir()
+    with pytest.raises(SpecError, match="spark.checkpoint.dir"):
+        shared_folder(Session("yarn", None))

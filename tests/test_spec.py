@@ -17,7 +17,7 @@ BAD_OPTIONS = [
     {"columns": [("a", "int"), ("A", "string")]}, {"columns": [("a", "blob")]},
     {"file_format": "csv"}, {"file_format": ""}, {"write_mode": "overwrite"}, {"write_mode": None},
     {"location": "data/t"}, {"location": "/data/*"}, {"location": "/data/?"}, {"location": ""},
-    {"staging_path": "stage"}, {"staging_path": "/stage*"},
+    {"staging_path": "stage"}, {"staging_path": "/stage*"}, {"rejects_location": "rejects"},
     {"file_prefix": ""}, {"file_prefix": "a__b"}, {"file_prefix": "a_"}, {"file_prefix": "_a"},
     {"file_prefix": ".a"}, {"file_prefix": "a*"}, {"file_prefix": "a/b"},
     {"table": "t"}, {"table": "a.b.c"}, {"table": ""},
@@ -75,21 +75,28 @@ def test_parquet_types():
 
 
 JOB = {
-    "dbName": "dev", "tableName": "sku", "tableType": "partition", "locationPath": "/dev/sku",
-    "path": "/stage/sku", "defaultFS": "hdfs://name:8020", "fileName": "sku", "fileType": "text",
-    "writeMode": "append", "fieldDelimiter": "\t", "compress": "gzip",
-    "column": [{"name": "id", "type": "bigint"}, {"name": "price", "type": "string"}],
-    "parColumn": [{"name": "year", "type": "string", "value": "2022"}],
+    "dbName": "ledger", "tableName": "entries", "tableType": "partition",
+    "locationPath": "/ledger/entries", "path": "/scratch/in", "defaultFS": "hdfs://store:9820/",
+    "fileName": "nightly", "fileType": "text", "writeMode": "truncate", "fieldDelimiter": "|",
+    "compress": "bzip2",
+    "column": [
+        {"name": "entry", "type": "int"}, {"name": "amount", "type": "double"},
+        {"name": "booked", "type": "date"},
+    ],
+    "parColumn": [
+        {"name": "branch", "type": "string", "value": "west"},
+        {"name": "shift", "type": "tinyint", "value": "3"},
+    ],
 }
 
 
 def test_job_description():
     spec = LoadSpec.from_job(JOB)
-    assert spec.table == "dev.sku"
-    assert spec.location == "hdfs://name:8020/dev/sku"
-    assert spec.staging_path == "hdfs://name:8020/stage/sku"
-    assert spec.partition == (("year", "string", "2022"),)
-    assert spec.columns == (("id", "bigint"), ("price", "string"))
+    assert spec.table == "ledger.entries"
+    assert spec.location == "hdfs://store:9820/ledger/entries"
+    assert spec.staging_path == "hdfs://store:9820/scratch/in"
+    assert spec.partition == (("branch", "string", "west"), ("shift", "tinyint", "3"))
+    assert spec.columns == (("entry", "int"), ("amount", "double"), ("booked", "date"))
 
 
 def test_job_for_a_normal_table_ignores_partition_columns():
