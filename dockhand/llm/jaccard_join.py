@@ -9,10 +9,13 @@ overlap that is needed.
 Where a set meets others:
 
 1. Rows with the same set become one before anything else.
-2. Each set goes once, whole, to one home: the shared gram that most sets have.  Homes are
+2. Two similar sets have their first ``k`` common grams among the first grams of both, ``k``
+   more than one of them can miss.  A set of whose first grams fewer than ``k`` occur in
+   other sets has no partner and goes no further.
+3. Each set goes once, whole, to one home: the shared gram that most sets have.  Homes are
    split into blocks of bounded size; the classes found in blocks of one home meet again
    through one member each.
-3. What is left are grams whose sets still lie in different classes and never met.  Their
+4. What is left are grams whose sets still lie in different classes and never met.  Their
    sets meet once more, in pairs of blocks where they are many.
 
 Classes only spare comparisons inside a class, so no link between classes is lost.
@@ -37,6 +40,8 @@ from dockhand.llm.wordhash import mix, portions, shingle_sets
 # Grams are counted in so many buckets, to order them; 2 MB as logarithms, broadcast.
 COUNT_BITS = 21
 _CHUNK_BITS = 15
+# How often sets that share too few grams are put aside, before the others are joined.
+PRUNING_ROUNDS = 2
 # A block holds at most so many grams (but always one set), and so many sets.
 BLOCK_GRAMS = 2_000_000
 BLOCK_SETS = 2048
@@ -60,9 +65,14 @@ def _ordered(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _prefix_length(size: int, percent: int) -> int:
-    """Grams among which a set must share one with any set similar to it."""
-    return size - -(-percent * size // 100) + 1
+def _misses(size: int, percent: int) -> int:
+    """How many of its grams a set can have that a set similar to it has not."""
+    return size - -(-percent * size // 100)
+
+
+def _needed_shared(size: int, misses: int) -> int:
+    """Grams a set must share among its first ``misses`` and so many more."""
+    return min(1 + misses // 3, size - misses)
 
 
 def _sketches(df: DataFrame, width: int) -> DataFrame:
@@ -129,7 +139,7 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
     schema = T.StructType([
         T.StructField("doc", df.schema["doc"].dataType),
         T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-        T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("needed", T.IntegerType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +147,10 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
         for batch in batches:
             for first, data, offsets in portions(batch.column(1)):
                 sets = list(shingle_sets(data, offsets, width))
+                misses = [_misses(len(s), percent) for s in sets]
+                needed = [_needed_shared(len(s), m) for s, m in zip(sets, misses)]
                 keys = [
-                    _ordered(s, order)[: _prefix_length(len(s), percent)].view(np.int64) if len(s)
-                    else np.zeros(0, np.int64) for s in sets
+                    _ordered(s, order)[: m + k].view(np.int64) for s, m, k in zip(sets, misses, needed)
                 ]
                 places = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
                 digests = [_digest(s) for s in sets]
@@ -150,6 +161,7 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
                     pa.ListArray.from_arrays(
                         pa.array(places, pa.int32()), pa.array(np.concatenate(keys), pa.int64())
                     ),
+                    pa.array(needed, pa.int32()),
                 ], [f.name for f in schema])
 
     return df.mapInArrow(run, schema)
@@ -402,12 +414,15 @@ def jaccard_classes(
     same = (prefixes["d1"] == classes["d1"]) & (prefixes["d2"] == classes["d2"])
     owners = prefixes.join(classes, same & F.col("own").eqNullSafe(F.col("rep")))
     shared = written(
-        owners.select("sid", "n", F.explode("prefix").alias("gram"))
-        .distinct()
-        .withColumn("sets", F.count("*").over(Window.partitionBy("gram")))
-        .filter("sets > 1"),
+        _in_several(owners.select("sid", "n", "needed", F.explode("prefix").alias("gram"))).distinct(),
         "jaccard_shared",
     )
+    # Without the sets that share too few, others share fewer.
+    for _ in range(PRUNING_ROUNDS):
+        enough = shared.withColumn("own", F.count("*").over(Window.partitionBy("sid")))
+        shared = written(_in_several(enough.filter("own >= needed").drop("own")), "jaccard_shared")
+    shared = shared.withColumn("sets", F.count("*").over(Window.partitionBy("gram"))).drop("needed")
+    shared = written(shared, "jaccard_shared")
     homes = shared.groupBy("sid", "n").agg(F.max(F.struct("sets", "gram"))["gram"].alias("home"))
     candidates = written(_blocked(homes, "home"), "jaccard_homes")
 
@@ -489,6 +504,13 @@ def jaccard_classes(
     )
 
 
+def _in_several(grams: DataFrame) -> DataFrame:
+    """The rows whose gram is in more than one set."""
+    same = Window.partitionBy("gram")
+    several = grams.withColumn("least", F.min("sid").over(same)).withColumn("most", F.max("sid").over(same))
+    return several.filter("least <> most").drop("least", "most")
+
+
 def _roots(links: DataFrame, candidates: DataFrame) -> DataFrame:
     """``sid``, ``class``, ``home``, ``block`` of every candidate after the home joins."""
     edges = links.filter("sid <> other").select(F.col("sid").alias("a"), F.col("other").alias("b"))
