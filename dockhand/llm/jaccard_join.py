@@ -40,8 +40,6 @@ from dockhand.llm.wordhash import mix, portions, shingle_sets
 # Grams are counted in so many buckets, to order them; 2 MB as logarithms, broadcast.
 COUNT_BITS = 21
 _CHUNK_BITS = 15
-# How often sets that share too few grams are put aside, before the others are joined.
-PRUNING_ROUNDS = 2
 # A block holds at most so many grams (but always one set), and so many sets.
 BLOCK_GRAMS = 2_000_000
 BLOCK_SETS = 2048
@@ -75,6 +73,12 @@ def _needed_shared(size: int, misses: int) -> int:
     return min(1 + misses // 3, size - misses)
 
 
+def _needed_sql(size: str, percent: int) -> str:
+    """:func:`_needed_shared` of a column."""
+    misses = f"({size} - ({percent} * {size} + 99) div 100)"
+    return f"least(1 + {misses} div 3, {size} - {misses})"
+
+
 def _sketches(df: DataFrame, width: int) -> DataFrame:
     """Size and digest of every row's set, and counts of all grams in chunks of buckets."""
     schema = T.StructType([
@@ -139,7 +143,7 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
     schema = T.StructType([
         T.StructField("doc", df.schema["doc"].dataType),
         T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-        T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("needed", T.IntegerType()),
+        T.StructField("prefix", T.ArrayType(T.LongType())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,9 +152,9 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
             for first, data, offsets in portions(batch.column(1)):
                 sets = list(shingle_sets(data, offsets, width))
                 misses = [_misses(len(s), percent) for s in sets]
-                needed = [_needed_shared(len(s), m) for s, m in zip(sets, misses)]
                 keys = [
-                    _ordered(s, order)[: m + k].view(np.int64) for s, m, k in zip(sets, misses, needed)
+                    _ordered(s, order)[: m + _needed_shared(len(s), m)].view(np.int64)
+                    for s, m in zip(sets, misses)
                 ]
                 places = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
                 digests = [_digest(s) for s in sets]
@@ -161,30 +165,34 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
                     pa.ListArray.from_arrays(
                         pa.array(places, pa.int32()), pa.array(np.concatenate(keys), pa.int64())
                     ),
-                    pa.array(needed, pa.int32()),
                 ], [f.name for f in schema])
 
     return df.mapInArrow(run, schema)
 
 
 def _whole_sets(df: DataFrame, width: int, ranks) -> DataFrame:
-    """The ordered sets of rows ``doc, text, d1, d2, sid``, where the digest is the row's."""
+    """The ordered sets of rows whose digest is ``d1``, ``d2``, for their ``text``."""
+    kept = df.drop("text", "d1", "d2")
+    schema = T.StructType([*kept.schema, T.StructField("grams", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = ranks.value
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in (1, 2, 3)]
+            d1, d2 = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for first, data, offsets in portions(batch.column(0)):
-                sids, grams = [], []
+                rows, grams = [], []
                 for i, s in enumerate(shingle_sets(data, offsets, width), first):
-                    if _digest(s) == (columns[0][i], columns[1][i]):
-                        sids.append(columns[2][i])
+                    if _digest(s) == (d1[i], d2[i]):
+                        rows.append(i)
                         grams.append(_ordered(s, order).tobytes())
+                chosen = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sids, pa.int64()), pa.array(grams, pa.binary())], ["sid", "grams"]
+                    [*[batch.column(i).take(chosen) for i in range(3, batch.num_columns)],
+                     pa.array(grams, pa.binary())],
+                    [f.name for f in schema],
                 )
 
-    return df.select("text", "d1", "d2", "sid").mapInArrow(run, "sid long, grams binary")
+    return df.select("text", "d1", "d2", *kept.columns).mapInArrow(run, schema)
 
 
 class _Node:
@@ -314,10 +322,13 @@ class Trie:
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Groups of a partition sorted by its first ``keys`` columns."""
+    """Groups of a partition sorted by its first ``keys`` columns, then size and ``sid``.
+
+    A set that comes again, because a row of the input does, is left out.
+    """
     rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
     for key, group in groupby(rows, key=lambda r: r[:keys]):
-        yield key, list(group)
+        yield key, [next(same) for _, same in groupby(group, key=lambda r: r[keys + 1])]
 
 
 def _join_homes(sets: DataFrame, percent: int) -> DataFrame:
@@ -413,21 +424,16 @@ def jaccard_classes(
     prefixes = _prefixes(docs, width, percent, ranks).withColumnRenamed("doc", "own")
     same = (prefixes["d1"] == classes["d1"]) & (prefixes["d2"] == classes["d2"])
     owners = prefixes.join(classes, same & F.col("own").eqNullSafe(F.col("rep")))
-    shared = written(
-        _in_several(owners.select("sid", "n", "needed", F.explode("prefix").alias("gram"))).distinct(),
-        "jaccard_shared",
-    )
+    shared = _in_several(owners.select("sid", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("gram")))
     # Without the sets that share too few, others share fewer.
-    for _ in range(PRUNING_ROUNDS):
-        enough = shared.withColumn("own", F.count("*").over(Window.partitionBy("sid")))
-        shared = written(_in_several(enough.filter("own >= needed").drop("own")), "jaccard_shared")
-    shared = shared.withColumn("sets", F.count("*").over(Window.partitionBy("gram"))).drop("needed")
-    shared = written(shared, "jaccard_shared")
-    homes = shared.groupBy("sid", "n").agg(F.max(F.struct("sets", "gram"))["gram"].alias("home"))
+    shared = _in_several(_grams_of(_sharing(shared, percent)))
+    listed = written(_sharing(shared, percent), "jaccard_shared")
+    homes = listed.select("sid", "n", F.element_at("all", -1)["gram"].alias("home"))
     candidates = written(_blocked(homes, "home"), "jaccard_homes")
+    shared = _without_last(listed, percent)
 
     # Their whole sets; a bitmap of their rows keeps other texts out of the shuffle.
-    wanted = candidates.select("sid").join(classes.select("sid", "rep", "d1", "d2"), "sid")
+    wanted = candidates.join(classes.select("sid", "rep", "d1", "d2"), "sid")
     position = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
     bitmap = wanted.select(F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)).alias("p")).groupBy(
         F.floor(F.col("p") / BUCKET_BITS).alias("bucket")
@@ -435,11 +441,8 @@ def jaccard_classes(
     likely = docs.join(
         F.broadcast(bitmap), F.floor(position / BUCKET_BITS) == F.col("bucket")
     ).filter(_is_set(F.col("bitmap"), position)).select("doc", "text")
-    texts = likely.join(wanted, F.col("doc").eqNullSafe(F.col("rep")))
-    sets = written(
-        _whole_sets(texts, width, ranks).join(candidates, "sid").dropDuplicates(["sid"]),
-        "jaccard_sets",
-    )
+    texts = likely.join(wanted, F.col("doc").eqNullSafe(F.col("rep"))).drop("doc", "rep")
+    sets = written(_whole_sets(texts, width, ranks), "jaccard_sets")
 
     # Homes, block by block, then one member of each class of the homes with many blocks.
     pairs = written(_join_homes(sets, percent), "jaccard_links")
@@ -505,12 +508,39 @@ def jaccard_classes(
 
 
 def _in_several(grams: DataFrame) -> DataFrame:
-    """The rows whose gram is in more than one set."""
+    """The rows whose gram is in more than one set, with ``sets``, how many."""
     same = Window.partitionBy("gram")
-    several = grams.withColumn("least", F.min("sid").over(same)).withColumn("most", F.max("sid").over(same))
+    several = grams.select(
+        "*", F.min("sid").over(same).alias("least"), F.max("sid").over(same).alias("most"),
+        F.count("*").over(same).cast("int").alias("sets"),
+    )
     return several.filter("least <> most").drop("least", "most")
 
 
+def _sharing(grams: DataFrame, percent: int) -> DataFrame:
+    """``sid``, ``n`` and ``all``, its grams, of the sets that share as many as they must."""
+    listed = grams.groupBy("sid", "n").agg(F.sort_array(F.collect_set(F.struct("sets", "gram"))).alias("all"))
+    return listed.filter(f"size(all) >= {_needed_sql('n', percent)}")
+
+
+def _grams_of(listed: DataFrame) -> DataFrame:
+    return listed.select("sid", "n", F.explode("all.gram").alias("gram"))
+
+
+def _without_last(listed: DataFrame, percent: int) -> DataFrame:
+    """The grams at which sets meet: all but the most frequent of each set.
+
+    Similar sets share ``k`` grams here, the ``k`` of the smaller one.  In the order of
+    frequency, the first of them has ``k - 1`` others behind it in both sets, so it stays
+    when each set leaves out ``k - 1``, for the ``k`` of the smallest partner it can have.
+    """
+    smallest = f"({percent} * n + 99) div 100"
+    kept = f"slice(all, 1, cast(size(all) - {_needed_sql(f'({smallest})', percent)} + 1 AS int))"
+    return listed.select("sid", "n", F.explode(F.expr(kept)).alias("g")).select(
+        "sid", "n", "g.gram", "g.sets"
+    )
+
+
 def _roots(links: DataFrame, candidates: DataFrame) -> DataFrame:
     """``sid``, ``class``, ``home``, ``block`` of every candidate after the home joins."""
     edges = links.filter("sid <> other").select(F.col("sid").alias("a"), F.col("other").alias("b"))

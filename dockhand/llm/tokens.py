@@ -1,9 +1,11 @@
 """Token ids of texts, the same as the tokenizers library gives for the whole text.
 
-A tokenizer that parts texts at blanks gives the same ids for a text and for its words one
-by one, so the ids of a word are asked for once and then looked up.  Whether that holds for
-a tokenizer file is read from the file; where it does not, and for texts with any blank or
-control character besides space and line feed, the whole text goes to the library.
+A tokenizer that parts texts before it looks up pieces gives the same ids for a text and for
+its parts one by one, so the ids of a part are asked for once and then remembered.  Whether
+that holds for a tokenizer file is read from the file; where it does not, and for texts with
+any blank or control character besides space and line feed, the whole text goes to the
+library.  Texts in Latin letters are parted just as the tokenizer does; in others, where the
+libraries may know different letters, only blanks part words.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import regex
 
 # Words held by one Python worker, about 250 MB; beyond it the memory starts anew.
 MAX_WORDS = 1_200_000
@@ -22,6 +25,10 @@ PORTION = 1 << 20
 # Blanks other than space and line feed, control characters, and characters that only some
 # engines call blank.
 _UNUSUAL = re.compile("[^\\S \n]|[\x00-\x09\x0b-\x1f\x7f-\x9f\u180e\u200b-\u200d\u2060\ufeff]")
+# Beyond these letters, which also keep their number when lower-cased and composed.
+_NOT_LATIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+# Fixed value: how byte-level tokenizers part a text.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Stands between words that are encoded together; no such word holds it.
 _MARK = "\x01"
 _TOGETHER = 4096
@@ -38,12 +45,23 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens in a text are ordinary text.
         self._tokenizer.encode_special_tokens = True
-        self._split = _splitter(json.loads(self._tokenizer.to_str()))
+        config = json.loads(self._tokenizer.to_str())
+        self._split, pattern, self._lower = _splitter(config)
+        self._parts = regex.compile(pattern).findall if pattern else None
         self._blanks_count = self._split == _WITH_BLANKS.findall
         self.id_type = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._known: dict[str, bytes] = {}
+        self._known_parts: dict[str, bytes] = {}
         # A line feed keeps the mark apart from the word before it.
         self._mark = self._tokenizer.encode("a\n" + _MARK, add_special_tokens=False).ids[1:]
+        self._line = self._tokenizer.encode("a\n", add_special_tokens=False).ids[1:]
+        suffix = config["model"].get("end_of_word_suffix")
+        self._ends = np.zeros(1 << 8 * self.id_type.itemsize if self.id_type.itemsize == 2 else 0, bool)
+        if self._parts and suffix:
+            self._ends = np.array([
+                (self._tokenizer.id_to_token(i) or "").endswith(suffix)
+                for i in range(self._tokenizer.get_vocab_size())
+            ])
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text, as the bytes of an array of :attr:`id_type`."""
@@ -80,6 +98,26 @@ class WordTokenizer:
             ]
         return out
 
+    def _encoded_parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, many parts to a call."""
+        together = " " if not self._blanks_count else "\n"
+        joined = [together.join(parts[i:i + _TOGETHER]) for i in range(0, len(parts), _TOGETHER)]
+        out: list[bytes] = []
+        width = self.id_type.itemsize
+        for encoded in self._tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(encoded.ids, self.id_type)
+            if self._blanks_count:
+                # The line feed after a part is not the part's.
+                breaks = np.flatnonzero(ids == self._line[0])
+                starts = np.concatenate(([0], breaks + 1))
+                ends = np.concatenate((breaks, [len(ids)]))
+            else:
+                ends = np.flatnonzero(self._ends[ids]) + 1
+                starts = np.concatenate(([0], ends[:-1]))
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]
+        return out
+
     def _portion(self, texts: list[str]) -> list[bytes]:
         if self._split is None:
             return self._whole(texts)
@@ -87,19 +125,30 @@ class WordTokenizer:
         whole = [i for i, t in enumerate(texts) if _unusual(t)]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
+        latin = {i for i, t in enumerate(texts) if out[i] is None and (t.isascii() or not _NOT_LATIN.search(t))}
+        if self._parts:
+            parts = {i: self._parts(texts[i].lower() if self._lower else texts[i]) for i in latin}
+            self._look_up(parts, self._known_parts, self._encoded_parts, out)
         words = {i: self._split(t) for i, t in enumerate(texts) if out[i] is None}
-        known = self._known
+        self._look_up(words, self._known, self._words, out)
+        return out
+
+    def _look_up(self, listed: dict[int, list[str]], known: dict[str, bytes], together, out: list) -> None:
+        """The ids of texts, given as lists of words, into ``out``."""
         if len(known) > MAX_WORDS:
             known.clear()
-        new = set().union(*words.values()) - known.keys()
+        new = set().union(*listed.values()) - known.keys()
         # Where blanks count, one may not be added before a word or left after it.
-        alone = [w for w in new if self._blanks_count and (w[0] not in " \n" or w[-1] in " \n")]
-        together = list(new.difference(alone))
+        alone = [
+            w for w in new
+            if self._blanks_count and (w[-1] in " \n" or (together == self._words and w[0] not in " \n"))
+        ]
+        rest = list(new.difference(alone))
         known.update(zip(alone, self._whole(alone)))
-        known.update(zip(together, self._words(together)))
-        for i, listed in words.items():
-            out[i] = b"".join(map(known.__getitem__, listed))
-        return out
+        if rest:
+            known.update(zip(rest, together(rest), strict=True))
+        for i, words in listed.items():
+            out[i] = b"".join(map(known.__getitem__, words))
 
 
 def _unusual(text: str) -> bool:
@@ -107,23 +156,29 @@ def _unusual(text: str) -> bool:
     return not text.replace("\n", "").isprintable() and bool(_UNUSUAL.search(text))
 
 
-def _splitter(config: dict):
-    """How this tokenizer's texts fall into words that do not touch each other's tokens."""
+def _splitter(config: dict) -> tuple:
+    """How this tokenizer's texts fall into words that do not touch each other's tokens.
+
+    A function for any text, a pattern for Latin ones, and whether they are lower-cased first.
+    """
     steps = config.get("pre_tokenizer") or {}
     steps = steps.get("pretokenizers", [steps])
     if config["model"].get("type") != "BPE" or config.get("post_processor"):
-        return None
+        return None, None, False
     first = steps[0]
     if first.get("type") == "ByteLevel" and first.get("use_regex") and not (
         first.get("add_prefix_space") or config.get("normalizer")
     ):
-        return _WITH_BLANKS.findall
+        return _WITH_BLANKS.findall, _BYTE_LEVEL, False
     drops_blanks = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    known_normalizers = {"NFC", "Replace", "Lowercase"}
+    known = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
     normalizer = config.get("normalizer") or {"normalizers": []}
-    if drops_blanks and {n["type"] for n in normalizer.get("normalizers", [normalizer])} <= known_normalizers:
-        return str.split
-    return None
+    normalizers = normalizer.get("normalizers", [normalizer])
+    if drops_blanks and all(n in known for n in normalizers):
+        ends = config["model"].get("end_of_word_suffix")
+        pattern = first["pattern"].get("Regex") if ends and len(steps) == 2 else None
+        return str.split, pattern, known[2] in normalizers
+    return None, None, False
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
