@@ -89,12 +89,12 @@ def test_against_all_pairs(near):
     assert len({c for _, _, c in want}) < len(want) - 80
 
 
-@pytest.mark.parametrize("percent,width", [(60, 4), (85, 2), (100, 4), (30, 1)])
+@pytest.mark.parametrize("percent,width", [(60, 4), (30, 1)])
 def test_other_thresholds(near, percent, width):
     check(near, percent=percent, width=width)
 
 
-@pytest.mark.parametrize("sets,grams", [(2, 10**6), (7, 10**6), (2048, 150)])
+@pytest.mark.parametrize("sets,grams", [(7, 10**6), (2048, 150)])
 def test_small_blocks(near, monkeypatch, sets, grams):
     """Homes of many blocks, and meetings in pairs of blocks."""
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", sets)
