@@ -29,8 +29,9 @@ _WEIGHT_LIMIT = 1 << 16
 _REFRESH = 4
 
 _MAGIC = b"IDB1"
-# Ids, size of the alphabet, lanes, words, checksum of the ids, checksum of the rest.
-_HEADER = struct.Struct("<4sIIIIII")
+# Ids, size of the alphabet, lanes, words, checksum of the ids; then the checksum of all else.
+_HEADER = struct.Struct("<4sIIIII")
+_CHECKSUM = struct.Struct("<I")
 
 
 class BlockError(ValueError):
@@ -139,17 +140,19 @@ def encode_block(ids: np.ndarray) -> bytes:
             model.learn(now, outcome, other, step)
         words, counts = coder.finish()
         body = counts.astype("<u4").tobytes() + words.astype("<u2").tobytes()
-    head = _HEADER.pack(_MAGIC, n, alphabet, lanes, len(words), zlib.crc32(ids.tobytes()), zlib.crc32(body))
-    return head + body
+    head = _HEADER.pack(_MAGIC, n, alphabet, lanes, len(words), zlib.crc32(ids.tobytes()))
+    return head + _CHECKSUM.pack(zlib.crc32(head + body)) + body
 
 
 def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; damage is an error."""
-    if len(block) < _HEADER.size:
+    if len(block) < _HEADER.size + _CHECKSUM.size:
         raise BlockError("a block ends too early")
-    magic, n, alphabet, lanes, n_words, ids_sum, body_sum = _HEADER.unpack_from(block)
-    body = block[_HEADER.size:]
-    if magic != _MAGIC or len(body) != 4 * lanes + 2 * n_words or zlib.crc32(body) != body_sum:
+    magic, n, alphabet, lanes, n_words, ids_sum = _HEADER.unpack_from(block)
+    checksum, = _CHECKSUM.unpack_from(block, _HEADER.size)
+    body = block[_HEADER.size + _CHECKSUM.size:]
+    whole = zlib.crc32(block[:_HEADER.size] + body) == checksum
+    if magic != _MAGIC or len(body) != 4 * lanes + 2 * n_words or not whole:
         raise BlockError("a block is damaged")
     out = np.zeros(n, "<u4")
     if n:
