@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockhand.llm.common import ship_code, text_of, written
+from dockhand.llm.common import ship_code, shuffle_partitions, text_of, written
 from dockhand.llm.idcodec import BlockError, decode_block, encode_block
 from dockhand.llm.remote import file_system
 from dockhand.llm.tokens import tokenizer
@@ -27,6 +27,8 @@ from dockhand.plans.workspace import new_workspace
 
 # A block is closed once it has so many ids; a longer document has a block of its own.
 BLOCK_IDS = 1 << 20
+# Ids that a reading task has, so that more ids make more tasks.
+TASK_IDS = 16 * BLOCK_IDS
 
 _MAGIC = b"IDF1"
 # Size and checksum of a block's document table.
@@ -182,14 +184,18 @@ def read_id_files(spark: SparkSession, files: DataFrame, id_type: T.DataType) ->
                     pa.array([raw[4 * (e - n):4 * e] for n, e in zip(lengths, ends)], pa.binary()),
                 ], [f.name for f in schema])
 
+    # The lists of files and blocks are small and what they name is not, so their partitions
+    # are counted out, or they would be merged into one task.
+    total = files.agg(F.sum("n_ids")).first()[0] or 0
+    tasks = max(shuffle_partitions(spark), total // TASK_IDS)
     # One row per file, so this window is small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     located = (
         files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-        .select("path", "start").repartition(F.col("path"))
+        .select("path", "start").repartition(shuffle_partitions(spark), "path")
         .mapInArrow(locate, "path string, place long, size long, start long")
     )
-    return located.repartition("path", "place").mapInArrow(read, schema)
+    return located.repartition(tasks, "path", "place").mapInArrow(read, schema)
 
 
 def through_id_files(

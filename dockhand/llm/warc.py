@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockhand.llm import zipdir
-from dockhand.llm.common import ship_code, text_of, written
+from dockhand.llm.common import ship_code, shuffle_partitions, text_of, written
 from dockhand.llm.remote import file_system
 from dockhand.plans.workspace import new_workspace
 
@@ -236,11 +236,14 @@ def read_archives(spark: SparkSession, paths: DataFrame) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(columns, _RECORD_TYPES)], _RECORD_NAMES
                 )
 
+    # The lists of archives and ranges are small and what they name is not, so their
+    # partitions are counted out, or they would be merged into one task.
+    tasks = max(shuffle_partitions(spark), paths.count())
     ranges = (
-        paths.select("path").repartition(F.col("path"))
+        paths.select("path").repartition(shuffle_partitions(spark), "path")
         .mapInArrow(locate, "path string, start long, lengths array<long>")
     )
-    return ranges.repartition("path", "start").mapInArrow(read, RECORDS)
+    return ranges.repartition(tasks, "path", "start").mapInArrow(read, RECORDS)
 
 
 _RECORD_NAMES = [c.strip().split(" ")[0] for c in RECORDS.split(",")]
