@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterable
+from itertools import chain, count
 
 import numpy as np
 import regex
 
-# Words held by one Python worker, about 250 MB; beyond it the memory starts anew.
+# Words held by one Python worker, about 200 MB; beyond it the memory starts anew.
 MAX_WORDS = 1_200_000
 # Texts are looked up in portions of about so many characters.
 PORTION = 1 << 20
@@ -36,6 +38,65 @@ _TOGETHER = 4096
 _WITH_BLANKS = re.compile("[ \n]*[^ \n]+|[ \n]+")
 
 
+def _class(category: str) -> str:
+    """The characters of a category that Latin texts have, lower-cased or not."""
+    latin = {c for x in map(chr, range(0x250)) for c in x + x.lower() if not _UNUSUAL.match(c)}
+    return "".join(sorted(c for c in latin if unicodedata.category(c)[0] == category))
+
+
+def _latin_parts(pattern: str):
+    """``findall`` of a pattern, for Latin texts whose only blanks are space and line feed.
+
+    There its classes are lists of characters, which the standard library looks up faster.
+    """
+    listed = {r"\p{L}": _class("L"), r"\p{N}": _class("N"), r"\s": " \n"}
+
+    def spelt(found: re.Match) -> str:
+        out = found[0]
+        if out == r"\S":
+            return r"[^ \n]"
+        for name, characters in listed.items():
+            out = out.replace(name, characters)
+        return out if out[0] == "[" and found[0][0] == "[" else f"[{out}]"
+
+    plain = re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", spelt, pattern)
+    return (regex if re.search(r"\\[pP]", plain) else re).compile(plain).findall
+
+
+class _Known:
+    """Words and their ids, the ids of all words in one array."""
+
+    def __init__(self, id_type: np.dtype) -> None:
+        self.places: dict[str, int] = {}
+        self._starts = np.zeros(1, np.int64)
+        self._ids = np.zeros(0, id_type)
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def add(self, words: list[str], encoded: list[bytes]) -> None:
+        if len(words) != len(encoded):
+            raise ValueError(f"{len(words)} words gave the ids of {len(encoded)}")
+        ids = np.frombuffer(b"".join(encoded), self._ids.dtype)
+        sizes = np.array([len(e) for e in encoded], np.int64) // self._ids.itemsize
+        self.places.update(zip(words, count(len(self))))
+        self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
+        self._ids = np.concatenate((self._ids, ids))
+
+    def ids_of(self, listed: list[list[str]]) -> list[bytes]:
+        """The ids of texts, given as lists of known words."""
+        last = np.cumsum([0] + [len(words) for words in listed])
+        places = np.fromiter(
+            map(self.places.__getitem__, chain.from_iterable(listed)), np.int64, int(last[-1])
+        )
+        starts = self._starts[places]
+        sizes = self._starts[places + 1] - starts
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self._ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)]
+        breaks = ends[last].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(breaks, breaks[1:])]
+
+
 class WordTokenizer:
     """Encodes texts with one tokenizer file, remembering words."""
 
@@ -47,11 +108,10 @@ class WordTokenizer:
         self._tokenizer.encode_special_tokens = True
         config = json.loads(self._tokenizer.to_str())
         self._split, pattern, self._lower = _splitter(config)
-        self._parts = regex.compile(pattern).findall if pattern else None
+        self._parts = _latin_parts(pattern) if pattern else None
         self._blanks_count = self._split == _WITH_BLANKS.findall
         self.id_type = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._known: dict[str, bytes] = {}
-        self._known_parts: dict[str, bytes] = {}
+        self._known, self._known_parts = _Known(self.id_type), _Known(self.id_type)
         # A line feed keeps the mark apart from the word before it.
         self._mark = self._tokenizer.encode("a\n" + _MARK, add_special_tokens=False).ids[1:]
         self._line = self._tokenizer.encode("a\n", add_special_tokens=False).ids[1:]
@@ -128,27 +188,27 @@ class WordTokenizer:
         latin = {i for i, t in enumerate(texts) if out[i] is None and (t.isascii() or not _NOT_LATIN.search(t))}
         if self._parts:
             parts = {i: self._parts(texts[i].lower() if self._lower else texts[i]) for i in latin}
-            self._look_up(parts, self._known_parts, self._encoded_parts, out)
+            self._known_parts = self._look_up(parts, self._known_parts, self._encoded_parts, out)
         words = {i: self._split(t) for i, t in enumerate(texts) if out[i] is None}
-        self._look_up(words, self._known, self._words, out)
+        self._known = self._look_up(words, self._known, self._words, out)
         return out
 
-    def _look_up(self, listed: dict[int, list[str]], known: dict[str, bytes], together, out: list) -> None:
-        """The ids of texts, given as lists of words, into ``out``."""
+    def _look_up(self, listed: dict[int, list[str]], known: _Known, together, out: list) -> _Known:
+        """The ids of texts, given as lists of words, into ``out``; returns what is known then."""
         if len(known) > MAX_WORDS:
-            known.clear()
-        new = set().union(*listed.values()) - known.keys()
+            known = _Known(self.id_type)
+        new = set().union(*listed.values()).difference(known.places)
         # Where blanks count, one may not be added before a word or left after it.
         alone = [
             w for w in new
             if self._blanks_count and (w[-1] in " \n" or (together == self._words and w[0] not in " \n"))
         ]
         rest = list(new.difference(alone))
-        known.update(zip(alone, self._whole(alone)))
-        if rest:
-            known.update(zip(rest, together(rest), strict=True))
-        for i, words in listed.items():
-            out[i] = b"".join(map(known.__getitem__, words))
+        if new:
+            known.add(alone + rest, self._whole(alone) + (together(rest) if rest else []))
+        for i, ids in zip(listed, known.ids_of(list(listed.values()))):
+            out[i] = ids
+        return known
 
 
 def _unusual(text: str) -> bool:
