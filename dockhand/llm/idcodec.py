@@ -21,7 +21,8 @@ MAX_LANES = 4096
 # Ids that a lane has, so that a block with more has more lanes.
 LANE_IDS = 256
 _HASH_BITS = 18
-_MAX_CONFIDENCE = 3
+_SURE_BITS = 2
+_MAX_CONFIDENCE = (1 << _SURE_BITS) - 1
 _STEP = 24
 _WEIGHT_STEP = 1
 _WEIGHT_LIMIT = 1 << 16
@@ -44,14 +45,15 @@ class _Model:
     def __init__(self, alphabet: int, lanes: int) -> None:
         self.counts = np.ones(alphabet, np.int64)
         self.refresh()
-        self.next1 = np.zeros(alphabet, np.int32)
-        self.sure1 = np.zeros(alphabet, np.int8)
-        self.next2 = np.zeros(1 << _HASH_BITS, np.int32)
-        self.sure2 = np.zeros(1 << _HASH_BITS, np.int8)
+        # What each order expects: the id and, in the last bits, the confidence in it.
+        self._kind = np.int32 if alphabet < 1 << 31 - _SURE_BITS else np.int64
+        self.next1 = np.zeros(alphabet, self._kind)
+        self.next2 = np.zeros(1 << _HASH_BITS, self._kind)
         kinds = (_MAX_CONFIDENCE + 1) ** 2 * 2
         # Expected by order 2, by order 1, by neither.
         self.weights = np.tile(np.array([1, 1, 2], np.int64), (kinds, 1))
         self.weights[1::2, 1] = 0
+        self._edges = np.zeros((kinds, 4), np.uint64)
         self.one = np.zeros(lanes, np.int32)
         self.two = np.zeros(lanes, np.int32)
 
@@ -64,19 +66,20 @@ class _Model:
         self.place = ((self.two[:n].astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (
             one.astype(np.uint32) * np.uint32(0x85EBCA6B)
         )) >> np.uint32(32 - _HASH_BITS)
-        self.by1, self.by2 = self.next1[one], self.next2[self.place]
-        self.know1, self.know2 = self.sure1[one], self.sure2[self.place]
-        self.same = self.by1 == self.by2
-        self.kind = (self.know2.astype(np.int64) * (_MAX_CONFIDENCE + 1) + self.know1) * 2 + self.same
-        weights = self.weights.astype(np.uint64)
-        self.edge1 = weights[:, 0][self.kind]
-        self.edge2 = self.edge1 + weights[:, 1][self.kind]
-        self.total = self.edge2 + weights[:, 2][self.kind]
+        self.held1, self.held2 = self.next1.take(one), self.next2.take(self.place)
+        self.by1, self.by2 = self.held1 >> _SURE_BITS, self.held2 >> _SURE_BITS
+        know = (self.held2 & _MAX_CONFIDENCE) * (_MAX_CONFIDENCE + 1) + (self.held1 & _MAX_CONFIDENCE)
+        self.kind = (know * 2 + (self.by1 == self.by2)).astype(np.intp)
+        self._edges[:, 1:] = np.cumsum(self.weights, axis=1)
+        self.edge1 = self._edges[:, 1].take(self.kind)
+        self.edge2 = self._edges[:, 2].take(self.kind)
+        self.total = self._edges[:, 3].take(self.kind)
 
     def interval(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = np.where(outcome == 0, np.uint64(0), np.where(outcome == 1, self.edge1, self.edge2))
-        end = np.where(outcome == 0, self.edge1, np.where(outcome == 1, self.edge2, self.total))
-        return start, end - start
+        place = self.kind * 4 + outcome
+        edges = self._edges.ravel()
+        start = edges.take(place)
+        return start, edges.take(place + 1) - start
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray, other: np.ndarray, step: int) -> None:
         n = len(ids)
@@ -89,14 +92,16 @@ class _Model:
         np.add.at(self.counts, ids[other], _STEP)
         if step % _REFRESH == 0:
             self.refresh()
-        for place, by, know, following, sure in (
-            (self.one[:n], self.by1, self.know1, self.next1, self.sure1),
-            (self.place, self.by2, self.know2, self.next2, self.sure2),
+        fresh = ids.astype(self._kind) << _SURE_BITS
+        for place, by, held, following in (
+            (self.one[:n], self.by1, self.held1, self.next1),
+            (self.place, self.by2, self.held2, self.next2),
         ):
+            know = held & _MAX_CONFIDENCE
             hit = by == ids
             # A wrong expectation goes once nothing is left of the confidence in it.
-            following[place] = np.where(hit | (know > 0), by, ids)
-            sure[place] = np.where(hit, np.minimum(know + 1, _MAX_CONFIDENCE), np.maximum(know - 1, 0))
+            missed = np.where(know > 0, held - 1, fresh)
+            following[place] = np.where(hit, held + (know < _MAX_CONFIDENCE), missed)
         self.two[:n], self.one[:n] = self.one[:n].copy(), ids
 
 

@@ -30,6 +30,7 @@ def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Encoder:
     def __init__(self, lanes: int) -> None:
         self._lanes = lanes
+        self._every = np.arange(lanes, dtype=np.uint16)
         self._low = np.zeros(lanes, np.uint64)
         self._span = np.full(lanes, _FULL)
         self._out: list[tuple[np.ndarray, np.ndarray]] = []
@@ -40,23 +41,21 @@ class Encoder:
         unit = span // total
         low = low + start * unit
         span = unit * width
-        lanes = None
-        while True:
-            moving, span = _narrowed(low, span)
-            if not len(moving):
-                break
-            if lanes is None:
-                lanes = np.arange(self._lanes, dtype=np.uint16)[at]
-            self._out.append((lanes[moving], (low[moving] >> _TOP).astype(np.uint16)))
-            low[moving] <<= _WORD
-            span[moving] <<= _WORD
+        moving, span = _narrowed(low, span)
+        lanes = self._every[at]
+        while len(moving):
+            moved = low[moving]
+            self._out.append((lanes[moving], (moved >> _TOP).astype(np.uint16)))
+            moved <<= _WORD
+            again, wide = _narrowed(moved, span[moving] << _WORD)
+            low[moving], span[moving] = moved, wide
+            moving = moving[again]
         self._low[at], self._span[at] = low, span
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of all lanes, lane after lane, and how many each lane has."""
-        every = np.arange(self._lanes, dtype=np.uint16)
         for _ in range(4):
-            self._out.append((every, (self._low >> _TOP).astype(np.uint16)))
+            self._out.append((self._every, (self._low >> _TOP).astype(np.uint16)))
             self._low <<= _WORD
         lanes = np.concatenate([x[0] for x in self._out])
         words = np.concatenate([x[1] for x in self._out])
@@ -83,20 +82,16 @@ class Decoder:
         """Pass the interval that :meth:`where` was asked for."""
         low, code = self._low[at] + start * self._unit, self._code[at]
         span = self._unit * width
-        place = None
-        while True:
-            moving, span = _narrowed(low, span)
-            if not len(moving):
-                break
-            if place is None:
-                place = self._place[at].copy()
+        moving, span = _narrowed(low, span)
+        place = self._place[at]
+        while len(moving):
             # Past the end of damaged data anything may be read; the checksums tell.
-            code[moving] = (code[moving] << _WORD) | self._words[
-                np.minimum(place[moving], len(self._words) - 1)
-            ]
+            following = self._words.take(place[moving], mode="clip")
+            code[moving] = (code[moving] << _WORD) | following
             place[moving] += 1
-            low[moving] <<= _WORD
-            span[moving] <<= _WORD
+            moved = low[moving] << _WORD
+            again, wide = _narrowed(moved, span[moving] << _WORD)
+            low[moving], span[moving] = moved, wide
+            moving = moving[again]
         self._low[at], self._span[at], self._code[at] = low, span, code
-        if place is not None:
-            self._place[at] = place
+        self._place[at] = place

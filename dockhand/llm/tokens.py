@@ -11,6 +11,7 @@ libraries may know different letters, only blanks part words.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -247,5 +248,7 @@ _tokenizers: dict[str, WordTokenizer] = {}
 def tokenizer(path: str) -> WordTokenizer:
     """One per file and Python worker, so that words stay known between tasks."""
     if path not in _tokenizers:
+        # A task has one core, so threads of the library's own only cost time.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
