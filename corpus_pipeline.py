@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    return judge(docs, trusted_ids(spark, sf_dir)).filter("kept").select(*docs.columns)
+    return judge(docs, trusted_ids(spark, sf_dir), held_out=True).filter("kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,12 @@
 Words and pairs of words are hashed into a fixed number of buckets.  Two multinomials over
 the buckets, of the trusted documents and of the whole corpus, give each bucket the log of
 the ratio of its probabilities.  A document's score is the mean over its n-grams, so length
-does not matter, and documents below a threshold go.  The bucket weights are the only thing
-shared, an array of fixed size.
+does not matter, and documents below a threshold go.  The buckets' counts or weights are the
+only thing shared, arrays of fixed size.
+
+Held out, a document is compared with the other documents alone, and a bucket's trusted count
+with the count that the raw multinomial lets expect, the same pseudo-count added to both.  So
+n-grams that the other documents hardly have weigh next to nothing, however small the corpus.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from dockhand.llm.common import SPACE_CLASS, text_of, words_of
 BUCKETS = 1 << 16
 # Pseudo-count of every bucket in both multinomials.
 SMOOTHING = 1.0
+# Trusted n-grams as expected that are added to a bucket's counts where rows are held out.
+EXPECTED = 8.0
 # Weights are fixed-point numbers, so that sums are the same in any order.
 UNIT = 1 << 20
 # Documents whose mean log ratio is below this are rejected.
@@ -43,12 +49,13 @@ def _measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "word_chars": F.length(F.regexp_replace("_text", SPACE_CLASS + "++", "")).cast("bigint"),
         "n_symbols": F.length(F.regexp_replace("_text", f"[^{_SYMBOLS}]++", "")).cast("bigint"),
         "n_dup_lines": F.expr("cast(size(_filled) - size(array_distinct(_filled)) AS bigint)"),
+        # A bitwise AND, a remainder that is never null: arrays without nulls sort as numbers.
         "_grams": F.expr(
-            f"transform(_hashes, h -> cast(pmod(h, {BUCKETS}) AS int))"
+            f"transform(_hashes, h -> cast(h & {BUCKETS - 1}L AS int))"
         ),
         "_pairs": F.expr(
             "CASE WHEN size(_hashes) > 1 THEN transform(slice(_hashes, 1, size(_hashes) - 1),"
-            f" (h, i) -> cast(pmod(xxhash64(h, _hashes[i + 1]), {BUCKETS}) AS int))"
+            f" (h, i) -> cast(xxhash64(h, _hashes[i + 1]) & {BUCKETS - 1}L AS int))"
             " ELSE cast(array() AS array<int>) END"
         ),
         "_windows": F.expr(
@@ -82,19 +89,16 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     ))
 
 
-def bucket_weights(
-    df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    max_trusted: int = MAX_TRUSTED,
-) -> DataFrame:
-    """One row, ``weights``: the fixed-point log ratio of every bucket.
-
-    ``trusted`` has a column ``doc_id``.  The raw multinomial covers all rows of ``df``; the
-    target one its rows with a trusted id.  Without any trusted row all weights are 0.
-    """
-    chosen = (
+def _chosen(trusted: DataFrame, max_trusted: int) -> DataFrame:
+    """``_trusted``: the ids that the target multinomial is fitted on."""
+    return (
         trusted.select(F.col("doc_id").alias("_trusted")).dropna().distinct()
         .orderBy(F.xxhash64("_trusted"), "_trusted").limit(max_trusted)
     )
+
+
+def _listed(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row: ``all``, the counts of every bucket in order, and the two totals."""
     grams = (
         _measured(df.select(id_col, text_col), id_col, text_col)
         .select(F.col(id_col).alias("_id"), F.concat("_grams", "_pairs").alias("_all"))
@@ -107,21 +111,73 @@ def bucket_weights(
         F.count("*").alias("raw"), F.count_if("target").alias("target")
     )
     every = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    listed = every.join(counts, "bucket", "left").fillna(0).groupBy().agg(
+    return every.join(counts, "bucket", "left").fillna(0).groupBy().agg(
         # The buckets are a fixed number, so one row of them is bounded.
         F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("all"),
         F.sum("raw").alias("raw_total"), F.sum("target").alias("target_total"),
     )
+
+
+def bucket_weights(
+    df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    max_trusted: int = MAX_TRUSTED,
+) -> DataFrame:
+    """One row, ``weights``: the fixed-point log ratio of every bucket.
+
+    ``trusted`` has a column ``doc_id``.  The raw multinomial covers all rows of ``df``; the
+    target one its rows with a trusted id.  Without any trusted row all weights are 0.
+    """
     ratio = (
         f"ln((x.target + {SMOOTHING}D) / (target_total + {SMOOTHING * BUCKETS}D))"
         f" - ln((x.raw + {SMOOTHING}D) / (raw_total + {SMOOTHING * BUCKETS}D))"
     )
-    return listed.select(F.expr(
+    return _listed(df, _chosen(trusted, max_trusted), id_col, text_col).select(F.expr(
         "transform(all, x -> CASE WHEN target_total = 0 THEN 0L"
         f" ELSE cast(round(({ratio}) * {UNIT}) AS bigint) END)"
     ).alias("weights"))
 
 
+def _scored(counted: DataFrame, df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, max_trusted: int) -> DataFrame:
+    """Adds ``score`` by the bucket weights."""
+    weights = bucket_weights(df, trusted, id_col, text_col, max_trusted).scalar()
+    weighed = counted.withColumn("_weights", weights).withColumn("_sum", F.expr(
+        "aggregate(_grams, 0L, (s, b) -> s + _weights[b])"
+        " + aggregate(_pairs, 0L, (s, b) -> s + _weights[b])"
+    ))
+    n_grams = F.size("_grams") + F.size("_pairs")
+    return weighed.withColumn(
+        "score", F.when(n_grams > 0, F.col("_sum") / n_grams / UNIT).otherwise(F.lit(0.0))
+    )
+
+
+def _scored_held_out(counted: DataFrame, df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, max_trusted: int) -> DataFrame:
+    """Adds ``score`` by the counts of the other rows."""
+    chosen = _chosen(trusted, max_trusted)
+    listed = _listed(df, chosen, id_col, text_col)
+    # Sorted, so that equal buckets are neighbours and sums have one order.
+    placed = counted.join(F.broadcast(chosen), F.col(id_col) == F.col("_trusted"), "left").withColumns({
+        "_raw": listed.select(F.expr("transform(all, x -> cast(x.raw AS double))")).scalar(),
+        "_target": listed.select(F.expr(f"transform(all, x -> x.target + {EXPECTED}D)")).scalar(),
+        "_totals": listed.select(F.struct("raw_total", "target_total")).scalar(),
+        "_own": F.col("_trusted").isNotNull().cast("int"),
+        "_all": F.sort_array(F.concat("_grams", "_pairs")),
+    })
+    ends = placed.withColumn("_ends", F.expr(
+        "CASE WHEN size(_all) > 0 THEN filter(sequence(0, size(_all) - 1), i -> NOT (_all[i] <=> get(_all, i + 1))) END"
+    )).withColumn("_rate", F.expr(
+        # Null where there is no n-gram, or no other row has one.
+        "CASE WHEN size(_all) > 0 AND _totals.raw_total > size(_all) THEN"
+        " cast(_totals.target_total - _own * size(_all) AS double) / (_totals.raw_total - size(_all)) END"
+    ))
+    runs = ends.withColumn("_runs", F.expr(
+        "transform(_ends, (p, k) -> struct(_all[p] AS b, p - coalesce(get(_ends, k - 1), -1) AS n))"
+    ))
+    return runs.withColumn("score", F.expr(
+        "CASE WHEN _rate IS NULL THEN 0D ELSE aggregate(_runs, 0D, (s, x) -> s + x.n * ln("
+        f"(_target[x.b] - _own * x.n) / ((_raw[x.b] - x.n) * _rate + {EXPECTED}D))) / size(_all) END"
+    ))
+
+
 def judge(
     df: DataFrame,
     trusted: DataFrame,
@@ -129,6 +185,7 @@ def judge(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     max_trusted: int = MAX_TRUSTED,
+    held_out: bool = False,
 ) -> DataFrame:
     """``df`` with counts, score and verdict; one row per input row.
 
@@ -136,26 +193,22 @@ def judge(
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed`` (fewer than 50 words
     or more than half of them in repeated windows), ``score`` (mean log ratio, 0 without
     words) and ``kept``: not failed and not below the threshold.  Null text has no words.
+
+    With ``held_out`` each row is scored by the counts of the other rows, which keeps clean
+    rows apart from junk at any size; without it by one table of weights, whose pseudo-counts
+    ask for more text than their number.
     """
     added = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "score", "kept",
     ]
     own = df.drop(*added)
-    weights = bucket_weights(df, trusted, id_col, text_col, max_trusted).scalar()
     counted = _repeat_words(_measured(own, id_col, text_col))
-    weighed = counted.withColumn("_weights", weights).withColumn("_sum", F.expr(
-        "aggregate(_grams, 0L, (s, b) -> s + _weights[b])"
-        " + aggregate(_pairs, 0L, (s, b) -> s + _weights[b])"
-    ))
-    n_grams = F.size("_grams") + F.size("_pairs")
+    scored = (_scored_held_out if held_out else _scored)(counted, df, trusted, id_col, text_col, max_trusted)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
-    judged = weighed.withColumns({
-        "base_failed": failed,
-        "score": F.when(n_grams > 0, F.col("_sum") / n_grams / UNIT).otherwise(F.lit(0.0)),
-    }).withColumn(
+    judged = scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold)
     ).select(*own.columns, *added)
     # A filter on the verdict stays above this node; below, it would repeat the work.

@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 import xxhash
 from texts import prose
-from dockhand.llm import quality
+from dockhand.llm import quality, queries
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 
@@ -133,3 +133,63 @@ def test_no_python_and_one_pass_over_arrays(spark, docs, tmp_path, capsys):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     tree = plan[:plan.index("(1) ")]
     assert tree.index("Filter") < tree.index("CollectMetrics") < tree.index("Project")
+
+
+def held_out_scores(texts: list[tuple], trusted: set) -> list[float]:
+    found = [Counter(buckets(text)) for _, text in texts]
+    known = [i is not None and i in trusted for i, _ in texts]
+    raw, target = Counter(), Counter()
+    for own, t in zip(found, known):
+        raw.update(own)
+        if t:
+            target.update(own)
+    out = []
+    for own, t in zip(found, known):
+        n, others = own.total(), raw.total() - own.total()
+        rate = (target.total() - t * n) / others if others else 0
+        out.append(sum(
+            m * math.log((target[b] - t * m + quality.EXPECTED) / ((raw[b] - m) * rate + quality.EXPECTED))
+            for b, m in own.items()
+        ) / n if n else 0.0)
+    return out
+
+
+@pytest.mark.parametrize("odd, trusted", [
+    (False, {i for i in range(60) if i % 5}), (False, set()), (True, {1, 6, None}), (True, {1, 2, 3, 4, 5, 6, 7, 8}),
+])
+def test_held_out_against_plain_python(spark, docs, odd_docs, odd, trusted):
+    df = odd_docs if odd else docs
+    ids = spark.createDataFrame([(t,) for t in trusted], "doc_id bigint")
+    rows = quality.judge(df, ids, held_out=True).collect()
+    texts = [(r.doc_id, r.text) for r in rows]
+    assert sorted(map(str, texts)) == sorted(str((r.doc_id, r.text)) for r in df.collect())
+    for r, want in zip(rows, held_out_scores(texts, trusted)):
+        plain = counts(r.text)
+        assert {k: r[k] for k in plain} == plain
+        assert r.score == pytest.approx(want, abs=1e-9)
+        assert r.kept == (not plain["base_failed"] and r.score >= quality.THRESHOLD)
+
+
+def test_held_out_on_an_empty_table(spark, no_docs):
+    assert quality.judge(no_docs, spark.createDataFrame([], "doc_id bigint"), held_out=True).count() == 0
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_few_clean_rows_go_where_the_trusted_text_is_small(spark, size):
+    data = f"/root/testdata/{size}"
+    labels = spark.read.parquet(f"{data}/labels.parquet").withColumnRenamed("doc_id", "labelled")
+    rows = queries.op1_quality_rules(spark, data).filter("NOT base_failed")
+    rows = rows.join(labels, rows.doc_id == labels.labelled, "left").collect()
+    trusted = [r.kept for r in rows if r.quality == 1 and r.toxic == 0]
+    unknown = [r.kept for r in rows if r.labelled is None]
+    assert sum(trusted) >= 0.98 * len(trusted) > 0
+    assert sum(unknown) >= 0.9 * len(unknown) > 0
+
+
+def test_junk_goes_where_rows_are_held_out(spark):
+    rng = random.Random(1)
+    rows = [(i, prose(rng, 400, 60) if i % 4 else prose(rng, 400, 60).replace(" ", "%%% ")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    trusted = docs.filter("doc_id % 4 <> 0 AND doc_id < 200").select("doc_id")
+    kept = {r.doc_id for r in quality.judge(docs, trusted, held_out=True).filter("kept").collect()}
+    assert kept == {i for i in range(400) if i % 4}
