@@ -92,6 +92,19 @@ def sentence_table(sentences: dict[str, list[str]]) -> dict[str, str]:
     return {normalised(s): name for name, listed in sentences.items() for s in listed}
 
 
+def pieces_of(sentence: str) -> list[str]:
+    """The parts that a text's cut leaves of a sentence, normalised."""
+    cut = re.sub(SENTENCE_END, r"\1" + MARK, sentence).split(MARK)
+    return [piece for piece in map(normalised, cut) if piece]
+
+
+def _starts(sentences: dict[str, list[str]]) -> str:
+    """A regular expression of the first words of the sentences, as written or in capitals."""
+    firsts = {tuple(re.findall("[A-Za-z0-9]+", s)[:3]) for listed in sentences.values() for s in listed}
+    spelt = sorted({w for words in firsts if words for w in (words, tuple(x.upper() for x in words))})
+    return "|".join("[^A-Za-z0-9]+".join(words) for words in spelt)
+
+
 def _normalised(column: Column) -> Column:
     return F.btrim(F.regexp_replace(lower_ascii(column), NOT_KEPT, " "))
 
@@ -105,35 +118,52 @@ def scan_licences(
     """``df`` with the licences of each text; one row per input row.
 
     A sentence ends at ``.``, ``!``, ``?`` or ``:`` before a blank.  It may span lines; where
-    it is not known as a whole, each of its lines is looked up.  Added, in place of columns
-    of the same names: ``n_sentences`` (with a letter or digit), ``sentence_ids`` (known
-    ones, in the text's order), ``licences`` (in the rules' order, each once) and
-    ``unmatched_ids`` (used by no rule), all three joined by commas.  A null or empty text
-    has no sentences and empty strings.
+    it is not known as a whole, it also ends at a line without letters or digits and before a
+    line that begins as a known sentence does, so that headings and copyright lines stay
+    apart, and where that is not known either, each of its lines is looked up.  Known
+    sentences are cut by the same rule, and found where all their parts follow each other.
+    Added, in place of columns of the same names: ``n_sentences`` (by the first rule, with a
+    letter or digit), ``sentence_ids`` (known ones, in the text's order), ``licences`` (in
+    the rules' order, each once) and ``unmatched_ids`` (used by no rule), all three joined by
+    commas.  A null or empty text has no sentences and empty strings.
     """
-    known = sentence_table(SENTENCES if sentences is None else sentences)
+    sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
+    cut = {tuple(pieces_of(s)): name for name, listed in sentences.items() for s in listed}
+    known = {pieces[0]: name for pieces, name in cut.items() if len(pieces) == 1}
+    # Parts of longer sentences have numbers, which no identifier begins with.
+    longer = {pieces: name for pieces, name in cut.items() if len(pieces) > 1}
+    for k, piece in enumerate(sorted({x for pieces in longer for x in pieces})):
+        known.setdefault(piece, f"{k}#")
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else (
         F.create_map(F.lit(""), F.lit(None).cast("string"))
     )
+    starts = _starts(sentences)
+    line_break = r"\n(?=[^A-Za-z0-9\n]*(?:\n" + (f"|(?:{starts})(?![A-Za-z0-9])" if starts else "") + "))"
     own = df.drop("n_sentences", "sentence_ids", "licences", "unmatched_ids")
 
+    def named(part: Column) -> Column:
+        return F.coalesce(F.element_at(table, _normalised(part)), F.lit(""))
+
+    def lines(part: Column) -> Column:
+        return F.when(named(part) == "", F.transform(F.split(part, "\n"), named)).otherwise(F.array(named(part)))
+
     def identifiers(part: Column) -> Column:
-        whole = F.element_at(table, _normalised(part))
-        lines = F.filter(
-            F.transform(F.split(part, "\n"), lambda line: F.element_at(table, _normalised(line))),
-            lambda name: name.isNotNull(),
+        """Of the part or of what it falls into, an empty one where nothing is known."""
+        return F.when((named(part) != "") | ~F.contains(part, F.lit("\n")), F.array(named(part))).otherwise(
+            F.flatten(F.transform(F.split(F.regexp_replace(part, line_break, MARK), MARK), lines))
         )
-        return F.when(whole.isNotNull(), F.array(whole)).when(
-            F.contains(part, F.lit("\n")), lines
-        ).otherwise(F.array().cast("array<string>"))
 
     split = F.split(F.regexp_replace(text_of(text_col), SENTENCE_END, "$1" + MARK), MARK)
+    wrapped = F.array_join(F.transform(
+        F.flatten(F.transform("_parts", identifiers)), lambda i: F.concat(F.lit("<"), i, F.lit(">"))
+    ), "")
+    for pieces, name in longer.items():
+        wrapped = F.replace(wrapped, F.lit("".join(f"<{known[x]}>" for x in pieces)), F.lit(f"<{name}>"))
     found = own.withColumn("_parts", split).withColumn(
-        "_ids", F.flatten(F.transform("_parts", identifiers))
-    ).withColumn(
-        "_sequence", F.array_join(F.transform("_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
-    )
+        # Nothing and lone parts of longer sentences go.
+        "_sequence", F.regexp_replace(wrapped, "<([0-9]+#)?>", "")
+    ).withColumn("_ids", F.regexp_extract_all("_sequence", F.lit("<([^>]*)>"), F.lit(1)))
     steps = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids"))
         for name, ids in rules

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -97,3 +98,34 @@ def test_licences_of_odd_rows(odd_docs, no_docs):
     found = licences.scan_licences(odd_docs).collect()
     assert len(found) == odd_docs.count() and {r.licences for r in found} == {""}
     assert licences.scan_licences(no_docs).count() == 0
+
+
+HEADS = ["", "A Heading\n\nCopyright (c) 2020 Some One\n\n", "A Heading\nCopyright (c) 2020 Some One\n", "Text before.\n\nCopyright 2020 X\n\n"]
+
+
+@pytest.mark.parametrize("comment", ["", " * "])
+def test_every_sentence_and_rule_is_found_in_wrapped_text(spark, comment):
+    """Texts as they are published: wrapped, after a heading or a copyright line."""
+    rows = []
+    for head in HEADS:
+        for name, listed in licences.SENTENCES.items():
+            rows += [(head, [s], name, None) for s in listed]
+        for name, ids in licences.RULES:
+            rows.append((head, [licences.SENTENCES[i][0] for i in ids], ",".join(ids), name))
+    texts = []
+    for k, (head, listed, _, _) in enumerate(rows):
+        body = "\n\n".join(textwrap.fill(s, 72) for s in listed)
+        text = head + body + "\n\nMore words follow"
+        texts.append((k, "\n".join(comment + line for line in text.split("\n"))))
+    found = licences.scan_licences(spark.createDataFrame(texts, "k int, text string"))
+    got = {r.k: (r.sentence_ids, r.licences) for r in found.collect()}
+    for k, (_, _, ids, name) in enumerate(rows):
+        assert got[k][0] == ids, texts[k]
+        assert name is None or got[k][1] == name, texts[k]
+
+
+def test_parts_of_a_longer_sentence_alone_are_nothing(spark):
+    rows = [(1, "This program is free software: it is."), (2, "Version v. 2.0."),
+            (3, "This program is free software: no. " + licences.SENTENCES["GplThreeLater"][0][32:])]
+    found = licences.scan_licences(spark.createDataFrame(rows, "k int, text string"))
+    assert {r.sentence_ids + r.licences for r in found.collect()} == {""}
