@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents, with their ids and their places in sequences."""
-    return pack(docs, tokenizer_path("word_bpe_49k.json"), PACKING_END_ID)
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), PACKING_END_ID, special_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -77,13 +77,15 @@ def write_id_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_ids: int = BLOCK_IDS,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """Write every text's ids, then ``end_id``, in ascending order of the ids of the rows.
 
     The rows are range-partitioned and sorted, nulls first; rows of one id keep together in
-    any order.  A null text is empty.  Each task writes a file; an attempt has a name of its
-    own and only files of attempts that succeeded are listed.  Columns: ``path``, ``part``
-    (the files' order), ``n_ids``.
+    any order.  A null text is empty.  With ``special_tokens`` the strings of special tokens in
+    a text get those tokens' ids, as the library gives by default; without, they are ordinary
+    text.  Each task writes a file; an attempt has a name of its own and only files of attempts
+    that succeeded are listed.  Columns: ``path``, ``part`` (the files' order), ``n_ids``.
     """
     ship_code(df.sparkSession)
 
@@ -91,7 +93,7 @@ def write_id_files(
         context = TaskContext.get()
         part = context.partitionId()
         path = f"{folder}/ids-{part:06d}-{context.taskAttemptId()}.idf"
-        encoder, end = tokenizer(tokenizer_path), None
+        encoder, end = tokenizer(tokenizer_path, special_tokens), None
         end = np.array([end_id], encoder.id_type).tobytes()
         entries: list[tuple[int, int, int, int]] = []
         out, place = None, 0
@@ -200,10 +202,10 @@ def read_id_files(spark: SparkSession, files: DataFrame, id_type: T.DataType) ->
 
 def through_id_files(
     df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-    block_ids: int = BLOCK_IDS,
+    block_ids: int = BLOCK_IDS, special_tokens: bool = False,
 ) -> DataFrame:
     """The documents' token ids, written to files of a folder of their own and read back."""
     spark = df.sparkSession
     folder = new_workspace(spark, "ids")
-    files = write_id_files(df, folder, tokenizer_path, end_id, id_col, text_col, block_ids)
+    files = write_id_files(df, folder, tokenizer_path, end_id, id_col, text_col, block_ids, special_tokens)
     return read_id_files(spark, files, df.schema[id_col].dataType).withColumnRenamed("id", id_col)

@@ -143,10 +143,13 @@ def pack(
     text_col: str = "text",
     window: int = WINDOW,
     portion_tokens: int = PORTION_TOKENS,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece of a document.
 
     A document is the ids of its whole text followed by ``end_id``; a null text is empty.
+    With ``special_tokens`` the strings of special tokens in a text get those tokens' ids, as
+    the library gives by default; without, they are ordinary text.
     Columns: the id, ``start`` and ``length`` (ids of the document before the piece, and in
     it), ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and
     ``offset`` in that sequence.  Sequence ids are unique but not dense, and they differ
@@ -160,7 +163,7 @@ def pack(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(tokenizer_path)
+        encoder = tokenizer(tokenizer_path, special_tokens)
         next_sequence = TaskContext.get().partitionId() << 33
         names: list = []
         documents: list[np.ndarray] = []

@@ -81,7 +81,8 @@ def tokenizer_path(name: str) -> str:
 def op4_packing(spark, sf_dir):
     """Every piece of every document and its place in a sequence."""
     pieces = pack(
-        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), PACKING_END_ID
+        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), PACKING_END_ID,
+        special_tokens=True,
     )
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -164,7 +165,8 @@ FROM keyed k LEFT JOIN shared s ON k.key = s.key GROUP BY doc_id"""
 def op10_token_files(spark, sf_dir):
     """Every document's place and ids, as read back from the files."""
     documents = through_id_files(
-        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), FILE_END_ID
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), FILE_END_ID,
+        special_tokens=True,
     )
     return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

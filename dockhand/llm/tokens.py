@@ -4,7 +4,8 @@ A tokenizer that parts texts before it looks up pieces gives the same ids for a
 its parts one by one, so the ids of a part are asked for once and then remembered.  Whether
 that holds for a tokenizer file is read from the file; where it does not, and for texts with
 any blank or control character besides space and line feed, the whole text goes to the
-library.  Texts in Latin letters are parted just as the tokenizer does; in others, where the
+library.  So do texts that hold an added token where those get their own ids, which is what
+the library does unless told otherwise.  Texts in Latin letters are parted just as the tokenizer does; in others, where the
 libraries may know different letters, only blanks part words.
 """
 
@@ -101,13 +102,16 @@ class _Known:
 class WordTokenizer:
     """Encodes texts with one tokenizer file, remembering words."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_tokens: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens in a text are ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        # Without, the strings of special tokens in a text are ordinary text.
+        self._tokenizer.encode_special_tokens = not special_tokens
         config = json.loads(self._tokenizer.to_str())
+        added = [t["content"] for t in config.get("added_tokens") or []] if special_tokens else []
+        # As such a token may be looked for after the text is normalised, in any case.
+        self._added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self._split, pattern, self._lower = _splitter(config)
         self._parts = _latin_parts(pattern) if pattern else None
         self._blanks_count = self._split == _WITH_BLANKS.findall
@@ -137,6 +141,13 @@ class WordTokenizer:
                 portion, size = [], 0
         return out + self._portion(portion)
 
+    def _has_added(self, text: str) -> bool:
+        if not self._added:
+            return False
+        return bool(self._added.search(text) or (
+            not text.isascii() and self._added.search(unicodedata.normalize("NFC", text))
+        ))
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.id_type).tobytes() for e in encoded]
@@ -183,7 +194,7 @@ class WordTokenizer:
         if self._split is None:
             return self._whole(texts)
         out: list[bytes | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _unusual(t)]
+        whole = [i for i, t in enumerate(texts) if _unusual(t) or self._has_added(t)]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         latin = {i for i, t in enumerate(texts) if out[i] is None and (t.isascii() or not _NOT_LATIN.search(t))}
@@ -242,13 +253,14 @@ def _splitter(config: dict) -> tuple:
     return None, None, False
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[tuple[str, bool], WordTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str, special_tokens: bool = False) -> WordTokenizer:
     """One per file and Python worker, so that words stay known between tasks."""
-    if path not in _tokenizers:
+    key = path, special_tokens
+    if key not in _tokenizers:
         # A task has one core, so threads of the library's own only cost time.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+        _tokenizers[key] = WordTokenizer(path, special_tokens)
+    return _tokenizers[key]

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import io
 import zipfile
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from dockhand.llm import idfiles, warc, zipdir
+from dockhand.llm import idfiles, queries, warc, zipdir
 from dockhand.llm.idcodec import BlockError, decode_block, encode_block
 from dockhand.llm.queries import FILE_END_ID
 
@@ -127,3 +128,29 @@ def test_a_cut_archive_is_an_error(cut):
     data = out.getvalue()[:-cut]
     with pytest.raises(zipdir.ZipError):
         zipdir.members(lambda at, n: data[at:at + n], len(data))
+
+
+SPECIAL = [
+    "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|startoftext|>y", "<|ENDOFTEXT|> <|EndOfText|>", "<|endoftext",
+    "\u00c4 <|endoftext|>\nnext", "\u65e5\u672c <|startoftext|> end", "plain words <| endoftext |>", "tab\t<|endoftext|>", "", None,
+]
+
+
+def test_special_tokens_in_texts_as_the_unchanged_library_gives_them(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    for name, query, end in (
+        ("byte_bpe_50k.json", queries.op10_token_files, FILE_END_ID),
+        ("word_bpe_49k.json", queries.op4_packing, queries.PACKING_END_ID),
+    ):
+        library = Tokenizer.from_file(queries.tokenizer_path(name))
+        want = [library.encode(t or "", add_special_tokens=False).ids + [end] for t in SPECIAL]
+        rows = query(spark, str(tmp_path)).collect()
+        assert {r.doc_id for r in rows} == set(range(len(SPECIAL)))
+        for r in rows:
+            ids = np.array(want[r.doc_id], "<u4")
+            if "n_tokens" in r:
+                assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+            else:
+                piece = ids[r.start:r.start + r.length]
+                assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(piece.tobytes()))
