@@ -33,7 +33,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Rows that repeat that id stay together only where their texts differ.
     """
-    classes = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Five words and 0.8 are what stages on word shingles take.
+    classes = jaccard_classes(docs, width=5, percent=80).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = classes.select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
