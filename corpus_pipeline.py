@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +29,36 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_lines(docs).select(*docs.columns)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """Documents with ``_row``, what names a row: its id, nulls last, and its place in a file.
+
+    A place is the same whenever the file is read; frames that are not Parquet files are
+    written first.
+    """
+    row = F.struct(
+        F.col("doc_id").isNull().alias("without"), "doc_id",
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
+    )
+    try:
+        return docs.select("*", row.alias("_row"))
+    except AnalysisException:
+        return written(docs, "rows").select("*", row.alias("_row"))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of similar ones.
+    """The first row of each component of similar ones, by its id and place.
 
-    Rows that repeat that id stay together only where their texts differ.
+    A row counts with its own text, also where others repeat its id or have none.  Rows
+    without an id come after the others; rows without words are all kept.
     """
+    placed = _placed(docs)
     # Five words and 0.8 are what stages on word shingles take.
-    classes = jaccard_classes(docs, width=5, percent=80).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = classes.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    classes = jaccard_classes(placed, id_col="_row", width=5, percent=80)
+    kept = classes.filter(F.col("_row") == F.col("component_id")).select(
+        F.col("_row.file").alias("_file"), F.col("_row.place").alias("_place")
+    )
+    same = (F.col("_row.file") == F.col("_file")) & (F.col("_row.place") == F.col("_place"))
+    return placed.join(kept, same, "left_semi").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

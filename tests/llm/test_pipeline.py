@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
+from test_dedup import lines
 from test_jaccard import brute_force, edited
+from test_quality import counts, held_out_scores
 from texts import prose
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
 import corpus_pipeline  # noqa: E402
+from dockhand.llm import quality
 from dockhand.llm.common import table, written  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
@@ -64,3 +68,49 @@ def test_near_copies_at_the_limits_of_the_stage(spark):
     assert want < {doc for doc, _, component in brute_force(rows, 85, 4) if doc == component}
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, DATA).collect()) == sorted(want)
+
+
+def repeated(spark, folder) -> list[tuple]:
+    """Rows of repeated and null ids, in one file, so that their places are their order."""
+    rng = random.Random(9)
+    a, b, c, d, e = (prose(rng, 200, 4000) for _ in range(5))
+    rows = [
+        (2, edited(rng, a, 2)), (1, a), (1, a), (1, b), (5, edited(rng, b, 2)), (1, edited(rng, c, 1)), (0, c),
+        (None, d), (None, edited(rng, d, 2)), (None, edited(rng, a, 1)), (None, e), (None, e),
+        (7, ""), (7, ""), (None, None), (8, "few words"), (8, "few words"), (9, "FEW words"),
+    ]
+    rows += [(20 + i, f"{prose(rng, 80, 300)}\nShared line\n{prose(rng, 5, 300)}") for i in range(15)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 1, 0) for i in (1, 2, 5, 20, 21, 22)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return rows
+
+
+def multiset(df) -> Counter:
+    return Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def test_one_row_of_each_component_stays(spark, tmp_path):
+    rows = repeated(spark, tmp_path)
+    # Places in the order of ids, nulls last, then of the file.
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    found = brute_force([(place, rows[k][1]) for place, k in enumerate(order)], 80, 5)
+    want = Counter(rows[k] for k, (place, _, first) in zip(order, found) if place == first)
+    docs = table(spark, str(tmp_path), "documents")
+    assert multiset(corpus_pipeline.jaccard_join(spark, docs, str(tmp_path))) == want
+    # Also where the frame is not a file, and has another order.
+    frame = spark.createDataFrame(rows[:12], "doc_id bigint, text string")
+    left = Counter(i for i, _ in multiset(corpus_pipeline.jaccard_join(spark, frame, str(tmp_path))).elements())
+    assert left == {0: 1, 1: 2, None: 2}
+
+
+def test_first_stages_of_repeated_ids_against_plain_python(spark, tmp_path):
+    rows = repeated(spark, tmp_path)
+    docs = table(spark, str(tmp_path), "documents")
+    scored = zip(rows, held_out_scores(rows, {1, 2, 5, 20, 21, 22}))
+    want = Counter(r for r, x in scored if not counts(r[1])["base_failed"] and x >= quality.THRESHOLD)
+    assert multiset(corpus_pipeline.quality_rules(spark, docs, str(tmp_path))) == want
+    cleaned = Counter()
+    for (doc, text, _, _), n in lines(rows, 10).items():
+        cleaned[doc, text] += n
+    assert multiset(corpus_pipeline.line_dedup(spark, docs, str(tmp_path))) == cleaned
