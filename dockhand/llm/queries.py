@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockhand.llm.common import LOWER, UPPER, table
+from dockhand.llm.conversations import as_turns, damaged, repair_report
 from dockhand.llm.exact_dedup import exact_duplicates
 from dockhand.llm.idfiles import through_id_files
 from dockhand.llm.jaccard_join import jaccard_classes
@@ -16,7 +17,10 @@ from dockhand.llm.licences import scan_licences
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
 from dockhand.llm.packing import pack
+from dockhand.llm.phrases import collocations
 from dockhand.llm.quality import judge
+from dockhand.llm.reputation import judge_urls
+from dockhand.llm.reputation import oracle_sql as reputation_sql
 from dockhand.llm.suffix_tree import score
 from dockhand.llm.warc import through_archives
 
@@ -185,3 +189,74 @@ def op9_license_scans(spark, sf_dir):
 
 
 ORACLES["op9_license_scans"] = licences_sql()
+
+
+# What op11 allows and blocks whatever a host's reputation.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op11_url_filters(spark, sf_dir):
+    """Every page's host, path and verdict; a page's outcome is the label of its number."""
+    outcomes = table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS page_id", "quality = 1 AND toxic = 0 AS good"
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, outcomes, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "n_labelled", "n_good",
+        F.round("good_rate", 6).alias("good_rate"), F.round("good_bound", 6).alias("good_bound"),
+    )
+
+
+ORACLES["op11_url_filters"] = reputation_sql(URL_RULES)
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    """Every conversation's faults after damage, the cheapest edits, and a digest of the result."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(as_turns(conversations), damaged(conversations)).withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    """Every language's best phrases."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+_FREQUENT = 100
+ORACLES["op13_phrase_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')), '[ \t]+'), lambda x: x <> '') AS w
+  FROM documents),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+windows AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM pieces, range(1, 6) AS s(size) WHERE len(w) >= size),
+f AS (
+  SELECT lang, size, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM windows
+  GROUP BY lang, size, phrase HAVING count(*) >= {_FREQUENT}),
+cuts AS (
+  SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.w, c.k, l.a AS l, r.a AS r, n,
+    (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM cuts c JOIN totals USING (lang)
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ones AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest(flatten(list_transform(range(2, size), lambda s: list_transform(range(1, size - s + 2),
+      lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase FROM f WHERE size > 2)
+  GROUP BY lang, phrase)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+  SELECT x.*, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, x.phrase) AS rank
+  FROM lowest x LEFT JOIN inner_ones i ON i.lang = x.lang AND i.phrase = x.phrase
+  WHERE coalesce(longer < a, true))
+WHERE rank <= 2000"""
