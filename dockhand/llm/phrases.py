@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,14 @@ _lower[ord("A"):ord("Z") + 1] += 32
 _blank, _break = np.zeros(256, bool), np.zeros(256, bool)
 _break[list(BREAKS)] = True
 _blank[list(BLANKS + BREAKS)] = True
-_values = np.random.default_rng(20250611).integers(1, 1 << 64, (2, 256), np.uint64)
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses
+
+
+@lru_cache(maxsize=8)
+def _byte_values(which: int, seed: int) -> np.ndarray:
+    return np.random.default_rng((20250611, which, seed)).integers(1, 1 << 64, 256, np.uint64)
+
+
 _grown: dict[int, np.ndarray] = {}
 
 
@@ -56,7 +62,9 @@ def _powers(which: int, n: int) -> np.ndarray:
     """At least ``n`` powers of a factor and of its inverse, kept for the next texts."""
     if which not in _grown or _grown[which].shape[1] < n:
         factor = _FACTORS[which]
-        powers = np.full((2, max(n, LONG_BYTES)), [[factor], [pow(factor, -1, 1 << 64)]], np.uint64)
+        # Said to be unsigned before anything is made of them: a mix of sizes would be floats.
+        pair = np.array([[factor], [pow(factor, -1, 1 << 64)]], np.uint64)
+        powers = np.repeat(pair, max(n, LONG_BYTES), axis=1)
         powers[:, 0] = 1
         _grown[which] = np.multiply.accumulate(powers, axis=1)
     return _grown[which]
@@ -65,7 +73,7 @@ def _powers(which: int, n: int) -> np.ndarray:
 class _Words:
     """All words of some texts: two hashes, where they lie, and whether the next one follows."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, twice: bool) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, seed: int, twice: bool) -> None:
         self.data = _lower[data]
         inside = np.zeros(len(data) + 2, bool)
         inside[1:-1] = ~_blank[data]
@@ -83,14 +91,14 @@ class _Words:
         self.joined[:-1] = (breaks[self.start[1:]] == breaks[self.end[:-1]]) & (
             self.text[1:] == self.text[:-1]
         )
-        self.key = self._hashed(0, salts)
-        self.again = self._hashed(1, salts) if twice else None
+        self.key = self._hashed(0, salts, seed)
+        self.again = self._hashed(1, salts, seed) if twice else None
 
-    def _hashed(self, which: int, salts: np.ndarray) -> np.ndarray:
+    def _hashed(self, which: int, salts: np.ndarray, seed: int) -> np.ndarray:
         n = len(self.data) + 1
         up, down = _powers(which, n)
         sums = np.zeros(n, np.uint64)
-        np.cumsum(_values[which][self.data] * up[:n - 1], out=sums[1:])
+        np.cumsum(_byte_values(which, seed)[self.data] * up[:n - 1], out=sums[1:])
         plain = (sums[self.end] - sums[self.start]) * down[self.start]
         return mix(mix(plain + (self.end - self.start).astype(np.uint64)) ^ salts[self.text])
 
@@ -132,7 +140,7 @@ def _portions(batch: pa.RecordBatch, seed: int, twice: bool) -> Iterator[tuple[_
             of = coded.slice(i, len(part) - 1)
             yield _Words(
                 data[part[0]:part[-1]], part - part[0],
-                salts[of.indices.to_numpy(zero_copy_only=False)], twice,
+                salts[of.indices.to_numpy(zero_copy_only=False)], seed, twice,
             ), of
 
 
