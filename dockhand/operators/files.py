@@ -6,10 +6,13 @@ the driver is names only: list, rename, delete.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any, NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from dockhand.errors import CommitError, ConflictError
@@ -79,6 +82,66 @@ class Storage:
                 f"{len(left)} of {len(names)} files not deleted from {directory}: {named} ({left[0][1]})"
             )
 
+    def put_new(self, path: str, text: str) -> bool:
+        """Make a small file unless there is one, which other writers see happen at once.
+
+        Hadoop's local file system looks first and writes then, so Java's own call is used
+        there.  Elsewhere the finished file gets its name by a rename, which does not replace.
+        """
+        uri = self._path(self.qualified(path)).toUri()
+        if uri.getScheme() == "file":
+            return self._put_new_locally(uri.getPath(), text)
+        draft = f"{path}.{uuid.uuid4().hex}"
+        out = self._fs.create(self._path(draft), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self.exists(path) and self.move(draft, path):
+            return True
+        self._delete(draft)
+        return False
+
+    def _put_new_locally(self, path: str, text: str) -> bool:
+        nio = self._jvm.java.nio.file
+        new_array = self._spark.sparkContext._gateway.new_array
+        file = nio.Paths.get(path, new_array(self._jvm.java.lang.String, 0))
+        nio.Files.createDirectories(
+            file.getParent(), new_array(nio.attribute.FileAttribute, 0)
+        )
+        options = new_array(nio.OpenOption, 2)
+        options[0], options[1] = nio.StandardOpenOption.CREATE_NEW, nio.StandardOpenOption.WRITE
+        try:
+            nio.Files.write(file, bytearray(text.encode()), options)
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+                return False
+            raise
+        return True
+
+    def read(self, path: str) -> str | None:
+        """The text of a small file, nothing if it has gone."""
+        try:
+            stream = self._fs.open(self._path(path))
+        except Py4JJavaError:
+            if self.exists(path):
+                raise
+            return None
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def touch(self, path: str) -> None:
+        """Let a file be modified now."""
+        self._fs.setTimes(self._path(path), int(time.time() * 1000), -1)
+
+    def remove_if_empty(self, path: str) -> None:
+        """Delete a directory in which nothing is left."""
+        try:
+            self._fs.delete(self._path(path), False)
+        except Py4JJavaError:
+            if not self.entries(path):
+                raise
+
     def delete_on_exit(self, path: str) -> None:
         self._fs.deleteOnExit(self._path(path))
 
@@ -144,28 +207,59 @@ def check_target(storage: Storage, target: str, prefix: str, mode: str) -> None:
         raise ConflictError(f"{target} holds directories named {prefix}__*, e.g. {folders[0].name}")
 
 
-def publish(storage: Storage, stage: str, target: str, prefix: str, mode: str) -> list[str]:
+class Publication(NamedTuple):
+    """The files that go from a stage into the target, and those of the target that go."""
+
+    stage: str
+    target: str
+    names: list[str]
+    old: list[str]
+
+
+def publish(
+    storage: Storage, stage: str, target: str, prefix: str, mode: str, journal: Any = None
+) -> list[str]:
     """Move staged files into the target under a write mode; returns their names.
 
     ``truncate`` removes the group's earlier files after the new ones are in place, so
     that no moment is without either and a failed move leaves the target as it was.
-    Files without content are not published.
+    Files without content are not published.  All is told to the ``journal`` (see
+    :mod:`dockhand.operators.claims`) first, if there is one; it is left open.
     """
     check_target(storage, target, prefix, mode)
     staged = storage.entries(stage)
     names = [e.name for e in staged if e.length and not e.is_directory]
     storage.delete_all(stage, sorted({e.name for e in staged} - set(names)))
     old = storage.names(target, prefix) if mode == "truncate" else []
-    if not names:
-        storage.make_directory(target)
-    elif storage.exists(target):
-        _move_files(storage, stage, target, names)
-    else:
-        _move_directory(storage, stage, target, names)
+    if journal:
+        journal.begin(Publication(stage, target, names, old))
+    try:
+        if not names:
+            storage.make_directory(target)
+        elif storage.exists(target):
+            move_files(storage, stage, target, names)
+        else:
+            _move_directory(storage, stage, target, names)
+    except BaseException as e:
+        _undo(storage, target, names, journal, e)
+        raise
     storage.delete_all(target, old)
     return sorted(names)
 
 
+def _undo(storage: Storage, target: str, names: list[str], journal: Any, error: BaseException) -> None:
+    """Take back what was moved; what cannot be taken back is noted on the error."""
+    try:
+        if journal:
+            journal.turn_back()
+        if storage.exists(target):
+            storage.delete_all(target, names)
+        if journal:
+            journal.close()
+    except Exception as e:
+        error.add_note(str(e))
+
+
 def _move_directory(storage: Storage, stage: str, target: str, names: list[str]) -> None:
     """A target that does not exist yet appears whole, by one rename."""
     storage.make_directory(target.rsplit("/", 1)[0])
@@ -175,21 +269,17 @@ def _move_directory(storage: Storage, stage: str, target: str, names: list[str])
     inside = f"{target}/{stage.rsplit('/', 1)[1]}"
     if storage.exists(inside):
         try:
-            _move_files(storage, inside, target, names)
+            move_files(storage, inside, target, names)
         finally:
             storage.delete(inside)
 
 
-def _move_files(storage: Storage, stage: str, target: str, names: list[str]) -> None:
+def move_files(storage: Storage, stage: str, target: str, names: list[str]) -> None:
+    """Rename files one by one; all are tried before an error is raised."""
     moved = _in_parallel(
         lambda n: _outcome(lambda: storage.move(f"{stage}/{n}", f"{target}/{n}")), names
     )
     failures = [(n, why) for n, why in zip(names, moved) if why]
     if failures:
         name, why = failures[0]
-        error = CommitError(f"{len(failures)} of {len(names)} files not moved to {target}, e.g. {name}: {why}")
-        try:
-            storage.delete_all(target, names)
-        except CommitError as e:
-            error.add_note(str(e))
-        raise error
+        raise CommitError(f"{len(failures)} of {len(names)} files not moved to {target}, e.g. {name}: {why}")

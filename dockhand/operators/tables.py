@@ -6,6 +6,7 @@ import json
 from dataclasses import replace
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from dockhand.plans.types import column_type
 
 # Leads the properties that tell how a table's files are made.
 PROPERTY = "dockhand."
+RUN = PROPERTY + "run"
 
 # What the serialization libraries of Hive tables are called, by file format.
 SERDES = {"text": "LazySimpleSerDe", "orc": "OrcSerde", "parquet": "ParquetHiveSerDe"}
@@ -112,8 +114,11 @@ def _numbers(text: str) -> str:
     return " ".join(str(ord(c)) for c in text) or "none"
 
 
-def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
-    """The DDL that makes the target table."""
+def create_statements(spec: LoadSpec, hive: bool, run_id: str | None = None) -> list[str]:
+    """The DDL that makes the target table, and fails where it is there already.
+
+    A run id is kept as a property, so that the run knows its own table again.
+    """
     table = sql_name(spec.database, spec.table_name)
     columns = ", ".join(
         f"{sql_name(f.name)} {sql_type(f.dataType)} COMMENT {sql_literal(f.name)}"
@@ -123,17 +128,18 @@ def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
     partitioned = f" PARTITIONED BY ({keys})" if keys else ""
     comment = f" COMMENT {sql_literal(spec.table_name + '_table')}"
     location = f" LOCATION {sql_literal(spec.location)}"
-    listed = ", ".join(f"{sql_literal(k)} = {sql_literal(v)}" for k, v in table_properties(spec).items())
+    properties = table_properties(spec) | ({RUN: run_id} if run_id else {})
+    listed = ", ".join(f"{sql_literal(k)} = {sql_literal(v)}" for k, v in properties.items())
     location += f" TBLPROPERTIES ({listed})"
     if spec.file_format != "text":
         options = f" OPTIONS (compression {sql_literal(spec.compression)})"
         return [
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {spec.file_format}"
+            f"CREATE TABLE {table} ({columns}) USING {spec.file_format}"
             f"{options}{partitioned}{comment}{location}"
         ]
     if hive:
         return [
-            f"CREATE EXTERNAL TABLE IF NOT EXISTS {table} ({columns}){comment}{partitioned}"
+            f"CREATE EXTERNAL TABLE {table} ({columns}){comment}{partitioned}"
             f" ROW FORMAT DELIMITED FIELDS TERMINATED BY {sql_literal(spec.delimiter)}"
             " COLLECTION ITEMS TERMINATED BY ',' MAP KEYS TERMINATED BY ':'"
             " LINES TERMINATED BY '\\n'"
@@ -145,22 +151,43 @@ def create_statements(spec: LoadSpec, hive: bool) -> list[str]:
     names = [sql_name(p.name) for p in spec.partition]
     view_columns = [f"{sql_name(f.name)} COMMENT {sql_literal(f.name)}" for f in spec.output_schema]
     return [
-        f"CREATE TABLE IF NOT EXISTS {lines} (value STRING) USING text"
+        f"CREATE TABLE {lines} (value STRING) USING text"
         f" OPTIONS (lineSep '\\n'){partitioned}{comment}{location}",
-        f"CREATE VIEW IF NOT EXISTS {table} ({', '.join(view_columns + names)}){comment}"
+        f"CREATE VIEW {table} ({', '.join(view_columns + names)}){comment}"
         f" AS SELECT {', '.join(fields + names)} FROM {lines}",
     ]
 
 
-def create_table(spark: SparkSession, spec: LoadSpec) -> None:
-    """Create the external table of a spec unless it is there.
+def create_table(spark: SparkSession, spec: LoadSpec, run_id: str | None = None) -> bool:
+    """Create the external table of a spec; whether it was this call that did.
 
     ORC and Parquet tables are data source tables.  A text table is, where the catalog
     has row formats, a delimited table; elsewhere a table of lines under a view that
     splits and casts them.
     """
-    for statement in create_statements(spec, _is_hive(spark)):
-        spark.sql(statement)
+    for statement in create_statements(spec, _is_hive(spark), run_id):
+        try:
+            spark.sql(statement)
+        except AnalysisException as e:
+            if "ALREADY_EXISTS" not in (e.getCondition() or ""):
+                raise
+            if made_by(spark, spec) == run_id and run_id:
+                drop_table(spark, spec)
+            return False
+    return True
+
+
+def made_by(spark: SparkSession, spec: LoadSpec) -> str | None:
+    """Id of the run that created the table that owns the files."""
+    if not table_exists(spark, spec.table) and not table_exists(spark, f"{spec.table}__lines"):
+        return None
+    return describe(spark, storage_table(spark, spec)).get("table_properties", {}).get(RUN)
+
+
+def drop_own_table(spark: SparkSession, storage: Storage, spec: LoadSpec, run_id: str) -> None:
+    """Drop the table a failed run made, unless another load has put files there since."""
+    if made_by(spark, spec) == run_id and not storage.entries(spec.location):
+        drop_table(spark, spec)
 
 
 def drop_table(spark: SparkSession, spec: LoadSpec) -> None:
@@ -172,15 +199,20 @@ def drop_table(spark: SparkSession, spec: LoadSpec) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def check_table(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
-    """Raise unless an existing table is where and what the spec says it is."""
+def check_table(
+    spark: SparkSession, storage: Storage, spec: LoadSpec, must_be_there: bool = True
+) -> None:
+    """Raise unless an existing table is where and what the spec says it is.
+
+    Its directory must exist, unless the load that made the table is about to make that too.
+    """
     described = describe(spark, storage_table(spark, spec))
     location = described.get("location")
     if location is None:
         raise CommitError(f"{spec.table} has no location")
     if storage.qualified(location) != storage.qualified(spec.location):
         raise CommitError(f"{spec.table} is at {location}, not at {spec.location}")
-    if not storage.exists(location):
+    if must_be_there and not storage.exists(location):
         raise CommitError(f"{spec.table} is in the catalog but {location} does not exist")
     check_files(described, spec)
     keys = [k.lower() for k in described.get("partition_columns", [])]

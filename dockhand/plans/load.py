@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from dockhand.errors import CommitError, SpecError
 from dockhand.functions.sql import sql_any
 from dockhand.operators import tables
+from dockhand.operators.claims import Control, claimed, live_runs, tidy
 from dockhand.operators.convert import check_input, clean_rows, dirty_rows, summarize
 from dockhand.operators.files import (
     Storage, check_target, new_run_id, publish, stage_path, write_stage,
@@ -22,7 +22,10 @@ from dockhand.plans.spec import LoadSpec
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did; counts were taken while the rows were written."""
+    """What a load did; counts were taken while the rows were written.
+
+    ``recovered`` tells what became of a dead load found there, see :func:`recover`.
+    """
 
     spec: LoadSpec
     directory: str
@@ -31,6 +34,7 @@ class LoadResult:
     rows_dirty: int
     source: DataFrame
     rejects: str | None = None
+    recovered: str | None = None
 
     @property
     def rows_written(self) -> int:
@@ -69,58 +73,93 @@ def _check_rejected(found: int, counted: int) -> None:
 def load(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """Convert, write, put in place and register in the catalog.
 
-    Input, target and write mode are checked before any data is read.  Until the files
-    are moved at the very end, the target is as it was.  A table that is missing is
-    created once the rows are written, and goes again if they cannot be put in place.
+    The files ``<prefix>__*`` of the target are claimed for the load, and what a dead load
+    left half done there is finished or undone first.  Input, target and write mode are
+    checked before any data is read.  Until the files are moved at the very end, the target
+    is as it was.  A table that is missing is created once the rows are written, and goes
+    again if they cannot be put in place, unless another load uses it by then.
     """
     spark = df.sparkSession
     check_input(df, spec.output_schema)
     spec = tables.normalize_partition(spark, spec)
-    storage = Storage(spark, spec.location)
-    check_target(storage, spec.location, spec.file_prefix, "append")
-    missing = not tables.table_exists(spark, spec.table)
-    if not missing:
-        tables.check_table(spark, storage, spec)
-        if spec.partition:
-            tables.check_partition_location(spark, storage, spec)
-    return _load_files(df, spec, register=True, create=missing)
+    control = _control(spark, spec)
+    storage = control.storage
+    with claimed(control):
+        check_target(storage, spec.location, spec.file_prefix, "append")
+        missing = not tables.table_exists(spark, spec.table)
+        if not missing:
+            at_work = tables.made_by(spark, spec) in live_runs(storage, spec.location)
+            tables.check_table(spark, storage, spec, must_be_there=not at_work)
+            if spec.partition:
+                tables.check_partition_location(spark, storage, spec)
+        return _load_files(df, spec, control, register=True, create=missing)
 
 
 def write_files(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """:func:`load` without the catalog: only the files of the target directory."""
     check_input(df, spec.output_schema)
-    return _load_files(df, tables.normalize_partition(df.sparkSession, spec))
+    spec = tables.normalize_partition(df.sparkSession, spec)
+    control = _control(df.sparkSession, spec)
+    with claimed(control):
+        return _load_files(df, spec, control)
 
 
-def _load_files(
-    df: DataFrame, spec: LoadSpec, register: bool = False, create: bool = False
-) -> LoadResult:
-    spark = df.sparkSession
+def recover(spark: SparkSession, spec: LoadSpec) -> str | None:
+    """Finish or undo what a dead load of this spec left, without loading anything.
+
+    ``forward`` when the rows of that load are now in place, ``back`` when the target is as
+    before it, nothing when there was nothing to do.  Every load does this by itself.  A
+    load that still holds its claim is a :class:`ConflictError`.
+    """
+    spec = tables.normalize_partition(spark, spec)
+    with claimed(_control(spark, spec)) as control:
+        if control.recovered == "forward" and tables.table_exists(spark, spec.table):
+            tables.register_load(spark, spec)
+        return control.recovered
+
+
+def _control(spark: SparkSession, spec: LoadSpec) -> Control:
+    run_id = new_run_id()
     directory = tables.target_directory(spec)
     storage = Storage(spark, directory)
-    check_target(storage, directory, spec.file_prefix, spec.write_mode)
-    run_id = new_run_id()
     stage = stage_path(spec.staging_path or spec.location, run_id)
     if storage.root(stage) != storage.root(directory):
         raise SpecError(
             f"staging_path is on {storage.root(stage)}, the target on {storage.root(directory)}"
         )
-    rejects = None
+    return Control(
+        storage, spec.location, directory, spec.file_prefix, run_id, stage, spec.claim_seconds
+    )
+
+
+def _load_files(
+    df: DataFrame, spec: LoadSpec, control: Control, register: bool = False, create: bool = False
+) -> LoadResult:
+    spark, storage, directory = df.sparkSession, control.storage, control.target
+    check_target(storage, directory, spec.file_prefix, spec.write_mode)
+    rejects, created = None, False
     try:
-        counts = _write(spark, df, spec, stage, run_id)
+        counts = _write(spark, df, spec, control.stage, control.run_id)
         if counts["dirty"] and spec.rejects_location:
-            rejects = f"{spec.rejects_location}/{spec.file_prefix}__{run_id}"
+            rejects = f"{spec.rejects_location}/{spec.file_prefix}__{control.run_id}"
             _keep_rejected(df, spec, rejects, counts["dirty"])
+        control.check()
         if create:
-            tables.create_table(spark, spec)
-        files = publish(storage, stage, directory, spec.file_prefix, spec.write_mode)
+            created = tables.create_table(spark, spec, control.run_id)
+            if not created:
+                tables.check_table(spark, storage, spec, must_be_there=False)
+        files = publish(
+            storage, control.stage, directory, spec.file_prefix, spec.write_mode, control
+        )
     except BaseException:
-        _tidy(lambda: create and tables.drop_table(spark, spec))
-        _tidy(lambda: storage.delete(stage))
+        tidy(lambda: created and tables.drop_own_table(spark, storage, spec, control.run_id))
+        tidy(lambda: rejects and Storage(spark, rejects).delete(rejects))
+        tidy(lambda: control.is_open() or storage.delete(control.stage))
         raise
-    _tidy(lambda: storage.delete(stage))
+    tidy(lambda: storage.delete(control.stage))
     if register:
         tables.register_load(spark, spec)
+    control.close()
     return LoadResult(
         spec=spec,
         directory=directory,
@@ -129,24 +168,17 @@ def _load_files(
         rows_dirty=counts["dirty"],
         source=df,
         rejects=rejects,
+        recovered=control.recovered,
     )
 
 
-def _tidy(call) -> None:
-    """Clean up; what goes wrong then must not hide how the load itself went."""
-    try:
-        call()
-    except Exception as e:
-        warnings.warn(f"not cleaned up: {e}", stacklevel=2)
-
-
 def _keep_rejected(df: DataFrame, spec: LoadSpec, path: str, counted: int) -> None:
     """Write the rejected rows while the input is still there, all of them or none."""
     seen = Observation()
     rejected = dirty_rows(df, spec.output_schema).observe(seen, F.count(F.lit(1)).alias("rows"))
     rejected.write.mode("errorifexists").parquet(path)
     if seen.get["rows"] != counted:
-        _tidy(lambda: Storage(df.sparkSession, path).delete(path))
+        tidy(lambda: Storage(df.sparkSession, path).delete(path))
     _check_rejected(seen.get["rows"], counted)
 
 

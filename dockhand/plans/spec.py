@@ -66,6 +66,8 @@ class LoadSpec:
     ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
     Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
     does not say how its lines are made, because something else created it.
+    ``claim_seconds`` is how long a driver may be away before another load of the same files
+    takes over from it.
     ``schema`` replaces the types of ``columns`` in Parquet files, which is how DECIMAL
     and BINARY columns are written.
     """
@@ -85,6 +87,7 @@ class LoadSpec:
     null_value: str = ""
     fail_on_hazards: bool = False
     rejects_location: str | None = None
+    claim_seconds: float = 600
     adopt: bool = False
     schema: T.StructType | None = field(default=None, compare=False)
 
@@ -102,6 +105,10 @@ class LoadSpec:
             put("staging_path", _directory("staging_path", self.staging_path))
         if self.rejects_location is not None:
             put("rejects_location", _directory("rejects_location", self.rejects_location))
+            if f"{self.rejects_location}/".startswith(f"{self.location}/"):
+                raise SpecError("rejects_location must not lie in the location of the table")
+        if self.claim_seconds <= 0:
+            raise SpecError("claim_seconds must be above 0")
         self._check_schema()
         _check_table(self.table)
         _check_prefix(self.file_prefix)

@@ -1,0 +1,275 @@
+"""Loads that die half way, loads at the same time, and journals of either kind."""
+
+from __future__ import annotations
+
+import json
+import os
+import threading
+import time
+from pathlib import Path
+
+import pytest
+
+import dockhand
+from dockhand import CommitError, ConflictError, SpecError
+from dockhand.operators import tables
+from dockhand.operators.claims import Control, control_folder
+from dockhand.operators.files import Publication, Storage
+from dockhand_queries.common import Target
+from dockhand_queries.crashes import SECONDS, dying_publication
+from test_loads import beside, failing, names
+
+
+def control(spark, spec, run_id="other", seconds=600.0):
+    storage = Storage(spark, spec.location)
+    return Control(
+        storage, spec.location, spec.location, spec.file_prefix, run_id, f"{spec.location}__{run_id}", seconds
+    )
+
+
+def age(spec, seconds: float) -> None:
+    """Let all claims have been renewed so long ago."""
+    for path in Path(control_folder(spec.location)).iterdir():
+        os.utime(path, (time.time() - seconds,) * 2)
+
+
+@pytest.mark.parametrize("mode", ["append", "truncate"])
+@pytest.mark.parametrize("changes", range(10))
+def test_death_after_each_change(spark, pairs, make, mode, changes):
+    dockhand.write_files(pairs, make(files=2))
+    target = Target(make().table, make().location)
+    dying_publication(spark, pairs.limit(2), target, mode, changes)
+    time.sleep(1.5 * SECONDS)
+    result = dockhand.write_files(pairs.limit(1), make())
+    moved = changes > 1
+    done = changes >= (7 if mode == "append" else 9)
+    assert result.recovered == ("forward" if moved and not done else None)
+    before = {("append", False): 5, ("append", True): 7, ("truncate", False): 5, ("truncate", True): 2}
+    assert spark.read.orc(make().location).count() == before[mode, moved] + 1
+    assert len(beside(make())) == (changes == 0)
+
+
+def test_first_load_that_dies(spark, pairs, make):
+    dying_publication(spark, pairs, Target(make().table, make().location), "append", 2)
+    time.sleep(1.5 * SECONDS)
+    assert not Path(make().location).exists()
+    assert dockhand.recover(spark, make()) == "forward"
+    assert spark.read.orc(make().location).count() == 5
+    assert dockhand.recover(spark, make()) is None and beside(make()) == []
+
+
+def test_table_that_a_dead_load_made(spark, pairs, make):
+    """Its driver died between the table and its directory."""
+    dying_publication(spark, pairs, Target(make().table, make().location), "append", 2)
+    tables.create_table(spark, make(), "dead")
+    time.sleep(1.5 * SECONDS)
+    dockhand.load(pairs, make())
+    assert spark.table(make().table).count() == 10
+
+
+def test_journal_with_files_gone_is_rolled_back(spark, pairs, make):
+    old = dockhand.write_files(pairs, make()).files
+    dead = control(spark, make())
+    Path(make().location, "load__other-1").write_text("moved")
+    dead.storage.put_new(dead._journal, json.dumps(Publication(
+        dead.stage, make().location, ["load__other-1", "load__other-2"], old)._asdict()))
+    assert dockhand.recover(spark, make()) == "back"
+    assert names(make().location) == old and beside(make()) == []
+
+
+def test_half_written_journal_means_nothing_was_moved(spark, pairs, make):
+    old = dockhand.write_files(pairs, make()).files
+    dead = control(spark, make())
+    dead.storage.put_new(dead._journal, '{"stage": "/x", "na')
+    assert dockhand.recover(spark, make()) is None
+    assert names(make().location) == old and beside(make()) == []
+
+
+def test_undo_that_dies_is_finished(spark, pairs, make, monkeypatch):
+    dockhand.write_files(pairs, make())
+    before = names(make().location)
+    move, delete_all = Storage.move, Storage.delete_all
+    monkeypatch.setattr(Storage, "move", lambda self, s, t: "-00001-" not in s and move(self, s, t))
+
+    def dies(self, directory, files):
+        if directory == make().location and files:
+            raise OSError("the driver is gone")
+        delete_all(self, directory, files)
+
+    monkeypatch.setattr(Storage, "delete_all", dies)
+    with pytest.raises(CommitError, match="1 of 3 files"):
+        dockhand.write_files(pairs.repartition(3), make(write_mode="truncate", files=3))
+    monkeypatch.undo()
+    assert len(names(make().location)) == len(before) + 2
+    assert dockhand.recover(spark, make()) == "back"
+    assert names(make().location) == before and beside(make()) == []
+
+
+def test_files_left_to_delete_go_with_the_next_load(spark, pairs, make, monkeypatch):
+    old = dockhand.write_files(pairs, make()).files
+    delete = Storage._delete
+    monkeypatch.setattr(
+        Storage, "_delete", lambda self, path: not any(n in path for n in old) and delete(self, path)
+    )
+    with pytest.raises(CommitError, match="not deleted"):
+        dockhand.write_files(pairs.limit(2), make(write_mode="truncate"))
+    monkeypatch.undo()
+    assert dockhand.recover(spark, make()) == "forward"
+    assert spark.read.orc(make().location).count() == 2 and beside(make()) == []
+
+
+# Claims
+
+
+def test_two_loads_of_one_prefix(spark, pairs, make):
+    other = control(spark, make())
+    other.take()
+    with pytest.raises(ConflictError, match="is being loaded by run other"):
+        dockhand.write_files(failing(pairs), make())
+    dockhand.write_files(pairs, make(file_prefix="b"))
+    other.release()
+    dockhand.write_files(pairs, make())
+    assert beside(make()) == []
+
+
+def test_many_at_once_and_one_wins(spark, make):
+    runs = [control(spark, make(), f"run{i}") for i in range(8)]
+    won, lost = [], []
+
+    def take(run):
+        try:
+            run.take()
+            won.append(run)
+        except ConflictError:
+            lost.append(run)
+
+    threads = [threading.Thread(target=take, args=(r,)) for r in runs]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(won) <= 1 and len(won) + len(lost) == 8
+    for run in won:
+        run.release()
+    assert beside(make()) == []
+
+
+def test_claim_is_renewed(spark, make):
+    run = control(spark, make(), seconds=0.6)
+    run.take()
+    time.sleep(1.2)
+    run.check()
+    assert not run.held()[0].expired
+    run.pause()
+    time.sleep(1)
+    assert run.held()[0].expired
+    run.release()
+
+
+def test_expired_claim_is_taken_over_and_its_owner_fenced(spark, pairs, make):
+    slow = control(spark, make())
+    slow.take()
+    Path(slow.stage).mkdir()
+    Path(slow.stage, "load__other-1").write_text("late")
+    age(make(), 700)
+    dockhand.write_files(pairs, make())
+    assert not Path(slow.stage).exists()
+    with pytest.raises(ConflictError, match="has lost"):
+        slow.begin(Publication(slow.stage, make().location, ["load__other-1"], []))
+    assert spark.read.orc(make().location).count() == 5 and beside(make()) == []
+
+
+def test_a_run_that_lost_its_claim_undoes_nothing(spark, pairs, make):
+    dockhand.write_files(pairs, make())
+    before = names(make().location)
+    slow = control(spark, make())
+    slow.take()
+    age(make(), 700)
+    newer = control(spark, make(), "newer")
+    newer.take()
+    with pytest.raises(ConflictError, match="has lost"):
+        slow.turn_back()
+    newer.release()
+    assert names(make().location) == before
+
+
+def test_unreadable_claim_counts_until_it_is_old(spark, pairs, make):
+    run = control(spark, make())
+    run.storage.put_new(run._claim_path(1), "")
+    with pytest.raises(ConflictError, match="run unknown"):
+        dockhand.write_files(pairs, make())
+    age(make(), 700)
+    dockhand.write_files(pairs, make())
+    assert beside(make()) == []
+
+
+# First loads of a table at the same time
+
+
+def during_write(monkeypatch, what):
+    """Call something once while the first load writes its files."""
+    from dockhand.plans import load
+
+    write, todo = load.write_stage, [what]
+
+    def writing(*args):
+        write(*args)
+        while todo:
+            todo.pop()()
+
+    monkeypatch.setattr(load, "write_stage", writing)
+
+
+def test_failed_first_load_does_not_drop_the_table_of_another(spark, pairs, make, monkeypatch):
+    during_write(monkeypatch, lambda: dockhand.load(pairs, make(file_prefix="second")))
+    move = Storage.move
+    monkeypatch.setattr(
+        Storage, "move", lambda self, s, t: ("load__" not in s) and move(self, s, t)
+    )
+    with pytest.raises(CommitError):
+        dockhand.load(pairs, make())
+    assert spark.table(make().table).count() == 5
+
+
+def test_own_table_stays_once_another_load_uses_it(spark, pairs, make, monkeypatch):
+    create = tables.create_table
+
+    def create_and_let_others_in(*args):
+        made = create(*args)
+        monkeypatch.setattr(tables, "create_table", create)
+        dockhand.load(pairs, make(file_prefix="second"))
+        return made
+
+    monkeypatch.setattr(tables, "create_table", create_and_let_others_in)
+    move = Storage.move
+    monkeypatch.setattr(Storage, "move", lambda self, s, t: "load__" not in s and move(self, s, t))
+    with pytest.raises(CommitError):
+        dockhand.load(pairs, make())
+    assert spark.table(make().table).count() == 5
+
+
+def test_first_loads_of_other_descriptions(spark, pairs, make, monkeypatch):
+    during_write(
+        monkeypatch, lambda: dockhand.load(pairs, make(file_prefix="second", file_format="parquet"))
+    )
+    with pytest.raises(CommitError, match="holds parquet files"):
+        dockhand.load(pairs, make())
+    assert spark.table(make().table).count() == 5
+    assert [n for n in names(make().location) if n.startswith("load__")] == []
+
+
+# Rejected rows of loads that fail
+
+
+def test_failed_load_leaves_no_rejects(spark, make, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("1", "a"), ("x", "b")], "k string, w string")
+    monkeypatch.setattr(Storage, "move", lambda self, s, t: False)
+    with pytest.raises(CommitError):
+        dockhand.write_files(df, make(rejects_location=f"{tmp_path}/rejects"))
+    assert names(tmp_path / "rejects") == []
+
+
+@pytest.mark.parametrize("below", ["", "/", "/rejects"])
+def test_rejects_must_not_lie_in_the_table(make, below):
+    with pytest.raises(SpecError, match="rejects_location must not lie"):
+        make(rejects_location=make().location + below)
