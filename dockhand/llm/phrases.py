@@ -15,6 +15,7 @@ tries, each with a pass of its own, and a window is then proposed by its first w
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
@@ -35,10 +36,12 @@ UNKNOWN = "und"
 
 # A trie of so many phrases takes below 100 MB with its words.
 MAX_SEQUENCES = 1 << 20
-# Tasks hand on what they found when it has so many rows.
-FLUSH_ROWS = 1 << 20
-# Texts of more bytes are cut between pieces.
-LONG_BYTES = 1 << 21
+# Tasks add up what they found when it has so many rows, and hand it on when that leaves half.
+FLUSH_ROWS = 1 << 19
+# Texts go in parts of about so many bytes, those of more are cut between pieces.
+PART_BYTES = 1 << 19
+# Words whose text a task has handed on; one that another pushes out is handed on again.
+KNOWN = 1 << 20
 # A language's phrases are ranked in so many parts first.
 PARTS = 64
 
@@ -64,7 +67,7 @@ def _powers(which: int, n: int) -> np.ndarray:
         factor = _FACTORS[which]
         # Said to be unsigned before anything is made of them: a mix of sizes would be floats.
         pair = np.array([[factor], [pow(factor, -1, 1 << 64)]], np.uint64)
-        powers = np.repeat(pair, max(n, LONG_BYTES), axis=1)
+        powers = np.repeat(pair, max(n, PART_BYTES), axis=1)
         powers[:, 0] = 1
         _grown[which] = np.multiply.accumulate(powers, axis=1)
     return _grown[which]
@@ -111,17 +114,17 @@ def _salt(lang: str, seed: int) -> int:
 
 
 def _cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """More offsets, so that texts above ``LONG_BYTES`` end between pieces now and then."""
+    """More offsets, so that texts above ``PART_BYTES`` end between pieces now and then."""
     more = []
-    for i in np.flatnonzero(np.diff(offsets) > LONG_BYTES).tolist():
-        at = offsets[i] + LONG_BYTES
+    for i in np.flatnonzero(np.diff(offsets) > PART_BYTES).tolist():
+        at = offsets[i] + PART_BYTES
         while at < offsets[i + 1]:
-            found = np.flatnonzero(_break[data[at:at + LONG_BYTES]])
+            found = np.flatnonzero(_break[data[at:at + PART_BYTES]])
             if len(found):
                 more.append(at + found[0] + 1)
-                at = more[-1] + LONG_BYTES
+                at = more[-1] + PART_BYTES
             else:
-                at += LONG_BYTES
+                at += PART_BYTES
     return np.sort(np.concatenate((offsets, np.array(more, np.int64))))
 
 
@@ -133,15 +136,15 @@ def _portions(batch: pa.RecordBatch, seed: int, twice: bool) -> Iterator[tuple[_
         source = first + np.clip(np.searchsorted(offsets, cuts[:-1], "right") - 1, 0, len(offsets) - 2)
         coded = lang.take(pa.array(source)).dictionary_encode()
         salts = np.array([_salt(x, seed) for x in coded.dictionary.to_pylist()], np.uint64)
-        # Long texts go one part at a time.
-        step = 1 if len(cuts) > len(offsets) else len(cuts)
-        for i in range(0, len(cuts) - 1, step):
-            part = cuts[i:i + step + 1]
-            of = coded.slice(i, len(part) - 1)
-            yield _Words(
-                data[part[0]:part[-1]], part - part[0],
-                salts[of.indices.to_numpy(zero_copy_only=False)], seed, twice,
-            ), of
+        codes, i = coded.indices.to_numpy(zero_copy_only=False), 0
+        while i < len(cuts) - 1:
+            j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + PART_BYTES, "right")) - 1)
+            words = _Words(
+                data[cuts[i]:cuts[j]], cuts[i:j + 1] - cuts[i], salts[codes[i:j]], seed, twice
+            )
+            if len(words.start):
+                yield words, coded.slice(i, j - i)
+            i = j
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,61 +162,109 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return order, first, np.diff(np.append(first, len(order)))
 
 
-def _merged(tables: list[pa.Table], keys: list[str]) -> pa.RecordBatch | None:
-    """Rows of equal keys as one, ``n`` added up."""
-    if not tables:
-        return None
-    whole = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("n", "sum")])
-    whole = whole.rename_columns([c.removesuffix("_sum") for c in whole.column_names])
-    return whole.combine_chunks().to_batches()[0] if whole.num_rows else None
+class _Sums:
+    """Numbers of pairs, added up now and then."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.rows = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Count pairs; returns where the first of each kind stands."""
+        order, first, n = _distinct(a, b)
+        one = order[first]
+        self.parts.append((a[one], b[one], n))
+        self.rows += len(one)
+        return one
+
+    def _merge(self) -> None:
+        a, b, n = (np.concatenate(c) for c in zip(*self.parts))
+        order, first, _ = _distinct(a, b)
+        one = order[first]
+        self.parts = [(a[one], b[one], np.add.reduceat(n[order], first))]
+        self.rows = len(one)
+
+    def take(self, last: bool = False) -> tuple[np.ndarray, ...] | None:
+        """The sums, if there are many or these are the last ones."""
+        if not self.rows or not last and self.rows < FLUSH_ROWS:
+            return None
+        self._merge()
+        if not last and self.rows < FLUSH_ROWS // 2:
+            return None
+        found, self.parts, self.rows = self.parts[0], [], 0
+        return found
+
+
+def _batch(names: list[str], types: list[pa.DataType], rows: int, **columns) -> pa.RecordBatch:
+    """A batch in which columns that are not given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[n], t) if n in columns else pa.nulls(rows, t) for n, t in zip(names, types)],
+        names=names,
+    )
+
+
+_SHARD = (
+    ["lang", "word", "key", "again", "n"],
+    [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()],
+)
 
 
 def _count_words(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    keys = ["lang", "word", "key", "again"]
+    """Three kinds of rows: a word's hashes and number, its text, a language's number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = [], 0
+        sums, totals, known = _Sums(), Counter(), np.zeros(KNOWN, np.uint64)
+
+        def counted(last: bool) -> Iterator[pa.RecordBatch]:
+            found = sums.take(last)
+            if found:
+                key, again, n = found
+                yield _batch(*_SHARD, len(n), key=key.view(np.int64), again=again.view(np.int64), n=n)
+
         for batch in batches:
             for words, lang in _portions(batch, seed, twice=True):
-                if not len(words.start):
-                    continue
-                order, first, n = _distinct(words.key, words.again)
-                one = order[first]
-                found.append(pa.table({
-                    "lang": lang.take(pa.array(words.text[one])).cast(pa.string()),
-                    "word": pa.array([words.word(i) for i in one.tolist()], pa.binary()).cast(pa.string()),
-                    "key": words.key[one].view(np.int64), "again": words.again[one].view(np.int64),
-                    "n": n,
-                }))
-                rows += len(one)
-                if rows > FLUSH_ROWS:
-                    merged = _merged(found, keys)
-                    found, rows = [pa.Table.from_batches([merged])], merged.num_rows
-                    if rows > FLUSH_ROWS // 2:
-                        yield merged.select([*keys, "n"])
-                        found, rows = [], 0
-        merged = _merged(found, keys)
-        if merged is not None:
-            yield merged.select([*keys, "n"])
+                of_text = np.bincount(words.text, minlength=len(lang))
+                for name, n in zip(lang.cast(pa.string()).to_pylist(), of_text.tolist()):
+                    totals[name] += n
+                one = sums.add(words.key, words.again)
+                slot = (words.key[one] & np.uint64(KNOWN - 1)).astype(np.int64)
+                new = known[slot] != words.key[one]
+                one, slot = one[new], slot[new]
+                known[slot] = words.key[one]
+                yield _batch(
+                    *_SHARD, len(one), lang=lang.take(pa.array(words.text[one])).cast(pa.string()),
+                    word=pa.array([words.word(i) for i in one.tolist()], pa.binary()).cast(pa.string()),
+                    key=words.key[one].view(np.int64),
+                )
+                yield from counted(last=False)
+        yield from counted(last=True)
+        yield _batch(*_SHARD, len(totals), lang=list(totals), n=list(totals.values()))
 
     return run
 
 
+_FOUND = (["id", "next", "n"], [pa.int64()] * 3)
+
+
 def _walk(
     trie, ids, seed: int, single: bool, count: bool, propose: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Tasks that give each candidate's number, and the windows of one word more with theirs."""
-    keys = ["id", "next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequences: DoubleArrayTrie = trie.value
         own, width = ids.value, sequences.width
         accepted = np.zeros(sequences.size, np.int64)
-        found, rows = [], 0
+        windows = _Sums()
+
+        def proposed(last: bool) -> Iterator[pa.RecordBatch]:
+            found = windows.take(last)
+            if found:
+                end, after, n = found
+                yield _batch(*_FOUND, len(n), id=own[end.astype(np.int64)], next=after.view(np.int64), n=n)
+
         for batch in batches:
             for words, _ in _portions(batch, seed, twice=False):
-                if not len(words.start):
-                    continue
                 places, ends = sequences.ending(sequences.symbols(words.key), words.joined)
                 if count:
                     accepted += np.bincount(ends, minlength=sequences.size)
@@ -225,28 +276,12 @@ def _walk(
                     is_start[places] = True
                     wider &= is_start[places + 1]
                 places, ends = places[wider], ends[wider].astype(np.uint64)
-                after = words.key[places + width]
-                order, first, n = _distinct(ends, after)
-                one = order[first]
-                found.append(pa.table({
-                    "id": own[ends[one].astype(np.int64)], "next": after[one].view(np.int64), "n": n
-                }))
-                rows += len(one)
-                if rows > FLUSH_ROWS:
-                    merged = _merged(found, keys)
-                    found, rows = [pa.Table.from_batches([merged])], merged.num_rows
-                    if rows > FLUSH_ROWS // 2:
-                        yield merged.select([*keys, "n"])
-                        found, rows = [], 0
-        merged = _merged(found, keys)
-        if merged is not None:
-            yield merged.select([*keys, "n"])
+                if len(places):
+                    windows.add(ends, words.key[places + width])
+                    yield from proposed(last=False)
+        yield from proposed(last=True)
         seen = np.flatnonzero(accepted)
-        if len(seen):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[seen]), pa.nulls(len(seen), pa.int64()), pa.array(accepted[seen])],
-                names=[*keys, "n"],
-            )
+        yield _batch(*_FOUND, len(seen), id=own[seen], n=accepted[seen])
 
     return run
 
@@ -258,29 +293,33 @@ def _frequent_words(texts: DataFrame, min_count: int, seed: int) -> tuple[DataFr
         "phrase_words",
     )
     keys = written(
-        shards.groupBy("key").agg(
+        shards.filter("again IS NOT NULL").groupBy("key").agg(
             F.sum("n").alias("n"), (F.min("again") != F.max("again")).alias("collide")
         ).filter(F.col("n") >= min_count),
         "phrase_frequent_words",
     )
     if keys.filter("collide").take(1):
         return None
-    words = shards.select("lang", "word", "key").join(keys, "key").groupBy("key", "lang", "word", "n").agg(
-        F.lit(1).alias("one")
-    )
-    totals = shards.groupBy("lang").agg(F.sum("n").alias("n_words"))
-    words = words.select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"),
-        F.array("key").alias("words"), "n",
+    totals = shards.filter("key IS NULL").groupBy("lang").agg(F.sum("n").alias("n_words"))
+    words = (
+        shards.filter("word IS NOT NULL").select("lang", "word", "key").join(keys, "key")
+        .select("key", "lang", "word", keys["n"]).distinct()
+        .select(
+            F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"),
+            F.array("key").alias("words"), "n",
+        )
     )
     return written(words, "phrase_level"), written(totals, "phrase_totals")
 
 
 def _level(
-    texts: DataFrame, candidates: DataFrame, width: int, seed: int, count: bool, propose: bool,
-    max_sequences: int,
+    texts: DataFrame, candidates: DataFrame, width: int, seed: int, min_count: int, count: bool,
+    propose: bool, max_sequences: int,
 ) -> DataFrame | None:
-    """What the tasks found for the candidates of a width, one pass for each trie."""
+    """What is frequent among the candidates of a width and the windows of one word more.
+
+    One pass for each trie.  ``next`` is null for the candidates themselves.
+    """
     context, found = texts.sparkSession.sparkContext, []
     shards = -(-candidates.count() // max_sequences)
     for shard in range(shards):
@@ -292,7 +331,10 @@ def _level(
         trie = context.broadcast(DoubleArrayTrie(words.reshape(own.num_rows, width)))
         ids = context.broadcast(own.column("id").to_numpy())
         walk = _walk(trie, ids, seed, shards == 1, count, propose)
-        found.append(written(texts.mapInArrow(walk, "id long, next long, n long"), "phrase_pass"))
+        sums = texts.mapInArrow(walk, "id long, next long, n long").groupBy("id", "next").agg(
+            F.sum("n").alias("n")
+        )
+        found.append(written(sums.filter(F.col("n") >= min_count), "phrase_pass"))
         trie.unpersist()
         ids.unpersist()
     return reduce(DataFrame.unionByName, found) if found else None
@@ -331,22 +373,20 @@ def frequent_phrases(
     level, levels = words, [words.withColumn("size", F.lit(1))]
     for width in range(1, max_words + 1):
         passed = _level(
-            texts, level, width, seed, count=width > 1, propose=width < max_words,
+            texts, level, width, seed, min_count, count=width > 1, propose=width < max_words,
             max_sequences=max_sequences,
         )
         if passed is None:
             break
         if width > 1:
-            counts = passed.filter("next IS NULL").groupBy("id").agg(F.sum("n").alias("n"))
-            level = written(
-                level.join(counts.filter(F.col("n") >= min_count), "id"), "phrase_counts"
-            )
+            counts = passed.filter("next IS NULL").select("id", "n")
+            level = written(level.join(counts, "id"), "phrase_counts")
             levels.append(level.withColumn("size", F.lit(width)))
         if width < max_words:
-            wider = passed.filter("next IS NOT NULL").groupBy("id", "next").agg(F.sum("n").alias("n"))
+            wider = passed.filter("next IS NOT NULL").select("id", "next")
             last = words.select(F.col("words")[0].alias("next"), F.col("phrase").alias("last"))
             level = written(
-                wider.filter(F.col("n") >= min_count).drop("n").join(level, "id").join(last, "next").select(
+                wider.join(level, "id").join(last, "next").select(
                     F.monotonically_increasing_id().alias("id"), "lang",
                     F.concat_ws(" ", "phrase", "last").alias("phrase"),
                     F.concat("words", F.array("next")).alias("words"),
