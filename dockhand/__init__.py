@@ -1,6 +1,6 @@
 """Load DataFrames into warehouse tables: convert strictly, write staged, register."""
 
-from dockhand.errors import CommitError, ConflictError, LoadError, SpecError
+from dockhand.errors import CommitError, ConflictError, LoadError, RejectLimitError, SpecError
 from dockhand.operators.convert import clean_rows, dirty_rows, dirty_summary, project
 from dockhand.operators.text import flag_hazards, render_lines
 from dockhand.plans.load import LoadResult, load, recover, write_files
@@ -11,7 +11,7 @@ from dockhand.sources.text import parse_lines, read_text
 
 __all__ = [
     "Column", "CommitError", "ConflictError", "LoadError", "LoadResult", "LoadSpec",
-    "PartitionColumn", "SpecError", "clean_rows", "dirty_rows", "dirty_summary",
+    "PartitionColumn", "RejectLimitError", "SpecError", "clean_rows", "dirty_rows", "dirty_summary",
     "flag_hazards", "list_files", "list_group", "load", "parquet_schema_from_columns",
     "parse_lines", "project", "read_text", "recover", "render_lines", "schema_from_columns", "write_files",
 ]

@@ -15,3 +15,7 @@ class ConflictError(LoadError):
 
 class CommitError(LoadError):
     """Staged files could not be put in place, or the target is not usable."""
+
+
+class RejectLimitError(CommitError):
+    """More rows were rejected than the load description allows; the target is as it was."""

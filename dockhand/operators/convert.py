@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,13 @@ from dockhand.functions.casts import accept, attempt, can_fail, check_pair
 from dockhand.functions.sql import sql_literal, sql_name
 
 BAD = "_bad"
+FILE = "_file"
+
+# Input files are told apart by a hash of their paths, one bit each in a bitmap of 4 KB.
+FILE_BITS = 32768
+FILE_BIT = f"CAST(pmod(xxhash64(_metadata.file_path), {FILE_BITS}) AS INT)"
+# With rejects in more files than this, all are read again.
+MAX_FILES = 2000
 
 # What :func:`dirty_rows` adds.
 DIRTY_COLUMNS = ("bad_position", "bad_column", "bad_type", "bad_value", "message")
@@ -42,16 +50,29 @@ def fallible(df: DataFrame, schema: T.StructType) -> list[int]:
     return [i for i, (s, t) in enumerate(pairs) if can_fail(s.dataType, t.dataType)]
 
 
-def convert(df: DataFrame, schema: T.StructType) -> DataFrame:
+def knows_files(df: DataFrame) -> bool:
+    """Whether the rows of a frame still know which file each of them comes from."""
+    if "_metadata" in (c.lower() for c in df.columns):
+        return False
+    try:
+        df.selectExpr(FILE_BIT)
+    except AnalysisException:
+        return False
+    return True
+
+
+def convert(df: DataFrame, schema: T.StructType, with_file: bool = False) -> DataFrame:
     """Input columns ``_in<i>``, converted columns ``_out<i>`` and ``_bad``.
 
     ``_bad`` is the position of the first column, from 1, whose value is not null but
     does not convert, else null.  Attempting, accepting and checking are projections of
-    their own, so each cast is computed once for all of them.
+    their own, so each cast is computed once for all of them.  With ``with_file`` rejected
+    rows have the bit of their input file in ``_file``.
     """
     check_input(df, schema)
     types = [(s.dataType, t.dataType) for s, t in zip(df.schema, schema)]
-    raw = df.toDF(*[f"_in{i}" for i in range(len(types))])
+    names = [f"_in{i}" for i in range(len(types))]
+    raw = df.selectExpr("*", FILE_BIT).toDF(*names, FILE) if with_file else df.toDF(*names)
     tried = raw.selectExpr(
         "*", *[f"{attempt(f'_in{i}', *pair)} AS _try{i}" for i, pair in enumerate(types)]
     )
@@ -59,19 +80,28 @@ def convert(df: DataFrame, schema: T.StructType) -> DataFrame:
         *raw.columns,
         *[f"{accept(f'_in{i}', f'_try{i}', *pair)} AS _out{i}" for i, pair in enumerate(types)],
     )
-    return converted.selectExpr("*", f"{_first_bad(fallible(df, schema))} AS {BAD}")
+    kept = [c for c in converted.columns if c != FILE]
+    tagged = converted.selectExpr(
+        *kept, *([FILE] if with_file else []), f"{_first_bad(fallible(df, schema))} AS {BAD}"
+    )
+    if not with_file:
+        return tagged
+    return tagged.selectExpr(*kept, BAD, f"CASE WHEN {BAD} IS NOT NULL THEN {FILE} END AS {FILE}")
 
 
 def count(converted: DataFrame, observation: Observation | None = None) -> DataFrame:
     """The rows, counted as they pass (``rows`` and ``dirty``), into the observation if given.
 
-    A filter on ``_bad`` stays above the counting, where without it the optimizer would
+    Where rows have ``_file``, ``files`` is the bitmap of the input files that had rejected
+    ones.  A filter on ``_bad`` stays above the counting, where without it the optimizer would
     move it down and compute every cast again.
     """
+    files = [F.bitmap_construct_agg(FILE).alias("files")] if FILE in converted.columns else []
     return converted.observe(
         observation or f"dockhand-{uuid.uuid4().hex}",
         F.count(F.lit(1)).alias("rows"),
         F.count(BAD).alias("dirty"),
+        *files,
     )
 
 
@@ -90,6 +120,7 @@ def clean_rows(
     schema: T.StructType,
     observation: Observation | None = None,
     partitions: int | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
     """Rows that convert as a whole, converted; see :func:`count` for the observation.
 
@@ -98,14 +129,31 @@ def clean_rows(
     once they are converted and before they are counted: every input task converts, only
     what is written moves, and a repeated task of the shuffle does not count twice.
     """
-    rows = convert(df, schema)
+    rows = convert(df, schema, with_file)
     if partitions:
-        rows = rows.select(*[f"_out{i}" for i in range(len(schema))], BAD).repartition(partitions)
+        tags = [BAD, FILE] if with_file else [BAD]
+        rows = rows.select(*[f"_out{i}" for i in range(len(schema))], *tags).repartition(partitions)
     return count(rows, observation).filter(f"{BAD} IS NULL").selectExpr(
         *[f"_out{i} AS {sql_name(f.name)}" for i, f in enumerate(schema)]
     )
 
 
+def with_rejects(df: DataFrame, files: bytes | None) -> DataFrame:
+    """The rows of the input files whose bits are set in a bitmap of :func:`count`.
+
+    The condition is on the files alone, so that others are not opened.  Two files of one
+    bit are both read, which costs time and changes nothing.
+    """
+    if files is None:
+        return df
+    bits = [
+        8 * i + b for i, byte in enumerate(files) if byte for b in range(8) if byte >> b & 1
+    ]
+    if len(bits) > MAX_FILES or not bits:
+        return df
+    return df.filter(f"{FILE_BIT} IN ({', '.join(map(str, bits))})")
+
+
 def dirty_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows that do not convert, as they came, with the first column that failed.
 

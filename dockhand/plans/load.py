@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.errors import CommitError, SpecError
+from dockhand.errors import CommitError, RejectLimitError, SpecError
 from dockhand.functions.sql import sql_any
 from dockhand.operators import tables
 from dockhand.operators.claims import Control, claimed, live_runs, tidy
-from dockhand.operators.convert import check_input, clean_rows, dirty_rows, summarize
+from dockhand.operators.convert import (
+    BAD, check_input, clean_rows, convert, dirty_rows, fallible, knows_files, summarize, with_rejects,
+)
 from dockhand.operators.files import (
     Storage, check_target, new_run_id, publish, stage_path, write_stage,
 )
@@ -20,6 +24,10 @@ from dockhand.operators.text import hazards, render_lines
 from dockhand.plans.spec import LoadSpec
 
 
+# The chance that a load within its share of rejects is stopped early.
+DOUBT = 1e-9
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a load did; counts were taken while the rows were written.
@@ -35,6 +43,7 @@ class LoadResult:
     source: DataFrame
     rejects: str | None = None
     recovered: str | None = None
+    reject_files: bytes | None = None
 
     @property
     def rows_written(self) -> int:
@@ -45,14 +54,16 @@ class LoadResult:
         """The rejected rows, as many as were counted.
 
         They are those the load left at its ``rejects_location``.  Without one the input is
-        read again, once, and kept in the session's cache; an input that no longer gives
-        them, because the load replaced it or it changes, is an error.
+        read again, once, and kept in the session's cache; of an input that is files, only
+        those that had rejected rows.  An input that no longer gives them, because the load
+        replaced it or it changes, is an error.
         """
         if not self.rows_dirty:
             return dirty_rows(self.source, self.spec.output_schema).limit(0)
         if self.rejects:
             return self.source.sparkSession.read.parquet(self.rejects)
-        rejected = dirty_rows(self.source, self.spec.output_schema).persist()
+        source = with_rejects(self.source, self.reject_files)
+        rejected = dirty_rows(source, self.spec.output_schema).persist()
         _check_rejected(rejected.count(), self.rows_dirty)
         return rejected
 
@@ -138,11 +149,13 @@ def _load_files(
     spark, storage, directory = df.sparkSession, control.storage, control.target
     check_target(storage, directory, spec.file_prefix, spec.write_mode)
     rejects, created = None, False
+    _stop_early(df, spec)
     try:
         counts = _write(spark, df, spec, control.stage, control.run_id)
+        _check_limit(spec, counts["rows"], counts["dirty"])
         if counts["dirty"] and spec.rejects_location:
             rejects = f"{spec.rejects_location}/{spec.file_prefix}__{control.run_id}"
-            _keep_rejected(df, spec, rejects, counts["dirty"])
+            _keep_rejected(with_rejects(df, counts.get("files")), spec, rejects, counts["dirty"])
         control.check()
         if create:
             created = tables.create_table(spark, spec, control.run_id)
@@ -169,9 +182,47 @@ def _load_files(
         source=df,
         rejects=rejects,
         recovered=control.recovered,
+        reject_files=counts.get("files"),
     )
 
 
+def _check_limit(spec: LoadSpec, rows: int, dirty: int) -> None:
+    """Raise when more rows were rejected than the description allows."""
+    if spec.max_rejects is not None and dirty > spec.max_rejects:
+        raise RejectLimitError(f"{dirty} rows were rejected, {spec.max_rejects} are allowed")
+    if spec.max_reject_share is not None and dirty > spec.max_reject_share * rows:
+        raise RejectLimitError(
+            f"{dirty} of {rows} rows were rejected, a share of {spec.max_reject_share} is allowed"
+        )
+
+
+def _stop_early(df: DataFrame, spec: LoadSpec) -> None:
+    """Raise when the first rows already tell that the load goes over its limit.
+
+    ``probe_rows`` of the first input partitions are converted and not written.  More rejects
+    among them than are allowed in all are more in all.  A share is over the limit when the
+    rows, taken as drawn from the input, would show as many only once in ``1 / DOUBT`` loads
+    of the allowed share (Hoeffding's bound); inputs whose first rows are unlike the others
+    set ``probe_rows=0``.
+    """
+    limits = spec.max_rejects, spec.max_reject_share
+    if limits == (None, None) or not spec.probe_rows or not fallible(df, spec.output_schema):
+        return
+    first = convert(df.limit(spec.probe_rows), spec.output_schema)
+    seen = first.agg(F.count(F.lit(1)).alias("rows"), F.count(BAD).alias("dirty")).first()
+    rows, dirty = seen["rows"], seen["dirty"]
+    if spec.max_rejects is not None and dirty > spec.max_rejects:
+        raise RejectLimitError(
+            f"{dirty} of the first {rows} rows are rejected, {spec.max_rejects} are allowed in all"
+        )
+    if spec.max_reject_share is not None and rows:
+        sure = dirty / rows - math.sqrt(math.log(1 / DOUBT) / (2 * rows))
+        if sure > spec.max_reject_share:
+            raise RejectLimitError(
+                f"{dirty} of the first {rows} rows are rejected, a share of {spec.max_reject_share} is allowed"
+            )
+
+
 def _keep_rejected(df: DataFrame, spec: LoadSpec, path: str, counted: int) -> None:
     """Write the rejected rows while the input is still there, all of them or none."""
     seen = Observation()
@@ -184,12 +235,15 @@ def _keep_rejected(df: DataFrame, spec: LoadSpec, path: str, counted: int) -> No
 
 def output_rows(df: DataFrame, spec: LoadSpec, observation: Observation) -> DataFrame:
     """The rows of a load as the file writer gets them, counted on the way."""
-    return clean_rows(df, spec.output_schema, observation, spec.files)
+    may_reject = bool(fallible(df, spec.output_schema))
+    return clean_rows(
+        df, spec.output_schema, observation, spec.files, with_file=may_reject and knows_files(df)
+    )
 
 
 def _write(
     spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, run_id: str
-) -> dict[str, int]:
+) -> dict[str, Any]:
     counts, unsafe = Observation(), Observation()
     rows = output_rows(df, spec, counts)
     if spec.file_format == "text":

@@ -66,6 +66,9 @@ class LoadSpec:
     ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
     Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
     does not say how its lines are made, because something else created it.
+    With more rejected rows than ``max_rejects``, or a larger share of them than
+    ``max_reject_share``, a load changes nothing and leaves no rejects; the first ``probe_rows``
+    rows are tried before anything is written, and may stop it early.
     ``claim_seconds`` is how long a driver may be away before another load of the same files
     takes over from it.
     ``schema`` replaces the types of ``columns`` in Parquet files, which is how DECIMAL
@@ -88,6 +91,9 @@ class LoadSpec:
     fail_on_hazards: bool = False
     rejects_location: str | None = None
     claim_seconds: float = 600
+    max_rejects: int | None = None
+    max_reject_share: float | None = None
+    probe_rows: int = 100_000
     adopt: bool = False
     schema: T.StructType | None = field(default=None, compare=False)
 
@@ -107,6 +113,12 @@ class LoadSpec:
             put("rejects_location", _directory("rejects_location", self.rejects_location))
             if f"{self.rejects_location}/".startswith(f"{self.location}/"):
                 raise SpecError("rejects_location must not lie in the location of the table")
+        if self.max_rejects is not None and self.max_rejects < 0:
+            raise SpecError("max_rejects must be at least 0")
+        if self.max_reject_share is not None and not 0 <= self.max_reject_share <= 1:
+            raise SpecError("max_reject_share must be from 0 to 1")
+        if self.probe_rows < 0:
+            raise SpecError("probe_rows must be at least 0")
         if self.claim_seconds <= 0:
             raise SpecError("claim_seconds must be above 0")
         self._check_schema()
