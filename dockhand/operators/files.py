@@ -6,6 +6,7 @@ the driver is names only: list, rename, delete.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -14,12 +15,16 @@ from typing import Any, NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from dockhand.errors import CommitError, ConflictError
 from dockhand.sources.files import Entry, entries
 
 # Renames and deletes are waits on the file system, so many run at once.
 FILE_OPERATION_THREADS = 32
+# Where the files of a stage wait that are written anew.
+ODD = "odd"
+
 
 class Storage:
     """The few file system calls a load needs, for the file system of one path."""
@@ -169,7 +174,8 @@ def stage_path(base: str, run_id: str) -> str:
 
 
 def write_stage(
-    df: DataFrame, file_format: str, compression: str, stage: str, prefix: str, run_id: str
+    df: DataFrame, file_format: str, compression: str, stage: str, prefix: str, run_id: str,
+    mode: str = "errorifexists",
 ) -> None:
     """Write a frame into a fresh directory, file names led by ``<prefix>__<run id>``.
 
@@ -184,11 +190,59 @@ def write_stage(
         .option("mapreduce.output.basename", f"{prefix}__{run_id}")
         .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-        .mode("errorifexists")
+        .mode(mode)
         .save(stage)
     )
 
 
+def fit_files(
+    spark: SparkSession, storage: Storage, schema: T.StructType, file_format: str, compression: str,
+    stage: str, prefix: str, run_id: str, target_bytes: int,
+) -> int:
+    """Bring staged files to between half and twice a size; returns how many were rewritten.
+
+    What the files weigh is known once they are written, in their format and codec, so it
+    is they that are measured.  Those of a fitting size stay as they are; the rows of the
+    others are dealt evenly to as many files as their bytes ask for.  Rows dealt anew may
+    pack better or worse, so the new files are measured too, and dealt once more if need
+    be.  All rows of fewer bytes than half the size make one file.
+    """
+    rewritten = 0
+    for _ in range(2):
+        files = [e for e in storage.entries(stage) if e.length and not e.is_directory]
+        odd, count = odd_files([e.length for e in files], target_bytes)
+        if not odd:
+            break
+        names, aside = [files[i].name for i in odd], f"{stage}/{ODD}"
+        storage.make_directory(aside)
+        move_files(storage, stage, aside, names)
+        reader = spark.read.format(file_format).schema(schema).option("lineSep", "\n")
+        rows = reader.load(_no_pattern(aside)).repartition(count)
+        write_stage(rows, file_format, compression, stage, prefix, run_id, mode="append")
+        storage.delete(aside)
+        rewritten += len(names)
+    return rewritten
+
+
+def odd_files(sizes: list[int], target: int) -> tuple[list[int], int]:
+    """Which files, by their numbers, to write anew, and as how many; none if it is no use."""
+    odd = [i for i, n in enumerate(sizes) if not target <= 2 * n <= 4 * target]
+    if not odd:
+        return [], 0
+    total = sum(sizes[i] for i in odd)
+    rest = sorted(set(range(len(sizes))) - set(odd), key=lambda i: sizes[i])
+    if 2 * total < target and rest:  # too little for a file: it goes to the smallest other one
+        odd.append(rest[0])
+        total += sizes[rest[0]]
+    count = max(1, round(total / target))
+    return ([], 0) if count == len(odd) == 1 else (sorted(odd), count)
+
+
+def _no_pattern(path: str) -> str:
+    """A path as Spark's reader takes it, in which nothing stands for anything else."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
 def check_target(storage: Storage, target: str, prefix: str, mode: str) -> None:
     """Raise when the target is not a directory, or holds what the mode does not allow.
 

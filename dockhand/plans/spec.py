@@ -62,7 +62,8 @@ class LoadSpec:
     """Where the rows of a DataFrame go, as what, and in which files.
 
     ``files`` asks for that many output files and costs a shuffle; left out, every
-    input partition writes one file.  ``null_value`` stands for null in text files.
+    input partition writes one file.  With ``target_file_bytes`` files of less than half or
+    more than twice that size are written anew, as files of about that size.  ``null_value`` stands for null in text files.
     ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
     Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
     does not say how its lines are made, because something else created it.
@@ -87,6 +88,7 @@ class LoadSpec:
     staging_path: str | None = None
     encoding: str = "UTF-8"
     files: int | None = None
+    target_file_bytes: int | None = None
     null_value: str = ""
     fail_on_hazards: bool = False
     rejects_location: str | None = None
@@ -128,6 +130,8 @@ class LoadSpec:
         self._check_text_options()
         if self.files is not None and self.files < 1:
             raise SpecError("files must be at least 1")
+        if self.target_file_bytes is not None and self.target_file_bytes < 1:
+            raise SpecError("target_file_bytes must be at least 1")
 
     @property
     def database(self) -> str:

@@ -151,6 +151,29 @@ def sink_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@REGISTRY.add(
+    "files_of_a_size",
+    "SELECT true AS sizes_fit, true AS several_files, count(*) AS file_rows, sum(l_orderkey) AS order_keys"
+    " FROM lineitem",
+)
+def files_of_a_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines dealt to 200 partitions, one of which has half of them, as files of one size."""
+    lines = table(spark, sf_dir, "lineitem")
+    part = F.when(F.col("l_orderkey") % 2 == 0, 0).otherwise(F.col("l_partkey") % 199)
+    uneven = lines.withColumn("part", part).repartition(200, "part").drop("part")
+    target = 50_000
+    spec = make_spec(
+        new_target(spark, "sized"), LINEITEM_COLUMNS, compression="snappy", target_file_bytes=target
+    )
+    dockhand.write_files(uneven, spec)
+    sizes = [e.length for e in Storage(spark, spec.location).entries(spec.location)]
+    return spark.read.orc(spec.location).agg(
+        F.lit(all(target <= 2 * n <= 4 * target for n in sizes)).alias("sizes_fit"),
+        F.lit(len(sizes) > 1).alias("several_files"),
+        F.count(F.lit(1)).alias("file_rows"), F.sum("l_orderkey").alias("order_keys"),
+    )
+
+
 @REGISTRY.add(
     "sink_manifest",
     "SELECT 'a' AS file_group, true AS names_well_formed, 0 AS files_empty,"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import dockhand
 from dockhand import LoadSpec
 from dockhand.operators import tables
+from dockhand.operators.convert import with_rejects
 from dockhand.operators.files import Storage
 from dockhand_queries.common import (
     CUSTOMER_COLUMNS, DATABASE, LINEITEM_COLUMNS, MESSY_ORDERS, MESSY_ORDERS_COLUMNS,
@@ -349,6 +350,53 @@ def rejects_survive_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@REGISTRY.add(
+    "rejects_of_few_files",
+    "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS quantity, 2 AS files_read, 64 AS files"
+    " FROM lineitem WHERE l_orderkey IN (SELECT unnest([min(l_orderkey), max(l_orderkey)]) FROM lineitem)",
+)
+def rejects_of_few_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in 64 files by order, the first and the last order of which do not convert."""
+    folder = new_target(spark, "input").location
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    ends = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    lines.repartitionByRange(64, "l_orderkey").withColumn(
+        "l_orderkey", F.when(F.col("l_orderkey").isin(*ends), F.concat(F.lit("no "), "l_orderkey"))
+        .otherwise(F.col("l_orderkey").cast("string"))
+    ).write.parquet(folder)
+    files = spark.read.parquet(folder)
+    spec = make_spec(new_target(spark, "few"), [("k", "bigint"), ("n", "int"), ("q", "double")])
+    result = dockhand.write_files(files, spec)
+    again = with_rejects(files, result.reject_files)
+    read = again.select("_metadata.file_path").distinct().count()
+    return result.dirty.select(
+        F.replace("l_orderkey", F.lit("no "), F.lit("")).cast("bigint").alias("l_orderkey"), "l_linenumber",
+        F.col("l_quantity").cast("bigint").alias("quantity"), F.lit(read).alias("files_read"),
+        F.lit(files.select("_metadata.file_path").distinct().count()).alias("files"),
+    )
+
+
+@REGISTRY.add(
+    "reject_limits",
+    "SELECT max_share, dirty <= max_share * customers AS loaded, CASE WHEN dirty <= max_share * customers"
+    " THEN customers - dirty ELSE 0 END AS table_rows FROM (SELECT count(*) AS customers,"
+    " count(*) FILTER (WHERE c_custkey % 10 = 3) AS dirty FROM customer),"
+    " (SELECT unnest([0.0::DOUBLE, 0.02, 0.25, 1.0]) AS max_share)",
+)
+def reject_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers a tenth of which does not convert, under limits of several shares."""
+    customer = table(spark, sf_dir, "customer").select(
+        F.expr("if(c_custkey % 10 = 3, 'x', CAST(c_custkey AS STRING))").alias("c_custkey"), "c_name"
+    )
+    report = []
+    for share in (0.0, 0.02, 0.25, 1.0):
+        target = new_target(spark, "limited")
+        spec = make_spec(target, [("c_custkey", "bigint"), ("c_name", "string")], max_reject_share=share)
+        loaded = _attempt(lambda: dockhand.load(customer, spec)) == "loaded"
+        report.append((share, loaded, spark.table(target.table).count() if loaded else 0))
+    return spark.createDataFrame(report, "max_share double, loaded boolean, table_rows bigint")
+
+
 def _attempt(load) -> str:
     try:
         load()
