@@ -47,7 +47,9 @@ def check_input(df: DataFrame, schema: T.StructType) -> None:
 def fallible(df: DataFrame, schema: T.StructType) -> list[int]:
     """Positions, from 0, of the columns that can hold a value that does not convert."""
     pairs = zip(df.schema, schema)
-    return [i for i, (s, t) in enumerate(pairs) if can_fail(s.dataType, t.dataType)]
+    return [
+        i for i, (s, t) in enumerate(pairs) if can_fail(s.dataType, t.dataType) or s.nullable and not t.nullable
+    ]
 
 
 def knows_files(df: DataFrame) -> bool:
@@ -65,7 +67,7 @@ def convert(df: DataFrame, schema: T.StructType, with_file: bool = False) -> Dat
     """Input columns ``_in<i>``, converted columns ``_out<i>`` and ``_bad``.
 
     ``_bad`` is the position of the first column, from 1, whose value is not null but
-    does not convert, else null.  Attempting, accepting and checking are projections of
+    does not convert, or is null where the schema has no nulls, else null.  Attempting, accepting and checking are projections of
     their own, so each cast is computed once for all of them.  With ``with_file`` rejected
     rows have the bit of their input file in ``_file``.
     """
@@ -82,7 +84,7 @@ def convert(df: DataFrame, schema: T.StructType, with_file: bool = False) -> Dat
     )
     kept = [c for c in converted.columns if c != FILE]
     tagged = converted.selectExpr(
-        *kept, *([FILE] if with_file else []), f"{_first_bad(fallible(df, schema))} AS {BAD}"
+        *kept, *([FILE] if with_file else []), f"{_first_bad(fallible(df, schema), schema)} AS {BAD}"
     )
     if not with_file:
         return tagged
@@ -110,8 +112,11 @@ def tag(df: DataFrame, schema: T.StructType, observation: Observation | None = N
     return count(convert(df, schema), observation)
 
 
-def _first_bad(positions: list[int]) -> str:
-    checks = [f"WHEN _in{i} IS NOT NULL AND _out{i} IS NULL THEN {i + 1}" for i in positions]
+def _first_bad(positions: list[int], schema: T.StructType) -> str:
+    checks = [
+        f"WHEN {f'_in{i} IS NOT NULL AND ' if schema[i].nullable else ''}_out{i} IS NULL THEN {i + 1}"
+        for i in positions
+    ]
     return f"CASE {' '.join(checks)} END" if checks else "CAST(NULL AS INT)"
 
 

@@ -11,6 +11,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import types as T
 
 from dockhand.errors import SpecError
+from dockhand.plans.parquet_text import parse_parquet_schema
 from dockhand.plans.types import column_type, parquet_column_type, schema_from_columns
 
 # Codecs each file format accepts besides "none".
@@ -39,6 +40,7 @@ JOB_OPTIONS = {
     "delimiter": "fieldDelimiter",
     "compression": "compress",
     "encoding": "encoding",
+    "parquet_schema": "parquetSchema",
 }
 
 
@@ -73,7 +75,8 @@ class LoadSpec:
     ``claim_seconds`` is how long a driver may be away before another load of the same files
     takes over from it.
     ``schema`` replaces the types of ``columns`` in Parquet files, which is how DECIMAL
-    and BINARY columns are written.
+    and BINARY columns are written; it may be the text of a Parquet message.  Null in one of
+    its columns that is not nullable is rejected.
     """
 
     table: str
@@ -97,7 +100,7 @@ class LoadSpec:
     max_reject_share: float | None = None
     probe_rows: int = 100_000
     adopt: bool = False
-    schema: T.StructType | None = field(default=None, compare=False)
+    schema: T.StructType | str | None = field(default=None, compare=False)
 
     def __post_init__(self) -> None:
         def put(name: str, value: Any) -> None:
@@ -106,6 +109,8 @@ class LoadSpec:
         put("file_format", _choice("file_format", self.file_format, COMPRESSIONS))
         put("write_mode", _choice("write_mode", self.write_mode, WRITE_MODES))
         put("compression", _compression(self.file_format, self.compression))
+        if isinstance(self.schema, str):
+            put("schema", parse_parquet_schema(self.schema))
         put("columns", _columns(self.columns))
         put("partition", _partition(self.partition, self.columns))
         put("location", _directory("location", self.location))
@@ -179,8 +184,10 @@ class LoadSpec:
         """Read the parameter block of a JSON job description.
 
         Connection, account and permission options are not read: the Spark session has
-        its own catalog, file systems and credentials.
+        its own catalog, file systems and credentials.  A Parquet schema, if there is one, goes
+        before the types of the columns, and stands for the columns where they are left out.
         """
+        parameter = _with_columns(parameter)
         get = {ours: parameter.get(theirs) for ours, theirs in JOB_OPTIONS.items()}
         for name in ("table", "database", "table_type", "location", "file_prefix",
                      "file_format", "columns", "write_mode"):
@@ -201,6 +208,7 @@ class LoadSpec:
             "delimiter": get["delimiter"],
             "compression": get["compression"],
             "encoding": get["encoding"] or "UTF-8",
+            "schema": (get["parquet_schema"] or "").strip() or None,
         }
         if kind == "partition":
             values["partition"] = [
@@ -209,6 +217,14 @@ class LoadSpec:
         return cls(**{**values, **overrides})
 
 
+def _with_columns(parameter: Mapping[str, Any]) -> Mapping[str, Any]:
+    names, text = JOB_OPTIONS["columns"], parameter.get(JOB_OPTIONS["parquet_schema"])
+    if parameter.get(names) or not (text or "").strip():
+        return parameter
+    columns = [{"name": f.name, "type": f.dataType.simpleString()} for f in parse_parquet_schema(text)]
+    return {**parameter, names: columns}
+
+
 def _choice(option: str, value: Any, allowed: Iterable[str]) -> str:
     if value is None or not str(value).strip():
         raise SpecError(f"{option} is required")

@@ -124,6 +124,42 @@ def parquet_explicit_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(back.withColumns({n: F.col(n).cast("string") for n in texts}))
 
 
+_MESSAGE = """
+message order {
+  required int64 o_orderkey;
+  optional int32 o_custkey;
+  optional binary o_orderstatus (UTF8);
+  optional fixed_len_byte_array(6) o_totalprice (DECIMAL(13, 2));
+  optional int64 o_orderdate (TIMESTAMP_MILLIS);
+}"""
+
+
+@REGISTRY.add(
+    "parquet_schema_text",
+    "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS VARCHAR) AS o_custkey,"
+    " o_orderstatus,"
+    " CAST(CAST(o_totalprice AS DECIMAL(13, 2)) AS VARCHAR) AS o_totalprice,"
+    f" {duck_moment('o_orderdate')} AS o_orderdate, (SELECT count(*) FROM orders WHERE o_orderkey % 13 = 0)"
+    " AS without_key FROM orders WHERE o_orderkey % 13 <> 0",
+)
+def parquet_schema_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job whose columns are those of a Parquet message, one of them required."""
+    target = new_target(spark, "message")
+    spec = dockhand.LoadSpec.from_job({
+        "dbName": target.table.split(".")[0], "tableName": target.table.split(".")[1],
+        "tableType": "normal", "locationPath": target.location.removeprefix("file:"), "fileName": "load",
+        "fileType": "parquet", "writeMode": "append", "parquetSchema": _MESSAGE,
+    })
+    orders = table(spark, sf_dir, "orders").select(
+        F.expr("if(o_orderkey % 13 = 0, NULL, o_orderkey)").alias("o_orderkey"),
+        F.expr("if(o_orderkey % 17 = 0, NULL, o_custkey)").alias("o_custkey"),
+        "o_orderstatus", "o_totalprice", "o_orderdate",
+    )
+    result = dockhand.load(orders, spec)
+    back = spark.table(spec.table).withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    return comparable(back, as_text=("o_custkey",)).withColumn("without_key", F.lit(result.rows_dirty).cast("bigint"))
+
+
 @REGISTRY.add(
     "whole_text_roundtrip",
     "SELECT doc_id, md5(text) AS text_md5, length(text) AS text_chars, lang, source, n_chars"
