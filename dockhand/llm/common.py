@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockhand.functions.sql import sql_name
 from dockhand.plans.workspace import new_workspace
+from dockhand.sources.files import entries
 
 # The characters that part words, and the letters that are lower-cased.
 SPACES = " \t\n\x0b\x0c\r"
@@ -52,6 +56,83 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Aside:
+    """A frame whose columns have numbers for names, so that none clashes with an operator's own."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.names = df.columns
+        self.df = df.toDF(*[self._number(i) for i in range(len(self.names))])
+
+    def _number(self, i: int) -> str:
+        return f"in_{i}"
+
+    def name(self, column: str) -> str:
+        """What a column is called here."""
+        return self._number(self.names.index(column))
+
+    def own(self, df: DataFrame, leaving: Iterable[str] = ()) -> list[Column]:
+        """The columns of ``df`` that were there first, under their names, but those that leave."""
+        return [
+            df[self._number(i)].alias(n) for i, n in enumerate(self.names) if n not in set(leaving)
+        ]
+
+
+# A written table of fewer bytes goes to every executor where it is joined with texts.
+BROADCAST_BYTES = 16 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """The size of the files of a :func:`written` frame."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    folder = unquote(files[0].rsplit("/", 1)[0])
+    return sum(e.length for e in entries(df.sparkSession, folder) if not e.is_directory)
+
+
+def join_few(df: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``df`` joined with a :func:`written` table (``left`` or ``left_anti``) on key hashes.
+
+    ``keys`` are columns of 64-bit hashes, of the same names in both.  A table of few bytes
+    is broadcast.  For a larger one, a bitmap of its keys is, which has at most
+    ``MAX_BITMAP_BITS``: rows of ``df`` whose bit is not set have no partner and pass straight
+    through, and only the others are shuffled.
+    """
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    rest = [c for c in few.columns if c not in keys] if how == "left" else []
+    columns = [F.col(f"a.{sql_name(c)}") for c in df.columns] + [F.col(f"b.{sql_name(c)}") for c in rest]
+    if stored_bytes(few) <= BROADCAST_BYTES:
+        return df.alias("a").join(F.broadcast(few).alias("b"), on, how).select(*columns)
+    bits = MIN_BITMAP_BITS
+    while bits < min(MAX_BITMAP_BITS, 16 * few.count()):
+        bits *= 2
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    bitmap = few.select(place.alias("place")).distinct().groupBy(
+        F.floor(F.col("place") / BUCKET_BITS).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.col("place") % BUCKET_BITS).alias("bitmap"))
+    probed = df.withColumn("_place", place).join(
+        F.broadcast(bitmap), F.floor(F.col("_place") / BUCKET_BITS) == F.col("bucket"), "left"
+    ).withColumn("_maybe", F.coalesce(is_set(F.col("bitmap"), F.col("_place")), F.lit(False)))
+    maybe = probed.filter("_maybe").select(*df.columns).alias("a").join(few.alias("b"), on, how).select(*columns)
+    alone = probed.filter("NOT _maybe").select(
+        *df.columns, *[F.lit(None).cast(few.schema[c].dataType).alias(c) for c in rest]
+    )
+    return maybe.unionByName(alone)
+
+
+# Bits of one bitmap value of Spark's bitmap functions, and of a whole bitmap of join_few.
+BUCKET_BITS = 32768
+MIN_BITMAP_BITS = 1 << 20
+MAX_BITMAP_BITS = 1 << 28
+
+
+def is_set(bitmap: Column, place: Column) -> Column:
+    """The bit of a place in the bitmap value of its bucket."""
+    bit = (place % BUCKET_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.floor(byte.cast("int") / F.pow(F.lit(2), bit % 8)) % 2 == 1
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

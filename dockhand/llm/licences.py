@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import LOWER, UPPER, lower_ascii, text_of
+from dockhand.llm.common import LOWER, UPPER, Aside, lower_ascii, text_of
 
 # Sentences of public licences and notices.
 SENTENCES: dict[str, list[str]] = {
@@ -140,7 +140,7 @@ def scan_licences(
     )
     starts = _starts(sentences)
     line_break = r"\n(?=[^A-Za-z0-9\n]*(?:\n" + (f"|(?:{starts})(?![A-Za-z0-9])" if starts else "") + "))"
-    own = df.drop("n_sentences", "sentence_ids", "licences", "unmatched_ids")
+    aside = Aside(df)
 
     def named(part: Column) -> Column:
         return F.coalesce(F.element_at(table, _normalised(part)), F.lit(""))
@@ -154,13 +154,13 @@ def scan_licences(
             F.flatten(F.transform(F.split(F.regexp_replace(part, line_break, MARK), MARK), lines))
         )
 
-    split = F.split(F.regexp_replace(text_of(text_col), SENTENCE_END, "$1" + MARK), MARK)
+    split = F.split(F.regexp_replace(text_of(aside.name(text_col)), SENTENCE_END, "$1" + MARK), MARK)
     wrapped = F.array_join(F.transform(
         F.flatten(F.transform("_parts", identifiers)), lambda i: F.concat(F.lit("<"), i, F.lit(">"))
     ), "")
     for pieces, name in longer.items():
         wrapped = F.replace(wrapped, F.lit("".join(f"<{known[x]}>" for x in pieces)), F.lit(f"<{name}>"))
-    found = own.withColumn("_parts", split).withColumn(
+    found = aside.df.withColumn("_parts", split).withColumn(
         # Nothing and lone parts of longer sentences go.
         "_sequence", F.regexp_replace(wrapped, "<([0-9]+#)?>", "")
     ).withColumn("_ids", F.regexp_extract_all("_sequence", F.lit("<([^>]*)>"), F.lit(1)))
@@ -179,7 +179,7 @@ def scan_licences(
         ),
     ))
     return matched.select(
-        *own.columns,
+        *aside.own(matched, ["n_sentences", "sentence_ids", "licences", "unmatched_ids"]),
         F.size(F.filter("_parts", lambda p: lower_ascii(p).rlike("[a-z0-9]"))).cast("bigint").alias("n_sentences"),
         F.array_join("_ids", ",").alias("sentence_ids"),
         F.array_join(F.array_distinct("_matched.names"), ",").alias("licences"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import SPACES, lower_ascii, text_of, written
+from dockhand.llm.common import SPACES, Aside, join_few, lower_ascii, text_of, written
 
 WORD = 64
 _HASH = ["h1", "h2"]
@@ -25,6 +25,11 @@ def _version(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), text_of(text_col))
 
 
+def _id_hash(id_col: str) -> Column:
+    """With the version, 128 bits that stand for a document."""
+    return F.xxhash64(F.lit(1), id_col)
+
+
 def _lines(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     key = lower_ascii(F.btrim(F.col("line"), F.lit(SPACES)))
     return (
@@ -98,18 +103,15 @@ def drop_lines(
     """
     bitmaps = written(
         line_bitmaps(df, id_col, text_col, min_chars, min_docs, keep_first).select(
-            F.col("doc").alias("_doc"), F.col("version").alias("_version"),
-            F.col("dropped").alias("_dropped"),
+            F.col("version").alias("_version"), _id_hash("doc").alias("_id"), F.col("dropped").alias("_dropped")
         ),
         "line_bitmaps",
     )
-    own = df.drop("n_lines", "n_dropped")
-    found = own.withColumn("_own_version", _version(id_col, text_col)).join(
-        bitmaps,
-        (F.col("_own_version") == F.col("_version")) & F.col(id_col).eqNullSafe(F.col("_doc")),
-        "left",
-    )
-    lines = found.withColumn("_lines", F.split(text_of(text_col), "\n")).withColumn(
+    aside = Aside(df)
+    text, doc = aside.name(text_col), aside.name(id_col)
+    keyed = aside.df.withColumns({"_version": _version(doc, text), "_id": _id_hash(doc)})
+    found = join_few(keyed, bitmaps, ["_version", "_id"], "left")
+    lines = found.withColumn("_lines", F.split(text_of(text), "\n")).withColumn(
         # All words, so that a line finds its bit by position.
         "_words",
         F.expr(
@@ -122,12 +124,9 @@ def drop_lines(
         "array_join(filter(_lines, (line, i) ->"
         f" shiftright(_words[cast(i div {WORD} AS int)], i % {WORD}) & 1 = 0), '\\n')"
     )
-    return lines.select(
-        *[
-            F.when(F.col("_words").isNull(), text_of(text_col)).otherwise(kept).alias(text_col)
-            if c == text_col else F.col(c)
-            for c in own.columns
-        ],
+    cleaned = lines.withColumn(text, F.when(F.col("_words").isNull(), text_of(text)).otherwise(kept))
+    return cleaned.select(
+        *aside.own(cleaned, ["n_lines", "n_dropped"]),
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.expr("coalesce(aggregate(_dropped, 0L, (n, w) -> n + bit_count(w.bits)), 0L)").alias("n_dropped"),
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import text_of, written
+from dockhand.llm.common import Aside, text_of, written
 
 # Above this mean a draw is the sum of several, each of at most this mean, since
 # exp(-mean) would lose all precision.
@@ -68,10 +68,13 @@ def mix(
 
     Added columns, which replace columns of the same names: ``rate``, ``n_copies``,
     ``copy`` from 1, and ``shuffle_key``, a hash of id, copy and seed by which the result is
-    range-partitioned and sorted.  Rows of the same id draw the same number; null ids count
-    as one id.  An empty table gives an empty result.
+    range-partitioned and sorted.  Rows of the same id draw the same number; a row without an
+    id draws by the hash of its text.  An empty table gives an empty result.
     """
-    own = df.drop("rate", "n_copies", "copy", "shuffle_key")
+    aside = Aside(df)
+    own = aside.df
+    text = text_of(aside.name(text_col))
+    key_of = F.coalesce(F.col(aside.name(id_col)).cast("string"), F.md5(text))
     rates = written(
         source_rates(df, source_col, text_col, weights, epochs)
         .withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_MEAN)).cast("int"))
@@ -86,30 +89,26 @@ def mix(
         "mixing_rates",
     )
     unit = (
-        f"conv(substr(md5(concat_ws(':', coalesce(cast({_quoted(id_col)} AS string), ''), '{seed}',"
-        " cast(j AS string))), 1, 13), 16, 10) / 4503599627370496D"
+        f"conv(substr(md5(concat_ws(':', _key, '{seed}', cast(j AS string))), 1, 13), 16, 10)"
+        " / 4503599627370496D"
     )
     copies = F.expr(
         "aggregate(sequence(1, draws), 0, (n, j) ->"
         f" n + size(filter(cdf, c -> c <= {unit})))"
     )
-    key = F.md5(F.concat_ws(
-        ":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(str(seed)), F.lit("copy"),
-        F.col("copy").cast("string"),
-    ))
-    return (
-        own.join(rates, F.col(source_col).eqNullSafe(F.col("_source")))
+    key = F.md5(F.concat_ws(":", "_key", F.lit(str(seed)), F.lit("copy"), F.col("copy").cast("string")))
+    mixed = (
+        own.join(rates, F.col(aside.name(source_col)).eqNullSafe(F.col("_source")))
+        .withColumn("_key", key_of)
         .withColumn("n_copies", copies)
         .filter("n_copies > 0")
         .select(
-            *own.columns, F.col("_rate").alias("rate"), "n_copies",
+            *own.columns, F.col("_rate").alias("rate"), "n_copies", "_key",
             F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"),
         )
-        .withColumn("shuffle_key", key)
+        .withColumn("shuffle_key", key).drop("_key")
         .repartitionByRange("shuffle_key")
         .sortWithinPartitions("shuffle_key")
     )
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    added = ["rate", "n_copies", "copy", "shuffle_key"]
+    return mixed.select(*aside.own(mixed, added), *added)

@@ -301,13 +301,13 @@ def _frequent_words(texts: DataFrame, min_count: int, seed: int) -> tuple[DataFr
     if keys.filter("collide").take(1):
         return None
     totals = shards.filter("key IS NULL").groupBy("lang").agg(F.sum("n").alias("n_words"))
-    words = (
-        shards.filter("word IS NOT NULL").select("lang", "word", "key").join(keys, "key")
-        .select("key", "lang", "word", keys["n"]).distinct()
-        .select(
-            F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"),
-            F.array("key").alias("words"), "n",
-        )
+    # Each task has given its words' texts, so they become one row a word before the join.
+    texts_of = shards.filter("word IS NOT NULL").groupBy("key").agg(
+        F.max(F.struct("lang", "word")).alias("text")
+    )
+    words = texts_of.join(keys, "key").select(
+        F.monotonically_increasing_id().alias("id"), "text.lang", F.col("text.word").alias("phrase"),
+        F.array("key").alias("words"), "n",
     )
     return written(words, "phrase_level"), written(totals, "phrase_totals")
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import SPACE_CLASS, text_of, words_of
+from dockhand.llm.common import SPACE_CLASS, Aside, text_of, words_of
 
 BUCKETS = 1 << 16
 # Pseudo-count of every bucket in both multinomials.
@@ -202,14 +202,16 @@ def judge(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "score", "kept",
     ]
-    own = df.drop(*added)
-    counted = _repeat_words(_measured(own, id_col, text_col))
-    scored = (_scored_held_out if held_out else _scored)(counted, df, trusted, id_col, text_col, max_trusted)
+    aside = Aside(df)
+    own, row, text = aside.df, aside.name(id_col), aside.name(text_col)
+    counted = _repeat_words(_measured(own, row, text))
+    scored = (_scored_held_out if held_out else _scored)(counted, own, trusted, row, text, max_trusted)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
-    judged = scored.withColumn("base_failed", failed).withColumn(
+    verdict = scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold)
-    ).select(*own.columns, *added)
+    )
+    judged = verdict.select(*aside.own(verdict, added), *added)
     # A filter on the verdict stays above this node; below, it would repeat the work.
     return judged.observe(Observation(), F.count(F.lit(1)).alias("rows"))

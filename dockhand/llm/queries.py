@@ -125,18 +125,24 @@ rates AS (
   SELECT source, CASE WHEN chars > 0 THEN
     sqrt(chars) / (SELECT sum(sqrt(chars)) FROM sizes) * (SELECT sum(chars) FROM sizes) / chars
     ELSE 1 END AS rate FROM sizes),
+means AS (SELECT *, greatest(1, ceil(rate / 200))::INT AS draws, rate / greatest(1, ceil(rate / 200)) AS mean FROM rates),
+terms AS (SELECT source, mean, unnest(range(0, ceil(mean + 12 * sqrt(mean) + 20)::INT + 1)) AS k FROM means),
 cdf AS (
-  SELECT source, k, sum(exp(-rate) * rate ** k / factorial(k::INT)) OVER (PARTITION BY source ORDER BY k) AS below
-  FROM rates, range(34) AS n(k)),
+  SELECT source, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below
+  FROM terms),
 drawn AS (
-  SELECT doc_id, source, text, ('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), '0', '1')), 1, 13))::BIGINT
-    / 4503599627370496 AS u FROM documents),
+  SELECT row, key, doc_id, source, text, rate,
+    ('0x' || substr(md5(concat_ws(':', key, '0', j)), 1, 13))::BIGINT / 4503599627370496 AS u
+  FROM (SELECT d.*, rate, unnest(range(1, draws + 1)) AS j FROM (
+      SELECT row_number() OVER () AS row, coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS key, * FROM documents) d
+    JOIN means m ON d.source IS NOT DISTINCT FROM m.source)),
 copies AS (
-  SELECT doc_id, d.source, text, rate, CAST((SELECT count(*) FROM cdf c
-      WHERE c.source IS NOT DISTINCT FROM d.source AND c.below <= u) AS INTEGER) AS n_copies
-  FROM drawn d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source)
+  SELECT any_value(doc_id) AS doc_id, any_value(source) AS source, any_value(text) AS text, any_value(key) AS key,
+    any_value(rate) AS rate, CAST(sum((SELECT count(*) FROM cdf c
+      WHERE c.source IS NOT DISTINCT FROM d.source AND c.below <= u)) AS INTEGER) AS n_copies
+  FROM drawn d GROUP BY row)
 SELECT doc_id, source, round(rate, 6) AS rate, n_copies, CAST(copy AS INTEGER) AS copy,
-  md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), '0', 'copy', CAST(copy AS VARCHAR))) AS shuffle_key,
+  md5(concat_ws(':', key, '0', 'copy', CAST(copy AS VARCHAR))) AS shuffle_key,
   md5(coalesce(text, '')) AS text_md5
 FROM copies, LATERAL (SELECT unnest(range(1, n_copies + 1)) AS copy)"""
 

@@ -8,12 +8,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from texts import prose  # noqa: E402
+from texts import CLASHING, prose  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):
-    """Nulls in any column, empty and long texts, ties, repeated rows, clashing extra columns."""
+    """Nulls in any column, empty and long texts, ties, repeated rows, clashing extra columns.
+
+    The extra columns have the names that the operators use for their own.
+    """
     rng = random.Random(5)
     long = prose(rng, 30_000) + "\n" + prose(rng, 10)
     rows = [
@@ -27,8 +30,8 @@ def odd_docs(spark):
     ]
     columns = "doc_id bigint, text string, source string, kept int"
     return spark.createDataFrame(rows, columns).selectExpr(
-        "*", "kept AS score", "kept AS n_lines", "kept AS rate", "kept AS copy", "kept AS _text", "kept AS licences"
-    ).drop("_text")
+        "*", *[f"CAST(concat('own ', kept, ' {c}') AS STRING) AS {c}" for c in CLASHING]
+    )
 
 
 @pytest.fixture(scope="session")

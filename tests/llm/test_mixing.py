@@ -13,12 +13,13 @@ from texts import prose
 from dockhand.llm import mixing
 
 
-def draw(doc_id, rate: float, seed: int = 0) -> int:
+def draw(doc_id, text: str | None, rate: float, seed: int = 0) -> int:
+    """A row without an id draws by its text."""
+    key = hashlib.md5((text or "").encode()).hexdigest() if doc_id is None else doc_id
     parts = max(1, math.ceil(rate / mixing.MAX_MEAN))
     mean, total = rate / parts, 0
     for j in range(1, parts + 1):
-        text = f"{'' if doc_id is None else doc_id}:{seed}:{j}"
-        unit = int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 16**13
+        unit = int(hashlib.md5(f"{key}:{seed}:{j}".encode()).hexdigest()[:13], 16) / 16**13
         k, p = 0, math.exp(-mean)
         below = p
         while below <= unit:
@@ -52,7 +53,7 @@ def check(df, weights=None, frame=None) -> Counter:
     rate = rates(rows, weights)
     want = Counter()
     for r in rows:
-        for copy in range(1, draw(r.doc_id, rate[r.source]) + 1):
+        for copy in range(1, draw(r.doc_id, r.text, rate[r.source]) + 1):
             want[r.doc_id, r.text, r.source, copy] += 1
     got = mixing.mix(df, weights=frame).collect()
     assert Counter((r.doc_id, r.text, r.source, r.copy) for r in got) == want
@@ -84,6 +85,22 @@ def test_odd_rows(odd_docs):
     check(odd_docs)
 
 
+def test_rows_without_ids_draw_by_themselves(spark):
+    """A source of null ids has its rate, and no value of the shuffle's key has all its rows."""
+    rng = random.Random(8)
+    rows = [(None, prose(rng, 20, 10**6), f"s{i % 2}") for i in range(600)] + [
+        (i, prose(rng, 2000, 10**6), "large") for i in range(20)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = check(docs)
+    for source in ("s0", "s1"):
+        n = sum(k[2] == source for k in want)
+        expected = rates(docs.collect())[source] * 300
+        assert abs(n - expected) < 5 * math.sqrt(expected)
+    keys = Counter(r.shuffle_key for r in mixing.mix(docs).collect())
+    assert max(keys.values()) == 1
+
+
 def test_empty_table(no_docs):
     result = mixing.mix(no_docs)
     assert result.count() == 0 and result.columns.count("rate") == 1
