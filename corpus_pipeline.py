@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dockhand.llm.common import table, written
-from dockhand.llm.jaccard_join import jaccard_classes
+from dockhand.llm.common import Aside, table, written
 from dockhand.llm.line_dedup import drop_lines
 from dockhand.llm.mixing import mix
+from dockhand.llm.near_copies import first_of_near_copies
 from dockhand.llm.packing import pack
 from dockhand.llm.quality import judge
 from dockhand.llm.queries import PACKING_END_ID, tokenizer_path, trusted_ids
@@ -21,49 +19,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    return judge(docs, trusted_ids(spark, sf_dir), held_out=True).filter("kept").select(*docs.columns)
+    rows = Aside(docs)
+    judged = judge(rows.df, trusted_ids(spark, sf_dir), rows.name("doc_id"), rows.name("text"), held_out=True)
+    kept = judged.filter("kept")
+    return kept.select(*rows.own(kept))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them share."""
-    return drop_lines(docs).select(*docs.columns)
-
-
-def _placed(docs: DataFrame) -> DataFrame:
-    """Documents with ``_row``, what names a row: its id, nulls last, and its place in a file.
-
-    A place is the same whenever the file is read; frames that are not Parquet files are
-    written first.
-    """
-    row = F.struct(
-        F.col("doc_id").isNull().alias("without"), "doc_id",
-        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
-    )
-    try:
-        return docs.select("*", row.alias("_row"))
-    except AnalysisException:
-        return written(docs, "rows").select("*", row.alias("_row"))
+    rows = Aside(docs)
+    cleaned = drop_lines(rows.df, rows.name("doc_id"), rows.name("text"))
+    return cleaned.select(*rows.own(cleaned))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each component of similar ones, by its id and place.
 
-    A row counts with its own text, also where others repeat its id or have none.  Rows
-    without an id come after the others; rows without words are all kept.
+    Five words and 0.8 are what stages on word shingles take.
     """
-    placed = _placed(docs)
-    # Five words and 0.8 are what stages on word shingles take.
-    classes = jaccard_classes(placed, id_col="_row", width=5, percent=80)
-    kept = classes.filter(F.col("_row") == F.col("component_id")).select(
-        F.col("_row.file").alias("_file"), F.col("_row.place").alias("_place")
-    )
-    same = (F.col("_row.file") == F.col("_file")) & (F.col("_row.place") == F.col("_place"))
-    return placed.join(kept, same, "left_semi").select(*docs.columns)
+    return first_of_near_copies(docs, width=5, percent=80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the weight of their source asks."""
-    return mix(docs).select(*docs.columns)
+    rows = Aside(docs)
+    mixed = mix(rows.df, rows.name("doc_id"), rows.name("source"), rows.name("text"))
+    return mixed.select(*rows.own(mixed))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
