@@ -19,21 +19,26 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_its_sql(spark, name):
-    assert check(spark, duckdb_on(DATA), DATA, name) == ""
+    # Nothing is frequent enough for phrases in the smallest data.
+    data = DATA.replace("0.001", "0.01") if "phrase" in name else DATA
+    assert check(spark, duckdb_on(data), data, name) == ""
 
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= spark_entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+KEYS = {"op3_warc": "page_id", "op11_url_filters": "page_id", "op12_conversation_repair": "conv_id"}
+TABLES = {"page_id": "pages", "conv_id": "conversations", "doc_id": "documents"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_phrase_collocations"}))
 def test_every_row_comes_out(spark, name):
-    table = "pages" if "warc" in name else "documents"
-    want = spark.read.parquet(f"{DATA}/{table}.parquet").count()
+    key = KEYS.get(name, "doc_id")
+    want = spark.read.parquet(f"{DATA}/{TABLES[key]}.parquet").select(key).distinct().count()
     result = spark_entry.queries()[name](spark, DATA)
-    key = "page_id" if table == "pages" else "doc_id"
     if "mixing" in name:
         assert result.count() > 0
     elif "packing" in name:
