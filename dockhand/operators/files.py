@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from dockhand.errors import CommitError, ConflictError
+from dockhand.functions.sql import sql_name
 from dockhand.sources.files import Entry, entries
 
 # Renames and deletes are waits on the file system, so many run at once.
@@ -147,6 +148,15 @@ class Storage:
             if not self.entries(path):
                 raise
 
+    def set_access(self, path: str, mode: str | None, owner: str | None, group: str | None) -> bool:
+        """Set what is given of a file's mode (octal), owner and group."""
+        where = self._path(path)
+        if mode:
+            self._fs.setPermission(where, self._jvm.org.apache.hadoop.fs.permission.FsPermission(mode))
+        if owner or group:
+            self._fs.setOwner(where, owner, group)
+        return True
+
     def delete_on_exit(self, path: str) -> None:
         self._fs.deleteOnExit(self._path(path))
 
@@ -173,9 +183,48 @@ def stage_path(base: str, run_id: str) -> str:
     return f"{base.rstrip('/')}__{run_id}"
 
 
+class Layout(NamedTuple):
+    """What lets readers leave out parts of ORC and Parquet files.
+
+    Rows are sorted by ``cluster_by`` in each file, so that the smallest and largest values
+    of its parts lie apart; values of ``bloom_columns`` are looked up in filters.
+    """
+
+    bloom_columns: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+
+    def options(self, file_format: str) -> dict[str, str]:
+        """The writer's options for the filters."""
+        if not self.bloom_columns:
+            return {}
+        if file_format == "orc":
+            return {"orc.bloom.filter.columns": ",".join(self.bloom_columns), "orc.bloom.filter.fpp": "0.01"}
+        return {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.bloom_columns}
+
+
+def grant(storage: Storage, stage: str, mode: str | None, owner: str | None, group: str | None) -> None:
+    """Set mode, owner and group of staged files and of the stage, which may become the target.
+
+    That is before they are published, so the target never has files that are not as asked
+    for, and what is refused fails the load with the target as it was.  A directory can be
+    searched by those who may read it.
+    """
+    if not (mode or owner or group):
+        return
+    paths = [e.path for e in storage.entries(stage) if not e.is_directory]
+    done = _in_parallel(lambda p: _outcome(lambda: storage.set_access(p, mode, owner, group)), paths)
+    search = mode and "".join(str(int(c) | (int(c) & 4) >> 2) for c in mode)
+    done.append(_outcome(lambda: storage.set_access(stage, search, owner, group)))
+    refused = [(p, why) for p, why in zip([*paths, stage], done) if why]
+    if refused:
+        raise CommitError(
+            f"mode, owner or group of {len(refused)} files not set, e.g. {refused[0][0]}: {refused[0][1]}"
+        )
+
+
 def write_stage(
     df: DataFrame, file_format: str, compression: str, stage: str, prefix: str, run_id: str,
-    mode: str = "errorifexists",
+    layout: Layout = Layout(), mode: str = "errorifexists",
 ) -> None:
     """Write a frame into a fresh directory, file names led by ``<prefix>__<run id>``.
 
@@ -183,8 +232,11 @@ def write_stage(
     stage is private and dropped on failure, so half a job is never seen, and the driver
     has no second list of files to move.
     """
+    if layout.cluster_by:
+        df = df.sortWithinPartitions(*[sql_name(c) for c in layout.cluster_by])
     (
         df.write.format(file_format)
+        .options(**layout.options(file_format))
         .option("compression", compression)
         .option("lineSep", "\n")
         .option("mapreduce.output.basename", f"{prefix}__{run_id}")
@@ -197,7 +249,7 @@ def write_stage(
 
 def fit_files(
     spark: SparkSession, storage: Storage, schema: T.StructType, file_format: str, compression: str,
-    stage: str, prefix: str, run_id: str, target_bytes: int,
+    stage: str, prefix: str, run_id: str, target_bytes: int, layout: Layout = Layout(),
 ) -> int:
     """Bring staged files to between half and twice a size; returns how many were rewritten.
 
@@ -218,7 +270,7 @@ def fit_files(
         move_files(storage, stage, aside, names)
         reader = spark.read.format(file_format).schema(schema).option("lineSep", "\n")
         rows = reader.load(_no_pattern(aside)).repartition(count)
-        write_stage(rows, file_format, compression, stage, prefix, run_id, mode="append")
+        write_stage(rows, file_format, compression, stage, prefix, run_id, layout, "append")
         storage.delete(aside)
         rewritten += len(names)
     return rewritten

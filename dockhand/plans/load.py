@@ -18,7 +18,7 @@ from dockhand.operators.convert import (
     BAD, check_input, clean_rows, convert, dirty_rows, fallible, knows_files, summarize, with_rejects,
 )
 from dockhand.operators.files import (
-    Storage, check_target, fit_files, new_run_id, publish, stage_path, write_stage,
+    Layout, Storage, check_target, fit_files, grant, new_run_id, publish, stage_path, write_stage,
 )
 from dockhand.operators.text import hazards, render_lines
 from dockhand.plans.spec import LoadSpec
@@ -252,12 +252,14 @@ def _write(
             rows = rows.observe(unsafe, F.expr(f"count_if({condition})").alias("rows"))
         rows = render_lines(rows, spec.delimiter, spec.null_value)
     made = (spec.file_format, spec.compression, stage, spec.file_prefix, run_id)
-    write_stage(rows, *made)
+    layout = Layout(spec.bloom_columns, spec.cluster_by)
+    write_stage(rows, *made, layout)
     if spec.file_format == "text" and spec.fail_on_hazards and unsafe.get["rows"]:
         raise CommitError(
             f"{unsafe.get['rows']} rows hold the delimiter, a line break or the text of null"
             " and would not read back"
         )
     if spec.target_file_bytes:
-        fit_files(spark, Storage(spark, stage), rows.schema, *made, spec.target_file_bytes)
+        fit_files(spark, Storage(spark, stage), rows.schema, *made, spec.target_file_bytes, layout)
+    grant(Storage(spark, stage), stage, spec.file_mode, spec.file_owner, spec.file_group)
     return counts.get

@@ -41,6 +41,9 @@ JOB_OPTIONS = {
     "compression": "compress",
     "encoding": "encoding",
     "parquet_schema": "parquetSchema",
+    "file_mode": "ugoMode",
+    "file_owner": "hdfsUsername",
+    "file_group": "hdfsGroupname",
 }
 
 
@@ -65,7 +68,10 @@ class LoadSpec:
 
     ``files`` asks for that many output files and costs a shuffle; left out, every
     input partition writes one file.  With ``target_file_bytes`` files of less than half or
-    more than twice that size are written anew, as files of about that size.  ``null_value`` stands for null in text files.
+    more than twice that size are written anew, as files of about that size.  ORC and Parquet
+    files get Bloom filters of ``bloom_columns`` and are sorted by ``cluster_by``, each for
+    itself.  New files, and only they, get ``file_mode`` (octal digits), ``file_owner`` and
+    ``file_group``.  ``null_value`` stands for null in text files.
     ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
     Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
     does not say how its lines are made, because something else created it.
@@ -92,6 +98,11 @@ class LoadSpec:
     encoding: str = "UTF-8"
     files: int | None = None
     target_file_bytes: int | None = None
+    bloom_columns: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    file_mode: str | None = None
+    file_owner: str | None = None
+    file_group: str | None = None
     null_value: str = ""
     fail_on_hazards: bool = False
     rejects_location: str | None = None
@@ -135,6 +146,10 @@ class LoadSpec:
         self._check_text_options()
         if self.files is not None and self.files < 1:
             raise SpecError("files must be at least 1")
+        for name in ("bloom_columns", "cluster_by"):
+            put(name, self._named_columns(name))
+        if self.file_mode is not None and not re.fullmatch("[0-7]{3}", self.file_mode):
+            raise SpecError(f"file_mode must be three octal digits, got {self.file_mode!r}")
         if self.target_file_bytes is not None and self.target_file_bytes < 1:
             raise SpecError("target_file_bytes must be at least 1")
 
@@ -167,6 +182,15 @@ class LoadSpec:
             if parquet_column_type(f.dataType.simpleString()) != f.dataType:
                 raise SpecError(f"column {f.name}: {f.dataType.simpleString()} cannot be written")
 
+    def _named_columns(self, option: str) -> tuple[str, ...]:
+        names = tuple(getattr(self, option))
+        if names and self.file_format == "text":
+            raise SpecError(f"{option} applies to orc and parquet files only")
+        unknown = sorted(set(names) - {c.name for c in self.columns})
+        if unknown:
+            raise SpecError(f"{option} names {unknown}, which are no columns")
+        return names
+
     def _check_text_options(self) -> None:
         if self.file_format != "text":
             return
@@ -183,8 +207,9 @@ class LoadSpec:
     def from_job(cls, parameter: Mapping[str, Any], **overrides: Any) -> LoadSpec:
         """Read the parameter block of a JSON job description.
 
-        Connection, account and permission options are not read: the Spark session has
-        its own catalog, file systems and credentials.  A Parquet schema, if there is one, goes
+        Connection and account options are not read: the Spark session has its own catalog,
+        file systems and credentials.  Mode, owner and group of new files are set only where
+        the job names them.  A Parquet schema, if there is one, goes
         before the types of the columns, and stands for the columns where they are left out.
         """
         parameter = _with_columns(parameter)
@@ -209,6 +234,9 @@ class LoadSpec:
             "compression": get["compression"],
             "encoding": get["encoding"] or "UTF-8",
             "schema": (get["parquet_schema"] or "").strip() or None,
+            "file_mode": get["file_mode"] or None,
+            "file_owner": get["file_owner"] or None,
+            "file_group": get["file_group"] or None,
         }
         if kind == "partition":
             values["partition"] = [

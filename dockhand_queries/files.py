@@ -210,6 +210,36 @@ def files_of_a_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rows_read(df: DataFrame) -> int:
+    """Rows that the scan of a frame hands on, before any filter."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().get("numOutputRows").get().value()
+
+
+@REGISTRY.add(
+    "orc_parts_left_out",
+    "SELECT layout, o_orderkey, o_custkey, layout <> 'plain' AS left_out"
+    " FROM orders, (VALUES ('plain'), ('bloom'), ('sorted')) AS l(layout)"
+    " WHERE o_orderkey = (SELECT arg_min(o_orderkey, md5(CAST(o_orderkey AS VARCHAR))) FROM orders)",
+)
+def orc_parts_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order looked up in eight files, whose rows were dealt in no order."""
+    orders = table(spark, sf_dir, "orders")
+    key = orders.agg(F.min_by("o_orderkey", F.md5(F.col("o_orderkey").cast("string")))).first()[0]
+    total, found = orders.count(), None
+    for layout in ("plain", "bloom", "sorted"):
+        options = {"bloom": {"bloom_columns": ["o_orderkey"]}, "sorted": {"cluster_by": ["o_orderkey"]}}
+        dealt = orders.repartitionByRange(8, "o_orderkey") if layout == "sorted" else orders.repartition(8)
+        spec = make_spec(new_target(spark, layout), ORDERS_COLUMNS, **options.get(layout, {}))
+        dockhand.write_files(dealt, spec)
+        rows = spark.read.orc(spec.location).filter(F.col("o_orderkey") == key)
+        left_out = 2 * rows_read(rows) < total
+        rows = rows.select(F.lit(layout).alias("layout"), "o_orderkey", "o_custkey", F.lit(left_out).alias("left_out"))
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
 @REGISTRY.add(
     "sink_manifest",
     "SELECT 'a' AS file_group, true AS names_well_formed, 0 AS files_empty,"
