@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from dockhand.errors import CommitError, SpecError
+from dockhand.errors import CommitError, ConflictError, SpecError
 from dockhand.functions.casts import strict_cast
 from dockhand.functions.render import parse_fields
 from dockhand.functions.sql import sql_literal, sql_name, sql_type
@@ -186,7 +186,10 @@ def made_by(spark: SparkSession, spec: LoadSpec) -> str | None:
 
 def drop_own_table(spark: SparkSession, storage: Storage, spec: LoadSpec, run_id: str) -> None:
     """Drop the table a failed run made, unless another load has put files there since."""
-    if made_by(spark, spec) == run_id and not storage.entries(spec.location):
+    if made_by(spark, spec) != run_id or storage.entries(spec.location):
+        return
+    table = storage_table(spark, spec)
+    if not spec.partition or not spark.sql(f"SHOW PARTITIONS {table}").take(1):
         drop_table(spark, spec)
 
 
@@ -262,14 +265,62 @@ def check_files(described: dict[str, Any], spec: LoadSpec) -> None:
             )
 
 
-def check_partition_location(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
-    """Raise when the catalog already has this partition, but in another directory."""
+def partition_location(spark: SparkSession, spec: LoadSpec) -> str | None:
+    """Where the catalog keeps the partition of a spec, if it has it."""
     table = storage_table(spark, spec)
     if not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_sql(spec)})").take(1):
+        return None
+    return describe(spark, f"{table} PARTITION ({_partition_sql(spec)})")["location"]
+
+
+def check_partition_location(spark: SparkSession, storage: Storage, spec: LoadSpec) -> None:
+    """Raise when the catalog already has this partition, but in another directory.
+
+    A load that swaps partitions may also find it among its own versions.
+    """
+    location = partition_location(spark, spec)
+    if location is None or storage.qualified(location) == storage.qualified(target_directory(spec)):
         return
-    location = describe(spark, f"{table} PARTITION ({_partition_sql(spec)})")["location"]
-    if storage.qualified(location) != storage.qualified(target_directory(spec)):
+    if not storage.qualified(location).startswith(storage.qualified(versions_directory(spec)) + "/"):
         raise CommitError(f"{spec.table} keeps {partition_path(spec)} at {location}")
+    if not spec.swap_partition:
+        raise CommitError(f"{spec.table} keeps {partition_path(spec)} at {location}; set swap_partition")
+
+
+def versions_directory(spec: LoadSpec) -> str:
+    """Where the versions of a swapped partition lie, each in a directory of its run id."""
+    return f"{spec.location}__versions/{partition_path(spec)}"
+
+
+def check_swap(storage: Storage, directory: str | None, prefix: str) -> None:
+    """Raise when a partition's directory has files of another group, which a swap would lose."""
+    others = [
+        n for n in (storage.names(directory) if directory else [])
+        if not n.startswith(f"{prefix}__") and n[0] not in "_."
+    ]
+    if others:
+        raise ConflictError(f"{directory} holds files that are not {prefix}__*, e.g. {others[0]}")
+
+
+def swap_partition(spark: SparkSession, storage: Storage, spec: LoadSpec, directory: str) -> None:
+    """Let the catalog keep the partition in another directory, by one statement."""
+    table, partition = storage_table(spark, spec), _partition_sql(spec)
+    storage.make_directory(spec.location)
+    if partition_location(spark, spec) is None:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({partition}) LOCATION {sql_literal(directory)}")
+    else:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({partition}) SET LOCATION {sql_literal(directory)}")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
+def drop_versions(storage: Storage, spec: LoadSpec, current: str, live: set[str]) -> None:
+    """Delete what the partition held before, and what dead runs left, but no live run's files."""
+    versions = versions_directory(spec)
+    for e in storage.entries(versions):
+        if storage.qualified(e.path) != storage.qualified(current) and e.name not in live:
+            storage.delete(e.path)
+    target = target_directory(spec)
+    storage.delete_all(target, storage.names(target, spec.file_prefix))
 
 
 def register_load(spark: SparkSession, spec: LoadSpec) -> None:

@@ -103,12 +103,16 @@ def load(df: DataFrame, spec: LoadSpec) -> LoadResult:
             tables.check_table(spark, storage, spec, must_be_there=not at_work)
             if spec.partition:
                 tables.check_partition_location(spark, storage, spec)
+        if spec.swap_partition:
+            return _load_swapped(df, spec, control, missing)
         return _load_files(df, spec, control, register=True, create=missing)
 
 
 def write_files(df: DataFrame, spec: LoadSpec) -> LoadResult:
     """:func:`load` without the catalog: only the files of the target directory."""
     check_input(df, spec.output_schema)
+    if spec.swap_partition:
+        raise SpecError("a partition is swapped in the catalog, which only load knows of")
     spec = tables.normalize_partition(df.sparkSession, spec)
     control = _control(df.sparkSession, spec)
     with claimed(control):
@@ -138,8 +142,17 @@ def _control(spark: SparkSession, spec: LoadSpec) -> Control:
         raise SpecError(
             f"staging_path is on {storage.root(stage)}, the target on {storage.root(directory)}"
         )
+    if spec.swap_partition:
+        stage = f"{tables.versions_directory(spec)}/{run_id}"
+
+    def in_use(path: str) -> bool:
+        if not spec.swap_partition or not tables.table_exists(spark, spec.table):
+            return False
+        current = tables.partition_location(spark, spec)
+        return bool(current) and storage.qualified(current) == storage.qualified(path)
+
     return Control(
-        storage, spec.location, directory, spec.file_prefix, run_id, stage, spec.claim_seconds
+        storage, spec.location, directory, spec.file_prefix, run_id, stage, spec.claim_seconds, in_use
     )
 
 
@@ -148,19 +161,11 @@ def _load_files(
 ) -> LoadResult:
     spark, storage, directory = df.sparkSession, control.storage, control.target
     check_target(storage, directory, spec.file_prefix, spec.write_mode)
-    rejects, created = None, False
+    rejects, created = _rejects_path(spec, control), False
     _stop_early(df, spec)
     try:
-        counts = _write(spark, df, spec, control.stage, control.run_id)
-        _check_limit(spec, counts["rows"], counts["dirty"])
-        if counts["dirty"] and spec.rejects_location:
-            rejects = f"{spec.rejects_location}/{spec.file_prefix}__{control.run_id}"
-            _keep_rejected(with_rejects(df, counts.get("files")), spec, rejects, counts["dirty"])
-        control.check()
-        if create:
-            created = tables.create_table(spark, spec, control.run_id)
-            if not created:
-                tables.check_table(spark, storage, spec, must_be_there=False)
+        counts = _write_all(df, spec, control, rejects)
+        created = create and _create(spark, spec, control)
         files = publish(
             storage, control.stage, directory, spec.file_prefix, spec.write_mode, control
         )
@@ -173,6 +178,65 @@ def _load_files(
     if register:
         tables.register_load(spark, spec)
     control.close()
+    return _result(df, spec, control, directory, files, counts, rejects)
+
+
+def _load_swapped(df: DataFrame, spec: LoadSpec, control: Control, create: bool) -> LoadResult:
+    """:func:`load` into a fresh directory, which one statement makes the partition's.
+
+    The statement is the only step that a reader can see: before it the catalog names the
+    old directory, after it the new one, whole.  Old files go last; a driver that dies before
+    leaves them to the next swap of the partition.
+    """
+    spark, storage, fresh = df.sparkSession, control.storage, control.stage
+    before = None if create else tables.partition_location(spark, spec)
+    tables.check_swap(storage, before or control.target, spec.file_prefix)
+    rejects, created = _rejects_path(spec, control), False
+    _stop_early(df, spec)
+    try:
+        counts = _write_all(df, spec, control, rejects)
+        staged = storage.entries(fresh)
+        files = sorted(e.name for e in staged if e.length and not e.is_directory)
+        storage.delete_all(fresh, sorted({e.name for e in staged} - set(files)))
+        created = create and _create(spark, spec, control)
+        tables.check_swap(storage, before or control.target, spec.file_prefix)
+        tables.swap_partition(spark, storage, spec, fresh)
+    except BaseException:
+        if not control.in_use(fresh):
+            tidy(lambda: storage.delete(fresh))
+            tidy(lambda: rejects and Storage(spark, rejects).delete(rejects))
+            tidy(lambda: created and tables.drop_own_table(spark, storage, spec, control.run_id))
+        raise
+    tidy(lambda: tables.drop_versions(storage, spec, fresh, live_runs(storage, spec.location)))
+    return _result(df, spec, control, fresh, files, counts, rejects)
+
+
+def _rejects_path(spec: LoadSpec, control: Control) -> str | None:
+    return spec.rejects_location and f"{spec.rejects_location}/{spec.file_prefix}__{control.run_id}"
+
+
+def _write_all(df: DataFrame, spec: LoadSpec, control: Control, rejects: str | None) -> dict[str, Any]:
+    """Stage the converted rows and keep the rejected ones; the target is not touched."""
+    counts = _write(df.sparkSession, df, spec, control.stage, control.run_id)
+    _check_limit(spec, counts["rows"], counts["dirty"])
+    if counts["dirty"] and rejects:
+        _keep_rejected(with_rejects(df, counts.get("files")), spec, rejects, counts["dirty"])
+    control.check()
+    return counts
+
+
+def _create(spark: SparkSession, spec: LoadSpec, control: Control) -> bool:
+    """Create the table; one that another load has made since must be as described."""
+    created = tables.create_table(spark, spec, control.run_id)
+    if not created:
+        tables.check_table(spark, control.storage, spec, must_be_there=False)
+    return created
+
+
+def _result(
+    df: DataFrame, spec: LoadSpec, control: Control, directory: str, files: list[str],
+    counts: dict[str, Any], rejects: str | None,
+) -> LoadResult:
     return LoadResult(
         spec=spec,
         directory=directory,
@@ -180,7 +244,7 @@ def _load_files(
         rows_read=counts["rows"],
         rows_dirty=counts["dirty"],
         source=df,
-        rejects=rejects,
+        rejects=rejects if counts["dirty"] else None,
         recovered=control.recovered,
         reject_files=counts.get("files"),
     )

@@ -71,7 +71,9 @@ class LoadSpec:
     more than twice that size are written anew, as files of about that size.  ORC and Parquet
     files get Bloom filters of ``bloom_columns`` and are sorted by ``cluster_by``, each for
     itself.  New files, and only they, get ``file_mode`` (octal digits), ``file_owner`` and
-    ``file_group``.  ``null_value`` stands for null in text files.
+    ``file_group``.  ``swap_partition`` lets a ``truncate`` of a partition that holds no other
+    group write into a fresh directory beside the table, and publish it by one change of the
+    catalog: readers of the table see the old rows or the new ones.  ``null_value`` stands for null in text files.
     ``rejects_location`` is a directory in which each load that rejects rows leaves them, as
     Parquet files in a subdirectory of its own.  ``adopt`` allows text to go into a table that
     does not say how its lines are made, because something else created it.
@@ -103,6 +105,7 @@ class LoadSpec:
     file_mode: str | None = None
     file_owner: str | None = None
     file_group: str | None = None
+    swap_partition: bool = False
     null_value: str = ""
     fail_on_hazards: bool = False
     rejects_location: str | None = None
@@ -146,6 +149,8 @@ class LoadSpec:
         self._check_text_options()
         if self.files is not None and self.files < 1:
             raise SpecError("files must be at least 1")
+        if self.swap_partition and not (self.partition and self.write_mode == "truncate"):
+            raise SpecError("swap_partition is for the truncate of a partition")
         for name in ("bloom_columns", "cluster_by"):
             put(name, self._named_columns(name))
         if self.file_mode is not None and not re.fullmatch("[0-7]{3}", self.file_mode):

@@ -189,7 +189,7 @@ _PART_AGAIN = (
 )
 
 
-def _monthly_part_loads(spark: SparkSession, sf_dir: str, name: str, mode: str) -> str:
+def _monthly_part_loads(spark: SparkSession, sf_dir: str, name: str, mode: str, **options) -> str:
     """Load two months of parts, then the second again with other prices."""
     target = new_target(spark, name)
     part = table(spark, sf_dir, "part")
@@ -198,7 +198,7 @@ def _monthly_part_loads(spark: SparkSession, sf_dir: str, name: str, mode: str)
     )
     for month, rows in (("10", part), ("11", part), ("11", again)):
         spec = make_spec(
-            target, PART_COLUMNS, write_mode=mode, partition=[("month", "string", month)]
+            target, PART_COLUMNS, write_mode=mode, partition=[("month", "string", month)], **options
         )
         dockhand.load(rows, spec)
     return target.table
@@ -213,6 +213,16 @@ def truncate_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_monthly_part_loads(spark, sf_dir, "part_truncate", "truncate"))
 
 
+@REGISTRY.add(
+    "swap_one_partition",
+    f"SELECT {_PART_NAMES}, '10' AS month FROM part"
+    f" UNION ALL {_PART_AGAIN}, '11' AS month FROM part",
+)
+def swap_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, each partition published by a change of the catalog instead of renames."""
+    return spark.table(_monthly_part_loads(spark, sf_dir, "part_swap", "truncate", swap_partition=True))
+
+
 @REGISTRY.add(
     "append_one_partition",
     f"SELECT {_PART_NAMES}, '10' AS month FROM part"
