@@ -106,18 +106,22 @@ def join_few(df: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFr
     bits = MIN_BITMAP_BITS
     while bits < min(MAX_BITMAP_BITS, 16 * few.count()):
         bits *= 2
-    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
-    bitmap = few.select(place.alias("place")).distinct().groupBy(
+
+    def place(names: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(bits))
+
+    bitmap = few.select(place(keys).alias("place")).distinct().groupBy(
         F.floor(F.col("place") / BUCKET_BITS).alias("bucket")
     ).agg(F.bitmap_construct_agg(F.col("place") % BUCKET_BITS).alias("bitmap"))
-    probed = df.withColumn("_place", place).join(
-        F.broadcast(bitmap), F.floor(F.col("_place") / BUCKET_BITS) == F.col("bucket"), "left"
-    ).withColumn("_maybe", F.coalesce(is_set(F.col("bitmap"), F.col("_place")), F.lit(False)))
-    maybe = probed.filter("_maybe").select(*df.columns).alias("a").join(few.alias("b"), on, how).select(*columns)
-    alone = probed.filter("NOT _maybe").select(
-        *df.columns, *[F.lit(None).cast(few.schema[c].dataType).alias(c) for c in rest]
+    aside = Aside(df)
+    probed = aside.df.withColumn("place", place([aside.name(k) for k in keys])).join(
+        F.broadcast(bitmap), F.floor(F.col("place") / BUCKET_BITS) == F.col("bucket"), "left"
+    ).withColumn("maybe", F.coalesce(is_set(F.col("bitmap"), F.col("place")), F.lit(False)))
+    maybe = probed.filter("maybe").select(*aside.own(probed))
+    alone = probed.filter("NOT maybe").select(
+        *aside.own(probed), *[F.lit(None).cast(few.schema[c].dataType).alias(c) for c in rest]
     )
-    return maybe.unionByName(alone)
+    return maybe.alias("a").join(few.alias("b"), on, how).select(*columns).unionAll(alone)
 
 
 # Bits of one bitmap value of Spark's bitmap functions, and of a whole bitmap of join_few.
