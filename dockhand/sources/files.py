@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Listings are waits on the file system, so many run at once.
+LISTING_THREADS = 32
+
 # The JVM's printed form of a file's status, after its path.
 STATUS = re.compile(r"; isDirectory=(true|false); length=(\d+);.*? modification_time=(\d+);", re.DOTALL)
 
@@ -81,15 +85,16 @@ def list_files(spark: SparkSession, directory: str, recursive: bool = False) ->
     """``path``, ``file_name``, ``length`` and ``modified`` of each file of a directory.
 
     Empty and hidden files are listed like others.  Subdirectories are gone into only when
-    ``recursive``.
+    ``recursive``, level by level, many of a level at once.
     """
-    found, left = [], [directory]
-    while left:
-        for entry in entries(spark, left.pop()):
-            if not entry.is_directory:
-                found.append(entry)
-            elif recursive:
-                left.append(entry.path)
+    found, level = [], [directory]
+    with ThreadPoolExecutor(max_workers=LISTING_THREADS) as pool:
+        while level:
+            below = []
+            for listed in pool.map(lambda path: entries(spark, path), level):
+                found += [e for e in listed if not e.is_directory]
+                below += [e.path for e in listed if e.is_directory and recursive]
+            level = below
     return _frame(spark, found)
 
 
