@@ -7,12 +7,14 @@ import random
 import re
 import textwrap
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from texts import prose
 
 from dockhand.llm import licences, suffix_tree
+from dockhand.llm.wordhash import word_hashes
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -78,6 +80,105 @@ def test_contexts_help_on_rows_held_out(spark):
     assert held and sum(r.score for r in held) > 0.5 * sum(r.base_score for r in held)
 
 
+RARE, START = "\x01rare", "\x01start"
+
+
+def hash_of(word) -> int:
+    """What ties of the most frequent words are told apart by."""
+    if word is END:
+        value = int(suffix_tree.END)
+    else:
+        data = word.encode()
+        value = int(word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0][0])
+    return value - (1 << 64 if value >> 63 else 0)
+
+
+def plain_tree(docs, alphabet: int, depth: int, min_share: float):
+    """Scores of all texts by the rules of the tree, with dictionaries."""
+    seen = Counter(t for doc, text in docs if in_training(doc) for t in text)
+    n, total = sum(seen.values()), sum(seen.values()) + suffix_tree.ADDED * (len(seen) + 1)
+    words = set(sorted(seen, key=lambda w: (-seen[w], hash_of(w)))[:alphabet])
+    root = {w: (seen[w] + suffix_tree.ADDED) / total for w in words}
+    root[RARE] = max(1 - sum(root.values()), suffix_tree.ADDED / total)
+
+    def symbols(text):
+        return [t if t in words else RARE for t in text]
+
+    least, weight = max(1, min_share * n), suffix_tree.PARENT_WEIGHT
+    retained: dict[tuple, dict] = {}
+    # Every counted context's distribution, or that of the next shorter one where it is not retained.
+    below: dict[tuple, dict] = {(): root}
+    candidates = None
+    for length in range(1, depth + 1):
+        following: dict[tuple, Counter] = defaultdict(Counter)
+        for doc, text in docs:
+            if in_training(doc):
+                padded = [START] * length + symbols(text)
+                for i in range(length, len(padded)):
+                    following[tuple(padded[i - length:i])][padded[i]] += 1
+        frequent = {
+            c: f for c, f in following.items()
+            if sum(f.values()) >= least and (candidates is None or c in candidates)
+        }
+        for context, f in frequent.items():
+            parent, count = below[context[1:]], sum(f.values())
+            mixed = {x: (f[x] + weight * p) / (count + weight) for x, p in parent.items()}
+            divergence = sum(
+                mixed[x] * (math.log(mixed[x] / parent[x]) if f[x] else math.log(weight / (count + weight)))
+                for x in mixed
+            )
+            if divergence >= suffix_tree.MIN_DIVERGENCE and count * divergence > 0.5 * len(f) * math.log(n):
+                retained[context] = mixed
+            below[context] = retained.get(context, parent)
+        candidates = {
+            (*c, x) for c, f in frequent.items() for x, k in f.items() if k >= least and (*c, x)[1:] in frequent
+        }
+    out = []
+    for _, text in docs:
+        padded, score = [START] * depth + symbols(text), 0.0
+        for i, token in enumerate(text, depth):
+            contexts = [tuple(padded[i - k:i]) for k in range(depth, 0, -1)]
+            state = next((retained[c] for c in contexts if c in retained), root)
+            score += math.log10(state[padded[i]])
+            if padded[i] == RARE:
+                score += math.log10((seen[token] + suffix_tree.ADDED) / total) - math.log10(root[RARE])
+        out.append(score)
+    return out, retained
+
+
+def check_tree(df, monkeypatch, alphabet: int, min_share: float) -> dict:
+    monkeypatch.setattr(suffix_tree, "ALPHABET", alphabet)
+    docs = [(r.doc_id, tokens(r.text)) for r in df.collect()]
+    want, retained = plain_tree(docs, alphabet, suffix_tree.DEPTH, min_share)
+    rows = suffix_tree.score(df, min_share=min_share).collect()
+    got = sorted((repr(r.doc_id), r.n_tokens, r.score) for r in rows)
+    expected = sorted((repr(doc), len(text), score) for (doc, text), score in zip(docs, want))
+    for a, b in zip(got, expected, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-5, abs=1e-4)
+    return retained
+
+
+@pytest.mark.parametrize("alphabet,min_share", [(1000, 5e-4), (20, 1e-3), (60, 5e-3)])
+def test_scores_against_a_plain_tree(spark, monkeypatch, alphabet, min_share):
+    """Texts of a chain of second order, with rare words between."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(200):
+        a, b, text = rng.randrange(12), rng.randrange(12), []
+        for _ in range(rng.randrange(0, 250)):
+            a, b = b, (3 * a + 5 * b + (rng.random() < 0.2)) % 12
+            text.append(f"W{b}" if rng.random() < 0.9 else f"rare{rng.randrange(400)}")
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    retained = check_tree(df, monkeypatch, alphabet, min_share)
+    # Contexts of more than one word are among them, else the longest one is not put to the test.
+    assert {len(c) for c in retained} >= {1, 2}
+
+
+def test_scores_of_odd_rows_against_a_plain_tree(odd_docs, monkeypatch):
+    check_tree(odd_docs, monkeypatch, 50, 1e-3)
+
+
 def test_licences(spark):
     full = " ".join(licences.SENTENCES[i][0] for i in ("MitGrant", "MitNotice", "MitAsIs"))
     rows = [
