@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockhand.llm.common import ship_code, text_of, written
+from dockhand.llm.common import BROADCAST_BYTES, ship_code, stored_bytes, text_of, written
 from dockhand.llm.components import connected_components
 from dockhand.llm.exact_dedup import BUCKET_BITS, _is_set
 from dockhand.llm.wordhash import mix, portions, shingle_sets
@@ -432,17 +432,8 @@ def jaccard_classes(
     candidates = written(_blocked(homes, "home"), "jaccard_homes")
     shared = _without_last(listed, percent)
 
-    # Their whole sets; a bitmap of their rows keeps other texts out of the shuffle.
-    wanted = candidates.join(classes.select("sid", "rep", "d1", "d2"), "sid")
-    position = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
-    bitmap = wanted.select(F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)).alias("p")).groupBy(
-        F.floor(F.col("p") / BUCKET_BITS).alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.col("p") % BUCKET_BITS).alias("bitmap"))
-    likely = docs.join(
-        F.broadcast(bitmap), F.floor(position / BUCKET_BITS) == F.col("bucket")
-    ).filter(_is_set(F.col("bitmap"), position)).select("doc", "text")
-    texts = likely.join(wanted, F.col("doc").eqNullSafe(F.col("rep"))).drop("doc", "rep")
-    sets = written(_whole_sets(texts, width, ranks), "jaccard_sets")
+    wanted = written(candidates.join(classes.select("sid", "rep", "d1", "d2"), "sid"), "jaccard_wanted")
+    sets = written(_whole_sets(_texts_of(docs, wanted), width, ranks), "jaccard_sets")
 
     # Homes, block by block, then one member of each class of the homes with many blocks.
     pairs = written(_join_homes(sets, percent), "jaccard_links")
@@ -507,6 +498,25 @@ def jaccard_classes(
     )
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted sets with the texts of their rows ``rep``.
+
+    No text is shuffled where the list of the wanted is small enough to broadcast; beyond
+    that a bitmap of their rows keeps other texts out of the shuffle.
+    """
+    same = F.col("doc").eqNullSafe(F.col("rep"))
+    if stored_bytes(wanted) <= BROADCAST_BYTES:
+        return docs.join(F.broadcast(wanted), same).drop("doc", "rep")
+    position = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    bitmap = wanted.select(F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)).alias("p")).groupBy(
+        F.floor(F.col("p") / BUCKET_BITS).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.col("p") % BUCKET_BITS).alias("bitmap"))
+    likely = docs.join(
+        F.broadcast(bitmap), F.floor(position / BUCKET_BITS) == F.col("bucket")
+    ).filter(_is_set(F.col("bitmap"), position)).select("doc", "text")
+    return likely.join(wanted, same).drop("doc", "rep")
+
+
 def _in_several(grams: DataFrame) -> DataFrame:
     """The rows whose gram is in more than one set, with ``sets``, how many."""
     same = Window.partitionBy("gram")

@@ -103,6 +103,12 @@ def test_small_blocks(near, monkeypatch, sets, grams):
     check(near, percent=50)
 
 
+def test_texts_of_many_sets_are_shuffled_by_a_bitmap(near, monkeypatch):
+    """The other way to the texts, for more wanted sets than can be broadcast."""
+    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", -1)
+    check(near)
+
+
 def test_odd_rows(odd_docs):
     check(odd_docs)
 
