@@ -5,11 +5,14 @@ is the last one to three symbols.  Contexts seen often enough are counted, level
 and retained where the distribution of their next symbol diverges from that of the context
 one shorter.  Each retained state mixes its own counts with its parent's distribution, and
 a token is scored in the state of its longest retained context.  Within the class of rare
-words a word has its share of the plain word counts.
-
-The tree has a fixed largest size and goes to every task.  Word counts grow with the corpus
-and never meet in one place: each portion of documents asks for the counts of its distinct
-rare words, and gets them back by hash bucket.
+words a word has its share of the plain word counts or, with ``every_word``, of the counts
+after each retained context, mixed with its share in the parent by the number of distinct
+words there (Witten and Bell).  Every word that reaches the share asked of a context is a
+symbol then, so the alphabet leaves out neither a context nor a next word.
+
+The tree has a fixed largest size and goes to every task.  Counts of words, and of rare words
+after retained contexts, grow with the corpus and never meet in one place: each portion of
+documents asks for the counts of its distinct ones, and gets them back by hash bucket.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 from dockhand.llm.common import ship_code, shuffle_partitions, text_of, written
 from dockhand.llm.wordhash import portions, word_hashes
 
-# Words that are symbols of their own.
+# Words that are symbols of their own; with ``every_word`` also all that may be contexts.
 ALPHABET = 1000
 DEPTH = 3
 # Contexts with at least this share of all training tokens are counted, so at most 2,000 of
@@ -45,6 +48,9 @@ PORTION_BYTES = 12 << 20
 
 END = np.uint64(0x5851F42D4C957F2D)
 _MAX_DISTINCT = 1_000_000
+# Rare tokens whose kinds are counted at a time, and training tokens that a bucket of kinds is for.
+_MAX_KINDS = 3_000_000
+_BUCKET_TOKENS = 4_000_000
 _ROWS = 64
 
 
@@ -169,6 +175,8 @@ class Tree:
     states: list[np.ndarray] = field(default_factory=list)
     # log10 of every symbol's probability in every state; state 0 has no context.
     logs: np.ndarray | None = None
+    # Each state's parent.
+    parents: list[int] = field(default_factory=lambda: [0])
 
     @property
     def rare(self) -> int:
@@ -204,6 +212,29 @@ class Tree:
             code = code * self.symbols + before
         return code
 
+    @property
+    def kind(self) -> type:
+        """The type of a state's number."""
+        return np.uint16 if len(self.parents) < 1 << 16 else np.uint32
+
+    def states_of(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The state of every token: that of its longest retained context."""
+        state = np.zeros(len(symbols), np.int64)
+        for length, (codes, states) in enumerate(zip(self.codes, self.states), 1):
+            at = _found(codes, self.contexts(symbols, places, length))
+            longer = np.where(at >= 0, states[at], -1) if len(states) else at
+            state = np.where(longer >= 0, longer, state)
+        return state
+
+    def chains(self) -> np.ndarray:
+        """A row per state: the retained contexts it ends in, shortest first, itself last; 0 beyond."""
+        chains = np.zeros((len(self.parents), len(self.codes)), np.int64)
+        for state, parent in enumerate(self.parents[1:], 1):
+            # A parent has the smaller number.
+            chains[state] = chains[parent]
+            chains[state, np.count_nonzero(chains[parent])] = state
+        return chains
+
 
 def _found(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The place of each wanted code, -1 where it is not there."""
@@ -284,6 +315,7 @@ def _grow(train: DataFrame, tree: Tree, depth: int, min_share: float) -> None:
                 states[i] = len(distributions)
                 own[code] = len(distributions)
                 distributions.append(mixed)
+                tree.parents.append(parent)
             else:
                 own[code] = parent
         tree.codes.append(codes)
@@ -299,15 +331,155 @@ def _grow(train: DataFrame, tree: Tree, depth: int, min_share: float) -> None:
         tree.logs = np.log10(np.array(distributions)).astype(np.float32)
 
 
+# Kinds of rare tokens: the word, and the state it is met in.
+
+
+@dataclass
+class _Kinds:
+    """Distinct kinds, sorted by word and state."""
+
+    words: np.ndarray  # sorted hashes of the words
+    word: np.ndarray  # of each kind, the place of its word
+    state: np.ndarray
+    counts: np.ndarray
+    at: np.ndarray | None = None  # of each token that they were made of, the place of its kind
+
+    @classmethod
+    def of(cls, tokens: np.ndarray, states: np.ndarray, counts: np.ndarray | None = None) -> _Kinds:
+        """The kinds of tokens; ``counts`` says for how many each stands."""
+        words, word = np.unique(tokens, return_inverse=True)
+        both, at = np.unique(word.astype(np.int64) << 32 | states.astype(np.int64), return_inverse=True)
+        numbers = np.bincount(at, counts, len(both)).astype(np.int64)
+        return cls(words, both >> 32, both & 0xFFFFFFFF, numbers, at)
+
+    @classmethod
+    def read(cls, row: tuple, kind: type) -> _Kinds:
+        """What :meth:`rows` wrote of one bucket; without sizes every word is in state 0."""
+        hashes, sizes, states, counts = row
+        words = np.frombuffer(hashes, np.uint64)
+        if sizes is None:
+            word, state = np.arange(len(words)), np.zeros(len(words), np.int64)
+        else:
+            word = np.repeat(np.arange(len(words)), np.frombuffer(sizes, kind))
+            state = np.frombuffer(states, kind).astype(np.int64)
+        return cls(words, word, state, np.zeros(0, np.int64) if counts is None else np.frombuffer(counts, np.int64))
+
+    def rows(self, buckets: int, kind: type) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
+        """Of each bucket: its number, words, number of states a word has, states, counts."""
+        edges = _edges(self.words, buckets)
+        begins = np.searchsorted(self.word, edges)
+        sizes = np.bincount(self.word, minlength=len(self.words)).astype(kind)
+        states = self.state.astype(kind)
+        return [
+            (b, self.words[a:z].tobytes(), sizes[a:z].tobytes(), states[i:j].tobytes(), self.counts[i:j].tobytes())
+            for b, (a, z, i, j) in enumerate(zip(edges, edges[1:], begins, begins[1:])) if a < z
+        ]
+
+    def after(self, chains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often a word follows each state, longer contexts included: codes and counts."""
+        codes = [np.zeros(0, np.int64)]
+        numbers = [np.zeros(0, np.int64)]
+        for states in chains[self.state].T:
+            codes.append((self.word << 32 | states)[states > 0])
+            numbers.append(self.counts[states > 0])
+        both, at = np.unique(np.concatenate(codes), return_inverse=True)
+        return both, np.bincount(at, np.concatenate(numbers), len(both)).astype(np.int64)
+
+
+def _kind_counts(df: DataFrame, tree: Tree, buckets: int) -> DataFrame:
+    """The kinds of all rare tokens, with ``counts``; a row per bucket."""
+    shared = df.sparkSession.sparkContext.broadcast(tree)
+    schema = "bucket int, hashes binary, sizes binary, states binary, counts binary"
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32()] + [pa.binary()] * 4
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
+            ["bucket", "hashes", "sizes", "states", "counts"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            for _, tokens, places in _token_arrays(batch.column(0)):
+                symbols = tree.symbols_of(tokens)
+                rare = symbols == tree.rare
+                held.append((tokens[rare], tree.states_of(symbols, places)[rare]))
+                size += len(held[-1][0])
+                if size >= _MAX_KINDS:
+                    yield table(_Kinds.of(*map(np.concatenate, zip(*held))).rows(buckets, tree.kind))
+                    held, size = [], 0
+        if held:
+            yield table(_Kinds.of(*map(np.concatenate, zip(*held))).rows(buckets, tree.kind))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = shared.value.kind
+        now, held, size = None, [], 0
+
+        def merged() -> _Kinds:
+            return _Kinds.of(
+                np.concatenate([k.words[k.word] for k in held]), np.concatenate([k.state for k in held]),
+                np.concatenate([k.counts for k in held]),
+            )
+
+        for batch in batches:
+            for bucket, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if bucket != now:
+                    if held:
+                        yield table(merged().rows(buckets, kind))
+                    now, held, size = bucket, [], 0
+                held.append(_Kinds.read(row, kind))
+                size += len(held[-1].word)
+                if size > 2 * len(held[0].word) + _MAX_KINDS:
+                    held = [merged()]
+                    size = len(held[0].word)
+        if held:
+            yield table(merged().rows(buckets, kind))
+
+    partial = df.select("text").mapInArrow(count, schema)
+    return partial.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add, schema)
+
+
+def _rare_totals(counted: DataFrame, tree: Tree) -> np.ndarray:
+    """Of each state, how many distinct rare words follow it, and how many rare tokens."""
+    shared = counted.sparkSession.sparkContext.broadcast(tree)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        chains, sums = tree.chains(), np.zeros((2, len(tree.parents)), np.int64)
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                codes, numbers = _Kinds.read(row, tree.kind).after(chains)
+                state = codes & 0xFFFFFFFF
+                sums += [np.bincount(state, n, len(tree.parents)).astype(np.int64) for n in (None, numbers)]
+        state = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (state, *sums[:, state])], ["state", "words", "tokens"])
+
+    columns = counted.select("hashes", "sizes", "states", "counts")
+    totals = np.zeros((2, len(tree.parents)), np.int64)
+    for r in columns.mapInArrow(total, "state long, words long, tokens long").groupBy("state").agg(
+        F.sum("words").alias("words"), F.sum("tokens").alias("tokens")
+    ).collect():
+        totals[:, r["state"]] = r["words"], r["tokens"]
+    return totals
+
+
 # Scores.
 
 
-def _local(df: DataFrame, tree: Tree, buckets: int, id_type: T.DataType) -> DataFrame:
-    """What a document's portion knows by itself, and the words it must ask for."""
+def _local(df: DataFrame, tree: Tree, buckets: int, id_type: T.DataType, every_word: bool) -> DataFrame:
+    """What a document's portion knows by itself, and what it must ask for.
+
+    It asks by bucket for kinds of rare tokens; documents have no bucket and name the kinds of
+    their rare tokens by number.  Without ``every_word`` all kinds are of state 0.
+    """
     shared = df.sparkSession.sparkContext.broadcast(tree)
     schema = T.StructType([
         T.StructField("portion", T.LongType()), T.StructField("bucket", T.IntegerType()),
-        T.StructField("hashes", T.BinaryType()), T.StructField("doc", id_type),
+        T.StructField("hashes", T.BinaryType()), T.StructField("sizes", T.BinaryType()),
+        T.StructField("states", T.BinaryType()), T.StructField("doc", id_type),
         T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("model", T.DoubleType()),
         T.StructField("rare", T.BinaryType()),
@@ -329,35 +501,30 @@ def _local(df: DataFrame, tree: Tree, buckets: int, id_type: T.DataType) -> Data
             counts = np.concatenate([np.diff(p[1]) for p in parts])
             places = np.concatenate(([0], np.cumsum(counts)))
             symbols = tree.symbols_of(tokens)
-            state = np.zeros(len(tokens), np.int64)
-            for length, (codes, states) in enumerate(zip(tree.codes, tree.states), 1):
-                at = _found(codes, tree.contexts(symbols, places, length))
-                longer = np.where(at >= 0, states[at], -1) if len(states) else at
-                state = np.where(longer >= 0, longer, state)
+            state = tree.states_of(symbols, places)
             rare = symbols == tree.rare
             model = tree.logs[state, symbols].astype(np.float64) - np.where(rare, plain[tree.rare], 0.0)
             base = np.where(rare, 0.0, plain[symbols])
-            asked, asked_at = np.unique(tokens[rare], return_inverse=True)
-            edges = _edges(asked, buckets)
-            filled = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-            k = len(filled)
+            kinds = _Kinds.of(tokens[rare], state[rare] if every_word else 0 * state[rare])
+            rows = kinds.rows(buckets, tree.kind)
+            k = len(rows)
             yield pa.RecordBatch.from_arrays([
-                pa.array([number] * k, pa.int64()), pa.array(filled, pa.int32()),
-                pa.array([asked[edges[b]:edges[b + 1]].tobytes() for b in filled], pa.binary()),
+                pa.array([number] * k, pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
+                *[pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3)],
                 pa.nulls(k, docs[0].type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                 pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()),
             ], [f.name for f in schema])
             begins = places[:-1]
             n_rare = np.add.reduceat(rare.astype(np.int64), begins)
             rare_places = np.concatenate(([0], np.cumsum(n_rare))).tolist()
-            raw = asked_at.astype(np.uint32).tobytes()
+            raw = kinds.at.astype(np.uint32).tobytes()
             names = pa.concat_arrays(docs)
             sums = [np.add.reduceat(x, begins) for x in (base, model)]
             for i in range(0, len(begins), 2048):
                 to = min(i + 2048, len(begins))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([number] * (to - i), pa.int64()), pa.nulls(to - i, pa.int32()),
-                    pa.nulls(to - i, pa.binary()), names.slice(i, to - i),
+                    *[pa.nulls(to - i, pa.binary())] * 3, names.slice(i, to - i),
                     pa.array(counts[i:to], pa.int64()), pa.array((counts - n_rare)[i:to], pa.int64()),
                     pa.array(sums[0][i:to]), pa.array(sums[1][i:to]),
                     pa.array([raw[4 * a:4 * b] for a, b in zip(rare_places[i:to], rare_places[i + 1:to + 1])], pa.binary()),
@@ -378,37 +545,56 @@ def _local(df: DataFrame, tree: Tree, buckets: int, id_type: T.DataType) -> Data
     return df.select("doc", "text").mapInArrow(run, schema)
 
 
-def _answered(asked: DataFrame, counted: DataFrame) -> DataFrame:
-    """``portion``, ``bucket`` and the ``counts`` of the words it asked for, in their order.
+def _answered(asked: DataFrame, counted: DataFrame, tree: Tree, totals: np.ndarray, buckets: int) -> DataFrame:
+    """``portion``, ``bucket`` and of the kinds it asked for, in their order, the words' ``counts``
+    and the ``logs`` of their share of the rare class in their state, as a part of all tokens.
 
-    A bucket's counts come first, so that questions are answered as they stream by.
+    ``totals`` are those of :func:`_rare_totals`.  A bucket's counts come first, so that questions are answered as they stream by.
     """
+    shared = asked.sparkSession.sparkContext.broadcast((tree, totals))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, numbers = None, None, None
+        tree, (words, tokens) = shared.value
+        chains, total, rare = tree.chains(), tree.total, tree.root()[tree.rare]
+        nothing = _Kinds(*[np.zeros(0, np.int64)] * 4)
+        now, held, plain, codes, numbers = None, nothing, None, None, None
         for batch in batches:
-            for bucket, portion, hashes, counts in zip(*[c.to_pylist() for c in batch.columns]):
+            for bucket, portion, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                wanted = _Kinds.read(row, tree.kind)
+                if portion is None or bucket != now:
+                    now, held = bucket, wanted if portion is None else nothing
+                    # The last one is of words that are not there.
+                    plain = np.bincount(held.word, held.counts, len(held.words) + 1).astype(np.int64)
+                    codes, numbers = held.after(chains)
+                    numbers = np.append(numbers, 0)
                 if portion is None:
-                    now, held = bucket, np.frombuffer(hashes, np.uint64)
-                    numbers = np.frombuffer(counts, np.int64)
                     continue
-                wanted = np.frombuffer(hashes, np.uint64)
-                at = _found(held, wanted) if bucket == now else np.full(len(wanted), -1)
-                found = np.where(at >= 0, numbers[at], 0) if bucket == now else np.zeros(len(wanted))
+                at = _found(held.words, wanted.words)[wanted.word]
+                count = plain[at]
+                share = (count + ADDED) / total
+                for states in chains[wanted.state].T:
+                    # A code of no word is negative and not found.
+                    n = numbers[_found(codes, at << 32 | states)]
+                    mixed = n * rare + words[states] * share
+                    # A state that no rare word follows in training has the share of its parent.
+                    weight = np.where(states > 0, words[states] + tokens[states], 0)
+                    share = np.where(weight > 0, mixed / np.maximum(weight, 1), share)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([portion], pa.int64()), pa.array([bucket], pa.int32()),
-                    pa.array([found.astype(np.int64).tobytes()], pa.binary()),
-                ], ["portion", "bucket", "counts"])
+                    pa.array([count.tobytes()], pa.binary()),
+                    pa.array([np.log10(share).astype(np.float32).tobytes()], pa.binary()),
+                ], ["portion", "bucket", "counts", "logs"])
 
-    known = counted.select("bucket", F.lit(None).cast("long").alias("portion"), "hashes", "counts")
-    questions = asked.select("bucket", "portion", "hashes", F.lit(None).cast("binary").alias("counts"))
+    columns = ["bucket", "portion", "hashes", "sizes", "states", "counts"]
+    known = counted.withColumn("portion", F.lit(None).cast("long")).select(columns)
+    questions = asked.withColumn("counts", F.lit(None).cast("binary")).select(columns)
     return (
-        known.unionByName(questions).repartition("bucket").sortWithinPartitions("bucket", "portion")
-        .mapInArrow(answer, "portion long, bucket int, counts binary")
+        known.unionByName(questions).repartition(buckets, "bucket").sortWithinPartitions("bucket", "portion")
+        .mapInArrow(answer, "portion long, bucket int, counts binary, logs binary")
     )
 
 
-def _finished(documents: DataFrame, answers: DataFrame, total: float) -> DataFrame:
+def _finished(documents: DataFrame, answers: DataFrame, total: float, tasks: int) -> DataFrame:
     """The documents with the rare words' part added, portion by portion."""
     schema = T.StructType([
         documents.schema["doc"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
@@ -416,52 +602,62 @@ def _finished(documents: DataFrame, answers: DataFrame, total: float) -> DataFra
     ])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, known, logs = None, [], None, None
+        now, parts, known, plain, logs = None, [], None, None, None
         for batch in batches:
-            rows = zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(7).to_pylist())
+            rows = zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(8).to_pylist())
             out = []
-            for k, (portion, bucket, counts, rare) in enumerate(rows):
+            for k, (portion, bucket, counts, shares, rare) in enumerate(rows):
                 if portion != now:
                     now, parts, known = portion, [], None
                 if bucket is not None:
-                    parts.append(np.frombuffer(counts, np.int64))
+                    parts.append((np.frombuffer(counts, np.int64), np.frombuffer(shares, np.float32)))
                     continue
                 if known is None:
-                    numbers = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-                    known, logs = numbers > 0, np.log10((numbers + ADDED) / total)
+                    numbers, logs = (
+                        np.concatenate([np.zeros(0, kind)] + [p[i] for p in parts])
+                        for i, kind in enumerate((np.int64, np.float32))
+                    )
+                    known, plain, logs = numbers > 0, np.log10((numbers + ADDED) / total), logs.astype(np.float64)
                 at = np.frombuffer(rare, np.uint32)
-                out.append((k, int(known[at].sum()), float(logs[at].sum())))
+                out.append((k, int(known[at].sum()), float(plain[at].sum()), float(logs[at].sum())))
             if not out:
                 continue
             chosen = pa.array([o[0] for o in out])
             doc, n_tokens, base, model, _, known_here = (
-                batch.column(i).take(chosen) for i in range(3, 9)
+                batch.column(i).take(chosen) for i in range(4, 10)
             )
-            extra = np.array([o[2] for o in out])
+            plain_here, logs_here = (np.array([o[i] for o in out]) for i in (2, 3))
             yield pa.RecordBatch.from_arrays([
                 doc, n_tokens, pa.array(known_here.to_numpy() + np.array([o[1] for o in out])),
-                pa.array(base.to_numpy() + extra), pa.array(model.to_numpy() + extra),
+                pa.array(base.to_numpy() + plain_here), pa.array(model.to_numpy() + logs_here),
             ], [f.name for f in schema])
 
     empty = documents.select(
         "portion", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("counts"),
-        "doc", "n_tokens", "base", "model", "rare", "known",
+        F.lit(None).cast("binary").alias("logs"), "doc", "n_tokens", "base", "model", "rare", "known",
     )
-    told = answers.select("portion", "bucket", "counts").select(
-        "*", *[F.lit(None).cast(empty.schema[c].dataType).alias(c) for c in empty.columns[3:]]
+    told = answers.select("portion", "bucket", "counts", "logs").select(
+        "*", *[F.lit(None).cast(empty.schema[c].dataType).alias(c) for c in empty.columns[4:]]
     )
     return (
-        told.unionByName(empty).repartition("portion")
+        told.unionByName(empty).repartition(tasks, "portion")
         .sortWithinPartitions("portion", F.asc_nulls_last("bucket"))
         .mapInArrow(finish, schema)
     )
 
 
-def train(df: DataFrame, buckets: int, depth: int = DEPTH, min_share: float = MIN_SHARE) -> tuple[Tree, DataFrame]:
-    """The tree and the word counts of column ``text``."""
+def train(
+    df: DataFrame, buckets: int, depth: int = DEPTH, min_share: float = MIN_SHARE, every_word: bool = False
+) -> tuple[Tree, DataFrame]:
+    """The tree and the word counts of column ``text``.
+
+    With ``every_word`` the alphabet leaves out no word that a context can have.
+    """
     counted = written(_word_counts(df, buckets), "lm_counts")
     sizes = counted.agg(F.sum("tokens"), F.sum("words")).first()
-    top = sorted((h % (1 << 64), c) for h, c in _most_frequent(counted, ALPHABET))
+    # No more words than that can have the share of tokens that a context needs.
+    symbols = max(ALPHABET, int(1 / min_share)) if every_word else ALPHABET
+    top = sorted((h % (1 << 64), c) for h, c in _most_frequent(counted, symbols))
     tree = Tree(
         np.array([h for h, _ in top], np.uint64), np.array([c for _, c in top], np.int64),
         sizes[0] or 0, sizes[1] or 0,
@@ -471,7 +667,8 @@ def train(df: DataFrame, buckets: int, depth: int = DEPTH, min_share: float = MI
 
 
 def score(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, min_share: float = MIN_SHARE
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, min_share: float = MIN_SHARE,
+    every_word: bool = False,
 ) -> DataFrame:
     """One row per row: log10 probabilities of its text, by word counts and by the tree.
 
@@ -480,15 +677,26 @@ def score(
     Columns: the id, ``held_out``, ``n_tokens``, ``n_known`` (tokens found in training),
     ``train_tokens``, ``base_score``, ``score``.  Without any training row, every token has
     probability 1.  Rows of one id are scored each.
+
+    With ``every_word`` the words that are no symbols are counted after each retained context
+    too, one by one; without, they share the probability of their class by plain counts.
     """
     spark: SparkSession = df.sparkSession
     ship_code(spark)
     docs = df.select(F.col(id_col).alias("doc"), text_of(text_col).alias("text"))
     buckets = max(64, 2 * shuffle_partitions(spark))
-    tree, counted = train(docs.filter(in_training("doc")), buckets, depth, min_share)
-    local = written(_local(docs, tree, buckets, docs.schema["doc"].dataType), "lm_portions")
-    answers = _answered(local.filter("bucket IS NOT NULL"), counted)
-    scored = _finished(local.filter("bucket IS NULL"), answers, tree.total)
+    training = docs.filter(in_training("doc"))
+    tree, counted = train(training, buckets, depth, min_share, every_word)
+    totals = np.zeros((2, len(tree.parents)), np.int64)
+    if every_word:
+        buckets = max(buckets, tree.tokens // _BUCKET_TOKENS)
+        counted = written(_kind_counts(training, tree, buckets), "lm_kinds")
+        totals = _rare_totals(counted, tree)
+    else:
+        counted = counted.withColumns({c: F.lit(None).cast("binary") for c in ("sizes", "states")})
+    local = written(_local(docs, tree, buckets, docs.schema["doc"].dataType, every_word), "lm_portions")
+    answers = _answered(local.filter("bucket IS NOT NULL"), counted, tree, totals, buckets)
+    scored = _finished(local.filter("bucket IS NULL"), answers, tree.total, buckets)
     return scored.select(
         F.col("doc").alias(id_col), (~in_training("doc")).alias("held_out"), "n_tokens", "n_known",
         F.lit(tree.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
