@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import SPACE_CLASS, Aside, text_of, words_of
+from dockhand.llm.common import Aside, text_of, words_of
 
 BUCKETS = 1 << 16
 # Pseudo-count of every bucket in both multinomials.
@@ -46,7 +46,7 @@ def _measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     return out.withColumns({
         "n_words": F.size("_words").cast("bigint"),
-        "word_chars": F.length(F.regexp_replace("_text", SPACE_CLASS + "++", "")).cast("bigint"),
+        "word_chars": F.length(F.concat_ws("", "_words")).cast("bigint"),
         "n_symbols": F.length(F.regexp_replace("_text", f"[^{_SYMBOLS}]++", "")).cast("bigint"),
         "n_dup_lines": F.expr("cast(size(_filled) - size(array_distinct(_filled)) AS bigint)"),
         # A bitwise AND, a remainder that is never null: arrays without nulls sort as numbers.
@@ -156,10 +156,8 @@ def _scored_held_out(counted: DataFrame, df: DataFrame, trusted: DataFrame, id_c
     listed = _listed(df, chosen, id_col, text_col)
     # Sorted, so that equal buckets are neighbours and sums have one order.
     placed = counted.join(F.broadcast(chosen), F.col(id_col) == F.col("_trusted"), "left").withColumns({
-        "_raw": listed.select(F.expr("transform(all, x -> cast(x.raw AS double))")).scalar(),
-        "_target": listed.select(F.expr(f"transform(all, x -> x.target + {EXPECTED}D)")).scalar(),
         "_totals": listed.select(F.struct("raw_total", "target_total")).scalar(),
-        "_own": F.col("_trusted").isNotNull().cast("int"),
+        "_own": F.col("_trusted").isNotNull().cast("double"),
         "_all": F.sort_array(F.concat("_grams", "_pairs")),
     })
     ends = placed.withColumn("_ends", F.expr(
@@ -170,9 +168,14 @@ def _scored_held_out(counted: DataFrame, df: DataFrame, trusted: DataFrame, id_c
         " cast(_totals.target_total - _own * size(_all) AS double) / (_totals.raw_total - size(_all)) END"
     ))
     runs = ends.withColumn("_runs", F.expr(
-        "transform(_ends, (p, k) -> struct(_all[p] AS b, p - coalesce(get(_ends, k - 1), -1) AS n))"
+        "transform(_ends, (p, k) -> struct(_all[p] AS b, cast(p - coalesce(get(_ends, k - 1), -1) AS double) AS n))"
     ))
-    return runs.withColumn("score", F.expr(
+    # The tables of all buckets come last: a step that hands them on copies them for each row.
+    tables = runs.withColumns({
+        "_raw": listed.select(F.expr("transform(all, x -> cast(x.raw AS double))")).scalar(),
+        "_target": listed.select(F.expr(f"transform(all, x -> x.target + {EXPECTED}D)")).scalar(),
+    })
+    return tables.withColumn("score", F.expr(
         "CASE WHEN _rate IS NULL THEN 0D ELSE aggregate(_runs, 0D, (s, x) -> s + x.n * ln("
         f"(_target[x.b] - _own * x.n) / ((_raw[x.b] - x.n) * _rate + {EXPECTED}D))) / size(_all) END"
     ))
