@@ -15,8 +15,9 @@ Where a set meets others:
 3. Each set goes once, whole, to one home: the shared gram that most sets have.  Homes are
    split into blocks of bounded size; the classes found in blocks of one home meet again
    through one member each.
-4. What is left are grams whose sets still lie in different classes and never met.  Their
-   sets meet once more, in pairs of blocks where they are many.
+4. What is left are grams whose sets still lie in different classes and never met.  There
+   their signatures meet first, a bit or two for each gram, in pairs of blocks where they are
+   many.  Only sets with a partner that the signatures do not rule out meet once more, whole.
 
 Classes only spare comparisons inside a class, so no link between classes is lost.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockhand.llm.common import BROADCAST_BYTES, ship_code, stored_bytes, text_of, written
+from dockhand.llm.common import BROADCAST_BYTES, join_few, ship_code, stored_bytes, text_of, written
 from dockhand.llm.components import connected_components
 from dockhand.llm.exact_dedup import BUCKET_BITS, _is_set
 from dockhand.llm.wordhash import mix, portions, shingle_sets
@@ -63,6 +64,17 @@ def _ordered(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _signature(grams: np.ndarray) -> bytes:
+    """Bits of a set, as many as the power of two from its size on, 64 at least.
+
+    Each gram turns one bit over, so two signatures of a width differ in no more bits than
+    the sets do in grams.  Halves laid over each other are the signature of half the width.
+    """
+    bits = 1 << max(6, (len(grams) - 1).bit_length())
+    seen = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((seen & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def _misses(size: int, percent: int) -> int:
     """How many of its grams a set can have that a set similar to it has not."""
     return size - -(-percent * size // 100)
@@ -173,22 +185,26 @@ def _prefixes(df: DataFrame, width: int, percent: int, ranks) -> DataFrame:
 def _whole_sets(df: DataFrame, width: int, ranks) -> DataFrame:
     """The ordered sets of rows whose digest is ``d1``, ``d2``, for their ``text``."""
     kept = df.drop("text", "d1", "d2")
-    schema = T.StructType([*kept.schema, T.StructField("grams", T.BinaryType())])
+    schema = T.StructType([
+        *kept.schema, T.StructField("grams", T.BinaryType()), T.StructField("signature", T.BinaryType())
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = ranks.value
         for batch in batches:
             d1, d2 = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for first, data, offsets in portions(batch.column(0)):
-                rows, grams = [], []
+                rows, grams, signatures = [], [], []
                 for i, s in enumerate(shingle_sets(data, offsets, width), first):
                     if _digest(s) == (d1[i], d2[i]):
+                        keys = _ordered(s, order)
                         rows.append(i)
-                        grams.append(_ordered(s, order).tobytes())
+                        grams.append(keys.tobytes())
+                        signatures.append(_signature(keys))
                 chosen = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i).take(chosen) for i in range(3, batch.num_columns)],
-                     pa.array(grams, pa.binary())],
+                     pa.array(grams, pa.binary()), pa.array(signatures, pa.binary())],
                     [f.name for f in schema],
                 )
 
@@ -352,6 +368,84 @@ def _join_homes(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _folded(signature: np.ndarray, words: int) -> np.ndarray:
+    """A signature in as many words, no more than it has."""
+    return np.bitwise_xor.reduce(signature.reshape(-1, words), axis=0)
+
+
+def _possible(
+    sizes: np.ndarray, signatures: list[bytes], percent: int, met: Callable[[int, int], np.ndarray]
+) -> np.ndarray:
+    """Which of some sets, the smallest first, may be similar to another of them.
+
+    ``met(k, first)`` tells which of the sets from ``first`` up to ``k`` count as met by ``k``.
+    """
+    found = np.zeros(len(sizes), bool)
+    bits = [np.frombuffer(s, np.uint64) for s in signatures]
+    lengths = np.array([len(b) for b in bits])
+    # Sets of one width are neighbours.
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(lengths)) + 1, [len(bits)])).tolist()
+    widths = [(a, b, np.stack(bits[a:b])) for a, b in zip(starts, starts[1:])]
+    firsts = np.searchsorted(sizes, -(-percent * sizes // 100)).tolist()
+    for k, first in enumerate(firsts):
+        if first == k:
+            continue
+        both = sizes[first:k] + sizes[k]
+        apart = both - 2 * -(-percent * both // (100 + percent))
+        differ = np.full(k - first, np.iinfo(np.int64).max)
+        for a, b, table in widths:
+            low, high = max(a, first), min(b, k)
+            if low < high:
+                own = _folded(bits[k], table.shape[1])
+                differ[low - first:high - first] = np.bitwise_count(table[low - a:high - a] ^ own).sum(axis=1)
+        likely = (differ <= apart) & ~met(k, first)
+        if likely.any():
+            found[k] = True
+            found[first:k] |= likely
+    return found
+
+
+def _likely(placed: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``placed`` with a partner at their place that signatures do not rule out."""
+    schema = placed.drop("signature").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), rows in _by_group(batches, 3):
+            classes = np.array([r[8] for r in rows], np.int64)
+            homes = np.array([r[5] for r in rows], np.int64)
+            blocks = np.array([r[6] for r in rows], np.int64)
+            sides = np.array([r[7] for r in rows], np.int64)
+
+            def met(k: int, first: int) -> np.ndarray:
+                at = slice(first, k)
+                known = (classes[at] == classes[k]) | ((homes[at] == homes[k]) & (blocks[at] == blocks[k]))
+                return known | (sides[at] == sides[k]) if i != j else known
+
+            found = _possible(np.array([r[3] for r in rows], np.int64), [r[9] for r in rows], percent, met)
+            kept = [rows[k] for k in np.flatnonzero(found).tolist()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r[at] for r in kept], pa.int32() if f.dataType == T.IntegerType() else pa.int64())
+                for at, f in enumerate(schema)
+            ], [f.name for f in schema])
+
+    return (
+        placed.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "sid")
+        .mapInArrow(run, schema)
+    )
+
+
+def _once(likely: DataFrame) -> DataFrame:
+    """Without places at which just the same sets, on the same sides, meet as at another."""
+    place = ["gram", "i", "j"]
+    side = "CASE WHEN i < j THEN side = i END"
+    met = likely.groupBy(*place).agg(
+        F.count("*").alias("sets"), F.expr(f"bit_xor(xxhash64(sid, {side}))").alias("who"),
+        F.expr(f"bit_xor(xxhash64(1, sid, {side}))").alias("who2"),
+    )
+    first = met.groupBy("sets", "who", "who2", F.expr("i < j")).agg(F.min(F.struct(*place)).alias("p"))
+    return likely.join(first.select("p.*"), place, "left_semi")
+
+
 def _join_rest(sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between classes, of sets that did not meet before."""
 
@@ -471,8 +565,14 @@ def jaccard_classes(
         "gram", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
         "sid", "home", "block", "side", "class",
     )
+    signed = placed.join(sets.select("sid", "n", "signature"), "sid").select(
+        "gram", "i", "j", "n", "sid", "home", "block", "side", "class", "signature"
+    )
+    likely = written(_once(written(_likely(signed, percent), "jaccard_signed")), "jaccard_likely")
+    ids = written(likely.select("sid").distinct().withColumn("wanted", F.lit(True)), "jaccard_ids")
+    whole = join_few(sets.select("sid", "grams"), ids, ["sid"], "left").filter("wanted")
     more = written(
-        _join_rest(placed.join(sets.select("sid", "n", "grams"), "sid"), percent).distinct(), "jaccard_more"
+        _join_rest(likely.join(whole.select("sid", "grams"), "sid"), percent).distinct(), "jaccard_more"
     )
     final = connected_components(more)
     components = (

@@ -204,3 +204,40 @@ def test_components(spark, edges):
             low = min(parent[a], parent[b])
             parent[a] = parent[b] = low
     assert {n: got.get(n, n) for n in parent} == parent
+
+
+def test_whole_sets_meet_only_where_signatures_allow(spark, monkeypatch):
+    """Different texts with passages in common; their sets went to every place they share."""
+    rng = random.Random(4)
+    passages = [prose(rng, 12) for _ in range(6)]
+    texts = [" ".join([*rng.sample(passages, 3), prose(rng, 40)]) for _ in range(80)]
+    near = prose(rng, 80)
+    texts += [edited(rng, near, 1) + " " + passages[0] for _ in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    met, join = [], jaccard_join._join_rest
+    monkeypatch.setattr(jaccard_join, "_join_rest", lambda sets, percent: met.append(sets.count()) or join(sets, percent))
+    check(df, percent=50)
+    check(df, percent=80)
+    assert len(met) == 2 and met[1] <= 4
+
+
+@pytest.mark.parametrize("percent", [30, 80, 85])
+def test_signatures_rule_out_no_similar_pair(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for _ in range(120):
+        base = sets[rng.integers(len(sets))] if sets and rng.random() < 0.7 else rng.integers(0, 1 << 59, rng.integers(1, 400), np.uint64)
+        fresh = rng.integers(0, 1 << 59, rng.integers(0, 1 + len(base) // 3), np.uint64)
+        sets.append(np.unique(np.concatenate((base[rng.random(len(base)) < 0.93], fresh, base[:1]))))
+    sets.sort(key=len)
+    found = jaccard_join._possible(
+        np.array([len(s) for s in sets]), [jaccard_join._signature(s) for s in sets], percent,
+        lambda k, first: np.zeros(k - first, bool),
+    )
+    similar = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                similar |= {i, j}
+    assert similar and similar <= set(np.flatnonzero(found).tolist())
