@@ -34,6 +34,8 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
 _SYMBOLS = "#*$%&|<>"
+# The bucket of a hash.
+_BUCKET = f"cast({{}} & {BUCKETS - 1}L AS int)"
 
 
 def _measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -50,18 +52,15 @@ def _measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "n_symbols": F.length(F.regexp_replace("_text", f"[^{_SYMBOLS}]++", "")).cast("bigint"),
         "n_dup_lines": F.expr("cast(size(_filled) - size(array_distinct(_filled)) AS bigint)"),
         # A bitwise AND, a remainder that is never null: arrays without nulls sort as numbers.
-        "_grams": F.expr(
-            f"transform(_hashes, h -> cast(h & {BUCKETS - 1}L AS int))"
-        ),
+        # An empty slice is such an array too; a cast empty array is not.
+        "_grams": F.expr(f"transform(_hashes, h -> {_BUCKET.format('h')})"),
         "_pairs": F.expr(
-            "CASE WHEN size(_hashes) > 1 THEN transform(slice(_hashes, 1, size(_hashes) - 1),"
-            f" (h, i) -> cast(xxhash64(h, _hashes[i + 1]) & {BUCKETS - 1}L AS int))"
-            " ELSE cast(array() AS array<int>) END"
+            "transform(slice(_hashes, 1, greatest(size(_hashes) - 1, 0)),"
+            f" (h, i) -> {_BUCKET.format('xxhash64(h, _hashes[i + 1])')})"
         ),
         "_windows": F.expr(
-            "CASE WHEN size(_hashes) > 2 THEN transform(slice(_hashes, 1, size(_hashes) - 2),"
+            "transform(slice(_hashes, 1, greatest(size(_hashes) - 2, 0)),"
             " (h, i) -> xxhash64(h, _hashes[i + 1], _hashes[i + 2]))"
-            " ELSE cast(array() AS array<bigint>) END"
         ),
     })
 
@@ -99,14 +98,23 @@ def _chosen(trusted: DataFrame, max_trusted: int) -> DataFrame:
 
 def _listed(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row: ``all``, the counts of every bucket in order, and the two totals."""
-    grams = (
-        _measured(df.select(id_col, text_col), id_col, text_col)
-        .select(F.col(id_col).alias("_id"), F.concat("_grams", "_pairs").alias("_all"))
+    # The same buckets as in the arrays of a row, by a row for each word: without lambdas, which
+    # Spark does not compile.
+    words = (
+        df.select(F.col(id_col).alias("_id"), words_of(text_of(text_col)).alias("_words"))
         .join(F.broadcast(chosen), F.col("_id") == F.col("_trusted"), "left")
         # Outer, as a plain explode brings a filter that would repeat all of the above.
-        .select(F.col("_trusted").isNotNull().alias("target"), F.explode_outer("_all").alias("bucket"))
-        .filter("bucket IS NOT NULL")
+        .select(
+            F.col("_trusted").isNotNull().alias("target"), "_words",
+            F.posexplode_outer("_words").alias("_place", "_word"),
+        )
+        .filter("_word IS NOT NULL")
     )
+    pair = "xxhash64(xxhash64(_word), xxhash64(_words[_place + 1]))"
+    grams = words.select("target", F.explode(F.expr(
+        f"array({_BUCKET.format('xxhash64(_word)')},"
+        f" CASE WHEN _place + 1 < size(_words) THEN {_BUCKET.format(pair)} END)"
+    )).alias("bucket")).filter("bucket IS NOT NULL")
     counts = grams.groupBy("bucket").agg(
         F.count("*").alias("raw"), F.count_if("target").alias("target")
     )
@@ -160,24 +168,34 @@ def _scored_held_out(counted: DataFrame, df: DataFrame, trusted: DataFrame, id_c
         "_own": F.col("_trusted").isNotNull().cast("double"),
         "_all": F.sort_array(F.concat("_grams", "_pairs")),
     })
-    ends = placed.withColumn("_ends", F.expr(
-        "CASE WHEN size(_all) > 0 THEN filter(sequence(0, size(_all) - 1), i -> NOT (_all[i] <=> get(_all, i + 1))) END"
-    )).withColumn("_rate", F.expr(
+    # Most buckets occur once in a row; the others are neighbours of their like.
+    again = placed.withColumn("_again", F.expr("filter(_all, (b, i) -> b <=> get(_all, i + 1))")).withColumn("_rate", F.expr(
         # Null where there is no n-gram, or no other row has one.
         "CASE WHEN size(_all) > 0 AND _totals.raw_total > size(_all) THEN"
         " cast(_totals.target_total - _own * size(_all) AS double) / (_totals.raw_total - size(_all)) END"
     ))
+    # Arrays of numbers are subtracted in compiled code, so only few buckets are counted one by one.
+    ends = again.withColumn("_once", F.array_except("_all", "_again")).withColumn("_ends", F.expr(
+        "CASE WHEN size(_again) > 0 THEN"
+        " filter(sequence(0, size(_again) - 1), i -> NOT (_again[i] <=> get(_again, i + 1))) END"
+    ))
     runs = ends.withColumn("_runs", F.expr(
-        "transform(_ends, (p, k) -> struct(_all[p] AS b, cast(p - coalesce(get(_ends, k - 1), -1) AS double) AS n))"
+        "transform(_ends, (p, k) -> struct(_again[p] AS b, cast(p + 1 - coalesce(get(_ends, k - 1), -1) AS double) AS n))"
     ))
     # The tables of all buckets come last: a step that hands them on copies them for each row.
+    # Spark adds such a step for a column that is read twice, so each is read once.
+    raw = listed.select(F.expr("transform(all, x -> cast(x.raw AS double))"))
+    target = listed.select(F.expr(f"transform(all, x -> x.target + {EXPECTED}D)"))
     tables = runs.withColumns({
-        "_raw": listed.select(F.expr("transform(all, x -> cast(x.raw AS double))")).scalar(),
-        "_target": listed.select(F.expr(f"transform(all, x -> x.target + {EXPECTED}D)")).scalar(),
+        "_raw": raw.scalar(), "_target": target.scalar(),
+        "_raw_once": raw.scalar(), "_target_once": target.scalar(),
     })
     return tables.withColumn("score", F.expr(
-        "CASE WHEN _rate IS NULL THEN 0D ELSE aggregate(_runs, 0D, (s, x) -> s + x.n * ln("
-        f"(_target[x.b] - _own * x.n) / ((_raw[x.b] - x.n) * _rate + {EXPECTED}D))) / size(_all) END"
+        "CASE WHEN _rate IS NULL THEN 0D ELSE ("
+        "aggregate(_once, 0D, (s, b) -> s + ln("
+        f"(_target_once[b] - _own) / ((_raw_once[b] - 1D) * _rate + {EXPECTED}D)))"
+        " + aggregate(coalesce(_runs, array()), 0D, (s, x) -> s + x.n * ln("
+        f"(_target[x.b] - _own * x.n) / ((_raw[x.b] - x.n) * _rate + {EXPECTED}D)))) / size(_all) END"
     ))
 
 
