@@ -44,6 +44,7 @@ class _Model:
 
     def __init__(self, alphabet: int, lanes: int) -> None:
         self.counts = np.ones(alphabet, np.int64)
+        self.below = np.zeros(alphabet + 1, np.uint64)
         self.refresh()
         # What each order expects: the id and, in the last bits, the confidence in it.
         self._kind = np.int32 if alphabet < 1 << 31 - _SURE_BITS else np.int64
@@ -58,7 +59,7 @@ class _Model:
         self.two = np.zeros(lanes, np.int32)
 
     def refresh(self) -> None:
-        self.below = np.concatenate(([0], np.cumsum(self.counts))).astype(np.uint64)
+        np.cumsum(self.counts.view(np.uint64), out=self.below[1:])
 
     def expect(self, n: int) -> None:
         """What the first ``n`` lanes expect next."""
@@ -176,7 +177,10 @@ def decode_block(block: bytes) -> np.ndarray:
             now = np.where(outcome == 0, model.by2, model.by1)
             other = np.flatnonzero(outcome == 2)
             value = coder.where(other, model.below[-1])
-            found = np.searchsorted(model.below, value, "right") - 1
+            # In order, neighbours are looked up in the same part of the table.
+            order = np.argsort(value)
+            found = np.empty(len(order), np.intp)
+            found[order] = np.searchsorted(model.below, value[order], "right") - 1
             start = model.below[found]
             coder.take(other, start, model.below[found + 1] - start)
             now[other] = found

@@ -16,7 +16,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterable
-from itertools import chain, count
+from itertools import chain, count, repeat
 
 import numpy as np
 import regex
@@ -85,12 +85,13 @@ class _Known:
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
         self._ids = np.concatenate((self._ids, ids))
 
-    def ids_of(self, listed: list[list[str]]) -> list[bytes]:
-        """The ids of texts, given as lists of known words."""
-        last = np.cumsum([0] + [len(words) for words in listed])
-        places = np.fromiter(
-            map(self.places.__getitem__, chain.from_iterable(listed)), np.int64, int(last[-1])
-        )
+    def places_of(self, words: list[str]) -> np.ndarray:
+        """The places of words, -1 for those not known."""
+        return np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+
+    def ids_of(self, places: np.ndarray, sizes_of_texts: list[int]) -> list[bytes]:
+        """The ids of texts, given as the places of their words and how many each has."""
+        last = np.cumsum([0] + sizes_of_texts)
         starts = self._starts[places]
         sizes = self._starts[places + 1] - starts
         ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -209,7 +210,11 @@ class WordTokenizer:
         """The ids of texts, given as lists of words, into ``out``; returns what is known then."""
         if len(known) > MAX_WORDS:
             known = _Known(self.id_type)
-        new = set().union(*listed.values()).difference(known.places)
+        words = list(chain.from_iterable(listed.values()))
+        places = known.places_of(words)
+        missing = np.flatnonzero(places < 0)
+        unknown = [words[i] for i in missing.tolist()]
+        new = set(unknown)
         # Where blanks count, one may not be added before a word or left after it.
         alone = [
             w for w in new
@@ -218,7 +223,8 @@ class WordTokenizer:
         rest = list(new.difference(alone))
         if new:
             known.add(alone + rest, self._whole(alone) + (together(rest) if rest else []))
-        for i, ids in zip(listed, known.ids_of(list(listed.values()))):
+            places[missing] = known.places_of(unknown)
+        for i, ids in zip(listed, known.ids_of(places, [len(x) for x in listed.values()])):
             out[i] = ids
         return known
 

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from dockhand.llm import idfiles, queries, warc, zipdir
+from dockhand.llm import idfiles, queries, tokens, warc, zipdir
 from dockhand.llm.idcodec import BlockError, decode_block, encode_block
 from dockhand.llm.queries import FILE_END_ID
 
@@ -154,3 +154,25 @@ def test_special_tokens_in_texts_as_the_unchanged_library_gives_them(spark, tmp_
             else:
                 piece = ids[r.start:r.start + r.length]
                 assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(piece.tobytes()))
+
+
+def test_coded_ids_are_looked_up_in_order(monkeypatch):
+    ids = np.random.default_rng(5).integers(0, 5000, 20_000).astype(np.uint32)
+    block, search, asked = encode_block(ids), np.searchsorted, []
+
+    def searched(table, values, side):
+        asked.append(len(values))
+        assert (np.diff(values.astype(np.int64)) >= 0).all()
+        return search(table, values, side)
+
+    monkeypatch.setattr(np, "searchsorted", searched)
+    assert (decode_block(block) == ids).all()
+    assert sum(asked) > 1000
+
+
+def test_words_are_looked_up_once_known_or_not():
+    known = tokens._Known(np.dtype("<u2"))
+    known.add(["b", "a"], [b"\x01\x00", b"\x02\x00\x03\x00"])
+    places = known.places_of(["a", "c", "b", "a"])
+    assert places.tolist() == [1, -1, 0, 1]
+    assert known.ids_of(places[[0, 2, 3]], [2, 0, 1]) == [b"\x02\x00\x03\x00\x01\x00", b"", b"\x02\x00\x03\x00"]
