@@ -18,6 +18,8 @@ import numpy as np
 from dockhand.llm.rangecoder import Decoder, Encoder
 
 MAX_LANES = 4096
+_LANE_BITS = np.uint64(12)
+_LANE_MASK = np.uint64(MAX_LANES - 1)
 # Ids that a lane has, so that a block with more has more lanes.
 LANE_IDS = 256
 _HASH_BITS = 18
@@ -29,7 +31,7 @@ _WEIGHT_LIMIT = 1 << 16
 # Steps between two looks at the counts of order 0.
 _REFRESH = 4
 
-_MAGIC = b"IDB1"
+_MAGIC = b"IDB2"
 # Ids, size of the alphabet, lanes, words, checksum of the ids; then the checksum of all else.
 _HEADER = struct.Struct("<4sIIIII")
 _CHECKSUM = struct.Struct("<I")
@@ -54,9 +56,9 @@ class _Model:
         # Expected by order 2, by order 1, by neither.
         self.weights = np.tile(np.array([1, 1, 2], np.int64), (kinds, 1))
         self.weights[1::2, 1] = 0
-        self._edges = np.zeros((kinds, 4), np.uint64)
-        self.one = np.zeros(lanes, np.int32)
-        self.two = np.zeros(lanes, np.int32)
+        self._edges = np.zeros((4, kinds), np.uint64)
+        self.one = np.zeros(lanes, np.intp)
+        self.two = np.zeros(lanes, np.intp)
 
     def refresh(self) -> None:
         np.cumsum(self.counts.view(np.uint64), out=self.below[1:])
@@ -67,20 +69,34 @@ class _Model:
         self.place = ((self.two[:n].astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (
             one.astype(np.uint32) * np.uint32(0x85EBCA6B)
         )) >> np.uint32(32 - _HASH_BITS)
+        self.place = self.place.astype(np.intp)
         self.held1, self.held2 = self.next1.take(one), self.next2.take(self.place)
         self.by1, self.by2 = self.held1 >> _SURE_BITS, self.held2 >> _SURE_BITS
         know = (self.held2 & _MAX_CONFIDENCE) * (_MAX_CONFIDENCE + 1) + (self.held1 & _MAX_CONFIDENCE)
         self.kind = (know * 2 + (self.by1 == self.by2)).astype(np.intp)
-        self._edges[:, 1:] = np.cumsum(self.weights, axis=1)
-        self.edge1 = self._edges[:, 1].take(self.kind)
-        self.edge2 = self._edges[:, 2].take(self.kind)
-        self.total = self._edges[:, 3].take(self.kind)
+        self._edges[1:] = np.cumsum(self.weights, axis=1).T
+        self.total = self._edges[3].take(self.kind)
+
+    def outcome(self, value: np.ndarray) -> np.ndarray:
+        """Which order's part of the whole a value lies in."""
+        return (value >= self._edges[1].take(self.kind)).astype(np.intp) + (
+            value >= self._edges[2].take(self.kind)
+        )
 
     def interval(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = self.kind * 4 + outcome
+        """The part of the whole that each outcome has."""
+        place = outcome * len(self.weights) + self.kind
         edges = self._edges.ravel()
         start = edges.take(place)
-        return start, edges.take(place + 1) - start
+        return start, edges.take(place + len(self.weights)) - start
+
+    def symbol(self, ids: np.ndarray, other: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parts that order 0 gives the ids of some of ``n`` lanes, and all of it to the others."""
+        start, width = np.zeros(n, np.uint64), np.full(n, self.below[-1])
+        first = self.below.take(ids)
+        start[other] = first
+        width[other] = self.below.take(ids + 1) - first
+        return start, width
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray, other: np.ndarray, step: int) -> None:
         n = len(ids)
@@ -93,17 +109,18 @@ class _Model:
         np.add.at(self.counts, ids[other], _STEP)
         if step % _REFRESH == 0:
             self.refresh()
-        fresh = ids.astype(self._kind) << _SURE_BITS
+        now = ids.astype(self._kind)
+        fresh = now << _SURE_BITS
         for place, by, held, following in (
             (self.one[:n], self.by1, self.held1, self.next1),
             (self.place, self.by2, self.held2, self.next2),
         ):
-            know = held & _MAX_CONFIDENCE
-            hit = by == ids
+            hit = (by == now).astype(self._kind)
             # A wrong expectation goes once nothing is left of the confidence in it.
-            missed = np.where(know > 0, held - 1, fresh)
-            following[place] = np.where(hit, held + (know < _MAX_CONFIDENCE), missed)
-        self.two[:n], self.one[:n] = self.one[:n].copy(), ids
+            gone = -(((held & _MAX_CONFIDENCE) | hit) == 0).astype(self._kind)
+            kept = np.minimum(held + 2 * hit - 1, held | _MAX_CONFIDENCE)
+            following[place] = kept ^ ((kept ^ fresh) & gone)
+        self.two[:n], self.one[:n] = self.one[:n], ids
 
 
 def _lanes(n: int) -> tuple[int, int, int]:
@@ -132,20 +149,19 @@ def encode_block(ids: np.ndarray) -> bytes:
     else:
         alphabet = int(ids.max()) + 1
         lanes, steps, long = _lanes(n)
-        ordered = ids[_by_step(n)].astype(np.int32)
+        ordered = ids[_by_step(n)].astype(np.intp)
         model, coder = _Model(alphabet, lanes), Encoder(lanes)
         for step in range(steps):
             active = lanes if step < steps - 1 else long
             now = ordered[step * lanes:step * lanes + active]
             model.expect(active)
-            outcome = np.where(now == model.by2, 0, np.where(now == model.by1, 1, 2))
-            coder.put(slice(0, active), *model.interval(outcome), model.total)
+            outcome = (now != model.by2) * (1 + (now != model.by1).astype(np.intp))
+            coder.put(*model.interval(outcome), model.total)
             other = np.flatnonzero(outcome == 2)
-            start = model.below[now[other]]
-            coder.put(other, start, model.below[now[other] + 1] - start, model.below[-1])
+            coder.put(*model.symbol(now[other], other, active), model.below[-1])
             model.learn(now, outcome, other, step)
         words, counts = coder.finish()
-        body = counts.astype("<u4").tobytes() + words.astype("<u2").tobytes()
+        body = counts.astype("<u4").tobytes() + words.astype("<u4").tobytes()
     head = _HEADER.pack(_MAGIC, n, alphabet, lanes, len(words), zlib.crc32(ids.tobytes()))
     return head + _CHECKSUM.pack(zlib.crc32(head + body)) + body
 
@@ -158,31 +174,28 @@ def decode_block(block: bytes) -> np.ndarray:
     checksum, = _CHECKSUM.unpack_from(block, _HEADER.size)
     body = block[_HEADER.size + _CHECKSUM.size:]
     whole = zlib.crc32(block[:_HEADER.size] + body) == checksum
-    if magic != _MAGIC or len(body) != 4 * lanes + 2 * n_words or not whole:
+    if magic != _MAGIC or len(body) != 4 * (lanes + n_words) or not whole:
         raise BlockError("a block is damaged")
     out = np.zeros(n, "<u4")
     if n:
         lanes, steps, long = _lanes(n)
         counts = np.frombuffer(body, "<u4", lanes)
         model = _Model(alphabet, lanes)
-        coder = Decoder(np.frombuffer(body, "<u2", n_words, 4 * lanes), counts)
-        ordered = np.zeros(n, np.int32)
+        coder = Decoder(np.frombuffer(body, "<u4", n_words, 4 * lanes), counts)
+        ordered = np.zeros(n, np.uint32)
         for step in range(steps):
             active = lanes if step < steps - 1 else long
             model.expect(active)
-            every = slice(0, active)
-            value = coder.where(every, model.total)
-            outcome = (value >= model.edge1).astype(np.int64) + (value >= model.edge2)
-            coder.take(every, *model.interval(outcome))
-            now = np.where(outcome == 0, model.by2, model.by1)
+            outcome = model.outcome(coder.where(active, model.total))
+            coder.take(*model.interval(outcome))
+            now = (model.by1 + (model.by2 - model.by1) * (outcome == 0)).astype(np.intp)
             other = np.flatnonzero(outcome == 2)
-            value = coder.where(other, model.below[-1])
+            value = coder.where(active, model.below[-1])
             # In order, neighbours are looked up in the same part of the table.
-            order = np.argsort(value)
-            found = np.empty(len(order), np.intp)
-            found[order] = np.searchsorted(model.below, value[order], "right") - 1
-            start = model.below[found]
-            coder.take(other, start, model.below[found + 1] - start)
+            value = np.sort((value[other] << _LANE_BITS) | other.astype(np.uint64))
+            other = (value & _LANE_MASK).astype(np.intp)
+            found = np.searchsorted(model.below, value >> _LANE_BITS, "right") - 1
+            coder.take(*model.symbol(found, other, active))
             now[other] = found
             model.learn(now, outcome, other, step)
             ordered[step * lanes:step * lanes + active] = now

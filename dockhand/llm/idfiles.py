@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from dockhand.plans.workspace import new_workspace
 BLOCK_IDS = 1 << 20
 # Ids that a reading task has, so that more ids make more tasks.
 TASK_IDS = 16 * BLOCK_IDS
+# Texts are encoded in portions of about so many bytes.
+PORTION_BYTES = 1 << 22
 
 _MAGIC = b"IDF1"
 # Size and checksum of a block's document table.
@@ -39,6 +42,14 @@ _ENTRY = struct.Struct("<QQQQ")
 _TRAILER = struct.Struct("<QII4s")
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in runs by the size of their texts, the second column."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    breaks = np.flatnonzero(np.diff(ends // PORTION_BYTES)) + 1
+    for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _pack_block(names: pa.Array, documents: list[np.ndarray]) -> bytes:
     lengths = pa.array([len(d) for d in documents], pa.int64())
     sink = pa.BufferOutputStream()
@@ -113,8 +124,7 @@ def write_id_files(
             if out is None and batch.num_rows:
                 system, where = file_system(path)
                 out = system.open_output_stream(where)
-            for i in range(0, batch.num_rows, 128):
-                portion = batch.slice(i, 128)
+            for portion in _portions(batch):
                 encoded = encoder.encode(portion.column(1).to_pylist())
                 for k, raw in enumerate(encoded):
                     documents.append(np.frombuffer(raw + end, encoder.id_type))

@@ -1,97 +1,87 @@
 """A range coder for many lanes at once.
 
-Every lane is a coder of its own, carry-less, with 64 bits of state and 16-bit output; numpy
-advances all of them together.
+Every lane is a coder of its own, carry-less, with 64 bits of state and 32-bit output; numpy
+advances all of them together.  A lane moves on by a word once its span is shorter than one,
+so it never moves on by two.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_TOP = np.uint64(48)
-_WORD = np.uint64(16)
-_BOTTOM = np.uint64(1 << 32)
+_WORD = np.uint64(32)
+_SHORT = np.uint64(1 << 32)
 _LOW_MASK = np.uint64((1 << 32) - 1)
 _FULL = np.uint64((1 << 64) - 1)
-_ZERO = np.uint64(0)
 
 
-def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes that must move on by a word, and the spans, cut where a carry would pass."""
-    settled = (low ^ (low + span)) >> _TOP == _ZERO
-    short = span < _BOTTOM
-    if short.any():
-        stuck = np.flatnonzero(short & ~settled)
-        span[stuck] = (_ZERO - low[stuck]) & _LOW_MASK
-        settled |= short
-    return np.flatnonzero(settled), span
+def _moved(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State of lanes that move on by a word; their spans are cut where a carry would pass."""
+    return low << _WORD, np.minimum(span, _SHORT - (low & _LOW_MASK)) << _WORD
 
 
 class Encoder:
     def __init__(self, lanes: int) -> None:
-        self._lanes = lanes
         self._every = np.arange(lanes, dtype=np.uint16)
         self._low = np.zeros(lanes, np.uint64)
         self._span = np.full(lanes, _FULL)
         self._out: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def put(self, at: np.ndarray | slice, start: np.ndarray, width: np.ndarray, total) -> None:
-        """Code the interval ``start`` and ``width`` out of ``total`` in some lanes."""
-        low, span = self._low[at], self._span[at]
+    def put(self, start: np.ndarray, width: np.ndarray, total) -> None:
+        """Code the intervals ``start`` and ``width`` out of ``total`` in the first lanes.
+
+        All of ``total`` is no news, and takes next to no room.
+        """
+        n = len(start)
+        low, span = self._low[:n], self._span[:n]
         unit = span // total
-        low = low + start * unit
-        span = unit * width
-        moving, span = _narrowed(low, span)
-        lanes = self._every[at]
-        while len(moving):
+        low += start * unit
+        np.multiply(unit, width, out=span)
+        moving = np.flatnonzero(span < _SHORT)
+        if len(moving):
             moved = low[moving]
-            self._out.append((lanes[moving], (moved >> _TOP).astype(np.uint16)))
-            moved <<= _WORD
-            again, wide = _narrowed(moved, span[moving] << _WORD)
-            low[moving], span[moving] = moved, wide
-            moving = moving[again]
-        self._low[at], self._span[at] = low, span
+            self._out.append((self._every[moving], (moved >> _WORD).astype(np.uint32)))
+            low[moving], span[moving] = _moved(moved, span[moving])
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of all lanes, lane after lane, and how many each lane has."""
-        for _ in range(4):
-            self._out.append((self._every, (self._low >> _TOP).astype(np.uint16)))
+        for _ in range(2):
+            self._out.append((self._every, (self._low >> _WORD).astype(np.uint32)))
             self._low <<= _WORD
         lanes = np.concatenate([x[0] for x in self._out])
         words = np.concatenate([x[1] for x in self._out])
-        return words[np.argsort(lanes, kind="stable")], np.bincount(lanes, minlength=self._lanes)
+        return words[np.argsort(lanes, kind="stable")], np.bincount(lanes, minlength=len(self._every))
 
 
 class Decoder:
     def __init__(self, words: np.ndarray, counts: np.ndarray) -> None:
-        self._words = np.concatenate((words, np.zeros(4, np.uint16))).astype(np.uint64)
+        self._words = np.concatenate((words, np.zeros(2, np.uint32))).astype(np.uint64)
         self._place = np.concatenate(([0], np.cumsum(counts[:-1], dtype=np.int64)))
         self._low = np.zeros(len(counts), np.uint64)
         self._span = np.full(len(counts), _FULL)
+        # What is coded, less the low end of the state.
         self._code = np.zeros(len(counts), np.uint64)
-        for _ in range(4):
+        for _ in range(2):
             self._code = (self._code << _WORD) | self._words[self._place]
             self._place += 1
 
-    def where(self, at: np.ndarray | slice, total) -> np.ndarray:
-        """The place in ``0 .. total - 1`` that each lane's next interval holds."""
-        self._unit = self._span[at] // total
-        return np.minimum((self._code[at] - self._low[at]) // self._unit, total - np.uint64(1))
+    def where(self, n: int, total) -> np.ndarray:
+        """The place in ``0 .. total - 1`` that the next interval of the first lanes holds."""
+        self._unit = self._span[:n] // total
+        return np.minimum(self._code[:n] // self._unit, total - np.uint64(1))
 
-    def take(self, at: np.ndarray | slice, start: np.ndarray, width: np.ndarray) -> None:
-        """Pass the interval that :meth:`where` was asked for."""
-        low, code = self._low[at] + start * self._unit, self._code[at]
-        span = self._unit * width
-        moving, span = _narrowed(low, span)
-        place = self._place[at]
-        while len(moving):
+    def take(self, start: np.ndarray, width: np.ndarray) -> None:
+        """Pass the intervals that :meth:`where` was asked for."""
+        n = len(start)
+        low, span, code, place = self._low[:n], self._span[:n], self._code[:n], self._place[:n]
+        step = start * self._unit
+        low += step
+        code -= step
+        np.multiply(self._unit, width, out=span)
+        moving = np.flatnonzero(span < _SHORT)
+        if len(moving):
             # Past the end of damaged data anything may be read; the checksums tell.
-            following = self._words.take(place[moving], mode="clip")
-            code[moving] = (code[moving] << _WORD) | following
-            place[moving] += 1
-            moved = low[moving] << _WORD
-            again, wide = _narrowed(moved, span[moving] << _WORD)
-            low[moving], span[moving] = moved, wide
-            moving = moving[again]
-        self._low[at], self._span[at], self._code[at] = low, span, code
-        self._place[at] = place
+            at = place[moving]
+            code[moving] = (code[moving] << _WORD) | self._words.take(at, mode="clip")
+            place[moving] = at + 1
+            low[moving], span[moving] = _moved(low[moving], span[moving])

@@ -7,6 +7,9 @@ any blank or control character besides space and line feed, the whole text goes
 library.  So do texts that hold an added token where those get their own ids, which is what
 the library does unless told otherwise.  Texts in Latin letters are parted just as the tokenizer does; in others, where the
 libraries may know different letters, only blanks part words.
+
+Texts of byte-level tokenizers are parted all at once, in UTF-8: numpy finds the places and
+Arrow the different pieces, so Python sees each piece once a portion.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterable
 from itertools import chain, count, repeat
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 # Words held by one Python worker, about 200 MB; beyond it the memory starts anew.
@@ -31,13 +35,55 @@ PORTION = 1 << 20
 _UNUSUAL = re.compile("[^\\S \n]|[\x00-\x09\x0b-\x1f\x7f-\x9f\u180e\u200b-\u200d\u2060\ufeff]")
 # Beyond these letters, which also keep their number when lower-cased and composed.
 _NOT_LATIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
-# Fixed value: how byte-level tokenizers part a text.
-_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Texts of byte-level tokenizers are, as fewer pieces are looked up in a larger portion.
+BYTE_PORTION = 1 << 22
 # Stands between words that are encoded together; no such word holds it.
 _MARK = "\x01"
 _TOGETHER = 4096
-# A run of blanks goes with the word after it, as it may become part of its first token.
-_WITH_BLANKS = re.compile("[ \n]*[^ \n]+|[ \n]+")
+
+# Byte-level tokenizers part a text by
+# 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+# Kinds of bytes there.  Letters are those of _PLAIN; the bytes of all other characters
+# beyond ASCII have no kind.
+_NO_KIND, _BLANK, _LETTER, _DIGIT, _OTHER = range(5)
+_KINDS = bytes(
+    _BLANK if chr(b) in " \n" else _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _OTHER
+    for b in range(0x80)
+) + bytes([_LETTER] * 0x40 + [_NO_KIND] * 3 + [_LETTER] * 7 + [_NO_KIND] * 0x36)
+# Pieces, in UTF-8, that such a tokenizer certainly does not part any further.
+_PLAIN = re.compile(rb" ?(?:[!-&(-~]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9][\x80-\xbf])+")
+# The characters by which such a tokenizer names bytes.
+_NAMED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_NAMES = np.arange(256, dtype="<u2")
+_NAMES[_NAMED] = np.arange(256, 256 + len(_NAMED))
+_LINE = chr(_NAMES[ord("\n")])
+
+
+def _byte_level_cuts(raw: bytes) -> np.ndarray:
+    """Before which bytes of a text in UTF-8 every byte-level tokenizer parts it.
+
+    Not all such places: a run of blanks goes with the word after it, unless it is one line
+    feed; nothing is parted after an apostrophe, which may begin a short form, nor at
+    characters of no kind.  So a piece has the same ids whatever stands around it.
+    """
+    cut = np.zeros(len(raw) + 1, bool)
+    if not raw:
+        return cut
+    here, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(_KINDS), np.uint8)
+    if not raw.isascii():
+        kind = kind.copy()
+        leads = np.flatnonzero((here == 0xC2) | (here >= 0xCA))
+        for n, least in ((1, 0xC2), (2, 0xE0), (3, 0xF0)):
+            kind[leads[here[leads] >= least] + n] = _NO_KIND
+        # The signs for times and divided by lie among the letters.
+        signs = np.flatnonzero(here == 0xC3)
+        signs = signs[(here[signs + 1] | 0x20) == 0xB7]
+        kind[signs] = kind[signs + 1] = _NO_KIND
+    blank, known = kind == _BLANK, kind != _NO_KIND
+    apart = known[1:] & (known & (here != ord("'")))[:-1]
+    cut[1:-1] = (kind[1:] != kind[:-1]) & ~blank[:-1] & (blank[1:] | apart)
+    cut[2:-1] |= (here == ord("\n"))[1:-1] & ~blank[:-2] & ~blank[2:]
+    return cut
 
 
 def _class(category: str) -> str:
@@ -69,14 +115,14 @@ class _Known:
     """Words and their ids, the ids of all words in one array."""
 
     def __init__(self, id_type: np.dtype) -> None:
-        self.places: dict[str, int] = {}
+        self.places: dict[str | bytes, int] = {}
         self._starts = np.zeros(1, np.int64)
         self._ids = np.zeros(0, id_type)
 
     def __len__(self) -> int:
         return len(self.places)
 
-    def add(self, words: list[str], encoded: list[bytes]) -> None:
+    def add(self, words: list[str] | list[bytes], encoded: list[bytes]) -> None:
         if len(words) != len(encoded):
             raise ValueError(f"{len(words)} words gave the ids of {len(encoded)}")
         ids = np.frombuffer(b"".join(encoded), self._ids.dtype)
@@ -85,7 +131,7 @@ class _Known:
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
         self._ids = np.concatenate((self._ids, ids))
 
-    def places_of(self, words: list[str]) -> np.ndarray:
+    def places_of(self, words: list[str] | list[bytes]) -> np.ndarray:
         """The places of words, -1 for those not known."""
         return np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
 
@@ -113,14 +159,17 @@ class WordTokenizer:
         added = [t["content"] for t in config.get("added_tokens") or []] if special_tokens else []
         # As such a token may be looked for after the text is normalised, in any case.
         self._added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self._line = self._tokenizer.token_to_id(_LINE)
+        self._byte_level = self._line is not None and _is_byte_level(config)
         self._split, pattern, self._lower = _splitter(config)
         self._parts = _latin_parts(pattern) if pattern else None
-        self._blanks_count = self._split == _WITH_BLANKS.findall
         self.id_type = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._known, self._known_parts = _Known(self.id_type), _Known(self.id_type)
         # A line feed keeps the mark apart from the word before it.
         self._mark = self._tokenizer.encode("a\n" + _MARK, add_special_tokens=False).ids[1:]
-        self._line = self._tokenizer.encode("a\n", add_special_tokens=False).ids[1:]
+        if self._byte_level:
+            # For pieces that need not be parted any further, which is most of the library's work.
+            self._pieces = Tokenizer(self._tokenizer.model)
         suffix = config["model"].get("end_of_word_suffix")
         self._ends = np.zeros(1 << 8 * self.id_type.itemsize if self.id_type.itemsize == 2 else 0, bool)
         if self._parts and suffix:
@@ -137,7 +186,7 @@ class WordTokenizer:
         for text in texts:
             portion.append(text)
             size += len(text)
-            if size >= PORTION:
+            if size >= (BYTE_PORTION if self._byte_level else PORTION):
                 out += self._portion(portion)
                 portion, size = [], 0
         return out + self._portion(portion)
@@ -156,8 +205,7 @@ class WordTokenizer:
     def _words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, many words to a call."""
         joined = [
-            "".join(f"{w}\n{_MARK}" if w[0] in " \n" else f" {w}\n{_MARK}" for w in words[i:i + _TOGETHER])
-            for i in range(0, len(words), _TOGETHER)
+            "".join(f" {w}\n{_MARK}" for w in words[i:i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)
         ]
         out: list[bytes] = []
         width, drop = self.id_type.itemsize, len(self._mark) - 1
@@ -173,31 +221,80 @@ class WordTokenizer:
 
     def _encoded_parts(self, parts: list[str]) -> list[bytes]:
         """The ids of each part, many parts to a call."""
-        together = " " if not self._blanks_count else "\n"
-        joined = [together.join(parts[i:i + _TOGETHER]) for i in range(0, len(parts), _TOGETHER)]
+        joined = [" ".join(parts[i:i + _TOGETHER]) for i in range(0, len(parts), _TOGETHER)]
         out: list[bytes] = []
         width = self.id_type.itemsize
         for encoded in self._tokenizer.encode_batch_fast(joined, add_special_tokens=False):
             ids = np.array(encoded.ids, self.id_type)
-            if self._blanks_count:
-                # The line feed after a part is not the part's.
-                breaks = np.flatnonzero(ids == self._line[0])
-                starts = np.concatenate(([0], breaks + 1))
-                ends = np.concatenate((breaks, [len(ids)]))
-            else:
-                ends = np.flatnonzero(self._ends[ids]) + 1
-                starts = np.concatenate(([0], ends[:-1]))
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            starts = np.concatenate(([0], ends[:-1]))
             raw = ids.tobytes()
             out += [raw[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]
         return out
 
+    def _encoded_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece of a byte-level tokenizer's texts, many to a call."""
+        out: list[bytes] = [b""] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)]
+        rest = list(set(range(len(pieces))).difference(plain))
+        for i, ids in zip(rest, self._whole([pieces[i].decode() for i in rest])):
+            out[i] = ids
+        joined = np.frombuffer(b"\n".join([pieces[i] for i in plain]), np.uint8)
+        named = _NAMES[joined].tobytes().decode("utf-16-le").split(_LINE)
+        # Ready-parted, and a line feed, which no plain piece has, after each.
+        parted = [
+            list(chain.from_iterable(zip(named[i:i + _TOGETHER], repeat(_LINE))))
+            for i in range(0, len(plain), _TOGETHER)
+        ]
+        at, width = iter(plain), self.id_type.itemsize
+        for e in self._pieces.encode_batch_fast(parted, is_pretokenized=True, add_special_tokens=False):
+            ids = np.array(e.ids, self.id_type)
+            ends = np.flatnonzero(ids == self._line)
+            starts = np.concatenate(([0], ends[:-1] + 1))
+            raw = ids.tobytes()
+            for a, b, i in zip((starts * width).tolist(), (ends * width).tolist(), at):
+                out[i] = raw[a:b]
+        return out
+
+    def _cut_at_once(self, texts: list[str]) -> list[bytes]:
+        """The ids of a byte-level tokenizer's texts."""
+        if len(self._known) > MAX_WORDS:
+            self._known = _Known(self.id_type)
+        known = self._known
+        encoded = [t.encode() for t in texts]
+        raw = b"".join(encoded)
+        starts = np.cumsum([0] + [len(e) for e in encoded])
+        cut = _byte_level_cuts(raw)
+        cut[starts] = True
+        places = np.flatnonzero(cut)
+        found = pa.Array.from_buffers(
+            pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        _, ends, held = found.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64, len(found.dictionary) + 1).tolist() if held else [0]
+        held = held.to_pybytes() if held else b""
+        pieces = [held[a:b] for a, b in zip(ends, ends[1:])]
+        placed = known.places_of(pieces)
+        missing = np.flatnonzero(placed < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            placed[missing] = np.arange(len(known), len(known) + len(new))
+            known.add(new, self._encoded_pieces(new))
+        counts = np.diff(np.searchsorted(places, starts))
+        return known.ids_of(placed[found.indices.to_numpy()], counts.tolist())
+
     def _portion(self, texts: list[str]) -> list[bytes]:
-        if self._split is None:
+        if self._split is None and not self._byte_level:
             return self._whole(texts)
         out: list[bytes | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if _unusual(t) or self._has_added(t)]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
+        if self._byte_level:
+            rest = [i for i, ids in enumerate(out) if ids is None]
+            for i, ids in zip(rest, self._cut_at_once([texts[i] for i in rest])):
+                out[i] = ids
+            return out
         latin = {i for i, t in enumerate(texts) if out[i] is None and (t.isascii() or not _NOT_LATIN.search(t))}
         if self._parts:
             parts = {i: self._parts(texts[i].lower() if self._lower else texts[i]) for i in latin}
@@ -214,15 +311,9 @@ class WordTokenizer:
         places = known.places_of(words)
         missing = np.flatnonzero(places < 0)
         unknown = [words[i] for i in missing.tolist()]
-        new = set(unknown)
-        # Where blanks count, one may not be added before a word or left after it.
-        alone = [
-            w for w in new
-            if self._blanks_count and (w[-1] in " \n" or (together == self._words and w[0] not in " \n"))
-        ]
-        rest = list(new.difference(alone))
+        new = list(set(unknown))
         if new:
-            known.add(alone + rest, self._whole(alone) + (together(rest) if rest else []))
+            known.add(new, together(new))
             places[missing] = known.places_of(unknown)
         for i, ids in zip(listed, known.ids_of(places, [len(x) for x in listed.values()])):
             out[i] = ids
@@ -234,20 +325,31 @@ def _unusual(text: str) -> bool:
     return not text.replace("\n", "").isprintable() and bool(_UNUSUAL.search(text))
 
 
+def _steps(config: dict) -> list[dict]:
+    """How a tokenizer parts texts, nothing if its tokens may depend on more than the part."""
+    if config["model"].get("type") != "BPE" or config.get("post_processor"):
+        return []
+    steps = config.get("pre_tokenizer") or {}
+    return steps.get("pretokenizers", [steps])
+
+
+def _is_byte_level(config: dict) -> bool:
+    """Whether this tokenizer does no more than parting texts by the byte-level pattern."""
+    steps = _steps(config)
+    return len(steps) == 1 and steps[0].get("type") == "ByteLevel" and bool(steps[0].get("use_regex")) and not (
+        steps[0].get("add_prefix_space") or config.get("normalizer")
+    )
+
+
 def _splitter(config: dict) -> tuple:
     """How this tokenizer's texts fall into words that do not touch each other's tokens.
 
     A function for any text, a pattern for Latin ones, and whether they are lower-cased first.
     """
-    steps = config.get("pre_tokenizer") or {}
-    steps = steps.get("pretokenizers", [steps])
-    if config["model"].get("type") != "BPE" or config.get("post_processor"):
+    steps = _steps(config)
+    if not steps:
         return None, None, False
     first = steps[0]
-    if first.get("type") == "ByteLevel" and first.get("use_regex") and not (
-        first.get("add_prefix_space") or config.get("normalizer")
-    ):
-        return _WITH_BLANKS.findall, _BYTE_LEVEL, False
     drops_blanks = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
     known = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
     normalizer = config.get("normalizer") or {"normalizers": []}

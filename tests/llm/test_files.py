@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import zipfile
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from dockhand.llm import idfiles, queries, tokens, warc, zipdir
+from dockhand.llm import idfiles, queries, rangecoder, tokens, warc, zipdir
 from dockhand.llm.idcodec import BlockError, decode_block, encode_block
 from dockhand.llm.queries import FILE_END_ID
 
@@ -176,3 +178,68 @@ def test_words_are_looked_up_once_known_or_not():
     places = known.places_of(["a", "c", "b", "a"])
     assert places.tolist() == [1, -1, 0, 1]
     assert known.ids_of(places[[0, 2, 3]], [2, 0, 1]) == [b"\x02\x00\x03\x00\x01\x00", b"", b"\x02\x00\x03\x00"]
+
+
+def test_each_piece_is_looked_up_once_a_portion(monkeypatch):
+    asked, places_of = [], tokens._Known.places_of
+
+    def counted(known, words):
+        asked.append(len(words))
+        return places_of(known, words)
+
+    monkeypatch.setattr(tokens._Known, "places_of", counted)
+    ours = tokens.WordTokenizer(PATH)
+    texts = ["the same words, the same words\nagain and again"] * 50
+    want = Tokenizer.from_file(PATH).encode(texts[0], add_special_tokens=False).ids
+    assert all(np.frombuffer(x, ours.id_type).tolist() == want for x in ours.encode(texts))
+    # the, " same", " words", ",", " the", line feed, again, " and", " again"
+    assert asked == [9]
+
+
+def test_more_pieces_than_a_call_takes():
+    words = ["é" + "".join(p) for p in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=3)]
+    texts = [" ".join(words[k::3]) for k in range(3)]
+    ours = tokens.WordTokenizer(PATH)
+    want = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, ours.id_type).tolist() for x in ours.encode(texts)] == [e.ids for e in want]
+    assert len(ours._known) > 3 * tokens._TOGETHER
+
+
+def test_pieces_by_kinds_of_bytes():
+    text = "a1 é×÷É! «x» 日x \U0001f600. it's ''s\n\n x\ny  zɏɐ"
+    cut = tokens._byte_level_cuts(text.encode())
+    parts = np.split(np.frombuffer(text.encode(), np.uint8), np.flatnonzero(cut))
+    assert [bytes(p).decode() for p in parts] == [
+        "a", "1", " é×÷É", "!", " «x»", " 日x", " \U0001f600.", " it", "'s", " ''s", "\n\n x",
+        "\n", "y", "  zɏɐ",
+    ]
+
+
+def test_texts_are_encoded_in_portions_by_their_size(monkeypatch):
+    monkeypatch.setattr(idfiles, "PORTION_BYTES", 10)
+    texts = ["a" * 4, "", "b" * 30, "c", "d" * 3, "e" * 12]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["id", "text"])
+    parts = [p.column(1).to_pylist() for p in idfiles._portions(batch)]
+    assert sum(parts, []) == texts
+    assert all(sum(map(len, p[1:])) <= 10 for p in parts) and len(parts) > 2
+
+
+def test_a_lane_moves_on_by_one_word_and_keeps_its_place():
+    rng = np.random.default_rng(3)
+    lanes, steps, total = 7, 4000, np.uint64(1 << 25)
+    starts = rng.integers(0, int(total) - 1, (steps, lanes)).astype(np.uint64)
+    # Widths of one, of nearly all, and all, for lanes that have nothing to tell.
+    widths = np.where(rng.random((steps, lanes)) < 0.7, np.uint64(1), total - starts)
+    idle = rng.random((steps, lanes)) < 0.3
+    starts[idle], widths[idle] = 0, total
+    coder = rangecoder.Encoder(lanes)
+    for start, width in zip(starts, widths):
+        coder.put(start, width, total)
+    words, counts = coder.finish()
+    back = rangecoder.Decoder(words, counts)
+    for start, width in zip(starts, widths):
+        value = back.where(lanes, total)
+        assert ((value >= start) & (value - start < width)).all()
+        back.take(start, width)
+    # 0.7 of 0.7 of the steps tell 25 bits each.
+    assert words.nbytes * 8 < 1.05 * 25 * (widths == 1).sum() + 2 * steps * lanes
