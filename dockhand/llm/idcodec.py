@@ -17,11 +17,11 @@ import numpy as np
 
 from dockhand.llm.rangecoder import Decoder, Encoder
 
-MAX_LANES = 4096
-_LANE_BITS = np.uint64(12)
+MAX_LANES = 8192
+_LANE_BITS = np.uint64(13)
 _LANE_MASK = np.uint64(MAX_LANES - 1)
 # Ids that a lane has, so that a block with more has more lanes.
-LANE_IDS = 256
+LANE_IDS = 128
 _HASH_BITS = 18
 _SURE_BITS = 2
 _MAX_CONFIDENCE = (1 << _SURE_BITS) - 1
@@ -130,6 +130,11 @@ def _lanes(n: int) -> tuple[int, int, int]:
     return lanes, steps, n - (steps - 1) * lanes
 
 
+def _count_type(steps: int) -> np.dtype:
+    """What holds the words of a lane: it moves on by at most two a step, and two end it."""
+    return np.dtype("<u2" if 2 * steps + 2 < 1 << 16 else "<u4")
+
+
 def _by_step(n: int) -> np.ndarray:
     """Where in the block the ids lie in the order in which they are coded."""
     lanes, steps, long = _lanes(n)
@@ -161,7 +166,7 @@ def encode_block(ids: np.ndarray) -> bytes:
             coder.put(*model.symbol(now[other], other, active), model.below[-1])
             model.learn(now, outcome, other, step)
         words, counts = coder.finish()
-        body = counts.astype("<u4").tobytes() + words.astype("<u4").tobytes()
+        body = counts.astype(_count_type(steps)).tobytes() + words.astype("<u4").tobytes()
     head = _HEADER.pack(_MAGIC, n, alphabet, lanes, len(words), zlib.crc32(ids.tobytes()))
     return head + _CHECKSUM.pack(zlib.crc32(head + body)) + body
 
@@ -174,14 +179,15 @@ def decode_block(block: bytes) -> np.ndarray:
     checksum, = _CHECKSUM.unpack_from(block, _HEADER.size)
     body = block[_HEADER.size + _CHECKSUM.size:]
     whole = zlib.crc32(block[:_HEADER.size] + body) == checksum
-    if magic != _MAGIC or len(body) != 4 * (lanes + n_words) or not whole:
+    counted = _count_type(_lanes(n)[1] if n else 0)
+    if magic != _MAGIC or len(body) != counted.itemsize * lanes + 4 * n_words or not whole:
         raise BlockError("a block is damaged")
     out = np.zeros(n, "<u4")
     if n:
         lanes, steps, long = _lanes(n)
-        counts = np.frombuffer(body, "<u4", lanes)
+        counts = np.frombuffer(body, counted, lanes)
         model = _Model(alphabet, lanes)
-        coder = Decoder(np.frombuffer(body, "<u4", n_words, 4 * lanes), counts)
+        coder = Decoder(np.frombuffer(body, "<u4", n_words, counted.itemsize * lanes), counts)
         ordered = np.zeros(n, np.uint32)
         for step in range(steps):
             active = lanes if step < steps - 1 else long

@@ -11,6 +11,7 @@ import numpy as np
 
 _WORD = np.uint64(32)
 _SHORT = np.uint64(1 << 32)
+_WIDE = np.uint64(1 << 33)
 _LOW_MASK = np.uint64((1 << 32) - 1)
 _FULL = np.uint64((1 << 64) - 1)
 
@@ -45,9 +46,11 @@ class Encoder:
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of all lanes, lane after lane, and how many each lane has."""
-        for _ in range(2):
-            self._out.append((self._every, (self._low >> _WORD).astype(np.uint32)))
-            self._low <<= _WORD
+        # One word is enough where the span holds whatever may follow it.
+        wide = self._span >= _WIDE
+        last = np.where(wide, self._low + _LOW_MASK, self._low)
+        self._out.append((self._every, (last >> _WORD).astype(np.uint32)))
+        self._out.append((self._every[~wide], (last[~wide] & _LOW_MASK).astype(np.uint32)))
         lanes = np.concatenate([x[0] for x in self._out])
         words = np.concatenate([x[1] for x in self._out])
         return words[np.argsort(lanes, kind="stable")], np.bincount(lanes, minlength=len(self._every))

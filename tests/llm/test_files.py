@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from dockhand.llm import idfiles, queries, rangecoder, tokens, warc, zipdir
+from dockhand.llm import idcodec, idfiles, queries, rangecoder, tokens, warc, zipdir
 from dockhand.llm.idcodec import BlockError, decode_block, encode_block
 from dockhand.llm.queries import FILE_END_ID
 
@@ -243,3 +243,14 @@ def test_a_lane_moves_on_by_one_word_and_keeps_its_place():
         back.take(start, width)
     # 0.7 of 0.7 of the steps tell 25 bits each.
     assert words.nbytes * 8 < 1.05 * 25 * (widths == 1).sum() + 2 * steps * lanes
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 257, 8191, 120_000])
+def test_lanes_of_any_length(n, monkeypatch):
+    ids = np.minimum(np.random.default_rng(n).zipf(1.2, n), 50_000).astype(np.uint32)
+    block = encode_block(ids)
+    assert (decode_block(block) == ids).all()
+    # Each lane ends with about a word and needs half of one to tell how many it has.
+    assert len(block) < 40 + 10 * max(1, n // idcodec.LANE_IDS) + 2.5 * n
+    monkeypatch.setattr(idcodec, "MAX_LANES", 3)
+    assert (decode_block(encode_block(ids)) == ids).all()
